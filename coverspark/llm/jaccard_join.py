@@ -62,21 +62,28 @@ def _sets(n: int):
 
 
 def _leaves(nodes: DataFrame, runs: int, limit: int, splits: int) -> DataFrame:
-    """(bucket, id, members): split on sampled tokens until buckets are small or `splits` is reached."""
+    """(bucket, id, members): split on sampled tokens until buckets are small, or dense, or `splits` is reached.
+
+    A large bucket is dense if under every token order that it samples at least half of its members agree: splitting
+    would only repeat it, so it is compared as it is.
+    """
     entries = nodes.select("id", F.posexplode(F.slice("sketch", 1, runs)).alias("run", "token")).select("id", F.xxhash64("run", "token").alias("bucket")).distinct()
     leaves = []
     for level in range(splits + 1):
         sized = cut(shared(entries))
-        small = F.col("members") <= limit
-        leaves.append(sized if level == splits else sized.where(small))
-        large = sized.where(~small)
+        large = sized.where(F.col("members") > limit)
         if level == splits or large.isEmpty():
+            leaves.append(sized)
             break
         # each node samples its own tokens: the choice hangs on the path so far
         first = F.pmod(F.xxhash64(F.lit(level), "bucket"), F.lit(COORDINATES)).cast("int")
         step = (1 + F.pmod(F.xxhash64("bucket", F.lit(level)), F.lit(COORDINATES // _CHILDREN - 1))).cast("int")
-        chosen = large.select("id", "bucket", F.explode(F.array(*(F.pmod(first + F.lit(k) * step, F.lit(COORDINATES)) for k in range(_CHILDREN)))).alias("coordinate"))
-        entries = chosen.join(nodes.select("id", "sketch"), "id").select("id", F.xxhash64("bucket", "coordinate", F.element_at("sketch", F.col("coordinate") + 1)).alias("bucket")).distinct()
+        chosen = large.withColumn("coordinate", F.explode(F.array(*(F.pmod(first + F.lit(k) * step, F.lit(COORDINATES)) for k in range(_CHILDREN)))))
+        children = cut(chosen.join(nodes.select("id", "sketch"), "id").select("id", "bucket", "members", "coordinate", F.xxhash64("bucket", "coordinate", F.element_at("sketch", F.col("coordinate") + 1)).alias("child")))
+        agreeing = children.groupBy("bucket", "members", "coordinate", "child").agg(F.count("*").alias("n")).groupBy("bucket", "members", "coordinate").agg(F.max("n").alias("n"))
+        dense = agreeing.groupBy("bucket", "members").agg(F.min("n").alias("n")).where("2 * n >= members").select("bucket")
+        leaves += [sized.where(F.col("members") <= limit), large.join(dense, "bucket", "left_semi")]
+        entries = children.join(dense, "bucket", "left_anti").select("id", F.col("child").alias("bucket")).distinct()
     return reduce(DataFrame.unionByName, leaves)
 
 
@@ -159,8 +166,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     smallest id reachable over links; kept marks it. Other columns are ignored; an empty table gives an empty one.
 
     Equal sets are one class first. Each run puts a class into the bucket of one sampled token; buckets over `limit`
-    split again on tokens that their path samples, `splits` times at most, and what is still large is compared
-    whole, in tiles. runs_for() gives the number of runs for the target recall; a pair at the threshold is missed
+    split again on tokens that their path samples, `splits` times at most; a bucket that is dense, so that no split
+    would part it, or still large in the end is compared whole, in tiles. runs_for() gives the number of runs for the target recall; a pair at the threshold is missed
     with probability 1 - target_recall at most, a closer one less. Likely pairs are verified on their whole sets.
     """
     spark = docs.sparkSession

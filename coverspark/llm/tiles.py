@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 256
+BLOCK = 512
 TILE = ["bucket", "lo", "hi"]
 
 
