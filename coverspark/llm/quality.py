@@ -102,8 +102,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     ids = [(i, k) for k, v in at.items() for _, i, _ in v[half[k] :]]
     chosen = docs.sparkSession.createDataFrame(ids, "_id long, _label int")
     held = docs.join(F.broadcast(chosen), docs[id_col] == F.col("_id")).select("_label", F.col(text_col).alias("_text"))
-    pairs = map_texts(held, "_text", _differences(words[1], words[0]), {"d": pa.float64()}).collect()
-    y, d = np.array([r["_label"] for r in pairs], float), np.array([r["d"] for r in pairs])
+    pairs = map_texts(held, "_text", _differences(words[1], words[0]), {"_d": pa.float64()}).collect()
+    y, d = np.array([r["_label"] for r in pairs], float), np.array([r["_d"] for r in pairs])
     offset, slope = _fit_curve(d, y)
     # from the sample's shares to the labels' own
     seen = min(max(y.mean(), 1e-6), 1 - 1e-6)
@@ -122,7 +122,7 @@ def _train(blocks: list[bytes], size: int) -> bytes:
 def _differences(good: bytes, bad: bytes):
     def make():
         sizes = _Sizes(good, bad)
-        return lambda texts: {"d": [sizes.difference(t) for t in texts]}
+        return lambda texts: {"_d": [sizes.difference(t) for t in texts]}
 
     return make
 

@@ -126,9 +126,9 @@ class Encoder:
         return entry[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else np.empty(0, np.int64), counts
 
     def _learn(self, units: list[bytes]) -> None:
-        if self.ranks:  # one call for all units that begin with white space: they stay apart when joined
+        if self.ranks:  # one call for all units that begin with white space and end with none: they stay apart when joined
             encoding, length = self.ranks
-            apart = [u for u in units if u[:1] in _SPACES and b"<|" not in u]
+            apart = [u for u in units if u[0] in _SPACES and (33 <= u[-1] <= 126 or (u[-1] >= 128 and 0xC3 <= u[-2] <= 0xDF)) and b"<|" not in u]
             joined = encoding.encode_to_numpy(b"".join(apart).decode("utf-8")).astype(np.uint32)
             ends = np.searchsorted(np.cumsum(length[joined]), np.cumsum([len(u) for u in apart])) + 1 if apart else []
             self._add(apart, joined, ends)
