@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,17 +22,31 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """P(grade > k) = 1 / (1 + exp(thresholds[k] - sum of weights[w] * log(1 + times of w))): one weight per word for all grades."""
+    """P(grade > k) = 1 / (1 + exp(thresholds[k] - sum of weights[f] * log(1 + times of f))): one weight per feature for all grades."""
 
     weights: dict[str, float]
     thresholds: tuple[float, ...]
 
 
+#: Besides itself, a word of at least as many letters counts as its first 4 and its first 6 letters.
+_STARTS = (4, 6)
+
+
 def _counts(text: str | None) -> Counter:
     return Counter(_WORD.findall((text or "").lower()))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: int, ridge: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def _features(words: Counter, known=None) -> dict[str, int]:
+    """Times of each feature (of those in `known`, if given): words, and starts of words with `^` after them."""
+    out: dict[str, int] = {}
+    for w, n in words.items():
+        for f in (w, *(w[:k] + "^" for k in _STARTS if len(w) >= k)):
+            if known is None or f in known:
+                out[f] = out.get(f, 0) + n
+    return out
+
+
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: int, ridge: float = 1e-4, steps: int = 500) -> tuple[np.ndarray, np.ndarray]:
     """(weights, increasing thresholds) of the proportional-odds model, by gradient steps on the penalised likelihood."""
     w = np.zeros(x.shape[1])
     # the first threshold and the logs of the gaps keep the thresholds in order
@@ -65,11 +80,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Fit on a bounded sample: `per_class` labelled texts of each class, the first by a hash of the id.
 
     labels hold 0 and 1 only. Grade 0 is label 0; rows of label 1 are graded 1 to grades - 1 by equal shares of how dense
-    their words are in the words that the sample ties to label 1. Features are the `vocabulary` words whose shares of
+    their words are in features that the sample ties to label 1. Features are the `vocabulary` words and starts of words whose shares of
     texts differ most between the classes (at least 5 texts), as log(1 + times). Other labels are ignored, of several
     labels of an id the largest counts. Rows weigh as their class does among all labels. Without texts of both classes
     nothing is toxic.
     """
+    ship(docs.sparkSession)
     own = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
     shares = {r["_label"]: r["count"] for r in own.groupBy("_label").count().collect()}
     first = F.xxhash64(F.lit(3), "_id")
@@ -79,7 +95,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for label, text in zip(b["_label"], b["_text"]):
-                found = list(_counts(text))
+                found = list(_features(_counts(text)))
                 yield pd.DataFrame({"word": found, "label": [label] * len(found)})
 
     totals = {r["_label"]: r["count"] for r in texts.groupBy("_label").count().collect()}
@@ -87,8 +103,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         return ToxicityModel({}, tuple([30.0] * (grades - 1)))
     ones, zeros = totals[1], totals[0]
     by_word = texts.mapInPandas(words, "word string, label int").groupBy("word").agg(F.sum("label").alias("one"), F.sum(1 - F.col("label")).alias("zero")).where("one + zero >= 5")
-    p1, p0 = (F.col("one") + 0.5) / (ones + 1), (F.col("zero") + 0.5) / (zeros + 1)
-    z = (F.log(p1 / (1 - p1)) - F.log(p0 / (1 - p0))) / F.sqrt(1 / (F.col("one") + 0.5) + 1 / (F.col("zero") + 0.5))
+    # difference of the classes' shares over its standard error under one common share
+    p = (F.col("one") + F.col("zero") + 1) / (ones + zeros + 2)
+    z = (F.col("one") / ones - F.col("zero") / zeros) / F.sqrt(p * (1 - p) * (1 / ones + 1 / zeros))
     chosen = by_word.withColumn("z", z).orderBy(F.abs("z").desc(), "word").limit(vocabulary).collect()
     place = {r["word"]: k for k, r in enumerate(chosen)}
     marked = {r["word"] for r in chosen if r["z"] > 4}
@@ -97,10 +114,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         out: dict[str, list] = {"at": [], "times": [], "dense": []}
         for text in texts:
             c = _counts(text)
-            own = [(place[w], n) for w, n in c.items() if w in place]
+            found = _features(c, place)
+            own = [(place[f], n) for f, n in found.items()]
             out["at"].append([a for a, _ in own])
             out["times"].append([n for _, n in own])
-            out["dense"].append(sum(c[w] for w in marked & c.keys()) / max(1, c.total()))
+            out["dense"].append(sum(n for f, n in found.items() if f in marked) / max(1, c.total()))
         return out
 
     rows = map_texts(texts, "_text", lambda: features, {"at": pa.list_(pa.int32()), "times": pa.list_(pa.int32()), "dense": pa.float64()}).collect()
@@ -128,8 +146,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     def of(texts: list[str | None]) -> dict[str, list]:
         z = np.zeros(len(texts))
         for k, text in enumerate(texts):
-            c = _counts(text)
-            z[k] = sum(weights[w] * np.log1p(c[w]) for w in weights.keys() & c.keys())
+            z[k] = sum(weights[f] * math.log1p(n) for f, n in _features(_counts(text), weights).items())
         above = 1 / (1 + np.exp(np.clip(theta[None, :] - z[:, None], -30, 30)))
         each = np.concatenate([np.ones((len(z), 1)), above], 1) - np.concatenate([above, np.zeros((len(z), 1))], 1)
         return {"severity": above.sum(1).tolist(), "grade": each.argmax(1).astype(np.int32).tolist(), "toxic": (above[:, 0] >= 0.5).astype(np.int32).tolist()}

@@ -370,7 +370,7 @@ def test_toxicity_on_documents(spark):
     got = by_id(toxicity(df, train))
     held = [(r.toxic, got[r.doc_id]) for r in labels.where("doc_id % 2 = 1").collect()]
     hit, false = np.mean([g["toxic"] for t, g in held if t == 1]), np.mean([g["toxic"] for t, g in held if t == 0])
-    assert hit > 0.9 and false < 0.02
+    assert hit > 0.8 and false < 0.015
     assert all(0 <= g["severity"] <= 3 for g in got.values())
     odd = docs(spark, ODD).withColumnRenamed("lang", "grade")
     assert toxicity(odd, labels).count() == len(ODD) and toxicity(docs(spark, []), labels.limit(0)).count() == 0
