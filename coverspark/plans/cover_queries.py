@@ -165,7 +165,7 @@ def author_by_rank(spark, d):
     return table(spark, d, _TEXTS).select("p_partkey", T.author_by_rank(F.col("name"), F.lit("species")).alias("author"))
 
 
-_LIST = "SELECT p_name AS name, split_part(p_name, ' ', 1) || ' x' || p_size AS accepted_name, CASE WHEN p_size % 3 > 0 THEN lower(p_type) ELSE '' END AS habit FROM part WHERE p_partkey % 3 = 0"
+_LIST = "SELECT p_name AS name, split_part(p_name, ' ', 1) || ' x' || p_size AS accepted_name, CASE WHEN p_size % 3 > 0 THEN lower(p_type) ELSE '' END AS habit FROM part"
 _SPECIES = "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN split_part(p_name, ' ', 1) || ' x' || (p_size + 7) ELSE p_name END AS species FROM part"
 
 
@@ -181,9 +181,9 @@ def habit_cascade(spark, d):
 
 
 @query(ctes(s=_SPECIES) + """SELECT p_partkey, species, coalesce(r, '') AS leaf_retention FROM s LEFT JOIN (
-  SELECT split_part(p_name, ' ', 1) AS g, array_to_string(list_sort(list(DISTINCT CASE p_size % 4 WHEN 0 THEN 'deciduous' ELSE 'evergreen' END)), ',') AS r FROM part WHERE p_size % 2 = 0 AND p_partkey % 2 = 1 GROUP BY 1) ON g = split_part(species, ' ', 1)""")
+  SELECT split_part(p_name, ' ', 1) AS g, array_to_string(list_sort(list(DISTINCT CASE p_size % 4 WHEN 0 THEN 'deciduous' ELSE 'evergreen' END)), ',') AS r FROM part WHERE p_size % 2 = 0 GROUP BY 1) ON g = split_part(species, ' ', 1)""")
 def leaf_retention(spark, d):
-    r = table(spark, d, "SELECT p_name AS retention_name, CASE p_size % 4 WHEN 0 THEN 'deciduous' ELSE 'evergreen' END AS retention FROM part WHERE p_size % 2 = 0 AND p_partkey % 2 = 1")
+    r = table(spark, d, "SELECT p_name AS retention_name, CASE p_size % 4 WHEN 0 THEN 'deciduous' ELSE 'evergreen' END AS retention FROM part WHERE p_size % 2 = 0")
     return M.leaf_retention(table(spark, d, _SPECIES), r)
 
 

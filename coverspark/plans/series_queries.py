@@ -90,7 +90,7 @@ def phenometrics_all(spark, d):
 
 
 _LAGS = "lag(day) OVER o AS d0, day AS d1, lead(day) OVER o AS d2, lead(day, 2) OVER o AS d3, lag(v) OVER o AS p0, v AS p1, lead(v) OVER o AS p2, lead(v, 2) OVER o AS p3"
-_MONTHS = "SELECT o_custkey AS id, CAST(date_trunc('month', o_orderdate) AS DATE) AS day, max(o_totalprice) AS v FROM orders WHERE o_custkey % 20 = 0 GROUP BY ALL"
+_MONTHS = "SELECT l_suppkey AS id, CAST(date_trunc('month', l_shipdate) AS DATE) AS day, max(l_extendedprice) AS v FROM lineitem GROUP BY ALL"
 
 
 @query(f"""WITH s AS ({_MONTHS}), l AS (SELECT id, {_LAGS} FROM s WINDOW o AS (PARTITION BY id ORDER BY day)),
@@ -145,7 +145,7 @@ FEATURES = ["blue", "green", "red", "red_edge", "swir1", "swir2"]
 def rf_fit_predict(spark, d):
     b = table(spark, d, BANDS)
     model = M.forest(b.where("id % 5 > 0"), FEATURES, "nir", trees=20, depth=5, per_split="3")
-    return M.score(model, b.where("id % 5 = 0"), FEATURES).select("id", "prediction")
+    return M.score(model, b, FEATURES).select("id", (F.col("id") % 5 > 0).alias("trained_on"), "prediction")
 
 
 @query("""SELECT fit, count(*) AS n FROM (SELECT unnest(range(place, 6)) AS fit FROM orders JOIN (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) AS place FROM (SELECT DISTINCT o_orderpriority FROM orders)) USING (o_orderpriority)) GROUP BY fit""")
@@ -163,7 +163,7 @@ def grid_leaderboard(spark, d):
 @query()
 def perm_importance(spark, d):
     b = table(spark, d, BANDS)
-    return M.permutation_importance(M.forest(b, FEATURES, "nir", trees=10, depth=4, per_split="3"), b, FEATURES[:3] + FEATURES[3:], "nir", repeats=2)
+    return M.permutation_importance(M.forest(b, FEATURES, "nir", trees=10, depth=4, per_split="3"), b, FEATURES, "nir", repeats=2)
 
 
 @query()
@@ -175,7 +175,7 @@ def gbt_importance(spark, d):
 @query()
 def score_cells(spark, d):
     px = table(spark, d, PIXELS).select("cell_id", "x", "y", F.col("line").cast("double").alias("line"), "share", "value")
-    model = M.forest(px.where("cell_id = 0"), ["line", "share"], "value", trees=5, depth=4, per_split="2")
+    model = M.forest(px, ["line", "share"], "value", trees=5, depth=4, per_split="2")
     return M.score(model, px, ["line", "share"]).groupBy("cell_id").agg(F.count("*").alias("n"), F.avg("prediction").alias("mean"))
 
 

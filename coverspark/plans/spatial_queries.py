@@ -160,9 +160,9 @@ def qa_bitmask(spark, d):
     return table(spark, d, "SELECT l_orderkey FROM lineitem").where(N.bits_clear(F.col("l_orderkey"), 10, 11)).agg(F.count("*").alias("n"))
 
 
-@query("SELECT s_suppkey, n, total FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS total FROM lineitem WHERE l_suppkey % 4 = 1 GROUP BY 1) ON l_suppkey = s_suppkey")
+@query("SELECT s_suppkey, n, total FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS total FROM lineitem WHERE l_quantity > 49 AND l_linenumber = 7 GROUP BY 1) ON l_suppkey = s_suppkey")
 def empty_composite_spine(spark, d):
-    got = table(spark, d, "SELECT l_suppkey AS s_suppkey, l_quantity FROM lineitem WHERE l_suppkey % 4 = 1").groupBy("s_suppkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
+    got = table(spark, d, "SELECT l_suppkey AS s_suppkey, l_quantity FROM lineitem WHERE l_quantity > 49 AND l_linenumber = 7").groupBy("s_suppkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
     return table(spark, d, "SELECT s_suppkey FROM supplier").join(got, "s_suppkey", "left")
 
 
