@@ -76,4 +76,14 @@ ORACLE_SQL = {
           reach(vec_id, low) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.vec_id)
         SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, r.low AS component_id, e.vec_id = r.low AS kept
         FROM embeddings e JOIN (SELECT vec_id, min(low) AS low FROM reach GROUP BY 1) r USING (vec_id)""",
+    "op4_jaccard_join": r"""
+        WITH RECURSIVE
+          words AS (SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+          shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+          sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+          common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+          links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c)),
+          reach(doc_id, low) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.doc_id)
+        SELECT d.doc_id, r.low AS component_id, (SELECT count(*) FROM links WHERE a = d.doc_id) AS n_links, d.doc_id = r.low AS kept
+        FROM documents d JOIN (SELECT doc_id, min(low) AS low FROM reach GROUP BY 1) r USING (doc_id)""",
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
