@@ -150,8 +150,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of the mix, each as often as the mix takes it, all columns unchanged. Rows without an id are left out."""
+    """The rows of the mix, each as often as the mix takes it, all columns unchanged. Rows that share an id (or have none) are
+    all taken as often as the one of them that is taken most."""
     taken = mix(docs, id_col, text_col, source_col, **options).where(F.size("places") > 0).select(F.col(id_col).alias("_taken"), F.size("places").alias("_copies"))
     # repeated ids are in one block, so they have been taken alike but for the last block's edge
     taken = taken.groupBy("_taken").agg(F.max("_copies").alias("_copies"))
-    return docs.join(taken, docs[id_col] == F.col("_taken")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_taken", "_copies", "_copy")
+    return docs.join(taken, docs[id_col].eqNullSafe(F.col("_taken"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_taken", "_copies", "_copy")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverspark.llm.ranks import spread_rank
-from coverspark.llm.tokens import encoder, groups
+from coverspark.llm.tokens import Encoder, groups
 from coverspark.session import cut, ship
 
 
@@ -67,10 +67,10 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int
 
 def _pieces(name: str, capacity: int, end_id: int, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(name)
+        own = Encoder(name)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 texts = part.column(part.schema.get_field_index("_text")).to_pylist()
                 row, start, length, crc, tokens = [], [], [], [], []
                 for a, b in groups(texts):

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from coverspark.session import ship
 
-_ROWS = 1024
+_ROWS = 512
 
 
 def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list[str | None]], dict[str, list]]], fields: dict[str, pa.DataType]) -> DataFrame:

@@ -26,7 +26,7 @@ def _kinds(k: int) -> int:
 
 
 _KIND = np.array([_kinds(k) for k in range(256)], np.uint8)
-_KNOWN = 600_000
+_KNOWN = 200_000
 
 
 def vocabulary(name: str) -> str:
@@ -86,7 +86,7 @@ class Encoder:
     """Ids as the `tokenizers` library gives them, each different unit between two cuts encoded once.
 
     Units go through `tiktoken` where it has the same vocabulary (the faster of the two), others, and those that
-    may hold special tokens, through `tokenizers`. Holds 600,000 units at most and starts anew beyond. For byte-level
+    may hold special tokens, through `tokenizers`. Holds 200,000 units at most and starts anew beyond. For byte-level
     vocabularies without a normalizer.
     """
 
@@ -162,12 +162,6 @@ class Encoder:
         return np.diff(total[np.r_[0, np.cumsum(units)]]).tolist()
 
 
-@lru_cache(maxsize=2)
-def encoder(name: str) -> Encoder:
-    """One per worker process, so what it has learned serves later tasks."""
-    return Encoder(name)
-
-
 def _utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
@@ -229,7 +223,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship(docs.sparkSession)
 
     def make():
-        own = encoder(name)
+        own = Encoder(name)
 
         def of(texts: list[str | None]) -> dict[str, list]:
             n = [0] * len(texts)

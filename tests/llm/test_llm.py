@@ -20,7 +20,7 @@ from coverspark.llm.quality import keep_quality, quality_classifier
 from coverspark.llm.ranks import spread_rank
 from coverspark.llm.sharding import best_fit_decreasing, into_bins, shard_by_bytes
 from coverspark.llm.shingles import texts_shingles
-from coverspark.llm.tokens import _library, count_spliced, encoder, token_counts
+from coverspark.llm.tokens import Encoder, _library, count_spliced, token_counts
 from coverspark.llm.toxicity import fit_ordinal, toxicity
 from coverspark.llm.vector_dedup import vector_dedup
 from tests.oracle import differences
@@ -202,8 +202,8 @@ def test_encoder_is_the_library():
     texts = ["".join(rng.choice(signs, rng.integers(0, 60))) for _ in range(3000)] + [None, ""]
     lib = _library("byte_bpe_50k.json")
     want = [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert [x.tolist() for x in encoder("byte_bpe_50k.json").encode(texts)] == want
-    assert encoder("byte_bpe_50k.json").count(texts) == [len(x) for x in want]
+    assert [x.tolist() for x in Encoder("byte_bpe_50k.json").encode(texts)] == want
+    assert Encoder("byte_bpe_50k.json").count(texts) == [len(x) for x in want]
     joined = " ".join(t for t in texts if t)
     assert count_spliced(joined, "byte_bpe_50k.json", chunk=500, overlap=20) == len(lib.encode(joined, add_special_tokens=False).ids)
 
