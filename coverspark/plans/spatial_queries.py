@@ -34,10 +34,10 @@ def region_filter(spark, d):
     return P.box_join(table(spark, d, POINTS), _boxes(spark, d).where("code in (3, 7, 11)"), 1.0, "left_semi").select("id")
 
 
-_EDGES = "(VALUES " + ", ".join(f"({a}, {b}, {c}, {e})" for (a, b), (c, e) in zip(HEXAGON, HEXAGON[1:])) + ") e(ax, ay, bx, by)"
+_EDGES = "(VALUES " + ", ".join(f"({a}, {b}, {c}, {e})" for (a, b), (c, e) in zip(HEXAGON, HEXAGON[1:])) + ") e(x1, y1, x2, y2)"
 
 
-@query(_P + f"SELECT id FROM p WHERE (SELECT count(*) FROM {_EDGES} WHERE (ay > y) <> (by > y) AND x < ax + (y - ay) * (bx - ax) / (by - ay)) % 2 = 1")
+@query(_P + f"SELECT id FROM p WHERE (SELECT count(*) FROM {_EDGES} WHERE (y1 > y) <> (y2 > y) AND x < x1 + (y - y1) * (x2 - x1) / (y2 - y1)) % 2 = 1")
 def polygon_clip(spark, d):
     ring = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in HEXAGON))
     return table(spark, d, POINTS).where(P.in_ring(F.col("x"), F.col("y"), ring)).select("id")
