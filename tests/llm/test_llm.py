@@ -118,6 +118,31 @@ def test_vector_recall_at_threshold(spark):
     assert vector_dedup(df).where("n_links > 0").count() >= 0.9 * 1600
 
 
+@pytest.mark.parametrize("share", [0.1, 0.33])
+def test_vector_recall_in_a_large_cluster(spark, share):
+    rng = np.random.default_rng(5)
+    n, hot = 2400, int(2400 * share)
+    x = rng.normal(size=(n, 64))
+    centre = x[0] / np.linalg.norm(x[0])
+    x[:hot] = centre + x[:hot] * 0.27 / 8  # cosines around 0.93, most of them 0.9 or more
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = by_id(vector_dedup(df), "vec_id")
+    links = np.array([got[k]["n_links"] for k in range(n)])
+    assert want[:hot].mean() > hot / 2
+    assert (links <= want).all() and links.sum() >= 0.99 * want.sum()
+
+
+def test_vectors_that_are_all_close(spark):
+    rng = np.random.default_rng(6)
+    x = np.ones(32) + 0.3 * rng.normal(size=(700, 32))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = by_id(vector_dedup(df), "vec_id")
+    assert [got[k]["n_links"] for k in range(700)] == ((u @ u.T >= 0.9).sum(1) - 1).tolist()
+
+
 # similarity join
 
 
