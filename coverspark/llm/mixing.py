@@ -103,8 +103,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row per input row: id, size, source_size, target, taken, and `places`, where its copies go.
 
     size counts words (words_in). Sources, null among them as one, get targets by source_targets(). A source with
-    target / size = k + f gives all its rows k times and a share f of its words once more, so taken = size * (copies) and
-    no row is taken more than 3 times. places holds one (shard, position key) per copy: shuffle a shard by sorting on it.
+    target / size = k + f gives all its rows k times and a share f of its words once more, so taken = size * size(places)
+    and no row is taken more than 3 times. places holds one (shard, position key) per copy: shuffle a shard by sorting on it.
     Rows repeat as rows of their own, in one block; ids may be null. An empty table gives an empty table; other columns
     are ignored. Reruns agree.
 
@@ -116,7 +116,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = cut(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size")).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "_id", "size"), F.lit(blocks)).cast("int")))
     block_sizes = cut(rows.groupBy("source", "block").agg(F.sum("size").alias("block_size")))
     targets = source_targets(block_sizes.groupBy("source").agg(F.sum("block_size").alias("source_size")))
-    shuffled = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 1), "source", "block"), "block")
+    # blocks without words come last, so that the blocks a share wants are the first places
+    shuffled = Window.partitionBy("source").orderBy((F.col("block_size") == 0).cast("int"), F.xxhash64(F.lit(seed + 1), "source", "block"), "block")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     share = F.col("target") - F.col("rounds") * F.col("source_size")
     order = (
@@ -141,18 +142,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # only the block that the share ends in ranks its rows; a row is in if more than half of it is wanted
     inside = Window.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(seed + 2), "_id", "size"), "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     partial = (F.col("wanted") > 0) & (F.col("wanted") < F.col("block_size"))
+    # a copy is a draw that the tree dealt, so what is taken is what the shards hold
     whole = joined.where(~partial).withColumn("extra", (F.col("wanted") > 0).cast("long"))
     split = joined.where(partial).withColumn("extra", (F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2 < F.col("wanted")).cast("long"))
     copies = F.col("rounds") + F.col("extra")
     kept = F.filter(F.coalesce("draws", F.array().cast("array<struct<round:bigint,shard:int>>")), lambda d: d["round"] < copies)
     places = F.transform(kept, lambda d: F.struct(d["shard"].alias("shard"), F.xxhash64(F.lit(seed + 3), d["round"], F.col("_id"), F.col("size")).alias("position")))
-    return whole.unionByName(split).select(F.col("_id").alias(id_col), "size", "source_size", "target", (F.col("size") * copies).alias("taken"), places.alias("places"))
+    return whole.unionByName(split).select(F.col("_id").alias(id_col), "size", "source_size", "target", places.alias("places")).withColumn("taken", F.col("size") * F.size("places")).select(id_col, "size", "source_size", "target", "taken", "places")
 
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of the mix, each as often as the mix takes it, all columns unchanged. Rows that share an id (or have none) are
-    all taken as often as the one of them that is taken most."""
-    taken = mix(docs, id_col, text_col, source_col, **options).where(F.size("places") > 0).select(F.col(id_col).alias("_taken"), F.size("places").alias("_copies"))
-    # repeated ids are in one block, so they have been taken alike but for the last block's edge
-    taken = taken.groupBy("_taken").agg(F.max("_copies").alias("_copies"))
-    return docs.join(taken, docs[id_col].eqNullSafe(F.col("_taken"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_taken", "_copies", "_copy")
+    """The rows of the mix, each as often as the mix takes it, in the order of shard and position, all columns unchanged.
+    Rows that share an id (or have none) are all taken at the places of the one of them that is taken most."""
+    taken = mix(docs, id_col, text_col, source_col, **options).where(F.size("places") > 0).select(F.col(id_col).alias("_taken"), F.struct(F.size("places").alias("n"), "places").alias("_most"))
+    taken = taken.groupBy("_taken").agg(F.max("_most")["places"].alias("_places"))
+    copies = docs.join(taken, docs[id_col].eqNullSafe(F.col("_taken"))).withColumn("_place", F.explode("_places"))
+    return copies.orderBy("_place.shard", "_place.position", F.xxhash64(text_col)).drop("_taken", "_places", "_place")

@@ -43,7 +43,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents")).drop("places")
+    return mix(read(spark, sf_dir, "documents"))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

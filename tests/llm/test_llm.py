@@ -312,6 +312,22 @@ def test_mix(spark):
     assert mix(df.limit(0)).count() == 0
 
 
+def test_mix_draws_are_the_rows_taken(spark):
+    """Sources with few rows, most of them blank, have blocks without words among those that a share ends in."""
+    rows = [(1000 * s + k, " ".join(["w"] * (k % 9 + 1)) if k % 4 == 0 else " ", "en", f"s{s}", None) for s in range(12) for k in range(120)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mix(df).collect()
+    source = {r[0]: r[3] for r in rows}
+    for s in {r[3] for r in rows}:
+        own = [r for r in got if source[r.doc_id] == s]
+        assert abs(sum(r["size"] * len(r.places) for r in own) - own[0].target) <= 5
+    assert all(r.taken == r["size"] * len(r.places) for r in got)
+    places = sorted((p.shard, p.position, r.doc_id) for r in got for p in r.places)
+    assert {p[0] for p in places} == set(range(8))
+    assert [r.doc_id for r in take_mix(df).collect()] == [p[2] for p in places]
+    assert "places" in queries.op7_mixing(spark, DIR).columns
+
+
 def test_split_quotas(spark):
     quotas = {"a": 300, "b": 7, None: 45, "c": 0}
     got = split_quotas(spark.createDataFrame(list(quotas.items()), "source string, quota long"), 8, 3).collect()
