@@ -108,22 +108,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     digest are told apart by their rank, which joins the recipe. Only distinct chunks move, after a merge in
     each task; whole texts never do, and groups are formed on recipes.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    texts = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
+    recipes = _written_recipes(docs.select(F.col(id_col), F.col(text_col).alias("_text")), digest_bytes)
+    # written, so that a hot recipe is a plain skewed join below
+    groups = cut(recipes.groupBy("recipe").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size")))
+    return recipes.join(groups, "recipe").select(id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def _written_recipes(texts: DataFrame, digest_bytes: int) -> DataFrame:
+    """`texts` without _text but with recipe and text_sha256, as a written table."""
+    ship(texts.sparkSession)
     names = texts.mapInPandas(_pieces(digest_bytes), "name binary, chunk binary").distinct().groupBy("name").count()
     doubtful = cut(names.where("count > 1").select("name"))
     if doubtful.isEmpty():
         recipes = map_texts(texts, "_text", _recipes(digest_bytes), _RECIPE)
     else:
-        recipes = _verified(texts, doubtful, digest_bytes, id_col)
-    recipes = cut(recipes)
-    # written, so that a hot recipe is a plain skewed join below
-    groups = cut(recipes.groupBy("recipe").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size")))
-    return recipes.join(groups, "recipe").select(id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+        recipes = _verified(texts, doubtful, digest_bytes)
+    return cut(recipes)
 
 
-def _verified(texts: DataFrame, doubtful: DataFrame, digest_bytes: int, id_col: str) -> DataFrame:
+def _verified(texts: DataFrame, doubtful: DataFrame, digest_bytes: int) -> DataFrame:
     """Recipes in which chunks of one digest but different bytes have different identifiers."""
     rows = cut(texts.withColumn("_row", F.monotonically_increasing_id()))
     places = rows.select("_row", "_text").mapInPandas(_places(digest_bytes), "_row long, pos int, name binary, chunk binary").join(doubtful, "name", "left_semi")
@@ -131,10 +134,20 @@ def _verified(texts: DataFrame, doubtful: DataFrame, digest_bytes: int, id_col:
     ranks = places.select("name", "chunk").distinct().withColumn("variant", F.row_number().over(Window.partitionBy("name").orderBy("chunk")))
     told = places.join(ranks, ["name", "chunk"]).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", "variant"))).alias("told"))
     plain = map_texts(rows, "_text", _recipes(digest_bytes), _RECIPE)
-    return plain.join(told, "_row", "left").select(id_col, "text_sha256", F.concat("recipe", F.encode(F.coalesce(F.to_json("told"), F.lit("")), "utf-8")).alias("recipe"))
+    return plain.join(told, "_row", "left").select(*(c for c in texts.columns if c != "_text"), "text_sha256", F.concat("recipe", F.encode(F.coalesce(F.to_json("told"), F.lit("")), "utf-8")).alias("recipe"))
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, all columns unchanged; rows without an id stay."""
-    gone = exact_dedup(docs, id_col, text_col).where(F.col(id_col).isNotNull() & ~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repeats: bool = True) -> DataFrame:
+    """The rows of `docs` that stay, all columns unchanged: of equal texts those with the largest id.
+
+    With `repeats`, rows repeated with that id all stay, as do all rows of a text that none has an id for; without,
+    one row of each text stays. Rows are dropped by a key of their own, so an id on several texts loses none of them.
+    """
+    # written, so that a row's key is the same wherever it is read
+    rows = cut(docs.withColumn("_row_key", F.monotonically_increasing_id()))
+    recipes = _written_recipes(rows.select(F.col(id_col).alias("_id"), "_row_key", F.col(text_col).alias("_text")), 16)
+    # a struct with a null id is before all others
+    groups = cut(recipes.groupBy("recipe").agg(F.max(F.struct("_id", "_row_key")).alias("_first")))
+    stays = F.col("_id").eqNullSafe(F.col("_first._id")) if repeats else F.col("_row_key") == F.col("_first._row_key")
+    gone = recipes.join(groups, "recipe").where(~stays).select("_row_key")
+    return rows.join(gone, "_row_key", "left_anti").select(*docs.columns)

@@ -195,6 +195,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs` that stay, one of each group, all columns unchanged; rows without an id stay."""
-    gone = jaccard_join(docs, id_col, text_col, **options).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    """The rows of `docs` that stay, one of each group, all columns unchanged: the one with the smallest id.
+
+    Rows are joined by a key of their own, so rows that share an id or have none are documents of their own; of a
+    group, rows without an id stay only where none has one. Wordless texts are in no group and stay.
+    """
+    # written, so that a row's key is the same wherever it is read
+    rows = cut(docs.withColumn("_row_key", F.monotonically_increasing_id()))
+    parts = jaccard_join(rows.select("_row_key", text_col), "_row_key", text_col, **options).where("n_links > 0").select("_row_key", "component_id")
+    parts = cut(rows.select("_row_key", F.col(id_col).alias("_id")).join(parts, "_row_key"))
+    first = cut(parts.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row_key"))["_row_key"].alias("_first")))
+    gone = parts.join(first, "component_id").where("_row_key <> _first").select("_row_key")
+    return rows.join(gone, "_row_key", "left_anti").select(*docs.columns)

@@ -68,6 +68,18 @@ def test_exact_dedup_empty_and_rows(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [2, 5, 6, 7, 9, 9, 10, 11, 12]
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    import corpus_pipeline as P
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(7, a), (9, a), (7, b), (None, b), (None, c), (None, c), (9, a), (9, a + " end")]
+    left = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect())
+    one_each = [(0, c), (7, b), (9, a), (9, a + " end")]
+    assert left(P.exact(spark, docs(spark, rows), DIR)) == one_each
+    assert left(drop_exact_duplicates(docs(spark, rows))) == sorted([*one_each, (0, c), (9, a)])
+    assert left(P.near(spark, docs(spark, rows), DIR)) == [(0, c), (7, a), (7, b)]
+
+
 def test_boundaries_depend_on_content():
     data = LONG.encode()
     ends = boundaries(data)
