@@ -106,7 +106,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     target / size = k + f gives all its rows k times and a share f of its words once more, so taken = size * size(places)
     and no row is taken more than 3 times. places holds one (shard, position key) per copy: shuffle a shard by sorting on it.
     Rows repeat as rows of their own, in one block; ids may be null. An empty table gives an empty table; other columns
-    are ignored. Reruns agree.
+    are ignored. Reruns agree. The number of sources is bounded: their targets meet in one task and a node of the tree is
+    one row with all of them, folded in time quadratic in their number. Meant for named sources, not domains or URLs.
 
     A source's rows are dealt over `blocks` by a hash and the blocks permuted; k rounds over all blocks and then blocks in
     permuted order up to the share f are its draws, an exact quota of blocks that the splitting tree deals to the
