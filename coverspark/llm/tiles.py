@@ -19,9 +19,9 @@ BLOCK = 512
 TILE = ["bucket", "lo", "hi"]
 
 
-def tiled(members: DataFrame) -> DataFrame:
-    """(bucket, lo, hi, id) from (bucket, id, members): each member once per tile of its bucket."""
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+def tiled(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(bucket, lo, hi, id) from (bucket, id, members): each member once per tile of its bucket, in blocks of about `block`."""
+    blocks = F.ceil(F.col("members") / F.lit(block)).cast("int")
     own = members.select("bucket", "id", blocks.alias("_n"), F.pmod(F.xxhash64("id", "bucket"), blocks).cast("int").alias("_own"))
     each = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     return each.select("bucket", F.least("_own", "_other").alias("lo"), F.greatest("_own", "_other").alias("hi"), "id", F.col("_own").alias("own"))
@@ -56,6 +56,12 @@ def by_tile(df: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], schema
     return df.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(run, schema)
 
 
+def tile_edges(pdf: pd.DataFrame) -> np.ndarray:
+    """Where the tiles of a sorted frame begin, and its end."""
+    bucket, lo, hi = (pdf[c].values for c in TILE)
+    return np.r_[0, np.flatnonzero((bucket[1:] != bucket[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1, len(bucket)]
+
+
 def tile_pairs(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row pairs (i, j) to compare, in runs: i and j in one tile, across its two blocks if it has two, with unequal ids."""
     bucket, lo, hi, own, ids = (pdf[c].values for c in ("bucket", "lo", "hi", "own", "id"))
