@@ -147,7 +147,11 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; null counts as empty."""
-        entry, units = self._units([_utf8(t) for t in texts])
+        return self.encode_bytes([_utf8(t) for t in texts])
+
+    def encode_bytes(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts in UTF-8."""
+        entry, units = self._units(texts)
         start, ids = self._tables()
         first, n = start[entry], start[entry + 1] - start[entry]
         total = np.r_[0, np.cumsum(n)]
@@ -177,62 +181,114 @@ def groups(texts: list[str | None], size: int = 1 << 22) -> list[tuple[int, int]
     return [*out, (start, len(texts))] if texts else []
 
 
-def _stable(text: str, at: int) -> bool:
-    """Whether every encoding of a text around it ends a token at this place: white space after a visible character."""
-    return 0 < at < len(text) and text[at].encode() in _SPACES and not text[at - 1].isspace() and text[at - 1].isprintable()
+@lru_cache(maxsize=4)
+def _token_bytes(name: str) -> np.ndarray:
+    """Bytes of text that each id stands for; a byte-level vocabulary writes one character per byte."""
+    library = _library(name)
+    length = np.zeros(library.get_vocab_size(with_added_tokens=True), np.int64)
+    for piece, k in library.get_vocab(with_added_tokens=True).items():
+        length[k] = len(piece)
+    for k, token in library.get_added_tokens_decoder().items():
+        length[k] = len(token.content.encode())
+    return length
 
 
-def count_spliced(text: str, name: str, chunk: int = 16384, overlap: int = 256) -> int:
-    """Tokens of one text of any length, from chunks that overlap.
+class Splicer:
+    """Token counts of texts of any length, from chunks that overlap and are spliced where their encodings agree.
 
-    Neighbouring chunks are spliced where both have a token boundary that is stable (see _stable): what lies left
-    is counted in the left chunk, what lies right in the right one. Where the overlap holds no such place it is
-    doubled, up to the rest of the text, so a text without white space is encoded whole.
+    Chunk k holds bytes k * chunk to (k + 1) * chunk + overlap, moved back to the start of a character. Each is encoded by
+    itself, and every token's end is known as an offset in the text. Neighbours are spliced at the first end that both have
+    and that is stable (_cuts: a token ends there whatever stands around): tokens up to it are counted in the left chunk,
+    those after it in the right one. Where the overlap holds no such place it is doubled until it does, or until the left
+    chunk reaches the end of the text, so a text without such places is encoded whole.
     """
-    library = _library(name)
-    total, start = 0, 0
-    while start < len(text):
-        if start + chunk >= len(text):
-            return total + len(library.encode(text[start:], add_special_tokens=False).ids)
-        width, end, place = overlap, start + chunk, None
-        while place is None and end + width < len(text):
-            left = _ends(library, text, start, end + width)
-            right = _ends(library, text, end, end + width + overlap)
-            common = [p for p in np.intersect1d(left, right) if end < p < end + width and _stable(text, int(p))]
-            place = int(common[0]) if common else None
-            width *= 2
-        if place is None:
-            return total + len(library.encode(text[start:], add_special_tokens=False).ids)
-        total += int(np.searchsorted(left, place, "right"))
-        start = place
-    return total
-
-
-def _ends(library, text: str, a: int, b: int) -> np.ndarray:
-    """Places where tokens of text[a:b] end, one per token."""
-    return np.array([y for _, y in library.encode(text[a:b], add_special_tokens=False).offsets], np.int64) + a
-
-
-def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "byte_bpe_50k.json", limit: int = 1024, huge: int = 65536) -> DataFrame:
+
+    def __init__(self, name: str, chunk: int = 4096, overlap: int = 256):
+        self.own, self.length, self.chunk, self.overlap = Encoder(name), _token_bytes(name), chunk, overlap
+        self.run = max(1, (1 << 22) // (chunk + overlap))
+
+    def _chunk(self, data: bytes, k: int) -> tuple[int, int]:
+        return _whole(data, k * self.chunk), _whole(data, (k + 1) * self.chunk + self.overlap)
+
+    def _ends(self, parts: list[tuple[bytes, int, int]]) -> list[np.ndarray]:
+        """Where the tokens of data[a:b] end, for each (data, a, b)."""
+        ids = self.own.encode_bytes([data[a:b] for data, a, b in parts])
+        return [a + np.cumsum(self.length[i]) for (_, a, _), i in zip(parts, ids)]
+
+    def count(self, texts: list[bytes]) -> list[int]:
+        """Tokens of each text, in UTF-8."""
+        parts = [(k, i) for k, t in enumerate(texts) for i in range(min(self.run, max(1, -(-(len(t) - self.overlap) // self.chunk))))]
+        ends = self._ends([(texts[k], *self._chunk(texts[k], i)) for k, i in parts])
+        known: list[dict[int, np.ndarray]] = [{} for _ in texts]
+        for (k, i), e in zip(parts, ends):
+            known[k][i] = e
+        return [self._spliced(t, own) for t, own in zip(texts, known)]
+
+    def _spliced(self, data: bytes, known: dict[int, np.ndarray]) -> int:
+        total, counted, k = 0, 0, 0
+        (start, stop), left = self._chunk(data, 0), known[0]
+        while stop < len(data):
+            # the last chunk that begins an overlap or more before the left one ends
+            k = max(k + 1, (stop - self.overlap) // self.chunk)
+            at, end = self._chunk(data, k)
+            if k not in known:
+                known.clear()  # of a huge text only a run of chunks is held
+                run = [j for j in range(k, k + self.run) if j * self.chunk < len(data)]
+                known.update(zip(run, self._ends([(data, *self._chunk(data, j)) for j in run])))
+            right, width = known[k], self.overlap
+            while (place := self._agreed(data, left, right, max(at + 1, counted), min(stop, end))) is None and stop < len(data):
+                width *= 2
+                stop, end = _whole(data, max(stop, at + width)), _whole(data, max(end, at + 2 * width))
+                left, right = self._ends([(data, start, stop), (data, at, end)])
+            if place is None:
+                break
+            total += int(np.searchsorted(left, place, "right") - np.searchsorted(left, counted, "right"))
+            counted, start, stop, left = place, at, end, right
+        return total + int(len(left) - np.searchsorted(left, counted, "right"))
+
+    @staticmethod
+    def _agreed(data: bytes, left: np.ndarray, right: np.ndarray, after: int, before: int) -> int | None:
+        """The first stable place after `after` and before `before` where tokens of both end."""
+        if before <= after:
+            return None
+        low = max(0, after - 2)  # two bytes back are all that decides whether a place is stable
+        stable = low + _cuts(np.frombuffer(data, np.uint8, before - low, low))
+        stable = stable[stable > after]
+        for ends in (left, right):
+            found = np.searchsorted(ends, stable)
+            stable = stable[(found < len(ends)) & (ends[np.minimum(found, len(ends) - 1)] == stable)] if len(ends) else stable[:0]
+        return int(stable[0]) if len(stable) else None
+
+
+def _whole(data: bytes, at: int) -> int:
+    """The start of the character at this byte, or the end of the text."""
+    if at >= len(data):
+        return len(data)
+    while data[at] & 0xC0 == 0x80:
+        at -= 1
+    return at
+
+
+def count_spliced(text: str, name: str, chunk: int = 4096, overlap: int = 256) -> int:
+    """Tokens of one text of any length, by a Splicer."""
+    return Splicer(name, chunk, overlap).count([_utf8(text)])[0]
+
+
+def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "byte_bpe_50k.json", limit: int = 1024, chunk: int = 4096, overlap: int = 256) -> DataFrame:
     """One row per input row: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
-    Whole texts, as the library counts them without added tokens, truncation or padding; null counts as empty (0).
-    Texts of over `huge` characters are counted by count_spliced, in chunks; others in one piece, by Encoder. Ids may
-    be null or repeated; other columns are ignored; an empty table gives an empty table. A map: no shuffle.
+    Whole texts, as the library counts them without added tokens, truncation or padding; null counts as empty (0). Every
+    text goes through a Splicer; one of at most a chunk and an overlap is a single chunk. Ids may be null or repeated;
+    other columns are ignored; an empty table gives an empty table. A map: no shuffle.
     """
     ship(docs.sparkSession)
 
     def make():
-        own = Encoder(name)
+        own = Splicer(name, chunk, overlap)
 
         def of(texts: list[str | None]) -> dict[str, list]:
-            n = [0] * len(texts)
-            for a, b in groups(texts):
-                n[a:b] = own.count([t if t is None or len(t) <= huge else None for t in texts[a:b]])
-            for k, t in enumerate(texts):
-                if t is not None and len(t) > huge:
-                    n[k] = count_spliced(t, name)
-            return {"n_bytes": [len(_utf8(t)) for t in texts], "n_tokens": n}
+            data = [_utf8(t) for t in texts]
+            return {"n_bytes": [len(d) for d in data], "n_tokens": [n for a, b in groups(texts) for n in own.count(data[a:b])]}
 
         return of
 
