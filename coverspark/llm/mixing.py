@@ -99,22 +99,14 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return each.withColumn("draws_from", F.coalesce(F.sum("draws").over(before), F.lit(0)))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", blocks: int = 256, shards: int = 8, seed: int = 7) -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken, and `places`, where its copies go.
-
-    size counts words (words_in). Sources, null among them as one, get targets by source_targets(). A source with
-    target / size = k + f gives all its rows k times and a share f of its words once more, so taken = size * size(places)
-    and no row is taken more than 3 times. places holds one (shard, position key) per copy: shuffle a shard by sorting on it.
-    Rows repeat as rows of their own, in one block; ids may be null. An empty table gives an empty table; other columns
-    are ignored. Reruns agree. The number of sources is bounded: their targets meet in one task and a node of the tree is
-    one row with all of them, folded in time quadratic in their number. Meant for named sources, not domains or URLs.
+def _draws(rows: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(blocks, fills) from (source, block, size, mark): what a row's block and size decide of its copies.
 
-    A source's rows are dealt over `blocks` by a hash and the blocks permuted; k rounds over all blocks and then blocks in
-    permuted order up to the share f are its draws, an exact quota of blocks that the splitting tree deals to the
-    shards. The last block of the share is taken in part, row by row in permuted order, so a source misses its target by
-    half a row. Only (id, size, block) rows move; a hot source is `blocks` groups.
+    blocks: (source, block, rounds, shards_of, last_round, up_to, source_size, target): all rows of a block are taken
+    `rounds` times, those with a mark of at most `up_to` once more; shards_of holds the shard of each draw of the block. fills:
+    (source, size, fill_up_to, fill_shard): rows of a block that the last round leaves out are taken there if their
+    size is listed and their mark is at most fill_up_to.
     """
-    rows = cut(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size")).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "_id", "size"), F.lit(blocks)).cast("int")))
     block_sizes = cut(rows.groupBy("source", "block").agg(F.sum("size").alias("block_size")))
     targets = source_targets(block_sizes.groupBy("source").agg(F.sum("block_size").alias("source_size")))
     # blocks without words come last, so that the blocks a share wants are the first places
@@ -131,31 +123,112 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .withColumn("wanted", F.greatest(F.lit(0.0), F.least(F.col("block_size").cast("double"), share - F.col("words_before"))))
     )
     order = cut(order)
-    # draws are numbered round after round: number = round * (number of blocks) + place
-    quotas = order.groupBy("source").agg((F.max("rounds") * F.count("*") + F.sum((F.col("wanted") > 0).cast("long"))).alias("quota"))
-    parts = split_quotas(quotas, shards, seed).where("draws > 0")
-    numbered = order.select("source", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rounds"))).alias("round"), (F.col("round") * F.col("last_place") + F.col("place")).alias("draw"))
-    on = F.col("n.source").eqNullSafe(F.col("p.source")) & (F.col("n.draw") >= F.col("p.draws_from")) & (F.col("n.draw") < F.col("p.draws_from") + F.col("p.draws"))
-    drawn = numbered.alias("n").join(parts.alias("p"), on).groupBy("n.source", "n.block").agg(F.array_sort(F.collect_list(F.struct("n.round", "p.shard"))).alias("draws"))
-    drawn = drawn.withColumnsRenamed({"source": "_source", "block": "_block"})
-    blocks_of = order.join(drawn, order["source"].eqNullSafe(drawn["_source"]) & (order["block"] == drawn["_block"]), "left").drop("_source", "_block", "place", "words_before", "last_place").withColumnsRenamed({"source": "_source", "block": "_block"})
-    joined = rows.join(blocks_of, rows["source"].eqNullSafe(F.col("_source")) & (rows["block"] == F.col("_block")))
-    # only the block that the share ends in ranks its rows; a row is in if more than half of it is wanted
-    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(seed + 2), "_id", "size"), "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    partial = (F.col("wanted") > 0) & (F.col("wanted") < F.col("block_size"))
-    # a copy is a draw that the tree dealt, so what is taken is what the shards hold
-    whole = joined.where(~partial).withColumn("extra", (F.col("wanted") > 0).cast("long"))
-    split = joined.where(partial).withColumn("extra", (F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2 < F.col("wanted")).cast("long"))
-    copies = F.col("rounds") + F.col("extra")
-    kept = F.filter(F.coalesce("draws", F.array().cast("array<struct<round:bigint,shard:int>>")), lambda d: d["round"] < copies)
-    places = F.transform(kept, lambda d: F.struct(d["shard"].alias("shard"), F.xxhash64(F.lit(seed + 3), d["round"], F.col("_id"), F.col("size")).alias("position")))
-    return whole.unionByName(split).select(F.col("_id").alias(id_col), "size", "source_size", "target", places.alias("places")).withColumn("taken", F.col("size") * F.size("places")).select(id_col, "size", "source_size", "target", "taken", "places")
-
-
-def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    # the block that a share ends in: rows in permuted order as long as they fit; rows alike in mark go together
+    ends = order.where("wanted > 0 and wanted < block_size").select("source", "block", "wanted")
+    inside = _same(rows, ends, ["source", "block"]).withColumn("upto", F.sum("size").over(Window.partitionBy("source", "block").orderBy("mark").rangeBetween(Window.unboundedPreceding, 0)))
+    fit = inside.where("upto <= wanted").groupBy("source", "block").agg(F.max("mark").alias("up_to"), F.max("upto").alias("fitted"))
+    ends = cut(_same(ends, fit, ["source", "block"], "left").withColumn("rest", F.floor(F.col("wanted") - F.coalesce("fitted", F.lit(0)) + 1e-6)))
+    order = cut(_same(order, ends.select("source", "block", F.lit(True).alias("partial"), "up_to", "rest"), ["source", "block"], "left"))
+    fills = cut(_fills(rows, order, ends.where("rest > 0").select("source", "rest")))
+    # draws are numbered round after round: number = round * (number of blocks) + place; a source's fill is the last one
+    filled = fills.select("source").distinct().withColumn("fill", F.lit(1))
+    quotas = order.groupBy("source").agg((F.max("rounds") * F.count("*")).alias("whole"), F.sum((F.col("wanted") > 0).cast("long")).alias("more"))
+    quotas = _same(quotas, filled, ["source"], "left").select("source", (F.col("whole") + F.col("more") + F.coalesce("fill", F.lit(0))).cast("long").alias("quota"), (F.col("whole") + F.col("more")).alias("fill_draw"))
+    quotas = cut(quotas)
+    parts = cut(split_quotas(quotas.select("source", "quota"), shards, seed).where("draws > 0"))
+
+    def dealt(draws: DataFrame) -> DataFrame:
+        on = F.col("n.source").eqNullSafe(F.col("p.source")) & (F.col("n.draw") >= F.col("p.draws_from")) & (F.col("n.draw") < F.col("p.draws_from") + F.col("p.draws"))
+        return draws.alias("n").join(parts.alias("p"), on).select("n.*", "p.shard")
+
+    rounds = F.col("rounds") - F.when(F.col("wanted") > 0, 0).otherwise(1)
+    numbered = order.where(rounds >= 0).select("source", "block", F.explode(F.sequence(F.lit(0).cast("long"), rounds)).alias("round"), (F.col("round") * F.col("last_place") + F.col("place")).alias("draw"))
+    by_block = dealt(numbered).groupBy("source", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("round", "shard"))), lambda d: d["shard"]).alias("shards_of"))
+    everything = F.when(F.col("partial"), F.coalesce("up_to", F.lit(_LEAST_MARK))).when(F.col("wanted") > 0, _MOST_MARK).otherwise(_LEAST_MARK)
+    blocks = _same(order, by_block, ["source", "block"], "left").select("source", "block", "rounds", "shards_of", everything.alias("up_to"), "source_size", "target")
+    fill_shard = dealt(quotas.select("source", F.col("fill_draw").alias("draw"))).select("source", F.col("shard").alias("fill_shard"))
+    return cut(blocks), cut(_same(fills, fill_shard, ["source"]))
+
+
+_LEAST_MARK, _MOST_MARK = -(1 << 63), (1 << 63) - 1
+
+
+def _same(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """a joined to b on keys, nulls being alike; b adds its other columns."""
+    renamed = b.withColumnsRenamed({k: f"_b_{k}" for k in keys})
+    on = [a[k].eqNullSafe(renamed[f"_b_{k}"]) for k in keys]
+    return a.join(renamed, on, how).drop(*(f"_b_{k}" for k in keys))
+
+
+def _fills(rows: DataFrame, order: DataFrame, rests: DataFrame) -> DataFrame:
+    """(source, size, fill_up_to): which rows that the last round leaves out make up the words that it is short of.
+
+    Sizes from the largest that fits on, each as often as it fits, as the counts allow: a fold over one number per
+    different size of a source. Of a size, rows with the smallest marks are taken.
+    """
+    left = _same(_same(rows.where("size > 0"), rests, ["source"]).where("size <= rest"), order.select("source", "block", "wanted", "partial", "up_to"), ["source", "block"])
+    left = left.where("wanted = 0 or (partial and (up_to is null or mark > up_to))").select("source", "size", "mark", "rest")
+    counts = left.groupBy("source", "rest", "size").agg(F.count("*").alias("n")).groupBy("source", "rest").agg(F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("sizes"))
+    state = F.struct(F.array().cast("array<struct<size:bigint,n:bigint>>").alias("taken"), F.col("rest").cast("long").alias("rest"))
+
+    def step(s, x):
+        n = F.least(x["n"], F.floor(s["rest"] / x["size"]).cast("long"))
+        return F.struct(F.when(n > 0, F.concat(s["taken"], F.array(F.struct(x["size"].alias("size"), n.alias("n"))))).otherwise(s["taken"]).alias("taken"), (s["rest"] - n * x["size"]).alias("rest"))
+
+    chosen = counts.select("source", F.explode(F.aggregate("sizes", state, step, lambda s: s["taken"])).alias("t")).select("source", "t.size", F.col("t.n").alias("n"))
+    ranked = _same(left, chosen, ["source", "size"]).withColumn("upto", F.count("*").over(Window.partitionBy("source", "size").orderBy("mark").rangeBetween(Window.unboundedPreceding, 0)))
+    return ranked.where("upto <= n").groupBy("source", "size").agg(F.max("mark").alias("fill_up_to"))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, blocks: int, seed: int) -> list[Column]:
+    """source, size, block and mark of each row of docs, from its own columns only."""
+    text, key = F.col(text_col), F.col(id_col)
+    mark = F.xxhash64(F.lit(seed + 2), key, text)
+    return [F.col(source_col).alias("source"), words_in(text).alias("size"), F.pmod(F.xxhash64(F.lit(seed), key, mark), F.lit(blocks)).cast("int").alias("block"), mark.alias("mark")]
+
+
+def _placed(rows: DataFrame, blocks: DataFrame, fills: DataFrame, seed: int) -> DataFrame:
+    """rows (source, size, block, mark and others) with source_size, target and places; the rows stay where they are.
+
+    Both tables are broadcast: a row per source and block, and one per source and size that fills up a rest.
+    """
+    found = _same(_same(rows, F.broadcast(blocks), ["source", "block"]), F.broadcast(fills), ["source", "size"], "left")
+    in_last = F.col("mark") <= F.col("up_to")
+    whole = F.slice("shards_of", F.lit(1), (F.col("rounds") + in_last.cast("long")).cast("int"))
+    filled = F.when(~in_last & (F.col("mark") <= F.col("fill_up_to")), F.array("fill_shard")).otherwise(F.array().cast("array<int>"))
+    own = F.concat(F.coalesce(whole, F.array().cast("array<int>")), filled)
+    places = F.transform(own, lambda shard, k: F.struct(shard.alias("shard"), F.xxhash64(F.lit(seed + 3), k, F.col("mark")).alias("position")))
+    return found.withColumn("places", places).drop("shards_of", "up_to", "rounds", "fill_up_to", "fill_shard")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", blocks: int = 256, shards: int = 8, seed: int = 7) -> DataFrame:
+    """One row per input row: id, size, source_size, target, taken, and `places`, where its copies go.
+
+    size counts words (words_in). Sources, null among them as one, get targets by source_targets(). A source with
+    target / size = k + f gives all its rows k times and a share f of its words once more, so taken = size * size(places)
+    and no row is taken more than 3 times. places holds one (shard, position key) per copy: shuffle a shard by sorting on it.
+    Rows repeated with id and text are taken alike; ids may be null. An empty table gives an empty table; other columns
+    are ignored. Reruns agree. The number of sources is bounded: their targets meet in one task and a node of the tree is
+    one row with all of them, folded in time quadratic in their number. Meant for named sources, not domains or URLs.
+
+    A source's rows are dealt over `blocks` by a hash and the blocks permuted; k rounds over all blocks and then blocks in
+    permuted order up to the share f are its draws, an exact quota of blocks that the splitting tree deals to the
+    shards. The block that the share ends in is taken in part, rows in permuted order as long as they fit; what is still
+    missing is filled up by rows that fit from the blocks left out, as one more draw. A row's copies follow from its block, its
+    size and a hash alone, through two small tables, so no text moves and a hot source is `blocks` groups.
+    """
+    rows = cut(docs.select(F.col(id_col).alias("_id"), *_rows(docs, id_col, text_col, source_col, blocks, seed)))
+    out = _placed(rows, *_draws(rows, shards, seed), seed)
+    return out.select(F.col("_id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.size("places")).alias("taken"), "places")
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", blocks: int = 256, shards: int = 8, seed: int = 7) -> DataFrame:
     """The rows of the mix, each as often as the mix takes it, in the order of shard and position, all columns unchanged.
-    Rows that share an id (or have none) are all taken at the places of the one of them that is taken most."""
-    taken = mix(docs, id_col, text_col, source_col, **options).where(F.size("places") > 0).select(F.col(id_col).alias("_taken"), F.struct(F.size("places").alias("n"), "places").alias("_most"))
-    taken = taken.groupBy("_taken").agg(F.max("_most")["places"].alias("_places"))
-    copies = docs.join(taken, docs[id_col].eqNullSafe(F.col("_taken"))).withColumn("_place", F.explode("_places"))
-    return copies.orderBy("_place.shard", "_place.position", F.xxhash64(text_col)).drop("_taken", "_places", "_place")
+
+    Every row is taken by its own places, whatever ids it shares; see mix() for odd rows. Texts move once, into their shards.
+    """
+    small = cut(docs.select(*_rows(docs, id_col, text_col, source_col, blocks, seed)))
+    tables = _draws(small, shards, seed)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *_rows(docs, id_col, text_col, source_col, blocks, seed))
+    copies = _placed(whole, *tables, seed).select("_doc", F.explode("places").alias("place"))
+    return copies.orderBy("place.shard", "place.position").select("_doc.*")
