@@ -146,6 +146,37 @@ def test_vector_recall_in_a_large_cluster(spark, share):
     assert (links <= want).all() and links.sum() >= 0.99 * want.sum()
 
 
+@pytest.mark.parametrize("common", [0.0, 1.0])
+def test_vector_recall_of_a_large_table(spark, common):
+    """20,000 vectors with planted pairs at cosines of 0.9 to 0.95, with and without a direction that all share."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(20_000, 32)) / np.sqrt(32) + common * np.eye(32)[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    a, away = x[:8000], x[rng.permutation(8000)]
+    away = away - (away * a).sum(1, keepdims=True) * a
+    cosine = rng.uniform(0.9, 0.95, (8000, 1))
+    x[8000:16_000] = cosine * a + np.sqrt(1 - cosine**2) * away / np.maximum(1e-9, np.linalg.norm(away, axis=1, keepdims=True))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(part @ x.T >= 0.9).sum(1) for part in np.split(x, 20)]) - 1
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    links = np.zeros(len(x), int)
+    for r in vector_dedup(df).select("vec_id", "n_links").collect():
+        links[r.vec_id] = r.n_links
+    assert want.sum() > 10_000 and (links <= want).all() and links.sum() >= 0.95 * want.sum()
+
+
+def test_listed_pivots_meet():
+    from coverspark.llm.vector_dedup import listed_under
+
+    rng = np.random.default_rng(8)
+    near = np.array([rng.permutation(12)[:6] for _ in range(300)])
+    for common in (1, 2, 3):
+        under = listed_under(near, common)
+        for a, b in rng.integers(0, 300, (500, 2)):
+            if len(set(near[a]) & set(near[b])) >= common:
+                assert set(under[a]) & set(under[b])
+
+
 def test_vectors_that_are_all_close(spark):
     rng = np.random.default_rng(6)
     x = np.ones(32) + 0.3 * rng.normal(size=(700, 32))
@@ -245,6 +276,19 @@ def test_encoder_is_the_library():
     assert count_spliced(joined, "byte_bpe_50k.json", chunk=500, overlap=20) == len(lib.encode(joined, add_special_tokens=False).ids)
 
 
+def test_token_counts_of_long_texts(spark):
+    """Texts of many chunks: with few stable places, with none, with special strings and wide characters at the borders."""
+    lib = _library("byte_bpe_50k.json")
+    rng = np.random.default_rng(10)
+    parts = ["word ", "é" * 9, "中文", "<|endoftext|>", "don't", "\n\n", "  ", "a" * 90, "x, y", "😀", "0129", "'s ", "Ünï "]
+    rows = [(k, "".join(rng.choice(parts, 2000 if k % 2 else 300))) for k in range(12)]
+    rows += [(50, "a" * 9000), (51, "中" * 5000), (52, " " * 9000), (53, ("a" * 1500 + " ") * 12), (54, "<|endoftext|>" * 900), (55, LONG)]
+    want = {i: len(lib.encode(t, add_special_tokens=False).ids) for i, t in rows}
+    for chunk, overlap in ((4096, 256), (512, 16), (200, 3)):
+        got = token_counts(docs(spark, rows), chunk=chunk, overlap=overlap)
+        assert {r.doc_id: r.n_tokens for r in got.collect()} == want
+
+
 def test_pack(spark):
     lib = _library("byte_bpe_50k.json")
     rows = ODD + [(200 + k, "some words here " * (37 * k % 900)) for k in range(120)]
@@ -340,6 +384,26 @@ def test_mix_draws_are_the_rows_taken(spark):
     assert "places" in queries.op7_mixing(spark, DIR).columns
 
 
+def test_mix_by_row(spark):
+    """Ids that are null or stand in several sources, and sources of a few rows of uneven length."""
+    rows = [(None, f"w{k} x y z", "en", "A", None) for k in range(40)] + [(k % 20, " ".join(["b"] * (1 + 37 * k % 300)), "en", "B" if k % 2 else "C", None) for k in range(90)]
+    df = spark.createDataFrame(rows, DOCS).withColumnsRenamed({"lang": "places", "n_chars": "_doc"})
+    got = mix(df).collect()
+    by_size = {r.source_size: r.target for r in got}
+    taken: Counter = Counter()
+    for r in got:
+        taken[r.source_size] += r.taken
+    assert len(by_size) == 3 and all(abs(taken[s] - t) <= 0.01 * t + 5 for s, t in by_size.items())
+    mixed = take_mix(df)
+    words = Counter()
+    for r in mixed.collect():
+        words[r.source] += len(r.text.split())
+    own = Counter()
+    for r in rows:
+        own[r[3]] += len(r[1].split())
+    assert mixed.columns == df.columns and {own[s]: n for s, n in words.items()} == dict(taken)
+
+
 def test_split_quotas(spark):
     quotas = {"a": 300, "b": 7, None: 45, "c": 0}
     got = split_quotas(spark.createDataFrame(list(quotas.items()), "source string, quota long"), 8, 3).collect()
