@@ -20,9 +20,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a new local one only where that is unset, as in tests."""
+    """The folder that spark.checkpoint.dir names; a new local one only where that is unset and no executor is elsewhere, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='coverspark-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -54,12 +56,28 @@ def ship(spark: SparkSession) -> None:
     sc._coverspark_shipped = True
 
 
+def written() -> int:
+    """How many tables cut() has written so far, for release()."""
+    return len(_written)
+
+
+def release(since: int, keep: DataFrame | None = None) -> None:
+    """Remove the tables that cut() has written since then but the one that `keep` reads; nothing may read them any more."""
+    kept = {f.rsplit("/", 1)[0] for f in keep.inputFiles()} if keep is not None else set()
+    stay = []
+    for spark, path in _written[since:]:
+        if any(k.rstrip("/").endswith(path.rsplit("/", 1)[1]) for k in kept):
+            stay.append((spark, path))
+            continue
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _written[since:] = stay
+
+
 @atexit.register
 def _remove_written() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the context may be gone already
-            return
+    try:
+        release(0)
+    except Exception:  # noqa: BLE001  the context may be gone already
+        return
