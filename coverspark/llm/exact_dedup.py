@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from coverspark.llm.rows import free_name, keyed, without
 from coverspark.llm.texts import map_texts
 from coverspark.session import cut, ship
 
@@ -143,11 +144,11 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     With `repeats`, rows repeated with that id all stay, as do all rows of a text that none has an id for; without,
     one row of each text stays. Rows are dropped by a key of their own, so an id on several texts loses none of them.
     """
-    # written, so that a row's key is the same wherever it is read
-    rows = cut(docs.withColumn("_row_key", F.monotonically_increasing_id()))
-    recipes = _written_recipes(rows.select(F.col(id_col).alias("_id"), "_row_key", F.col(text_col).alias("_text")), 16)
+    key = free_name(docs, "_row_key")
+    rows = keyed(docs, key)
+    recipes = _written_recipes(rows.select(F.col(id_col).alias("_id"), F.col(key).alias("_key"), F.col(text_col).alias("_text")), 16)
     # a struct with a null id is before all others
-    groups = cut(recipes.groupBy("recipe").agg(F.max(F.struct("_id", "_row_key")).alias("_first")))
-    stays = F.col("_id").eqNullSafe(F.col("_first._id")) if repeats else F.col("_row_key") == F.col("_first._row_key")
-    gone = recipes.join(groups, "recipe").where(~stays).select("_row_key")
-    return rows.join(gone, "_row_key", "left_anti").select(*docs.columns)
+    groups = cut(recipes.groupBy("recipe").agg(F.max(F.struct("_id", "_key")).alias("_first")))
+    stays = F.col("_id").eqNullSafe(F.col("_first._id")) if repeats else F.col("_key") == F.col("_first._key")
+    gone = cut(recipes.join(groups, "recipe").where(~stays).select(F.col("_key").alias(key)))
+    return without(rows, gone, key)
