@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverspark.llm.graph import components
+from coverspark.llm.rows import free_name, keyed, without
 from coverspark.llm.shingles import mix, texts_shingles
 from coverspark.llm.texts import map_texts
 from coverspark.llm.tiles import LINKS, TILE, by_tile, links_of, padded, seen_before, shared, tile_pairs, tiled
@@ -48,7 +49,7 @@ def _digest(shingles: np.ndarray) -> bytes | None:
 def _sketches(n: int):
     def of(texts: list[str | None]) -> dict[str, list]:
         sets = texts_shingles(texts, n)
-        return {"digest": [_digest(s) for s in sets], "sketch": [sketch(s) if len(s) else None for s in sets]}
+        return {"digest": [_digest(s) for s in sets], "n": [len(s) for s in sets], "sketch": [sketch(s) if len(s) else None for s in sets]}
 
     return lambda: of
 
@@ -62,15 +63,15 @@ def _sets(n: int):
 
 
 def _leaves(nodes: DataFrame, runs: int, limit: int, splits: int) -> DataFrame:
-    """(bucket, id, members): split on sampled tokens until buckets are small, or dense, or `splits` is reached.
+    """(bucket, id, members, weight): split on sampled tokens until buckets are small, or dense, or `splits` is reached.
 
     A large bucket is dense if under every token order that it samples at least half of its members agree: splitting
     would only repeat it, so it is compared as it is.
     """
-    entries = nodes.select("id", F.posexplode(F.slice("sketch", 1, runs)).alias("run", "token")).select("id", F.xxhash64("run", "token").alias("bucket")).distinct()
+    entries = nodes.select("id", "n", F.posexplode(F.slice("sketch", 1, runs)).alias("run", "token")).select("id", "n", F.xxhash64("run", "token").alias("bucket")).distinct()
     leaves = []
     for level in range(splits + 1):
-        sized = cut(shared(entries))
+        sized = cut(shared(entries, "n"))
         large = sized.where(F.col("members") > limit)
         if level == splits or large.isEmpty():
             leaves.append(sized)
@@ -79,11 +80,11 @@ def _leaves(nodes: DataFrame, runs: int, limit: int, splits: int) -> DataFrame:
         first = F.pmod(F.xxhash64(F.lit(level), "bucket"), F.lit(COORDINATES)).cast("int")
         step = (1 + F.pmod(F.xxhash64("bucket", F.lit(level)), F.lit(COORDINATES // _CHILDREN - 1))).cast("int")
         chosen = large.withColumn("coordinate", F.explode(F.array(*(F.pmod(first + F.lit(k) * step, F.lit(COORDINATES)) for k in range(_CHILDREN)))))
-        children = cut(chosen.join(nodes.select("id", "sketch"), "id").select("id", "bucket", "members", "coordinate", F.xxhash64("bucket", "coordinate", F.element_at("sketch", F.col("coordinate") + 1)).alias("child")))
-        agreeing = children.groupBy("bucket", "members", "coordinate", "child").agg(F.count("*").alias("n")).groupBy("bucket", "members", "coordinate").agg(F.max("n").alias("n"))
-        dense = agreeing.groupBy("bucket", "members").agg(F.min("n").alias("n")).where("2 * n >= members").select("bucket")
+        children = cut(chosen.join(nodes.select("id", "sketch"), "id").select("id", "n", "bucket", "members", "coordinate", F.xxhash64("bucket", "coordinate", F.element_at("sketch", F.col("coordinate") + 1)).alias("child")))
+        agreeing = children.groupBy("bucket", "members", "coordinate", "child").agg(F.count("*").alias("agree")).groupBy("bucket", "members", "coordinate").agg(F.max("agree").alias("agree"))
+        dense = agreeing.groupBy("bucket", "members").agg(F.min("agree").alias("agree")).where("2 * agree >= members").select("bucket")
         leaves += [sized.where(F.col("members") <= limit), large.join(dense, "bucket", "left_semi")]
-        entries = children.join(dense, "bucket", "left_anti").select("id", F.col("child").alias("bucket")).distinct()
+        entries = children.join(dense, "bucket", "left_anti").select("id", "n", F.col("child").alias("bucket")).distinct()
     return reduce(DataFrame.unionByName, leaves)
 
 
@@ -162,21 +163,21 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Two documents are linked when the Jaccard similarity of their sets of `n`-word shingles (64-bit hashes; words
     are runs of letters, digits and non-ASCII characters, lower-cased) is `threshold` or more. A text of fewer than
     `n` words has one shingle of all its words; null, empty and wordless texts link with nothing, nor do rows
-    without an id, whose component is null. Repeated rows count as documents of their own. component_id is the
+    without an id, whose component is null. Ids are whole numbers (text that is none raises Spark's cast error). Repeated rows count as documents of their own. component_id is the
     smallest id reachable over links; kept marks it. Other columns are ignored; an empty table gives an empty one.
 
     Equal sets are one class first. Each run puts a class into the bucket of one sampled token; buckets over `limit`
     split again on tokens that their path samples, `splits` times at most; a bucket that is dense, so that no split
-    would part it, or still large in the end is compared whole, in tiles. runs_for() gives the number of runs for the target recall; a pair at the threshold is missed
-    with probability 1 - target_recall at most, a closer one less. Likely pairs are verified on their whole sets.
+    would part it, or still large in the end is compared whole, in tiles, whose blocks are bounded in members and in shingles.
+    runs_for() gives the number of runs for the target recall; a pair at the threshold is missed with probability 1 - target_recall at most, a closer one less. Likely pairs are verified on their whole sets.
     """
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    sketched = cut(map_texts(texts.where("_id is not null"), "_text", _sketches(n), {"digest": pa.binary(), "sketch": pa.list_(pa.int32())}))
+    sketched = cut(map_texts(texts.where("_id is not null"), "_text", _sketches(n), {"digest": pa.binary(), "n": pa.int64(), "sketch": pa.list_(pa.int32())}))
     # classes of equal sets; written, so that a hot class is a plain skewed join at the end
     named = sketched.where("digest is not null")
-    classes = cut(named.groupBy("digest").agg(F.min("_id").alias("id"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")))
+    classes = cut(named.groupBy("digest").agg(F.min("_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     leaves = cut(_leaves(classes, runs_for(threshold, target_recall, splits), limit, splits))
     # a class has a bounded number of leaves: runs x children
     nodes = cut(leaves.groupBy("id").agg(F.array_sort(F.collect_set("bucket")).alias("keys")).join(classes, "id"))
@@ -200,10 +201,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows are joined by a key of their own, so rows that share an id or have none are documents of their own; of a
     group, rows without an id stay only where none has one. Wordless texts are in no group and stay.
     """
-    # written, so that a row's key is the same wherever it is read
-    rows = cut(docs.withColumn("_row_key", F.monotonically_increasing_id()))
-    parts = jaccard_join(rows.select("_row_key", text_col), "_row_key", text_col, **options).where("n_links > 0").select("_row_key", "component_id")
-    parts = cut(rows.select("_row_key", F.col(id_col).alias("_id")).join(parts, "_row_key"))
-    first = cut(parts.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row_key"))["_row_key"].alias("_first")))
-    gone = parts.join(first, "component_id").where("_row_key <> _first").select("_row_key")
-    return rows.join(gone, "_row_key", "left_anti").select(*docs.columns)
+    key = free_name(docs, "_row_key")
+    rows = keyed(docs, key)
+    parts = jaccard_join(rows.select(key, text_col), key, text_col, **options).where("n_links > 0").select(key, "component_id")
+    parts = cut(rows.select(key, F.col(id_col).alias("_id")).join(cut(parts), key))
+    first = cut(parts.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", key))[key].alias("_first")))
+    gone = cut(parts.join(first, "component_id").where(F.col(key) != F.col("_first")).select(key))
+    return without(rows, gone, key)

@@ -15,21 +15,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 512
+BLOCK, WEIGHT = 512, 1 << 20
 TILE = ["bucket", "lo", "hi"]
 
 
 def tiled(members: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(bucket, lo, hi, id) from (bucket, id, members): each member once per tile of its bucket, in blocks of about `block`."""
+    """(bucket, lo, hi, id) from (bucket, id, members): each member once per tile of its bucket, in blocks of about `block`
+    members and, where there is a column weight (of the whole bucket), of about WEIGHT."""
     blocks = F.ceil(F.col("members") / F.lit(block)).cast("int")
+    if "weight" in members.columns:
+        blocks = F.greatest(blocks, F.least("members", F.ceil(F.col("weight") / F.lit(WEIGHT))).cast("int"))
     own = members.select("bucket", "id", blocks.alias("_n"), F.pmod(F.xxhash64("id", "bucket"), blocks).cast("int").alias("_own"))
     each = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     return each.select("bucket", F.least("_own", "_other").alias("lo"), F.greatest("_own", "_other").alias("hi"), "id", F.col("_own").alias("own"))
 
 
-def shared(members: DataFrame) -> DataFrame:
-    """(bucket, id, members) of the buckets with at least two members, from (bucket, id)."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+def shared(members: DataFrame, weight: str | None = None) -> DataFrame:
+    """(bucket, id, members) of the buckets with at least two members, from (bucket, id), and the sum of `weight`, if named."""
+    more = [F.sum(weight).alias("weight")] if weight else []
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("members"), *more).where("members > 1")
     return members.join(sizes, "bucket")
 
 
