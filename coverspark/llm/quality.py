@@ -8,11 +8,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coverspark.llm.rows import free_name
 from coverspark.llm.texts import map_texts
-from coverspark.session import ship
+from coverspark.session import cut, ship
 
 _BLOCK = 2048
 #: Added to a text's length, so that a few words do not decide for certain.
@@ -72,37 +73,35 @@ def learnable(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) != 1
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 1000, calibration: int = 1500, dictionary_bytes: int = 262144) -> QualityModel:
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 1000, calibration: int = 1500, dictionary_bytes: int = 262144, sample_bytes: int = 1 << 25) -> QualityModel:
     """Fit on a bounded sample: `per_class` texts of each class for its dictionary, `calibration` others of each for the curve.
 
-    The sample takes the learnable labelled rows that come first by a hash of the id; of each text, 4,096 characters at a
-    place by that hash goes into a dictionary. Labels other than 0 and 1 are ignored, of several labels of an id the
-    smallest counts. The curve weighs the classes as they are among all learnable labels. Without texts of both classes
-    every score is the share of label 1 (0.5 without labels).
+    The sample takes the learnable labelled rows that come first by a hash of the id, whole texts, of several texts of an
+    id the least. A dictionary learns from texts in that order until they hold `sample_bytes`. Labels other than 0 and 1
+    are ignored, of several labels of an id the smallest counts. The curve weighs the classes as they are among all
+    learnable labels. Without texts of both classes every score is the share of label 1 (0.5 without labels).
     """
     own = labels.where(F.col(label_col).isin(0, 1) & learnable(F.col(id_col))).groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).cast("int").alias("_label"))
     shares = {r["_label"]: r["count"] for r in own.groupBy("_label").count().collect()}
     first = F.xxhash64(F.lit(9), "_id")
     wanted = per_class + calibration
     picked = own.where("_label = 1").orderBy(first, "_id").limit(wanted).unionByName(own.where("_label = 0").orderBy(first, "_id").limit(wanted))
-    texts = docs.where(F.length(text_col) > 0).join(F.broadcast(picked), docs[id_col] == F.col("_id")).select("_id", "_label", first.alias("_first"), text_col)
-    blocks = texts.withColumn("_block", F.expr(f"substr(`{text_col}`, cast(pmod(_first, ceil(length(`{text_col}`) / {_SAMPLE})) as int) * {_SAMPLE} + 1, {_SAMPLE})"))
-    at = {0: [], 1: []}
-    for r in blocks.select("_id", "_label", "_first", "_block").dropDuplicates(["_id"]).collect():
-        at[r["_label"]].append((r["_first"], r["_id"], r["_block"].encode("utf-8", "replace")))
+    found = docs.where(F.length(text_col) > 0).select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
+    # at most 2 * (per_class + calibration) rows from here on
+    by_class = Window.partitionBy("_label").orderBy(first, "_id")
+    size = F.octet_length("_text").cast("long")
+    texts = cut(found.groupBy("_id", "_label").agg(F.min("_text").alias("_text")).withColumn("_rank", F.row_number().over(by_class)).withColumn("_before", F.sum(size).over(by_class) - size))
+    n = {r["_label"]: r["count"] for r in texts.groupBy("_label").count().collect()}
     share = shares.get(1, 0) / max(1, sum(shares.values())) if shares else 0.5
-    flat = QualityModel(b"", b"", math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0)
-    if min(map(len, at.values())) < 16:
-        return flat
-    half = {k: min(per_class, len(v) // 2) for k, v in at.items()}
-    words = {}
-    for k, v in at.items():
-        v.sort()
-        words[k] = _train([x for _, _, x in v[: half[k]]], dictionary_bytes)
-    ids = [(i, k) for k, v in at.items() for _, i, _ in v[half[k] :]]
-    chosen = docs.sparkSession.createDataFrame(ids, "_id long, _label int")
-    held = docs.join(F.broadcast(chosen), docs[id_col] == F.col("_id")).select("_label", F.col(text_col).alias("_text"))
-    pairs = map_texts(held, "_text", _differences(words[1], words[0]), {"_d": pa.float64()}).collect()
+    if min(n.get(0, 0), n.get(1, 0)) < 16:
+        return QualityModel(b"", b"", math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0)
+    learns = F.col("_rank") <= F.when(F.col("_label") == 1, min(per_class, n[1] // 2)).otherwise(min(per_class, n[0] // 2))
+    at: dict[int, list[bytes]] = {0: [], 1: []}
+    for r in texts.where(learns & (F.col("_before") < sample_bytes)).orderBy("_rank").select("_label", "_text").toLocalIterator():
+        data = r["_text"].encode("utf-8", "replace")
+        at[r["_label"]] += [data[a : a + _SAMPLE] for a in range(0, len(data), _SAMPLE)]
+    words = {k: _train(v, dictionary_bytes) for k, v in at.items()}
+    pairs = map_texts(texts.where(~learns).select("_label", "_text"), "_text", _differences(words[1], words[0]), {"_d": pa.float64()}).collect()
     y, d = np.array([r["_label"] for r in pairs], float), np.array([r["_d"] for r in pairs])
     offset, slope = _fit_curve(d, y)
     # from the sample's shares to the labels' own
@@ -119,28 +118,33 @@ def _train(blocks: list[bytes], size: int) -> bytes:
         return b"".join(blocks)[-size:]
 
 
-def _differences(good: bytes, bad: bytes):
+def _differences(good: bytes, bad: bytes, name: str = "_d"):
     def make():
         sizes = _Sizes(good, bad)
-        return lambda texts: {"_d": [sizes.difference(t) for t in texts]}
+        return lambda texts: {name: [sizes.difference(t) for t in texts]}
 
     return make
 
 
-def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without its text, with score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= 0.5, else 0).
-
-    Reads whole texts and nothing else; null and empty texts get the score of a difference of 0. A map: no shuffle.
-    Columns of `docs` named score or predicted are replaced. An empty table gives an empty table.
-    """
+def _scored(docs: DataFrame, model: QualityModel, text_col: str) -> tuple[DataFrame, Column]:
+    """`docs` with one more column, and the score as an expression over it; a map over whole texts."""
     ship(docs.sparkSession)
-    rows = docs.drop("score", "predicted").withColumn("_d_text", F.col(text_col)).drop(*([text_col] if text_col != "_d_text" else []))
+    d, text = free_name(docs, "_d"), free_name(docs, "_d_text")
     if model.good:
-        rows = map_texts(rows, "_d_text", _differences(model.good, model.bad), {"_d": pa.float64()})
+        rows = map_texts(docs.withColumn(text, F.col(text_col)), text, _differences(model.good, model.bad, d), {d: pa.float64()})
     else:
-        rows = rows.withColumn("_d", F.lit(0.0)).drop("_d_text")
-    score = 1 / (1 + F.exp(-(F.lit(model.offset) + F.lit(model.slope) * F.col("_d"))))
-    return rows.withColumn("score", score).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("_d")
+        rows = docs.withColumn(d, F.lit(0.0))
+    return rows, 1 / (1 + F.exp(-(F.lit(model.offset) + F.lit(model.slope) * F.col(d))))
+
+
+def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= 0.5, else 0).
+
+    Reads whole texts and nothing else; null and empty texts get the score of a difference of 0. Other columns are
+    ignored. A map: no shuffle. An empty table gives an empty table.
+    """
+    rows, score = _scored(docs.select(F.col(id_col), F.col(text_col).alias(f"{id_col}_text")), model, f"{id_col}_text")
+    return rows.select(id_col, score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,6 +155,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` predicted good, all columns unchanged. One map over the texts; they do not move."""
+    """The rows of `docs` predicted good, all columns unchanged, whatever their names. One map over the texts; they do not move."""
     model = fit_quality(docs, labels, id_col, text_col)
-    return score_quality(docs.withColumn("_q_text", F.col(text_col)), model, id_col, "_q_text").where("predicted = 1").select(*docs.columns)
+    rows, score = _scored(docs, model, text_col)
+    return rows.where(score >= 0.5).select(*(F.col(f"`{c}`") for c in docs.columns))
