@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,37 +11,138 @@ from coverspark.llm.ranks import spread_rank
 from coverspark.session import cut
 
 
-def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
-    """Bin of each item; items by size, largest first, each into the fitting bin with the least room, else a new one.
+@dataclass
+class _Node:
+    room: tuple[float, int]
+    left: _Node | None = None
+    right: _Node | None = None
+    height: int = 1
 
-    The open bins are kept sorted by room and searched by bisection. An item above the capacity has a bin of its own.
-    """
-    rooms: list[tuple[int, int]] = []
-    out, bins = [0] * len(sizes), 0
-    for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
-        at = bisect_left(rooms, (sizes[k], -1))
-        if at < len(rooms):
-            room, b = rooms.pop(at)
+
+class Rooms:
+    """(room, bin) pairs in a balanced (AVL) tree: insert, and take out the least that is not below a size."""
+
+    def __init__(self):
+        self.top: _Node | None = None
+
+    def insert(self, room: tuple[float, int]) -> None:
+        self.top = self._insert(self.top, room)
+
+    def take(self, size: float) -> tuple[float, int] | None:
+        """The tightest room of at least `size`, taken out; None if there is none."""
+        at, found = self.top, None
+        while at:
+            at, found = (at.left, at.room) if at.room >= (size, -1) else (at.right, found)
+        if found is not None:
+            self.top = self._remove(self.top, found)
+        return found
+
+    def _insert(self, at: _Node | None, room) -> _Node:
+        if at is None:
+            return _Node(room)
+        if room < at.room:
+            at.left = self._insert(at.left, room)
         else:
-            room, b = capacity, bins
-            bins += 1
-        out[k] = b
-        insort(rooms, (room - sizes[k], b))
+            at.right = self._insert(at.right, room)
+        return self._even(at)
+
+    def _remove(self, at: _Node, room) -> _Node | None:
+        if room < at.room:
+            at.left = self._remove(at.left, room)
+        elif room > at.room:
+            at.right = self._remove(at.right, room)
+        elif at.left is None or at.right is None:
+            return at.left or at.right
+        else:
+            low = at.right
+            while low.left:
+                low = low.left
+            at.room, at.right = low.room, self._remove(at.right, low.room)
+        return self._even(at)
+
+    @staticmethod
+    def _sized(at: _Node) -> _Node:
+        at.height = 1 + max(at.left.height if at.left else 0, at.right.height if at.right else 0)
+        return at
+
+    def _even(self, at: _Node) -> _Node:
+        lean = lambda n: (n.left.height if n.left else 0) - (n.right.height if n.right else 0)
+        self._sized(at)
+        if lean(at) > 1:
+            if lean(at.left) < 0:
+                at.left = self._turn_left(at.left)
+            return self._turn_right(at)
+        if lean(at) < -1:
+            if lean(at.right) > 0:
+                at.right = self._turn_right(at.right)
+            return self._turn_left(at)
+        return at
+
+    def _turn_right(self, at: _Node) -> _Node:
+        up = at.left
+        at.left, up.right = up.right, at
+        self._sized(at)
+        return self._sized(up)
+
+    def _turn_left(self, at: _Node) -> _Node:
+        up = at.right
+        at.right, up.left = up.left, at
+        self._sized(at)
+        return self._sized(up)
+
+
+def best_fit_runs(sizes: list[tuple[float, int]], capacity: float) -> list[tuple[int, int, int]]:
+    """(place in sizes, bin, number of items) by best-fit decreasing of (size, number) pairs, largest size first.
+
+    Each item goes into the fitting bin with the least room, else a new one. Items of one size fill such a bin one after
+    the other while it fits, so they are placed in runs. An item above the capacity has a bin of its own.
+    """
+    rooms, out, bins = Rooms(), [], 0
+    for k, (size, left) in enumerate(sizes):
+        while left:
+            found = rooms.take(size)
+            if found is None:
+                found, bins = (capacity, bins), bins + 1
+            room, b = found
+            n = max(1, min(left, int(room // size) if size else left))
+            out.append((k, b, n))
+            left -= n
+            rooms.insert((room - n * size, b))
     return out
 
 
-def into_bins(sizes: list[int], bins: int) -> list[int]:
-    """best_fit_decreasing with the smallest capacity that needs no more than `bins` bins, to a part in 1,000,000."""
+def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
+    """Bin of each item, by best_fit_runs."""
+    out = [0] * len(sizes)
+    order = sorted(range(len(sizes)), key=lambda k: (-sizes[k], k))
+    for k, b, _ in best_fit_runs([(sizes[k], 1) for k in order], capacity):
+        out[order[k]] = b
+    return out
+
+
+def runs_into_bins(sizes: list[tuple[float, int]], bins: int) -> list[tuple[int, int, int]]:
+    """best_fit_runs with the smallest capacity that needs no more than `bins` bins, to a part in 1,000,000."""
     if not sizes:
         return []
-    low, high = max(max(sizes), -(-sum(sizes) // bins)), max(sum(sizes), 1)
-    while high - low > high // 1_000_000:
-        middle = (low + high) // 2
-        low, high = (low, middle) if max(best_fit_decreasing(sizes, middle)) < bins else (middle + 1, high)
-    return best_fit_decreasing(sizes, high)
+    even = sum(s * n for s, n in sizes) / bins
+    # with room for one more of the largest, every bin could hold its even part before another is opened
+    low, high = max(sizes[0][0], even), even + sizes[0][0]
+    while high - low > max(0.5, high / 1_000_000):
+        middle = (low + high) / 2
+        low, high = (low, middle) if max(b for _, b, _ in best_fit_runs(sizes, middle)) < bins else (middle, high)
+    return best_fit_runs(sizes, high)
+
+
+def into_bins(sizes: list[int], bins: int) -> list[int]:
+    """Bin of each item, by runs_into_bins."""
+    out = [0] * len(sizes)
+    order = sorted(range(len(sizes)), key=lambda k: (-sizes[k], k))
+    for k, b, _ in runs_into_bins([(sizes[k], 1) for k in order], bins):
+        out[order[k]] = b
+    return out
 
 
-def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 8, parcels: int = 8192) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 8, parcels: int = 4096) -> DataFrame:
     """One row per input row: id, size, text_crc32, law, shard, slot, grown_shard.
 
     size is UTF-8 bytes of the text (null: none) plus 1, text_crc32 its unsigned CRC-32 (null: 0). The law is `bytes`:
@@ -49,25 +150,29 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     a shard's part has a shard for itself. slot is gapless from 0 in each shard, grown_shard null. Rows may repeat and
     ids be null; other columns are ignored; an empty table gives an empty table.
 
-    Groups of at least 1/`parcels` of all bytes (fewer than `parcels`) are items of their own; all smaller groups are
-    put, whole, into `parcels` parcels by a hash of the text, which are items too. So best-fit decreasing sees fewer than
-    2 * `parcels` items however many documents there are, and its table is bounded. Texts do not move: groups are
-    found on SHA-256.
+    Best-fit decreasing packs groups of equal texts, the indivisible items. The driver sees how many groups there are of
+    each size, and their mean: a size up to 2 * `parcels` bytes by itself, larger ones in `parcels` classes per
+    doubling (a class of one group has its own size), which bounds its table by 60 * `parcels` rows however many groups
+    there are. It places runs of groups of one class, and every group finds its run by its rank in its class. Texts do not
+    move: groups are found on SHA-256.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     digest = F.unhex(F.sha2(text.cast("binary"), 256))
-    rows = cut(docs.select(F.col(id_col).alias("_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), digest.alias("digest")).withColumn("parcel", F.pmod(F.xxhash64("digest"), F.lit(parcels)).cast("int")))
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    groups = cut(rows.groupBy("digest", "parcel").agg(F.sum("size").alias("bytes")))
-    large = groups.where(F.col("bytes") * parcels >= total)
-    singles = large.orderBy("digest").collect()
-    sums = {r["parcel"]: r["bytes"] for r in groups.where(F.col("bytes") * parcels < total).groupBy("parcel").agg(F.sum("bytes").alias("bytes")).collect()}
-    order = sorted(sums)
-    bins = into_bins([*(sums[p] for p in order), *(r["bytes"] for r in singles)], shards)
-    spark = docs.sparkSession
-    by_parcel = spark.createDataFrame([(p, b) for p, b in zip(order, bins)], "parcel int, parcel_shard int")
-    by_digest = spark.createDataFrame([(bytes(r["digest"]), b) for r, b in zip(singles, bins[len(order) :])], "digest binary, own_shard int")
-    placed = rows.join(F.broadcast(by_parcel), "parcel", "left").join(F.broadcast(by_digest), "digest", "left")
-    placed = placed.select("_id", "size", "text_crc32", F.coalesce("own_shard", "parcel_shard").alias("shard"))
-    ranked = spread_rank(placed, ["shard"], [F.col("_id"), F.col("text_crc32"), F.col("size")], "slot", 256)
-    return ranked.select(F.col("_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    rows = cut(docs.select(F.col(id_col).alias("_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), digest.alias("digest")))
+    groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
+    low_bits = F.expr(f"cast(greatest(0, floor(log2(bytes)) - {parcels.bit_length() - 1}) as int)")
+    groups = cut(groups.withColumn("low_bits", low_bits).withColumn("class", F.expr("shiftleft(shiftright(bytes, low_bits), low_bits)")).drop("low_bits"))
+    classes = groups.groupBy("class").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).collect()
+    classes = sorted(((r["bytes"] / r["n"], r["n"], r["class"]) for r in classes), reverse=True)
+    used: dict[int, int] = {}
+    ranges = []
+    for k, b, n in runs_into_bins([(size, n) for size, n, _ in classes], shards):
+        at = used.get(k, 0)
+        ranges.append((classes[k][2], at, at + n, b))
+        used[k] = at + n
+    places = docs.sparkSession.createDataFrame(ranges, "class long, rank_from long, rank_to long, shard int")
+    ranked = spread_rank(groups, ["class"], [F.col("digest")], "_rank")
+    placed = cut(ranked.join(F.broadcast(places), "class").where("_rank >= rank_from and _rank < rank_to").select("digest", "shard"))
+    own = cut(rows.join(placed, "digest").select("_id", "size", "text_crc32", "shard"))
+    slots = spread_rank(own, ["shard"], [F.col("_id"), F.col("text_crc32"), F.col("size")], "slot", 256)
+    return slots.select(F.col("_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
