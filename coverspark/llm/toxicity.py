@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverspark.llm.texts import map_texts
-from coverspark.session import ship
+from coverspark.session import cut, ship
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -28,22 +29,38 @@ class ToxicityModel:
     thresholds: tuple[float, ...]
 
 
-#: Besides itself, a word of at least as many letters counts as its first 4 and its first 6 letters.
-_STARTS = (4, 6)
+#: Besides itself, a longer word counts as its first 3 to 7 letters.
+_STARTS = (3, 4, 5, 6, 7)
+_KNOWN = 500_000
 
 
 def _counts(text: str | None) -> Counter:
     return Counter(_WORD.findall((text or "").lower()))
 
 
-def _features(words: Counter, known=None) -> dict[str, int]:
-    """Times of each feature (of those in `known`, if given): words, and starts of words with `^` after them."""
-    out: dict[str, int] = {}
-    for w, n in words.items():
-        for f in (w, *(w[:k] + "^" for k in _STARTS if len(w) >= k)):
-            if known is None or f in known:
+def _forms(word: str) -> list[str]:
+    """The features of a word: itself, and its starts with `^` after them."""
+    return [word, *(word[:k] + "^" for k in _STARTS if len(word) > k)]
+
+
+class _Vocabulary:
+    """Numbers of the known features of a word, looked up once per different word of a task."""
+
+    def __init__(self, place: dict[str, int]):
+        self.place, self.seen = place, {}
+
+    def __call__(self, words: Counter) -> dict[int, int]:
+        """Times of each feature in a text."""
+        if len(self.seen) > _KNOWN:
+            self.seen = {}
+        seen, out = self.seen, {}
+        for w, n in words.items():
+            own = seen.get(w)
+            if own is None:
+                own = seen[w] = [self.place[f] for f in _forms(w) if f in self.place]
+            for f in own:
                 out[f] = out.get(f, 0) + n
-    return out
+        return out
 
 
 def fit_ordinal(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: int, ridge: float = 1e-4, steps: int = 500) -> tuple[np.ndarray, np.ndarray]:
@@ -57,14 +74,14 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: in
     weight = weight / weight.sum()
     for step in range(1, steps + 1):
         theta = np.cumsum(np.r_[t[0], np.exp(t[1:])])
-        z = x @ w
+        z = x @ w.astype(x.dtype)
         cdf = 1 / (1 + np.exp(-np.clip(np.r_[-np.inf, theta, np.inf][None, :] - z[:, None], -30, 30)))
         cdf[:, 0], cdf[:, -1] = 0, 1
         rows = np.arange(len(z))
         up, low = cdf[rows, grade + 1], cdf[rows, grade]
         p = np.maximum(up - low, 1e-12)
         d_up, d_low = up * (1 - up) / p, low * (1 - low) / p
-        g_w = x.T @ (weight * (d_up - d_low)) + ridge * w
+        g_w = x.T @ (weight * (d_up - d_low)).astype(x.dtype) + ridge * w
         g_theta = np.zeros(grades - 1)
         np.add.at(g_theta, grade[grade < grades - 1], -(weight * d_up)[grade < grades - 1])
         np.add.at(g_theta, grade[grade > 0] - 1, (weight * d_low)[grade > 0])
@@ -76,56 +93,72 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: in
     return w, np.cumsum(np.r_[t[0], np.exp(t[1:])])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 3000, vocabulary: int = 1000, grades: int = 4) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 3000, vocabulary: int = 3000, grades: int = 4) -> ToxicityModel:
     """Fit on a bounded sample: `per_class` labelled texts of each class, the first by a hash of the id.
 
     labels hold 0 and 1 only. Grade 0 is label 0; rows of label 1 are graded 1 to grades - 1 by equal shares of how dense
-    their words are in features that the sample ties to label 1. Features are the `vocabulary` words and starts of words whose shares of
-    texts differ most between the classes (at least 5 texts), as log(1 + times). Other labels are ignored, of several
-    labels of an id the largest counts. Rows weigh as their class does among all labels. Without texts of both classes
-    nothing is toxic.
+    their words are in features that the other half of the sample ties to label 1, so no text is graded by its own label.
+    Features are the `vocabulary` words and starts of words whose shares of texts differ most between the classes (at least 5
+    texts), as log(1 + times). Other labels are ignored, of several labels of an id the largest counts. Rows weigh as their
+    class does among all labels. Without texts of both classes nothing is toxic.
     """
     ship(docs.sparkSession)
     own = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
     shares = {r["_label"]: r["count"] for r in own.groupBy("_label").count().collect()}
     first = F.xxhash64(F.lit(3), "_id")
     picked = own.where("_label = 1").orderBy(first, "_id").limit(per_class).unionByName(own.where("_label = 0").orderBy(first, "_id").limit(per_class))
-    texts = docs.where(F.length(text_col) > 0).join(F.broadcast(picked), docs[id_col] == F.col("_id")).select("_id", "_label", F.col(text_col).alias("_text"))
+    picked = picked.withColumn("_half", F.pmod(F.xxhash64(F.lit(4), "_id"), F.lit(2)).cast("int"))
+    found = docs.where(F.length(text_col) > 0).select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
+    texts = cut(found.select("_id", "_label", "_half", "_text"))
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for label, text in zip(b["_label"], b["_text"]):
-                found = list(_features(_counts(text)))
-                yield pd.DataFrame({"word": found, "label": [label] * len(found)})
-
-    totals = {r["_label"]: r["count"] for r in texts.groupBy("_label").count().collect()}
-    if len(totals) < 2 or min(totals.values()) < 5:
+            for a in range(0, len(b), 64):
+                part = b.iloc[a : a + 64]
+                forms = [list({f for w in _counts(t) for f in _forms(w)}) for t in part["_text"]]
+                n = [len(f) for f in forms]
+                yield pd.DataFrame({"word": [f for own in forms for f in own], "label": np.repeat(part["_label"].values, n), "half": np.repeat(part["_half"].values, n)})
+
+    totals = {(r["_label"], r["_half"]): r["count"] for r in texts.groupBy("_label", "_half").count().collect()}
+    size = lambda label, half: sum(n for (x, h), n in totals.items() if x == label and half in (h, None))
+    if min(size(0, None), size(1, None)) < 5:
         return ToxicityModel({}, tuple([30.0] * (grades - 1)))
-    ones, zeros = totals[1], totals[0]
-    by_word = texts.mapInPandas(words, "word string, label int").groupBy("word").agg(F.sum("label").alias("one"), F.sum(1 - F.col("label")).alias("zero")).where("one + zero >= 5")
-    # difference of the classes' shares over its standard error under one common share
-    p = (F.col("one") + F.col("zero") + 1) / (ones + zeros + 2)
-    z = (F.col("one") / ones - F.col("zero") / zeros) / F.sqrt(p * (1 - p) * (1 / ones + 1 / zeros))
-    chosen = by_word.withColumn("z", z).orderBy(F.abs("z").desc(), "word").limit(vocabulary).collect()
+    times = lambda label, half: F.sum(((F.col("label") == label) & (F.col("half") == half)).cast("long"))
+    by_word = texts.mapInPandas(words, "word string, label int, half int").groupBy("word").agg(times(0, 0).alias("n00"), times(0, 1).alias("n01"), times(1, 0).alias("n10"), times(1, 1).alias("n11"))
+
+    def z(one, zero, half=None):
+        """Difference of the classes' shares over its standard error under one common share."""
+        ones, zeros = max(1, size(1, half)), max(1, size(0, half))
+        p = (one + zero + 1) / (ones + zeros + 2)
+        return (one / ones - zero / zeros) / F.sqrt(p * (1 - p) * (1 / ones + 1 / zeros))
+
+    c = F.col
+    scored = by_word.where("n00 + n01 + n10 + n11 >= 5").select("word", z(c("n10") + c("n11"), c("n00") + c("n01")).alias("z"), z(c("n10"), c("n00"), 0).alias("z0"), z(c("n11"), c("n01"), 1).alias("z1"))
+    chosen = scored.orderBy(F.abs("z").desc(), "word").limit(vocabulary).collect()
     place = {r["word"]: k for k, r in enumerate(chosen)}
-    marked = {r["word"] for r in chosen if r["z"] > 4}
-
-    def features(texts: list[str | None]) -> dict[str, list]:
-        out: dict[str, list] = {"at": [], "times": [], "dense": []}
-        for text in texts:
-            c = _counts(text)
-            found = _features(c, place)
-            own = [(place[f], n) for f, n in found.items()]
-            out["at"].append([a for a, _ in own])
-            out["times"].append([n for _, n in own])
-            out["dense"].append(sum(n for f, n in found.items() if f in marked) / max(1, c.total()))
-        return out
-
-    rows = map_texts(texts, "_text", lambda: features, {"at": pa.list_(pa.int32()), "times": pa.list_(pa.int32()), "dense": pa.float64()}).collect()
-    x, label = np.zeros((len(rows), len(place))), np.array([r["_label"] for r in rows])
+    marked = [{k for k, r in enumerate(chosen) if r[h] > 3} for h in ("z0", "z1")]
+
+    def make():
+        of_words = _Vocabulary(place)
+
+        def features(texts: list[str | None]) -> dict[str, list]:
+            out: dict[str, list] = {"at": [], "times": [], "dense": []}
+            for text in texts:
+                words_ = _counts(text)
+                found = of_words(words_)
+                out["at"].append(list(found))
+                out["times"].append(list(found.values()))
+                # by the marks of the first half, and of the second
+                out["dense"].append([sum(n for f, n in found.items() if f in m) / max(1, words_.total()) for m in marked])
+            return out
+
+        return features
+
+    rows = map_texts(texts, "_text", make, {"at": pa.list_(pa.int32()), "times": pa.list_(pa.int32()), "dense": pa.list_(pa.float64())}).collect()
+    x, label = np.zeros((len(rows), len(place)), np.float32), np.array([r["_label"] for r in rows])
     for k, r in enumerate(rows):
         x[k, r["at"]] = np.log1p(r["times"])
-    dense = np.array([r["dense"] for r in rows])
+    dense = np.array([r["dense"][1 - r["_half"]] for r in rows])
     steps = np.quantile(dense[label == 1], np.arange(1, grades - 1) / (grades - 1))
     grade = np.where(label == 1, 1 + np.searchsorted(steps, dense), 0)
     all_labels = sum(shares.values())
@@ -141,17 +174,18 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     an empty table gives an empty table. A map: no shuffle.
     """
     ship(docs.sparkSession)
-    weights, theta = model.weights, np.array(model.thresholds)
+    weights, theta = list(model.weights.values()), np.array(model.thresholds)
+    place = {f: k for k, f in enumerate(model.weights)}
 
-    def of(texts: list[str | None]) -> dict[str, list]:
+    def of(of_words: _Vocabulary, texts: list[str | None]) -> dict[str, list]:
         z = np.zeros(len(texts))
         for k, text in enumerate(texts):
-            z[k] = sum(weights[f] * math.log1p(n) for f, n in _features(_counts(text), weights).items())
+            z[k] = sum(weights[f] * math.log1p(n) for f, n in of_words(_counts(text)).items())
         above = 1 / (1 + np.exp(np.clip(theta[None, :] - z[:, None], -30, 30)))
         each = np.concatenate([np.ones((len(z), 1)), above], 1) - np.concatenate([above, np.zeros((len(z), 1))], 1)
         return {"severity": above.sum(1).tolist(), "grade": each.argmax(1).astype(np.int32).tolist(), "toxic": (above[:, 0] >= 0.5).astype(np.int32).tolist()}
 
-    return map_texts(docs.select(F.col(id_col), F.col(text_col).alias("_text")), "_text", lambda: of, {"severity": pa.float64(), "grade": pa.int32(), "toxic": pa.int32()})
+    return map_texts(docs.select(F.col(id_col), F.col(text_col).alias("_text")), "_text", lambda: partial(of, _Vocabulary(place)), {"severity": pa.float64(), "grade": pa.int32(), "toxic": pa.int32()})
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
