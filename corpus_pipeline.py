@@ -9,9 +9,12 @@ from coverspark.llm.jaccard_join import drop_near_duplicates
 from coverspark.llm.mixing import take_mix
 from coverspark.llm.packing import pack
 from coverspark.llm.quality import keep_quality
-from coverspark.session import cut, read
+from coverspark.session import cut, read, release, written
 
-#: Every stage maps nulls, empty and very long texts, repeated rows and empty tables as its operator's docstring says.
+#: Rows of every stage are told apart by their place, never by id. Null and empty texts: scored as a difference of 0, one of
+#: them stays in the exact stage (null counts as empty), all stay in the near stage (no shingles), weigh nothing in the mix
+#: (so they are taken with their block), and are one token in the packing. Null ids are rows like others and never preferred; columns of
+#: any name pass through; texts of any length are read whole; an empty table gives an empty table.
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +49,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written as Parquet and read again."""
-    docs = read(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = cut(docs)
-    return docs
+    """All stages over the documents, each written as Parquet and read again; what a stage wrote for itself is then removed."""
+    docs, since = read(spark, sf_dir, "documents"), written()
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+        release(since, docs)
+    return STAGES[-1][1](spark, docs, sf_dir)
