@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Names of the bands of a scene.
+BAND_NAMES = {"B2": "blue", "B3": "green", "B4": "red", "B5": "redEdge1", "B6": "redEdge2", "B7": "redEdge3", "B8A": "redEdge4", "B8": "nir", "B11": "swir1", "B12": "swir2"}
+
+
 def root(c: Column) -> Column:
     return F.when(c >= 0, F.sqrt(c))
 

@@ -16,9 +16,12 @@ COVER_CODES = {
     "percent": {"r": 0.05, "+": 0.55},
 }
 DIRTY_CODES = [
-    (r"^(-+\+|\s*\+\s*(on\s*slope)?\s*|¨\+|\+Â\xa0)$", "+"),
-    (r"^(0,\.5|0\.,5)$", "0.5"),
-    (r"^(\s*|\?|-10)$", None),
+    (r"^\-+\+$", "+"),
+    (r"^\s*\+\s*on\s*slope\s*$", "+"),
+    (r"^\s*\+\s*$", "+"),
+    (r"^0,.5$", "0.5"),
+    (r"^0\.\,5$", "0.5"),
+    (r"^\s*$", None),
     (r"^4\s*\(\s*5\s*\)$", "5"),
     (r"^5\s*\(\s*6\s*\)$", "6"),
     (r"^2\s*\(\s*3\s*\)$", "3"),
@@ -27,10 +30,57 @@ DIRTY_CODES = [
     (r"^4\s*\?\?$", "4"),
     (r"^›6$", "6"),
     (r"^›3$", "3"),
-    (r"^2([a-bA-B]|\s*\?)$", "2"),
+    (r"^2[a-bA-B]$", "2"),
+    (r"^\?$", None),
+    (r"^2\s*\?$", "2"),
     (r"^10\s*crust$", "10"),
-    (r"^(\?1|I)$", "1"),
+    (r"^0\.0$", "0"),
+    (r"^1\.0$", "1"),
+    (r"^2\.0$", "2"),
+    (r"^3\.0$", "3"),
+    (r"^4\.0$", "4"),
+    (r"^5\.0$", "5"),
+    (r"^6\.0$", "6"),
+    (r"^¨\+$", "+"),
+    (r"\+Â\xa0", "+"),
+    (r"^-10$", None),
+    (r"^\?1$", "1"),
+    (r"^I$", "1"),
 ]
+# Cover scale per code of a file's metadata, and files whose scale is known otherwise.
+SCALE_CODES = {"0": "percent", "BB": "braun_blanquet", "2": "braun_blanquet"}
+SCALE_FILES = {
+    "braun_blanquet": [
+        "AVARU_Bolshezemelskaya_tundra_Lavrinenko_O_I_2015_2016",
+        "AVARU_Kola_peninsula_Floodplains_NKoroleva_1930-2016",
+        "AVARU_Kola_peninsula_tundra_meadows_NKoroleva_1930-2016",
+        "AVARU_Malozemelskaya_tundra_Lavrinenko_O_I_2001_2007",
+        "AVARU_Oxycocco_Sphagnetea_Lavrinenko_O_I_2015",
+        "AVARU_Scheuchzerio_Caricetea_Lavrinenko_1998_2016",
+        "AVARU_Scandinavia_historical",
+        "AVARU_Svalbard_Koroleva_et_al",
+        "AVARU_Wrangel_Kholod",
+        "AVA_RU_Bolshevik_Matveyeva_2006",
+    ],
+    "modified_braun_blanquet": ["AVARU_AnDedov_1928_1939"],
+    "percent": [
+        "AVARU_Polar_Ural_1_mtelyatnikov_2018",
+        "AVARU_Polar_Ural_2_mtelyatnikov_2018",
+        "AVARU_G2_Northern_Gydan_mtelyatnikov_2017",
+        "AVARU_G2_Northern_Gydan_eltroeva_2017",
+        "AVARU_Ya1_Northern_Yamal_mtelyatnikov_2017",
+        "AVARU_Ya1_Northern_Yamal_eltroeva_2017",
+    ],
+    "drude": ["AVARU_Taymyr_Pospelovs"],
+}
+# Bioclimate subzones and categories of map units.
+ZONES = {1: "A", 2: "B", 3: "C", 4: "D", 5: "E", 6: "Non-Arctic"}
+UNIT_CATEGORIES = {
+    "B1": "B", "B2a": "B", "B3": "B", "B4": "B", "B2b": "B", "G1": "G", "G2": "G", "G3": "G", "G4": "G", "P1": "P", "P2": "P",
+    "S1": "S", "S2": "S", "W1": "W", "W2": "W", "W3": "W", "FW": "W", "SW": "W", "GL": "W", "NA": "W",
+}
+# Scene classes of valid observations, and the one of snow.
+VALID_CLASSES, SNOW_CLASS = (1, 4, 5, 11), 11
 
 
 def null_tokens(c: Column) -> Column:
@@ -43,13 +93,25 @@ def number(c: Column) -> Column:
 
 
 def repair_code(c: Column) -> Column:
-    """First repair whose pattern matches the whole cell; `3.0` and the like (0 to 6) lose their decimals."""
-    out = F.when(c.rlike(r"^[0-6]\.0$"), F.substring(c, 1, 1))
+    """The value of the first repair whose pattern is found; a pattern that isn't bound to both ends replaces only its part."""
+    out = F.when(F.lit(False), c)
     for pattern, value in DIRTY_CODES:
-        out = out.when(c.rlike(pattern), F.lit(value).cast("string"))
+        whole = pattern.startswith("^") and pattern.endswith("$")
+        out = out.when(c.rlike(pattern), F.lit(value).cast("string") if whole or value is None else F.regexp_replace(c, pattern, value))
     return out.otherwise(c)
 
 
+def assign_scale(files: DataFrame, name: str = "name", code: str = "code") -> DataFrame:
+    """Add `scale`: what is known of the file, else by the code of its metadata (an unknown code stays as it is)."""
+    known = F.lit(None).cast("string")
+    for scale, names in SCALE_FILES.items():
+        known = F.when(F.col(name).isin(*names), scale).otherwise(known)
+    by_code = F.col(code)
+    for k, scale in SCALE_CODES.items():
+        by_code = F.when(F.col(code) == k, scale).otherwise(by_code)
+    return files.withColumn("scale", F.coalesce(known, by_code))
+
+
 def code_table(spark: SparkSession) -> DataFrame:
     """(scale, code, pct), a few dozen fixed rows."""
     return spark.createDataFrame([(s, k, v) for s, m in COVER_CODES.items() for k, v in m.items()], "scale string, code string, pct double")
@@ -92,7 +154,50 @@ def plot_dimensions(c: Column) -> Column:
     r = F.regexp_extract(c, r"^\s*([0-9.]+)\s*(?:m\s*)?radius", 1).try_cast("double")
     a, b = (F.regexp_extract(c, r"^\s*([0-9.]+)\s*[x×]\s*([0-9.]+)", k).try_cast("double") for k in (1, 2))
     shape = F.when(r.isNotNull(), "circle").when(a == b, "square").when(a.isNotNull() & b.isNotNull(), "rectangle").otherwise("unknown")
-    return F.struct(shape.alias("shape"), F.coalesce(F.pi() * r * r, a * b).alias("area"))
+    return F.struct(shape.alias("shape"), F.coalesce(circle_area(r), a * b).alias("area"))
+
+
+def circle_area(radius: Column) -> Column:
+    return F.pi() * radius * radius
+
+
+def area_or_text(area: Column, shape: Column) -> Column:
+    """struct(area, shape, kept): area as a number where the text is one, shape in lower case; kept is the text that is none."""
+    n = number(area)
+    return F.struct(n.alias("area"), F.lower(F.trim(shape)).alias("shape"), F.when(n.isNull(), area).alias("kept"))
+
+
+def reflectance(c: Column, scale: float = 0.0001) -> Column:
+    """Scaled reflectance; 0 is no value."""
+    return F.when(c != 0, c * scale)
+
+
+def above(c: Column, threshold: float) -> Column:
+    """1 above the threshold, else 0."""
+    return F.when(c > threshold, 1).when(c.isNotNull(), 0)
+
+
+def without_edge(c: Column, least: float = -30.0) -> Column:
+    """Null below the noise of a scene's edge."""
+    return F.when(c >= least, c)
+
+
+def season_value(c: Column, scene_class: Column, floor: float) -> Column:
+    """The value where the scene's class is valid, `floor` on snow and for values below it, else null."""
+    return F.when(scene_class.isin(*VALID_CLASSES), F.when(scene_class == SNOW_CLASS, floor).otherwise(F.greatest(c, F.lit(floor))))
+
+
+def label_of(c: Column, names: dict) -> Column:
+    """The name of a code; null for others."""
+    table = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    return F.try_element_at(table, c)
+
+
+def covering_grid(boxes: DataFrame, x0: float, y0: float, size: float) -> DataFrame:
+    """(cell, gx, gy) of the cells of that edge length that touch one of the boxes (min_x, max_x, min_y, max_y)."""
+    span = lambda lo, hi, at: F.sequence(F.floor((F.col(lo) - at) / size), F.floor((F.col(hi) - at) / size))
+    cells = boxes.select(F.explode(span("min_x", "max_x", x0)).alias("gx"), "min_y", "max_y").select("gx", F.explode(span("min_y", "max_y", y0)).alias("gy")).distinct()
+    return cells.select(F.concat_ws("_", F.col("gx").cast("string"), F.col("gy").cast("string")).alias("cell"), "gx", "gy")
 
 
 def bits_clear(qa: Column, *bits: int) -> Column:

@@ -8,12 +8,51 @@ from pyspark.sql import functions as F
 # Words that mark a rank, number of name words per rank, and words of a habit, first match wins.
 VARIETY, SUBSPECIES, GENUS = ["var"], ["ssp", "subsp"], ["spp", "species", "sp", "s"]
 RANK_WORDS = {"family": 1, "genus": 1, "species": 2, "subspecies": 4, "variety": 4, "form": 4}
-HABIT_RULES = [
-    ("other", ["algae", "cyanobacteria", "crust", "fungus", "unknown"]),
-    ("bryophyte", ["moss", "liverwort"]),
-    ("forb", ["spore-bearing"]),
-    ("graminoid", ["grass"]),
-]
+HABIT_RULES = {
+    "ava": [("other", ["algae", "cyanobacteria", "crust", "fungus", "unknown"]), ("bryophyte", ["moss", "liverwort"]), ("forb", ["spore-bearing"]), ("graminoid", ["grass"]), ("{leaf} shrub", ["shrub"]), ("{leaf} tree", ["tree"])],
+    "akveg": [("other", ["algae", "fungus"]), ("bryophyte", ["moss", "liverwort"]), ("forb", ["spore-bearing"]), ("{leaf} shrub", ["shrub"])],
+    "neon": [("other", ["unknown", "cyanobacteria", "fungus", "dead", "wood"]), ("bryophyte", ["moss", "liverwort"]), ("forb", ["spore-bearing"]), ("bare ground", ["rock", "soil", "salt"]), ("{leaf} shrub", ["shrub"])],
+    "nga": [("bryophyte", ["moss", "liverwort"]), ("forb", ["spore-bearing"]), ("{leaf} shrub", ["shrub"]), ("{leaf} tree", ["tree"]), ("bare ground", ["soil", "rock"]), ("water", ["water"])],
+    "abr": [("other", ["algae", "crust", "fungus"]), ("bryophyte", ["moss", "liverwort"]), ("forb", ["spore-bearing"]), ("litter", ["litter", "scat"]), ("bare ground", ["bare ground", "mineral"]), ("{leaf} shrub", ["shrub"])],
+    "rava": [("bryophyte", ["moss", "liverwort"]), ("forb", ["spore-bearing"]), ("{leaf} shrub", ["shrub"]), ("{leaf} tree", ["tree"])],
+}
+# Ranks of names that the checklist lacks.
+RANK_OVERRIDES = {
+    "algae": "type",
+    "bare ground": "type",
+    "bryophyte": "type",
+    "forb": "type",
+    "other": "type",
+    "lichen": "type",
+    "graminoid": "type",
+    "Lepraria membranacea (Dicks.) Vain.": "species",
+    "litter": "type",
+    "Pedicularis arctoeuropaea (Hultén) Molau & D.F. Murray": "species",
+    "Polyblastia bryophila Lonnr.": "species",
+    "Rhizocarpon disporum (Naeg. ex Hepp) Müll. Arg.": "species",
+    "Salix brachycarpa Nutt.": "species",
+    "Schistidium holmenianum Steere & Brassard": "species",
+    "water": "type",
+    "Xanthoria (Fr.) Th. Fr.": "genus",
+}
+# Published names of subsources.
+SUBSOURCES = {
+    "Prudhoe Bay Airport ArcSEES Donald Walker": "Prudhoe Bay Airport ArcSEES Walker (pub 2016)",
+    "Prudhoe ArcSEES road study Donald Walker": "Prudhoe ArcSEES road study Walker (pub 2015)",
+    "Flux Tower Zona Scott Davidson": "Flux Tower Zona Davidson (pub 2016)",
+    "Barrow DOE NGEE Victoria Sloan": "Barrow DOE NGEE Sloan (pub 2014)",
+    "Atqasuk Vera Komarkova": "Atqasuk Villarreal (pub 2013)",
+    "Barrow IBP Tundra Biome Pat Webber": "Barrow IBP Tundra Biome Villarreal (pub 2012)",
+}
+SUBSOURCES_OF_SITES = {"TOOL": "Toolik Field Station NEON (pub 2021)", "BARR": "Utqiagvik-Barrow NEON (pub 2021)"}
+# Columns and the misspelt twins that fill them.
+TWIN_COLUMNS = {
+    "LONGITUDE WGS 84 (DD)": "LONGITUDEWGS84'(DD)",
+    "HABITAT TYPE": "HABITAT TYPE ",
+    "REMARKS": "REBMARKS",
+    "SITE MOISTURE": "SITEMOISTURE",
+    "RELEVE NUMBER": "RELEVE_NUMBER",
+}
 #: Starts of an author, in the order in which they are looked for.
 AUTHOR_STARTS = [r"\(", r"s\.l\.?\b", r"[A-Z]{2,}\.", r"[A-Z][a-z]+\.", r"[A-Z]\."]
 
@@ -88,20 +127,63 @@ def clean_shrub(c: Column) -> Column:
     return F.when(F.lower(c).contains("shrub"), "shrub").otherwise(c)
 
 
-def habit_to_pft(habit: Column, leaf: Column) -> Column:
-    """Plant functional type: first rule with a word in the habit, then `<leaf> shrub` or `<leaf> tree`, else the habit.
+def habit_to_pft(habit: Column, leaf: Column, source: str = "ava") -> Column:
+    """Plant functional type by the rules of a source: the first with a word in the habit, else the habit in lower case.
 
     A shrub or tree without leaf retention is null.
     """
     low = F.lower(habit)
     out = F.when(habit.isNull(), F.lit(None).cast("string"))
-    for pft, marks in HABIT_RULES:
-        out = out.when(low.rlike("|".join(marks)), pft)
-    return out.when(low.contains("shrub"), F.concat(leaf, F.lit(" shrub"))).when(low.contains("tree"), F.concat(leaf, F.lit(" tree"))).otherwise(low)
+    for pft, marks in HABIT_RULES[source]:
+        found = low.contains(marks[0])
+        for m in marks[1:]:
+            found = found | low.contains(m)
+        out = out.when(found, F.concat(leaf, F.lit(pft.removeprefix("{leaf}"))) if pft.startswith("{leaf}") else F.lit(pft))
+    return out.otherwise(low)
+
+
+def replaced(c: Column, names: dict[str, str]) -> Column:
+    """Whole values by their replacement; others stay."""
+    return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), c), c)
+
+
+def override_rank(name: Column, rank: Column) -> Column:
+    """The rank of the listed names, else the given one."""
+    listed = F.try_element_at(F.create_map(*(F.lit(x) for pair in RANK_OVERRIDES.items() for x in pair)), name)
+    return F.coalesce(listed, rank)
 
 
 def tidy_subsource(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.replace(c, F.lit("_"), F.lit(" ")), r"\(.*?\)", ""))
+    """Underscores to spaces, without text in brackets, trimmed, by its published name."""
+    return replaced(F.trim(F.regexp_replace(F.replace(c, F.lit("_"), F.lit(" ")), r"\([^)]*\)", "")), SUBSOURCES)
+
+
+def subsource_of_site(c: Column) -> Column:
+    """By the first of the listed parts that the site's code contains; else null."""
+    out = F.lit(None).cast("string")
+    for part, name in reversed(SUBSOURCES_OF_SITES.items()):
+        out = F.when(c.contains(part), name).otherwise(out)
+    return out
+
+
+def composed_id(*parts: Column) -> Column:
+    """`a.b`; null parts are left out."""
+    return F.concat_ws(".", *(p.cast("string") for p in parts))
+
+
+def swapped_id(c: Column) -> Column:
+    """`a_b_c` of numbers becomes `a.c.b`."""
+    return F.regexp_replace(c, r"(\d+)_(\d+)_(\d+)", "$1.$3.$2")
+
+
+def group_id(group: Column, year: Column, source: Column, prefix: str = "") -> Column:
+    """`group_year_source`, with a prefix."""
+    return F.concat(F.lit(prefix), F.concat_ws("_", group.cast("string"), year.cast("string"), source))
+
+
+def first_name(*names: Column) -> Column:
+    """The first of several name columns that holds one."""
+    return F.coalesce(*names)
 
 
 def hash_id(c: Column, letter: str = "u") -> Column:

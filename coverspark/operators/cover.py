@@ -34,6 +34,22 @@ def merge_columns(df: DataFrame, name: str, columns: list[str], zero_filled: boo
     return df.withColumn(name, sum_skipping_nulls(*cols) if zero_filled else sum_or_null(*cols))
 
 
+def merge_twins(df: DataFrame, twins: dict[str, str]) -> DataFrame:
+    """Fill each column from its misspelt twin and drop the twin, where both are there. Names may hold any sign."""
+    have = {c.strip() if c not in twins.values() else c: c for c in df.columns}
+    for right, wrong in twins.items():
+        if right in have and wrong in have:
+            df = df.withColumn(have[right], F.coalesce(F.col(f"`{have[right]}`"), F.col(f"`{have[wrong]}`"))).drop(have[wrong])
+    return df
+
+
+def split_parts(df: DataFrame, name: str, rules: list[tuple[str, Column]], other: str) -> tuple[DataFrame, DataFrame]:
+    """(labelled table, check): the check has the rows of all, of the parts together and whether they agree."""
+    split = labelled(df, name, rules, other)
+    sizes = split.groupBy(name).agg(F.count("*").alias("n")).agg(F.sum("n").alias("in_parts"))
+    return split, df.agg(F.count("*").alias("in_all")).crossJoin(F.broadcast(sizes)).withColumn("agree", F.col("in_all") == F.coalesce("in_parts", F.lit(0)))
+
+
 def with_columns_of(df: DataFrame, names: list[str], kind: str = "double") -> DataFrame:
     """Absent columns of the standard list become nulls; the list's order rules, others follow."""
     have = set(df.columns)
@@ -49,6 +65,12 @@ def columns_like(df: DataFrame, part: str, keep: list[str]) -> DataFrame:
     return df.select(*keep, *(c for c in df.columns if part in c and c not in keep))
 
 
+def row_total(df: DataFrame, keys: list[str], leave_out: list[str]) -> DataFrame:
+    """Add `total`, the sum of all columns but the keys and those that hold sums of others; nulls count as 0."""
+    covers = [c for c in df.columns if c not in keys and c not in leave_out]
+    return df.withColumn("total", sum_skipping_nulls(*(F.col(c) for c in covers)))
+
+
 def labelled(df: DataFrame, name: str, rules: list[tuple[str, Column]], other: str) -> DataFrame:
     """One label per row, first rule wins: a split of the table that adds up by construction."""
     out = F.lit(other)

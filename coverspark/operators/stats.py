@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coverspark.session import ship
+
 
 def box_stats(df: DataFrame, key: str, value: str) -> DataFrame:
     """Quartiles, mean and whiskers (the extreme values within 1.5 quartile ranges) per group."""
@@ -51,6 +56,32 @@ def pearson(df: DataFrame, by: str, x: str, y: str) -> DataFrame:
     return out.withColumn("t", F.try_divide(F.col("r") * F.sqrt(F.col("n") - 2.0), F.sqrt(F.greatest(1 - F.col("r") * F.col("r"), F.lit(0.0)))))
 
 
+def with_p_value(df: DataFrame, n: str = "n", t: str = "t") -> DataFrame:
+    """Add `p`, two-sided, of Student's t with n - 2 degrees of freedom: a continued fraction on Arrow batches, one row per group."""
+    ship(df.sparkSession)
+
+    @F.pandas_udf("double")
+    def two_sided(n: pd.Series, t: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(b) or a <= 2 else incomplete_beta((a - 2) / 2, 0.5, (a - 2) / (a - 2 + b * b)) for a, b in zip(n, t)], dtype="float64")
+
+    return df.withColumn("p", two_sided(n, t))
+
+
+def incomplete_beta(a: float, b: float, x: float) -> float:
+    """The regularised incomplete beta function, by its continued fraction (even and odd steps) from the side that converges."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - incomplete_beta(b, a, 1 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    value = 1.0
+    for k in range(200, 0, -1):  # from the innermost term outwards
+        m = k // 2
+        term = m * (b - m) * x / ((a + k - 1) * (a + k)) if k % 2 == 0 else -(a + m) * (a + b + m) * x / ((a + k - 1) * (a + k))
+        value = 1 + term / value
+    return front / value
+
+
 def spearman(df: DataFrame, by: str, x: str, y: str) -> DataFrame:
     ok = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     return ok.select(by, average_rank(x, by).alias("rx"), average_rank(y, by).alias("ry")).groupBy(by).agg(F.count("*").alias("n"), F.corr("rx", "ry").alias("rho"))

@@ -32,14 +32,16 @@ def not_allowed(df: DataFrame, key: str, column: str, allowed: list[str]) -> Dat
 
 
 def sums_differ(df: DataFrame, key: str, parts: list[str], total: str) -> DataFrame:
-    """The parts' sum is not close to the total: off by more than 1e-8 + 1e-5 of it."""
+    """The parts' sum is not close to the total: off by more than 1e-8 + 1e-5 of it, or one of the two is null and the other
+    isn't. A null among the parts makes their sum null."""
     s = sum((F.col(c) for c in parts), F.lit(0.0))
-    return found(df, "sum", key, F.abs(s - F.col(total)) > 1e-8 + 1e-5 * F.abs(total), F.round(s - F.col(total), 6))
+    off = F.coalesce(F.abs(s - F.col(total)) > 1e-8 + 1e-5 * F.abs(total), s.isNull() != F.col(total).isNull())
+    return found(df, "sum", key, off, F.coalesce(F.round(s - F.col(total), 6).cast("string"), F.lit("null")))
 
 
-def cover_warnings(df: DataFrame, key: str, covers: list[str], single: list[str]) -> DataFrame:
-    """Single covers above 100, and totals below 100."""
-    rows = [found(df, f"{c} above 100", key, F.col(c) > 100, F.round(c, 6), "warning") for c in single]
+def cover_warnings(df: DataFrame, key: str, covers: list[str], single: list[str], most: float = 100) -> DataFrame:
+    """Single covers above `most`, and totals below 100."""
+    rows = [found(df, f"{c} above {most}", key, F.col(c) > most, F.round(c, 6), "warning") for c in single]
     total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in covers), F.lit(0.0))
     return reduce(DataFrame.unionByName, [*rows, found(df, "total below 100", key, total < 100, F.round(total, 6), "warning")])
 

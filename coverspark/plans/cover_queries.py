@@ -44,12 +44,19 @@ def code_to_percent(spark, d):
     return N.codes_to_percent(c).groupBy("scale", "code", F.round("pct", 6).alias("pct")).agg(F.count("*").alias("n"))
 
 
-_DIRTY = "CASE line WHEN 1 THEN '4 (5)' WHEN 2 THEN '2a' WHEN 3 THEN '0,.5' WHEN 4 THEN '?' WHEN 5 THEN '--+' WHEN 6 THEN '10 crust' ELSE '3.0' END"
+#: Cells and what becomes of them.
+_CELLS = [
+    ("--+", "+"), ("+ on slope", "+"), (" + ", "+"), ("0,.5", "0.5"), ("0,75", "0.5"), ("0,x5", "0.5"), ("0.,5", "0.5"), ("  ", None), ("4 (5)", "5"), ("5(6)", "6"), ("2 ( 3)", "3"), ("3 (4 )", "4"), ("1 (2)", "2"), ("4 ??", "4"),
+    ("4 ?", "4 ?"), ("›6", "6"), ("›3", "3"), ("2a", "2"), ("2B", "2"), ("?", None), ("2 ?", "2"), ("10 crust", "10"), ("0.0", "0"), ("6.0", "6"), ("7.0", "7.0"), ("¨+", "+"), ("x+Â\xa0y", "x+y"), ("-10", None), ("?1", "1"), ("I", "1"), ("3", "3"),
+]
+_PICK = "CASE p_partkey % {n} {whens} END"
+_RAW = _PICK.format(n=len(_CELLS), whens=" ".join(f"WHEN {k} THEN '{raw}'" for k, (raw, _) in enumerate(_CELLS)))
+_CLEANED = _PICK.format(n=len(_CELLS), whens=" ".join(f"WHEN {k} THEN " + (f"'{code}'" if code is not None else "NULL") for k, (_, code) in enumerate(_CELLS)))
 
 
-@query(ctes(cover=COVER) + f"SELECT {_DIRTY} AS raw, CASE line WHEN 1 THEN '5' WHEN 2 THEN '2' WHEN 3 THEN '0.5' WHEN 4 THEN NULL WHEN 5 THEN '+' WHEN 6 THEN '10' ELSE '3' END AS code, count(*) AS n FROM cover GROUP BY ALL")
+@query(ctes(cover=COVER) + f"SELECT {_RAW} AS raw, {_CLEANED} AS code, count(*) AS n FROM cover GROUP BY ALL")
 def dirty_code_repair(spark, d):
-    c = table(spark, d, f"SELECT {_DIRTY} AS raw FROM ({COVER}) c")
+    c = table(spark, d, f"SELECT {_RAW} AS raw FROM ({COVER}) c")
     return c.withColumn("code", N.repair_code(F.col("raw"))).groupBy("raw", "code").agg(F.count("*").alias("n"))
 
 

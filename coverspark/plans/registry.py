@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +26,14 @@ def query(sql: str | None = None):
     return keep
 
 
+_NAMED = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(TABLES) + r")\b", re.IGNORECASE)
+
+
 def table(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A fixture: SQL that Spark and DuckDB read alike, over the tables it names."""
-    named = {t: read(spark, sf_dir, t) for t in TABLES if t in sql.replace("(", " ").replace(",", " ").split()}
-    for name, df in named.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """A fixture: SQL that Spark and DuckDB read alike, over the tables it names, under view names that no user has."""
+    for name in {m[1].lower() for m in _NAMED.findall(sql)}:
+        read(spark, sf_dir, name).createOrReplaceTempView(f"coverspark_{name}")
+    return spark.sql(_NAMED.sub(lambda m: f"{m[1]} coverspark_{m[2].lower()}", sql))
 
 
 # Fixtures, bound to the driver's tables.

@@ -81,7 +81,7 @@ def multi_format_date(spark, d):
     return o.select("o_orderkey", D.mixed_date(F.col("s"), ["yyyy-MM-dd", "dd.MM.yyyy"]).alias("day"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN make_date(CAST(year(o_orderdate) + 1 AS INT), 7, 1) ELSE CAST(date_trunc('month', o_orderdate) AS DATE) + 4 END AS day FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN (make_date(CAST(year(o_orderdate) AS INT), 1, 1) + CAST(floor(date_diff('day', make_date(CAST(year(o_orderdate) AS INT), 1, 1), make_date(CAST(year(o_orderdate) + 3 AS INT), 12, 31)) / 2) AS INT)) ELSE CAST(date_trunc('month', o_orderdate) AS DATE) + 4 END AS day FROM orders""")
 def range_midpoint_date(spark, d):
     o = table(spark, d, "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN year(o_orderdate) || '-' || (year(o_orderdate) + 3) ELSE '1-9.' || month(o_orderdate) || '.' || year(o_orderdate) END AS s FROM orders")
     return o.select("o_orderkey", D.range_midpoint_date(F.col("s")).alias("day"))
@@ -100,9 +100,9 @@ def coord_clean(spark, d):
     return c.select("c_custkey", N.coordinate(F.col("s")).alias("value"), N.range_midpoint(F.col("r")).alias("middle"))
 
 
-@query("SELECT k FROM (SELECT unnest(range((SELECT min(o_custkey) FROM orders), (SELECT max(o_custkey) + 1 FROM orders))) AS k) WHERE k NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT k FROM (SELECT unnest(range((SELECT min(o_custkey) FROM orders WHERE o_custkey % 7 <> 3), (SELECT max(o_custkey) + 1 FROM orders WHERE o_custkey % 7 <> 3))) AS k) WHERE k NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 7 <> 3)")
 def tile_gaps(spark, d):
-    return L.missing_numbers(table(spark, d, "SELECT o_custkey AS k FROM orders"), "k")
+    return L.missing_numbers(table(spark, d, "SELECT o_custkey AS k FROM orders WHERE o_custkey % 7 <> 3"), "k")
 
 
 @query("SELECT source, count(*) AS n FROM (SELECT o_orderpriority AS source, year(o_orderdate) AS y FROM orders) WHERE y >= 1998 GROUP BY source")
@@ -134,9 +134,9 @@ def violations_unique(spark, d):
     return V.not_unique(table(spark, d, "SELECT o_custkey FROM orders"), "o_custkey")
 
 
-@query("SELECT 'price bounds' AS rule, CAST(o_orderkey AS VARCHAR) AS key, severity FROM (SELECT o_orderkey, 'error' AS severity, o_totalprice FROM orders) WHERE o_totalprice NOT BETWEEN 10000 AND 400000")
+@query("SELECT 'price bounds' AS rule, CAST(o_orderkey AS VARCHAR) AS key, severity, CAST(round(o_totalprice, 2) AS DECIMAL(18, 2)) AS off FROM (SELECT o_orderkey, 'error' AS severity, o_totalprice FROM orders) WHERE o_totalprice NOT BETWEEN 10000 AND 400000")
 def violations_bounds(spark, d):
-    return V.out_of_bounds(table(spark, d, "SELECT o_orderkey, o_totalprice AS price FROM orders"), "o_orderkey", "price", 10000, 400000).drop("detail")
+    return V.out_of_bounds(table(spark, d, "SELECT o_orderkey, o_totalprice AS price FROM orders"), "o_orderkey", "price", 10000, 400000).select("rule", "key", "severity", F.round(F.col("detail").cast("double"), 2).cast("decimal(18,2)").alias("off"))
 
 
 @query(_VIOLATION.format(rule="method vocabulary", key="o_orderkey", detail="o_orderstatus", severity="error") + "orders WHERE o_orderstatus NOT IN ('F', 'O')")
@@ -147,15 +147,15 @@ def violations_vocab(spark, d):
 _LINES = "SELECT l_orderkey AS k, sum(CASE WHEN l_linenumber = 1 THEN l_quantity ELSE 0 END) AS a, sum(CASE WHEN l_linenumber = 2 THEN l_quantity ELSE 0 END) AS b, sum(l_quantity) AS total, sum(CASE WHEN l_linenumber > 2 THEN l_quantity ELSE 0 END) AS c FROM lineitem GROUP BY l_orderkey"
 
 
-@query(f"SELECT 'sum' AS rule, CAST(k AS VARCHAR) AS key, 'error' AS severity FROM ({_LINES}) WHERE abs(a + b - total) > 1e-8 + 1e-5 * abs(total)")
+@query(f"SELECT 'sum' AS rule, CAST(k AS VARCHAR) AS key, 'error' AS severity, CAST(round(a + b - total, 4) AS DECIMAL(18, 4)) AS off FROM ({_LINES}) WHERE abs(a + b - total) > 1e-8 + 1e-5 * abs(total)")
 def violations_sum(spark, d):
-    return V.sums_differ(table(spark, d, _LINES), "k", ["a", "b"], "total").drop("detail")
+    return V.sums_differ(table(spark, d, _LINES), "k", ["a", "b"], "total").select("rule", "key", "severity", F.round(F.col("detail").cast("double"), 4).cast("decimal(18,4)").alias("off"))
 
 
-@query(f"""SELECT 'a above 100' AS rule, CAST(k AS VARCHAR) AS key, 'warning' AS severity FROM ({_LINES}) WHERE a > 100 UNION ALL
-  SELECT 'total below 100', CAST(k AS VARCHAR), 'warning' FROM ({_LINES}) WHERE a + b + c < 100""")
+@query(f"""SELECT 'a above 40' AS rule, CAST(k AS VARCHAR) AS key, 'warning' AS severity, CAST(a AS DECIMAL(18, 4)) AS off FROM ({_LINES}) WHERE a > 40 UNION ALL
+  SELECT 'total below 100', CAST(k AS VARCHAR), 'warning', CAST(a + b + c AS DECIMAL(18, 4)) FROM ({_LINES}) WHERE a + b + c < 100""")
 def cover_warnings(spark, d):
-    return V.cover_warnings(table(spark, d, _LINES), "k", ["a", "b", "c"], ["a"]).drop("detail")
+    return V.cover_warnings(table(spark, d, _LINES), "k", ["a", "b", "c"], ["a"], most=40).select("rule", "key", "severity", F.col("detail").cast("decimal(18,4)").alias("off"))
 
 
 @query("""SELECT 'not null' AS rule, CAST(o_orderkey AS VARCHAR) AS key, 'code' AS detail, 'error' AS severity FROM orders WHERE o_orderstatus = 'P'""")
@@ -241,16 +241,16 @@ def agreement_metrics(spark, d):
     return S.agreement(table(spark, d, "SELECT l_suppkey, l_quantity / 50 AS p, l_discount * 10 AS o FROM lineitem"), "l_suppkey", "p", "o").withColumns({c: F.round(c, 6) for c in ("r2", "rmse", "mae")})
 
 
-@query("SELECT user_id, " + ", ".join(f"v[CAST(round_even((len(v) - 1) * CAST({q} AS DOUBLE), 0) AS INT) + 1] AS d{int(q * 10)}" for q in (0.1, 0.5, 0.9)) + " FROM (SELECT user_id, list_sort(list(value)) AS v FROM events GROUP BY 1)")
+@query("SELECT user_id, " + ", ".join(f"v[CAST(round_even((len(v) - 1) * CAST({k / 10} AS DOUBLE), 0) AS INT) + 1] AS d{k}" for k in range(1, 11)) + " FROM (SELECT user_id, list_sort(list(value)) AS v FROM events GROUP BY 1)")
 def deciles_nearest(spark, d):
     g = table(spark, d, "SELECT user_id, value FROM events").groupBy("user_id").agg(F.array_sort(F.collect_list("value")).alias("v"))
-    return g.select("user_id", *(c.alias(n) for c, n in zip(S.nearest_quantiles(F.col("v"), [0.1, 0.5, 0.9]), ("d1", "d5", "d9"))))
+    return g.select("user_id", *(c.alias(n) for c, n in zip(S.nearest_quantiles(F.col("v"), [k / 10 for k in range(1, 11)]), [f"d{k}" for k in range(1, 11)])))
 
 
-@query("SELECT user_id, v[CAST(round_even((len(v) - 1) * CAST(0.5 AS DOUBLE), 0) AS INT) + 1].ts AS at FROM (SELECT user_id, list_sort(list({'v': value, 'ts': ts})) AS v FROM events GROUP BY 1)")
+@query("SELECT user_id, " + ", ".join(f"v[CAST(round_even((len(v) - 1) * CAST({k / 10} AS DOUBLE), 0) AS INT) + 1].ts AS at{k}" for k in range(1, 11)) + " FROM (SELECT user_id, list_sort(list({'v': value, 'ts': ts})) AS v FROM events GROUP BY 1)")
 def decile_dates(spark, d):
     g = table(spark, d, "SELECT user_id, value, ts FROM events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("value", "ts"))).alias("v"))
-    return g.select("user_id", S.nearest_quantiles(F.col("v"), [0.5])[0]["ts"].alias("at"))
+    return g.select("user_id", *(c["ts"].alias(f"at{k}") for k, c in enumerate(S.nearest_quantiles(F.col("v"), [k / 10 for k in range(1, 11)]), 1)))
 
 
 @query("SELECT user_id, min(value) AS low, max(value) AS high, round(quantile_cont(value, 0.5), 6) AS median, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, round(skewness(value), 4) AS skew, round(kurtosis(value), 4) AS kurtosis FROM events GROUP BY 1")
@@ -286,7 +286,7 @@ def file_name_parts(spark, d):
     return p.select("p_partkey", files.name_part(F.col("f"), -1).alias("kind"), files.name_part(F.col("f"), 1).alias("site"))
 
 
-@query("SELECT p_partkey, array_to_string(list_sort(list_distinct([lower(p_brand), p_type, lower(p_brand)])), ',') AS parts, lower(p_type) || ' top' AS label, 'fcover' AS product FROM part")
+@query("SELECT p_partkey, array_to_string(list_sort(list_distinct([lower(p_brand), p_type, lower(p_brand)])), ',') AS parts, upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) || ' Top' AS label, CASE WHEN p_size % 2 = 0 THEN 'fcover_' || lower(p_type) ELSE 'fcover' END AS product FROM part")
 def text_lists(spark, d):
-    p = table(spark, d, "SELECT p_partkey, '[' || lower(p_brand) || ', ' || p_type || ', ' || lower(p_brand) || ']' AS s, lower(p_type) || '_top_cover' AS l, 'fcover_20' || p_size AS f FROM part")
-    return p.select("p_partkey", T.unique_list(F.col("s")).alias("parts"), F.lower(T.title_label(F.col("l"))).alias("label"), T.name_before_digits(F.col("f")).alias("product"))
+    p = table(spark, d, "SELECT p_partkey, '[' || lower(p_brand) || ', ' || p_type || ', ' || lower(p_brand) || ']' AS s, lower(p_type) || '_top_cover' AS l, 'fcover_' || CASE WHEN p_size % 2 = 0 THEN lower(p_type) || '_' ELSE '' END || '20' || p_size AS f FROM part")
+    return p.select("p_partkey", T.unique_list(F.col("s")).alias("parts"), T.title_label(F.col("l")).alias("label"), T.name_before_digits(F.col("f")).alias("product"))
