@@ -49,6 +49,22 @@ def season_index(name: str, nir: Column, red: Column, blue: Column, swir1: Colum
     return {"ndvi": F.try_divide(nir - red, nir + red), "evi": F.try_divide(2.5 * (nir - red), nir + 6 * red - 7.5 * blue + 1), "mavi": F.try_divide(nir - red, nir + red + swir1)}[name]
 
 
+def normalized(a: Column, b: Column) -> Column:
+    """(a - b) / (a + b)."""
+    return F.try_divide(a - b, a + b)
+
+
+def water_terms(nir: Column, red: Column, green: Column, wetness: Column) -> dict[str, Column]:
+    """NDWI of green and near infrared, NDVI, and their products with wetness."""
+    ndwi, ndvi = normalized(green, nir), normalized(nir, red)
+    return {"ndwi": ndwi, "ndvi": ndvi, "ndwi_wetness": ndwi * wetness, "ndvi_wetness": ndvi * wetness}
+
+
+def band_difference(a: Column, b: Column) -> dict[str, Column]:
+    """Difference and ratio of two polarisations."""
+    return {"difference": a - b, "ratio": F.try_divide(a, b)}
+
+
 def water(ndwi: Column, ndvi: Column) -> Column:
     """1 for water: NDWI above 0 and NDVI below 0.3."""
     return F.when((ndwi > 0) & (ndvi < 0.3), 1).otherwise(0)

@@ -211,8 +211,12 @@ def grid_cell(x: Column, y: Column, x0: float, y0: float, size: float) -> Column
     return F.concat_ws("_", F.floor((x - x0) / size).cast("string"), F.floor((y - y0) / size).cast("string"))
 
 
-def utm(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
-    """Easting and northing in metres (WGS84, northern zone) by the transverse Mercator series of sixth order."""
+def utm_zone(lon: Column) -> Column:
+    return F.floor((lon + 180) / 6) + 1
+
+
+def utm(lon: Column, lat: Column, zone: int | Column) -> tuple[Column, Column]:
+    """Easting and northing in metres (WGS84, northern zone; a number or one per row) by the transverse Mercator series of sixth order."""
     a, f = 6378137.0, 1 / 298.257223563
     e2 = f * (2 - f)
     ep2 = e2 / (1 - e2)
@@ -225,6 +229,14 @@ def utm(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
     return east, north
 
 
+def product_rows(pixels: DataFrame, value: str, mask: DataFrame | None, begin: str, end: str) -> DataFrame:
+    """Pixels (x, y, value) as a product: scaled, 255 also where the mask (x, y, mask) is 1, with its time bounds."""
+    if mask is not None:
+        pixels = pixels.join(mask.select("x", "y", "mask"), ["x", "y"], "left").withColumn(value, F.when(F.coalesce("mask", F.lit(0)) != 1, F.col(value)))
+    bounds = {"time_begin": F.lit(begin).cast("date"), "time_end": F.lit(end).cast("date")}
+    return pixels.withColumns(bounds | {value: scaled_product(F.col(value))})
+
+
 def scaled_product(v: Column) -> Column:
     """Percent of a share as a small integer, truncated; no value is 255."""
     return F.when(v.isNull(), F.lit(255)).otherwise((v * 100).cast("int"))

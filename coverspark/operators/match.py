@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverspark.functions.text import first_word, genus_species
+from coverspark.functions.text import clean_name, first_word, genus_species, infer_rank, normalize_by_rank, split_author, words
 from coverspark.session import ship
 
 
@@ -60,21 +61,70 @@ def fuzzy_candidates(names: DataFrame, candidates: DataFrame, block: str, score:
     return pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top).select("name", "candidate", "score", "place")
 
 
+# Ranks tried for a name of a rank, in order.
+RANK_CASCADE = {
+    "subspecies": ["subspecies", "variety", "species", "genus", "family"],
+    "variety": ["variety", "subspecies", "species", "genus", "family"],
+    "species": ["species", "subspecies", "variety", "genus", "family"],
+    "genus": ["genus", "family"],
+    "family": ["family"],
+}
+
+
+def ranked_names(df: DataFrame, name: str) -> DataFrame:
+    """Add taxon (without its author), rank, key (normalised by the rank) and genus of a name."""
+    out = df.withColumn("taxon", split_author(F.col(name))["taxon"]).withColumn("rank", infer_rank(F.col("taxon")))
+    return out.withColumns({"key": normalize_by_rank(F.col("taxon"), F.col("rank")), "genus": F.try_element_at(words(clean_name(F.col("taxon"))), F.lit(1))})
+
+
+def fuzzy_cascade(names: DataFrame, checklist: DataFrame, name: str = "name", least: float = 85.0, score: Column | None = None) -> DataFrame:
+    """(name, accepted_name, checklist_name, score, rank): the match of each name, nulls where there is none.
+
+    checklist: checklist_name, accepted_name. Ranks are tried in the order of RANK_CASCADE for the name's rank; in a rank, names
+    of the same genus are candidates. One with the same key counts 100, else the best of at least `least` does. Among equals
+    a subspecies or variety prefers the candidate with its last word, then the first in text order. The first rank with a
+    match wins. Only names that share genus and rank are paired.
+    """
+    own = ranked_names(names.select(name).distinct(), name).withColumn("key", clean_name(F.col("taxon")))
+    tried = F.lit(None).cast("array<string>")
+    for rank, order in RANK_CASCADE.items():
+        tried = F.when(F.col("rank") == rank, F.array(*map(F.lit, order))).otherwise(tried)
+    asked = own.select(name, "taxon", "key", "genus", F.col("rank").alias("own_rank"), F.posexplode(tried).alias("step", "rank"))
+    listed = ranked_names(checklist, "checklist_name").groupBy("genus", "rank", F.col("key").alias("candidate")).agg(F.min_by("accepted_name", "checklist_name").alias("accepted_name"), F.min("checklist_name").alias("checklist_name"))
+    pairs = asked.join(listed, ["genus", "rank"])
+    pairs = pairs.withColumn("score", F.when(F.col("key") == F.col("candidate"), 100.0).otherwise(edit_score(F.col("key"), F.col("candidate")) if score is None else score)).where(F.col("score") >= least)
+    last = F.try_element_at(words(F.col("taxon")), F.lit(-1)) == F.try_element_at(words(F.col("candidate")), F.lit(-1))
+    first = F.struct("step", (F.col("key") != F.col("candidate")).alias("other"), -F.col("score"), F.when(F.col("own_rank").isin("subspecies", "variety") & last, 0).otherwise(1), "candidate")
+    best = pairs.groupBy(name).agg(F.min_by(F.struct("accepted_name", "checklist_name", "score", "rank"), first).alias("_b")).select(name, "_b.*")
+    return own.select(name).join(best, name, "left")
+
+
+def least_edits(a: str, b: str) -> int:
+    """Fewest insertions and deletions that turn a into some window of b of a's length."""
+    x = np.frombuffer(a.encode("utf-32-le"), np.uint32)
+    windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(b.encode("utf-32-le"), np.uint32), len(x))
+    # longest common subsequences of all windows at once, row by row
+    before = np.zeros((len(windows), len(x) + 1), np.int32)
+    for c in x:
+        now = np.maximum(before[:, 1:], before[:, :-1] + (windows == c))
+        before = np.concatenate([np.zeros((len(windows), 1), np.int32), np.maximum.accumulate(now, axis=1)], axis=1)
+    return int(2 * (len(x) - before[:, -1].max()))
+
+
 def partial_ratio(pairs: DataFrame) -> DataFrame:
-    """Add `score` to (name, candidate): best similarity of the shorter text with a window of the longer, 0 to 100."""
+    """Add `score` to (name, candidate): best similarity of the shorter text with a window of the longer, 0 to 100, as the
+    share of characters that a longest common subsequence keeps."""
     ship(pairs.sparkSession)
 
     @F.pandas_udf("double")
     def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        from difflib import SequenceMatcher
-
         def one(a, b):
             if a is None or b is None:
                 return None
             a, b = sorted((a, b), key=len)
             if not a:
                 return 100.0 if not b else 0.0
-            return max(100 * SequenceMatcher(None, a, b[k : k + len(a)], autojunk=False).ratio() for k in range(len(b) - len(a) + 1))
+            return 100.0 * (1 - least_edits(a, b) / (2 * len(a)))
 
         for left, right in batches:
             yield pd.Series([one(a, b) for a, b in zip(left, right)], dtype="float64")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,6 +86,40 @@ def permutation_importance(model, df: DataFrame, features: list[str], target: st
     return r2.groupBy("feature").agg(F.avg(F.col("_base") - F.col("r2")).alias("mean"), F.stddev_pop(F.col("_base") - F.col("r2")).alias("sd"))
 
 
-def boosted_importance(df: DataFrame, features: list[str], target: str, rounds: int = 20, depth: int = 6, step: float = 0.1) -> dict[str, float]:
-    model = GBTRegressor(featuresCol="features", labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=step, seed=0).fit(assembled(df, features))
-    return dict(zip(features, model.featureImportances.toArray().tolist()))
+def boosted_importance(df: DataFrame, features: list[str], target: str, rounds: int = 20, depth: int = 6, step: float = 0.1, categories: list[str] = ()) -> dict[str, float]:
+    """Importance of each feature in boosted trees; text columns in `categories` are indexed and split as sets of values."""
+    own = list(features)
+    for c in categories:
+        df = StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep").fit(df).transform(df)
+        own.append(f"{c}_index")
+    model = GBTRegressor(featuresCol="features", labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=step, maxBins=256, seed=0).fit(assembled(df, own))
+    return dict(zip([*features, *categories], model.featureImportances.toArray().tolist()))
+
+
+def cumulative_fits(tables: dict[str, DataFrame], order: DataFrame, source: str, features: list[str], target: str, test: DataFrame, **setting) -> DataFrame:
+    """(name, fit, n, r2, rmse, mae) of a forest on the sources 1 to i of each table, for every i, on the test rows.
+
+    order: source, place; its few rows are read on the driver, since each place is a model to fit.
+    """
+    out = []
+    places = [r["place"] for r in order.select("place").distinct().orderBy("place").collect()]
+    for name, df in tables.items():
+        placed = df.join(F.broadcast(order), source)
+        for k in places:
+            model = forest(placed.where(F.col("place") <= k), features, target, **setting)
+            out.append(score(model, test, features).select(F.struct(F.lit(name).alias("name"), F.lit(k).alias("fit")).alias("_of"), "prediction", F.col(target).alias("observed")))
+    return agreement(reduce(DataFrame.unionByName, out), "_of", "prediction", "observed").select("_of.*", "n", "r2", "rmse", "mae")
+
+
+def score_types(models: dict, df: DataFrame, features: list[str]) -> DataFrame:
+    """Every row by every type's model: (type, prediction and the other columns). Features are assembled once; the pixels are read once."""
+    wide = assembled(df, features)
+    for name, model in models.items():
+        wide = model.transform(wide).withColumnRenamed("prediction", f"_of_{name}")
+    each = F.array(*(F.struct(F.lit(n).alias("type"), F.col(f"_of_{n}").alias("prediction")) for n in models))
+    return wide.select(*df.columns, F.explode(each).alias("_t")).select(*df.columns, "_t.*")
+
+
+def write_types(scored: DataFrame, path: str) -> None:
+    """Scored pixels in folders by type and cell, whole folders at a time."""
+    scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("type", "cell_id").parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -32,14 +34,21 @@ def drop_outliers(df: DataFrame, key: str, time: str, v: str, cutoff: Column, ha
 
 def interpolate(df: DataFrame, key: str, time: str, v: str, name: str = "filled") -> DataFrame:
     """Linear in time (a number) inside gaps; the ends stay null."""
-    w = over(key, time)
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    # both run over rows so far, one from either end, which takes one step per row
+    back = Window.partitionBy(key).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(key).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
     at = F.when(F.col(v).isNotNull(), F.col(time))
-    d = df.withColumns({"_v0": F.last(v, True).over(back), "_t0": F.last(at, True).over(back), "_v1": F.first(v, True).over(ahead), "_t1": F.first(at, True).over(ahead)})
+    d = df.withColumns({"_v0": F.last(v, True).over(back), "_t0": F.last(at, True).over(back), "_v1": F.last(v, True).over(ahead), "_t1": F.last(at, True).over(ahead)})
     line = F.col("_v0") + F.try_divide((F.col("_v1") - F.col("_v0")) * (F.col(time) - F.col("_t0")), F.col("_t1") - F.col("_t0"))
     return d.withColumn(name, F.coalesce(F.col(v), line)).drop("_v0", "_t0", "_v1", "_t1")
 
 
+def fast_fill(v: str, key: str, time: str) -> Column:
+    """Nulls take the first value of the series, or its mean where the first is null."""
+    w = over(key, time)
+    return F.coalesce(F.col(v), F.first(v).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.avg(v).over(Window.partitionBy(key)))
+
+
 def neighbour_fill(df: DataFrame, key: str, day: str, v: str, days: int = 40, name: str = "filled") -> DataFrame:
     """Nulls become the mean of the means of the `days` days before and after (a day over in both)."""
     w = Window.partitionBy(key).orderBy(day)
@@ -55,6 +64,80 @@ def smooth(v: str, w: WindowSpec) -> Column:
     return F.when(a.isNull(), head).when(b.isNull(), tail).otherwise((a + F.col(v) + b) / 3)
 
 
+def smooth_gaussian(df: DataFrame, key: str, time: str, v: str, sigma: float = 1.0, name: str = "smoothed") -> DataFrame:
+    """Gaussian weights out to 4 sigma, the series mirrored at both ends (its end values twice); null where a value is null nearby.
+
+    Every sample sends its weighted value to the places around it and around its mirror images, for series of at least
+    4 sigma samples.
+    """
+    radius = int(4 * sigma + 0.5)
+    weights = [math.exp(-0.5 * (o / sigma) ** 2) for o in range(-radius, radius + 1)]
+    steps = F.array(*(F.struct(F.lit(o).alias("o"), F.lit(x / sum(weights)).alias("w")) for o, x in zip(range(-radius, radius + 1), weights)))
+    own = df.withColumns({"_i": F.row_number().over(over(key, time)) - 1, "_n": F.count("*").over(Window.partitionBy(key))})
+    images = F.array(F.col("_i"), -1 - F.col("_i"), 2 * F.col("_n") - 1 - F.col("_i"))
+    sent = own.select(key, "_n", F.col(v).alias("_v"), F.explode(images).alias("_at")).select("*", F.explode(steps).alias("_s")).withColumn("_i", F.col("_at") + F.col("_s.o")).where("_i >= 0 and _i < _n")
+    sums = sent.groupBy(key, "_i").agg(F.when(F.count("*") == F.count("_v"), F.sum(F.col("_v") * F.col("_s.w"))).alias(name))
+    return own.join(sums, [key, "_i"]).drop("_i", "_n")
+
+
+def drop_outliers_z(df: DataFrame, key: str, time: str, v: str, critical: float = 1.6449) -> DataFrame:
+    """Null where a value's z-score is above the critical one (2.3263, 1.6449 or 1.2816 for p of 0.01, 0.05 or 0.1) and it is
+    off both neighbours by more than the deviation in the same way, as in drop_outliers."""
+    w, all_ = over(key, time), Window.partitionBy(key)
+    sd, mean = F.stddev_pop(v).over(all_), F.avg(v).over(all_)
+    d = df.withColumns({"_a": F.lag(v).over(w), "_b": F.lead(v).over(w), "_cut": sd, "_z": F.abs(F.try_divide(F.col(v) - mean, sd))})
+    off = (F.col(v) < (F.col("_a") + F.col("_b")) / 2 - F.col("_cut")) | (F.col(v) > F.greatest("_a", "_b") + F.col("_cut"))
+    return d.withColumn(v, F.when(~F.coalesce((F.col("_z") > critical) & off, F.lit(False)), F.col(v))).drop("_a", "_b", "_cut", "_z")
+
+
+def climatology(df: DataFrame, key: str, ts: str, v: str, unit: str = "month") -> DataFrame:
+    """Mean and median per calendar month (week of the year) over all years, dated in the middle year of the table.
+
+    A month is dated by its first day, a week by the Sunday that ends the week of that number, weeks counted from the first Monday.
+    """
+    years = df.select(F.year(ts).alias("y")).where("y is not null").distinct().agg(F.array_sort(F.collect_list("y")).alias("ys")).select(F.element_at("ys", F.floor(F.size("ys") / 2).cast("int") + 1).alias("_year"))
+    number = F.month(ts) if unit == "month" else F.weekofyear(ts)
+    out = df.groupBy(key, number.alias("number")).agg(F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"), F.count(v).alias("n")).crossJoin(F.broadcast(years))
+    first = F.make_date("_year", F.lit(1), F.lit(1))
+    monday = F.date_add(first, F.pmod(F.lit(7) - F.weekday(first), F.lit(7)))
+    day = F.make_date("_year", "number", F.lit(1)) if unit == "month" else F.date_add(monday, (F.col("number") - 1) * 7 + 6)
+    return out.withColumn("step", day).drop("_year", "number")
+
+
+def year_end(df: DataFrame, key: str, day: str) -> DataFrame:
+    """The last date of a series becomes 31 December if it is in December."""
+    last = F.col(day) == F.max(day).over(Window.partitionBy(key))
+    return df.withColumn(day, F.when(last & (F.month(day) == 12), F.make_date(F.year(day), F.lit(12), F.lit(31))).otherwise(F.col(day)))
+
+
+def dominant_year(df: DataFrame, key: str, day: str) -> DataFrame:
+    """The rows of each series in its year with most dates, the earliest of equals."""
+    counts = df.groupBy(key, F.year(day).alias("_y")).agg(F.count("*").alias("_n"))
+    top = counts.groupBy(F.col(key).alias("_k")).agg(F.max_by("_y", F.struct("_n", -F.col("_y"))).alias("_top"))
+    return df.join(top, (F.col(key) == F.col("_k")) & (F.year(day) == F.col("_top"))).drop("_k", "_top")
+
+
+def inflections(df: DataFrame, key: str, time: str, v: str) -> DataFrame:
+    """Samples where the second derivative changes sign against the sample before; adds both derivatives."""
+    d = df.withColumn("first", slope(v, time, over(key, time)))
+    d = d.withColumn("second", slope("first", time, over(key, time)))
+    return d.withColumn("_before", F.lag("second").over(over(key, time))).where(F.col("_before") * F.col("second") < 0).drop("_before")
+
+
+def threshold_season(df: DataFrame, key: str, day: str, v: str, share: float, floor: float) -> DataFrame:
+    """First and last day above floor + share * (largest value - floor), day numbers of the year and length; null where none is."""
+    d = df.withColumn("_over", F.lit(floor) + (F.max(v).over(Window.partitionBy(key)) - floor) * share)
+    above = F.when(F.col(v) > F.col("_over"), F.col(day))
+    g = d.groupBy(key).agg(F.min(above).alias("start"), F.max(above).alias("end"))
+    return g.withColumns({"start_doy": F.dayofyear("start"), "end_doy": F.dayofyear("end"), "length": F.datediff("end", "start")})
+
+
+def wide_by_date(df: DataFrame, key: str, day: str, v: str, days: list[str], suffix: str = "") -> DataFrame:
+    """One column per listed day, values of one day summed. Only for the sink: the long table is the one to work on."""
+    g = df.groupBy(key).agg(*(F.sum(F.when(F.col(day) == F.lit(x).cast("date"), F.col(v))).alias(x.replace("-", "_") + suffix) for x in days))
+    return g
+
+
 def slope(v: str, t: str, w: WindowSpec) -> Column:
     """Derivative by time: second-order central differences for uneven steps, one-sided at the ends."""
     va, vb, ta, tb = F.lag(v).over(w), F.lead(v).over(w), F.lag(t).over(w), F.lead(t).over(w)
@@ -65,7 +148,8 @@ def slope(v: str, t: str, w: WindowSpec) -> Column:
 
 def season(df: DataFrame, key: str, doy: str, v: str, factor: float = 0.5, absolute: float = 0.0) -> DataFrame:
     """One row per series with values at different days: peak, valley, base, amplitude, five starts and ends of season each,
-    length, rates and integrals (per sample). A series without values has no row.
+    length, rates and integrals (per sample), and the amplitudes of peak and middle over base and valley. A series without
+    values has a row of nulls.
 
     Peak and valley are the earliest of their value. Base is the mean of the least values on both sides of the peak.
     Slopes are the samples left (right) of the peak where the series rises (falls); a start (end) is the slope sample
@@ -104,7 +188,9 @@ def season(df: DataFrame, key: str, doy: str, v: str, factor: float = 0.5, absol
     s, e = F.col("sos_amplitude"), F.col("eos_amplitude")
     los = F.when(e["t"] - s["t"] < 0, e["t"] - s["t"] + F.col("last_t")).otherwise(e["t"] - s["t"])
     ends = [F.col(f"{x}_{m}")[p].alias(f"{x}_{m}_{p}") for x in ("sos", "eos") for m in targets for p in ("v", "t")]
-    return g.select(key, "peak", "peak_t", "valley", "valley_t", "base", "middle", "amplitude", *ends, los.alias("length"), F.try_divide(F.col("peak") - s["v"], F.col("peak_t") - s["t"]).alias("rise"), F.abs(F.try_divide(e["v"] - F.col("peak"), e["t"] - F.col("peak_t"))).alias("fall"), "lios", "sios", "liot", "siot")
+    more = [(F.col("peak") - F.col("valley")).alias("peak_valley"), (F.col("middle") - F.col("base")).alias("middle_base"), (F.col("middle") - F.col("valley")).alias("middle_valley")]
+    found = g.select(key, "peak", "peak_t", "valley", "valley_t", "base", "middle", "amplitude", *more, *ends, los.alias("length"), F.try_divide(F.col("peak") - s["v"], F.col("peak_t") - s["t"]).alias("rise"), F.abs(F.try_divide(e["v"] - F.col("peak"), e["t"] - F.col("peak_t"))).alias("fall"), "lios", "sios", "liot", "siot")
+    return df.select(key).distinct().join(found, key, "left")
 
 
 def spline_daily(df: DataFrame, key: str, day: str, v: str) -> DataFrame:
@@ -130,18 +216,28 @@ def detrend(df: DataFrame, key: str, time: str, v: str) -> DataFrame:
     return pos.withColumns({"_s": F.regr_slope(v, "_i").over(all_), "_c": F.regr_intercept(v, "_i").over(all_)}).withColumn("detrended", F.col(v) - F.col("_c") - F.col("_s") * F.col("_i")).drop("_i", "_s", "_c")
 
 
-def harmonic_fit(df: DataFrame, key: str, years: str, v: str, frequencies: int = 2) -> DataFrame:
-    """Least squares of constant, time and cosine and sine pairs per series, with amplitude and phase (atan2(cos, sin)).
-
-    Sums of products are one aggregation; only the small systems are solved in Python.
-    """
-    ship(df.sparkSession)
+def harmonic_sums(df: DataFrame, key: str, years: str, v: str, frequencies: int = 2) -> tuple[DataFrame, list[str]]:
+    """(key, xx, xy) and the names of the terms: sums of products of constant, time and cosine and sine pairs with each other and with v."""
     terms = {"one": F.lit(1.0), "t": F.col(years)}
     for k in range(1, frequencies + 1):
         terms |= {f"cos{k}": F.cos(2 * np.pi * k * F.col(years)), f"sin{k}": F.sin(2 * np.pi * k * F.col(years))}
     names = list(terms)
     d = df.where(F.col(v).isNotNull() & F.col(years).isNotNull()).select(key, F.col(v).alias("_v"), *(c.alias(n) for n, c in terms.items()))
-    sums = d.groupBy(key).agg(F.array(*(F.sum(F.col(a) * F.col(b)) for a in names for b in names)).alias("xx"), F.array(*(F.sum(F.col(a) * F.col("_v")) for a in names)).alias("xy"))
+    return d.groupBy(key).agg(F.array(*(F.sum(F.col(a) * F.col(b)) for a in names for b in names)).alias("xx"), F.array(*(F.sum(F.col(a) * F.col("_v")) for a in names)).alias("xy")), names
+
+
+def amplitude_phase(cosine: Column, sine: Column) -> tuple[Column, Column]:
+    """Amplitude and phase of a pair of coefficients; the phase has the cosine first."""
+    return F.hypot(cosine, sine), F.atan2(cosine, sine)
+
+
+def harmonic_fit(df: DataFrame, key: str, years: str, v: str, frequencies: int = 2) -> DataFrame:
+    """Least squares of constant, time and cosine and sine pairs per series, with amplitude and phase.
+
+    Sums of products are one aggregation; only the small systems are solved in Python.
+    """
+    ship(df.sparkSession)
+    sums, names = harmonic_sums(df, key, years, v, frequencies)
     p = len(names)
 
     @F.pandas_udf("array<double>")
@@ -149,7 +245,8 @@ def harmonic_fit(df: DataFrame, key: str, years: str, v: str, frequencies: int =
         return pd.Series([np.linalg.lstsq(np.reshape(a, (p, p)), np.asarray(b), rcond=None)[0] for a, b in zip(xx, xy)])
 
     s = sums.withColumn("_b", solve("xx", "xy")).select(key, *(F.col("_b")[k].alias(n) for k, n in enumerate(names)))
-    return s.withColumns({f"amplitude{k}": F.hypot(f"cos{k}", f"sin{k}") for k in range(1, frequencies + 1)} | {f"phase{k}": F.atan2(f"cos{k}", f"sin{k}") for k in range(1, frequencies + 1)})
+    pairs = {k: amplitude_phase(F.col(f"cos{k}"), F.col(f"sin{k}")) for k in range(1, frequencies + 1)}
+    return s.withColumns({f"amplitude{k}": a for k, (a, _) in pairs.items()} | {f"phase{k}": b for k, (_, b) in pairs.items()})
 
 
 def num_seasons(df: DataFrame, key: str, time: str, v: str) -> DataFrame:
@@ -175,6 +272,13 @@ def num_seasons(df: DataFrame, key: str, time: str, v: str) -> DataFrame:
     return peaks.select(key, count("n", "p").alias("seasons"))
 
 
+def resample_days(df: DataFrame, key: str, ts: str, v: str, days: int = 14) -> DataFrame:
+    """Mean and median per step of so many days, counted from the Monday of the table's first week."""
+    start = df.agg(F.date_trunc("week", F.min(ts)).cast("date").alias("_start"))
+    d = df.crossJoin(F.broadcast(start)).withColumn("step", F.expr(f"date_add(_start, cast(floor(datediff(`{ts}`, _start) / {days}) as int) * {days})"))
+    return d.groupBy(key, "step").agg(F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"), F.count(v).alias("n"))
+
+
 def resample(df: DataFrame, key: str, ts: str, v: str, unit: str) -> DataFrame:
     """Mean and median per calendar unit."""
     return df.groupBy(key, F.date_trunc(unit, ts).alias("step")).agg(F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"), F.count(v).alias("n"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coverspark.operators.lists import renumbered
 from coverspark.session import cut, ship
 
 
@@ -30,6 +34,32 @@ def box_join(points: DataFrame, boxes: DataFrame, cell: float, how: str = "inner
     return joined.drop("_px", "_py", "_cx", "_cy") if how not in ("left_semi", "left_anti") else joined.drop("_px", "_py")
 
 
+def ring_join(points: DataFrame, polygons: DataFrame, cell: float, how: str = "inner") -> DataFrame:
+    """Points (x, y) with the polygons (ring: array of structs x, y, closed) that hold them, found over grid cells as in box_join."""
+    xs, ys = F.transform("ring", lambda v: v["x"]), F.transform("ring", lambda v: v["y"])
+    # a box is open on its high side, a ring's own test decides there
+    boxed = polygons.withColumns({"min_x": F.array_min(xs), "max_x": F.array_max(xs) + cell, "min_y": F.array_min(ys), "max_y": F.array_max(ys) + cell})
+    inside = in_ring(F.col("x"), F.col("y"), F.col("ring"))
+    found = box_join(points, boxed, cell).where(inside).drop("min_x", "max_x", "min_y", "max_y")
+    return found if how == "inner" else points.join(found.select("x", "y").distinct(), ["x", "y"], how)
+
+
+def clip_touching(pixels: DataFrame, boxes: DataFrame, size: float, cell: float) -> DataFrame:
+    """Pixels (low corner x, y, edge `size`) with every box that they touch; on its edge counts."""
+    wider = boxes.withColumns({"min_x": F.col("min_x") - size, "min_y": F.col("min_y") - size, "max_x": F.col("max_x") + 1e-9, "max_y": F.col("max_y") + 1e-9})
+    return box_join(pixels, wider, cell).drop("min_x", "max_x", "min_y", "max_y")
+
+
+def rasterize(boxes: DataFrame, code: str, x0: float, y0: float, size: float, width: int, height: int) -> DataFrame:
+    """(x, y, value) of a grid: the largest code of the boxes that touch a cell, 0 where none does."""
+    spark = boxes.sparkSession
+    last = lambda hi, at, n: F.least(F.floor((F.col(hi) - at) / size), F.lit(n - 1))
+    span = lambda lo, hi, at, n: F.when(last(hi, at, n) >= F.greatest(F.floor((F.col(lo) - at) / size), F.lit(0)), F.sequence(F.greatest(F.floor((F.col(lo) - at) / size), F.lit(0)), last(hi, at, n)))
+    rows = boxes.select(code, F.explode(span("min_x", "max_x", x0, width)).alias("x"), "min_y", "max_y").select(code, "x", F.explode(span("min_y", "max_y", y0, height)).alias("y"))
+    grid = spark.range(width * height).select((F.col("id") % width).alias("x"), F.floor(F.col("id") / width).alias("y"), F.lit(0).cast("long").alias("value"))
+    return rows.select("x", "y", F.col(code).cast("long").alias("value")).unionByName(grid).groupBy("x", "y").agg(F.max("value").alias("value"))
+
+
 def pairs_within(points: DataFrame, distance: float, id_col: str = "id") -> DataFrame:
     """(a, b, distance) of different points at most `distance` apart, a < b; cells of that size and their neighbours meet."""
     own = points.select(F.col(id_col).alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.floor(F.col("x") / distance).alias("cx"), F.floor(F.col("y") / distance).alias("cy"))
@@ -40,59 +70,66 @@ def pairs_within(points: DataFrame, distance: float, id_col: str = "id") -> Data
     return own.join(other, ["cx", "cy"]).where("a < b").withColumn("distance", d).where(F.col("distance") <= distance).select("a", "b", "distance")
 
 
-def spread(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(id, component): smallest id reachable over (a, b), for every id in an edge. Labels fall to the least of the
-    neighbours' and then to their label's label, until none changes; each round ends as a shared table."""
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")))
+def distance_clusters(points: DataFrame, distance: float, id_col: str = "id", order: str = "ord", max_rounds: int = 60) -> DataFrame:
+    """(id, cluster): in input order a point joins the first cluster with a member within `distance`, or opens one.
+
+    Clusters never merge, so the result hangs on the order (whole numbers, no ties). cluster is the least order number of
+    its members: the least that a point reaches over steps within the distance to ever earlier points. Labels start at the
+    point's own number and fall to the least of the earlier neighbours' and to their label's label, until none changes; each
+    round ends as a shared table, so no task holds a cluster.
+    """
+    own = cut(points.select(F.col(id_col).alias("id"), F.col(order).cast("long").alias("ord"), "x", "y"))
+    near = pairs_within(own.drop("id"), distance, "ord")  # a before b
+    edges = cut(near.select(F.col("b").alias("ord"), F.col("a").alias("earlier")))
+    labels = cut(edges.groupBy("ord").agg(F.min("earlier").alias("label")))
     for _ in range(max_rounds):
-        low = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("c")), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("c"))
-        nearer = labels.join(low, "id").select("id", "component", F.least("component", "c").alias("near"))
-        jump = nearer.join(nearer.select(F.col("id").alias("near"), F.col("near").alias("next")), "near", "left")
-        new = cut(jump.select("id", F.least("near", F.coalesce("next", "near")).alias("component"), (F.least("near", F.coalesce("next", "near")) != F.col("component")).alias("moved")))
-        labels = new.select("id", "component")
+        known = labels.select(F.col("ord").alias("at"), F.col("label").alias("next"))
+        by_edge = edges.join(known, F.col("earlier") == F.col("at")).groupBy("ord").agg(F.min("next").alias("near"))
+        jump = labels.join(known, F.col("label") == F.col("at"), "left").select("ord", "label", F.coalesce("next", "label").alias("next"))
+        low = F.least("label", "next", F.coalesce("near", "label"))
+        new = cut(jump.join(by_edge, "ord", "left").select("ord", low.alias("label"), (low != F.col("label")).alias("moved")))
+        labels = new.select("ord", "label")
         if new.where("moved").isEmpty():
-            return labels
-    raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
+            break
+    else:
+        raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
+    return own.join(labels, "ord", "left").select("id", F.coalesce("label", "ord").alias("cluster"))
 
 
-def distance_clusters(points: DataFrame, distance: float, id_col: str = "id", order: str = "ord") -> DataFrame:
-    """(id, cluster): in input order a point joins the first cluster with a member within `distance`, or opens one.
+def parent_sites(plots: DataFrame, distance: float, area: str = "area", most: float = 314.0, prefix: str = "site_") -> DataFrame:
+    """(id, parent): clusters of the plots smaller than `most`, numbered by their first plot, as a label; null for others."""
+    small = plots.where(F.col(area) < most)
+    numbered = renumbered(distance_clusters(small, distance).join(small.select("id", "ord"), "id"), "cluster", "ord")
+    return plots.select("id").join(numbered.select("id", F.concat(F.lit(prefix), F.col("number").cast("string")).alias("parent")), "id", "left")
 
-    Clusters never merge, so the result hangs on the order; no cluster leaves its connected component, so the greedy
-    pass runs in each component on its own. cluster is the least order number of its members.
-    """
-    ship(points.sparkSession)
-    parts = spread(pairs_within(points, distance, id_col))
-    joined = points.join(parts, points[id_col] == parts["id"], "left").select(points[id_col].alias("_id"), F.col(order).cast("long").alias("_ord"), "x", "y", F.coalesce("component", points[id_col]).alias("_part"))
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_ord", kind="stable")
-        xy, number = pdf[["x", "y"]].to_numpy(float), np.full(len(pdf), -1)
-        first: list[int] = []
-        for k in range(len(pdf)):
-            near = np.flatnonzero(np.hypot(*(xy[:k] - xy[k]).T) <= distance) if k else np.empty(0, int)
-            if len(near):
-                number[k] = number[near].min()
-            else:
-                number[k] = len(first)
-                first.append(int(pdf["_ord"].iloc[k]))
-        return pd.DataFrame({"id": pdf["_id"].values, "cluster": np.array(first)[number]})
-
-    kind = points.schema[id_col].dataType.simpleString()
-    alone = joined.join(joined.groupBy("_part").count().where("count = 1"), "_part", "left_semi").select(F.col("_id").alias("id"), F.col("_ord").alias("cluster"))
-    some = joined.join(joined.groupBy("_part").count().where("count > 1"), "_part", "left_semi")
-    return some.groupBy("_part").applyInPandas(greedy, f"id {kind}, cluster long").unionByName(alone)
-
-
-def nearest(points: DataFrame, features: DataFrame) -> DataFrame:
-    """Points (x, y) with the code of the nearest feature (code, fx, fy); ties go to the smallest code.
-
-    Meant for feature tables of fixed small size, such as zones: all of them travel in one array.
+
+def clamped(c: Column, low: float, high: float) -> Column:
+    return F.greatest(F.least(c, F.lit(high)), F.lit(low))
+
+
+def nearest(points: DataFrame, features: DataFrame, cell: float, max_rounds: int = 40) -> DataFrame:
+    """Points (id, x, y) with the code of the nearest feature (code, fx, fy); ties go to the smallest code.
+
+    A point meets the features of its grid cell and the eight around it, and is done if the best of them is no
+    farther than a cell's edge, since all nearer ones are in these cells. The others go on with cells of twice the size.
     """
-    listed = features.agg(F.array_sort(F.collect_list(F.struct("code", "fx", "fy"))).alias("_all"))
-    d = lambda f: F.struct((F.pow(f["fx"] - F.col("x"), 2) + F.pow(f["fy"] - F.col("y"), 2)).alias("d"), f["code"].alias("code"))
-    return points.crossJoin(F.broadcast(listed)).withColumn("nearest", F.array_min(F.transform("_all", d))["code"]).drop("_all")
+    spot = lambda x, y, size: [F.floor(F.col(x) / size).alias("_cx"), F.floor(F.col(y) / size).alias("_cy")]
+    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    left, done = cut(points.select("id", "x", "y")), []
+    if features.isEmpty():
+        return points.withColumn("nearest", F.lit(None).cast(features.schema["code"].dataType))
+    for _ in range(max_rounds):
+        listed = features.select("code", "fx", "fy", *spot("fx", "fy", cell), F.explode(around).alias("s")).select("code", "fx", "fy", (F.col("_cx") + F.col("s.i")).alias("_cx"), (F.col("_cy") + F.col("s.j")).alias("_cy"))
+        d = F.pow(F.col("fx") - F.col("x"), 2) + F.pow(F.col("fy") - F.col("y"), 2)
+        best = left.select("id", "x", "y", *spot("x", "y", cell)).join(listed, ["_cx", "_cy"], "left").groupBy("id", "x", "y").agg(F.min(F.when(F.col("code").isNotNull(), F.struct(d.alias("d"), "code"))).alias("best"))
+        best = cut(best)
+        sure = F.coalesce(F.col("best.d") <= cell * cell, F.lit(False))
+        done.append(best.where(sure).select("id", F.col("best.code").alias("nearest")))
+        left = best.where(~sure).select("id", "x", "y")
+        if left.isEmpty():
+            break
+        cell *= 2
+    return points.join(reduce(DataFrame.unionByName, done), "id", "left")
 
 
 def sample_raster(points: DataFrame, pixels: DataFrame, x0: float, y1: float, size: float, how: str = "left") -> DataFrame:
@@ -106,26 +143,47 @@ def resample(pixels: DataFrame, factor: int) -> DataFrame:
     return pixels.groupBy(F.floor(F.col("x") / factor).alias("x"), F.floor(F.col("y") / factor).alias("y")).agg(F.avg("value").alias("value"))
 
 
+def resample_nearest(pixels: DataFrame, factor: int) -> DataFrame:
+    """The pixel at the middle of each block of factor x factor; a filter, nothing moves."""
+    middle = (F.pmod(F.col("x"), F.lit(factor)) == factor // 2) & (F.pmod(F.col("y"), F.lit(factor)) == factor // 2)
+    return pixels.where(middle).select(F.floor(F.col("x") / factor).alias("x"), F.floor(F.col("y") / factor).alias("y"), "value")
+
+
 def pyramid(pixels: DataFrame, levels: int) -> DataFrame:
-    """Means at 2, 4, ... 2^levels pixels, from sums of the finest blocks so that each level weighs pixels alike."""
-    each = pixels.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(levels))))
-    k = F.pow(F.lit(2.0), F.col("level"))
-    return each.groupBy("level", F.floor(F.col("x") / k).alias("x"), F.floor(F.col("y") / k).alias("y")).agg(F.avg("value").alias("value"))
+    """Means at 2, 4, ... 2^levels pixels. Each level comes from the sums and counts of the one before, so pixels weigh alike."""
+    half = lambda c: F.floor(F.col(c) / 2).alias(c)
+    own, out = pixels.select("x", "y", F.col("value").alias("total"), F.col("value").isNotNull().cast("long").alias("n")), []
+    for level in range(1, levels + 1):
+        own = cut(own.groupBy(half("x"), half("y")).agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
+        out.append(own.select(F.lit(level).alias("level"), "x", "y", F.try_divide("total", F.col("n").cast("double")).alias("value")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def pixel_mean(scenes: DataFrame) -> DataFrame:
+    """Mean of overlapping scenes per pixel, without their nulls; null where all are."""
+    return scenes.groupBy("x", "y").agg(F.avg("value").alias("value"))
 
 
 def mosaic_last(tiles: DataFrame, order: str) -> DataFrame:
-    """One value per pixel: the tile last in order wins."""
-    return tiles.groupBy("x", "y").agg(F.max_by("value", order).alias("value"))
+    """One value per pixel: the last tile in order that has one wins."""
+    return tiles.groupBy("x", "y").agg(F.max_by("value", F.when(F.col("value").isNotNull(), F.col(order))).alias("value"))
 
 
-def focal(pixels: DataFrame, radius: int, how: str = "max") -> DataFrame:
-    """Largest or least value within `radius` pixels in both directions."""
-    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-radius, radius + 1) for j in range(-radius, radius + 1)))
-    shifted = pixels.withColumn("_s", F.explode(steps)).select((F.col("x") + F.col("_s.i")).alias("x"), (F.col("y") + F.col("_s.j")).alias("y"), "value")
-    around = shifted.groupBy("x", "y").agg((F.max if how == "max" else F.min)("value").alias("focal"))
+def focal(pixels: DataFrame, radius: int, how: str = "max", name: str = "focal") -> DataFrame:
+    """Largest or least value within `radius` pixels in both directions: along rows, then along columns of that."""
+    pick = F.max if how == "max" else F.min
+    steps = F.sequence(F.lit(-radius), F.lit(radius))
+    along_x = pixels.withColumn("_s", F.explode(steps)).groupBy((F.col("x") + F.col("_s")).alias("x"), "y").agg(pick("value").alias("value"))
+    around = along_x.withColumn("_s", F.explode(steps)).groupBy("x", (F.col("y") + F.col("_s")).alias("y")).agg(pick("value").alias(name))
     return pixels.join(around, ["x", "y"])
 
 
+def opened(pixels: DataFrame, radius: int, buffer: int) -> DataFrame:
+    """A mask eroded by `radius`, then grown by `buffer`: single pixels go, larger patches keep a margin."""
+    eroded = focal(pixels, radius, "min", "_low").select("x", "y", F.col("_low").alias("value"))
+    return pixels.join(focal(eroded, buffer, "max", "opened").select("x", "y", "opened"), ["x", "y"])
+
+
 def terrain(pixels: DataFrame, size: float) -> DataFrame:
     """Slope and aspect in degrees and hillshade (azimuth 270, altitude 45) by Horn's differences, where all 8 neighbours are.
 
@@ -159,9 +217,44 @@ def composite(pixels: DataFrame, keys: list[str], value: str, time: str) -> Data
     return pixels.groupBy(*keys).agg(F.percentile(value, 0.5).alias("median"), F.min(F.when(F.col(value).isNotNull(), F.col(time))).alias("first_time"), F.max(value).alias("top"))
 
 
+def _hull(xy: np.ndarray) -> np.ndarray:
+    """Corners of the convex hull of points, by the monotone chain."""
+    xy = np.unique(xy, axis=0)
+    if len(xy) < 3:
+        return xy
+    chains = []
+    for points in (xy, xy[::-1]):
+        chain: list[np.ndarray] = []
+        for p in points:
+            while len(chain) > 1 and (chain[-1][0] - chain[-2][0]) * (p[1] - chain[-2][1]) - (chain[-1][1] - chain[-2][1]) * (p[0] - chain[-2][0]) <= 0:
+                chain.pop()
+            chain.append(p)
+        chains += chain[:-1]
+    return np.array(chains)
+
+
 def widest(points: DataFrame, key: str) -> DataFrame:
-    """Area of the disc over the largest distance in each group. For groups of bounded size, such as the plots of a site."""
-    pts = points.select(key, "x", "y").distinct()
-    a, b = pts.alias("a"), pts.alias("b")
-    d = F.max(F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")))
-    return a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}")).groupBy(F.col(f"a.{key}").alias(key)).agg(d.alias("width")).withColumn("area", F.pi() * F.pow(F.col("width") / 2, 2))
+    """Area of the disc over the largest distance in each group, which is between two corners of its convex hull.
+
+    Every batch sends only the hulls of its groups, and hulls of a few thousand points have some dozen corners, so a group of any
+    size is small when it meets.
+    """
+    ship(points.sparkSession)
+    own = points.select(key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x is not null and y is not null")
+    schema = own.schema
+
+    def hulls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for k, part in b.groupby(key, dropna=False):
+                corners = _hull(part[["x", "y"]].to_numpy())
+                yield pd.DataFrame({key: [k] * len(corners), "x": corners[:, 0], "y": corners[:, 1]})
+
+    def width(pdf: pd.DataFrame) -> pd.DataFrame:
+        corners, best = _hull(pdf[["x", "y"]].to_numpy()), 0.0
+        for p in corners:
+            best = max(best, float(np.hypot(*(corners - p).T).max()))
+        return pd.DataFrame({key: pdf[key].iloc[:1], "width": [best]})
+
+    kind = schema[key].dataType.simpleString()
+    out = own.mapInPandas(hulls, schema).groupBy(key).applyInPandas(width, f"{key} {kind}, width double")
+    return out.withColumn("area", F.pi() * F.pow(F.col("width") / 2, 2))

@@ -215,6 +215,29 @@ def fuzzy_best(spark, d):
     return _candidates(spark, d, 1).where("score >= 85").drop("place")
 
 
+_FORMS = "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' var. ' || lower(p_type) WHEN 2 THEN p_name || ' ssp. ' || lower(p_type) ELSE split_part(p_name, ' ', 1) END AS n FROM part"
+_ASKED = f"SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN n WHEN 1 THEN substr(n, 1, length(n) - 1) ELSE replace(n, 'ssp.', 'var.') END AS name FROM ({_FORMS}) f"
+_LISTED = f"SELECT n AS checklist_name, min('acc ' || n) AS accepted_name FROM ({_FORMS}) f GROUP BY n"
+_RANK_OF = """CASE WHEN list_contains({w}, 'var') THEN CASE WHEN list_position({w}, 'var') > 2 THEN 'variety' ELSE 'genus' END WHEN list_contains({w}, 'ssp') THEN CASE WHEN list_position({w}, 'ssp') > 2 THEN 'subspecies' ELSE 'genus' END
+  WHEN len({w}) <= 1 THEN 'genus' WHEN len({w}) = 2 THEN 'species' ELSE 'subspecies' END"""
+_CLEANED_WORDS = r"string_split(trim(regexp_replace(regexp_replace(lower({0}), '[^a-z\s]', '', 'g'), '\s+', ' ', 'g')), ' ')"
+
+
+def _ranked(name: str, source: str) -> str:
+    return f"SELECT *, w[1] AS genus, {_RANK_OF.format(w='w')} AS rank FROM (SELECT *, {_CLEANED_WORDS.format(name)} AS w FROM ({source}) z)"
+
+
+@query(ctes(a=_ranked("name", _ASKED), l=_ranked("checklist_name", _LISTED)) + """
+  , k AS (SELECT genus, rank, array_to_string(w[1 : CASE rank WHEN 'genus' THEN 1 WHEN 'species' THEN 2 ELSE 4 END], ' ') AS candidate, min(checklist_name) AS checklist_name, arg_min(accepted_name, checklist_name) AS accepted_name FROM l GROUP BY ALL),
+  steps AS (SELECT * FROM (VALUES ('subspecies', ['subspecies', 'variety', 'species', 'genus', 'family']), ('variety', ['variety', 'subspecies', 'species', 'genus', 'family']), ('species', ['species', 'subspecies', 'variety', 'genus', 'family']), ('genus', ['genus', 'family'])) t(own_rank, ranks)),
+  asked AS (SELECT name, w, genus, a.rank AS own_rank, array_to_string(w, ' ') AS key, unnest(ranks) AS rank, unnest(range(0, len(ranks))) AS step FROM a JOIN steps ON own_rank = a.rank),
+  pairs AS (SELECT asked.*, candidate, checklist_name, accepted_name, CASE WHEN key = candidate THEN 100.0 ELSE round(100.0 * (1 - levenshtein(key, candidate) / CAST(greatest(length(key), length(candidate), 1) AS DOUBLE)), 6) END AS score FROM asked JOIN k USING (genus, rank)),
+  best AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY step, key <> candidate, score DESC, CASE WHEN own_rank IN ('subspecies', 'variety') AND string_split(name, ' ')[-1] = string_split(candidate, ' ')[-1] THEN 0 ELSE 1 END, candidate) AS r FROM pairs WHERE score >= 85)
+  SELECT a.name, accepted_name, checklist_name, score, best.rank AS rank FROM a LEFT JOIN best ON best.name = a.name AND r = 1""")
+def fuzzy_cascade(spark, d):
+    return M.fuzzy_cascade(table(spark, d, _ASKED), table(spark, d, _LISTED))
+
+
 @query()
 def fuzzy_partial_ratio(spark, d):
     return M.partial_ratio(_candidates(spark, d, 5).select("name", "candidate"))

@@ -74,19 +74,40 @@ def season_values(spark, d):
     return _season(spark, d).select("id", F.round("peak", 6).alias("peak"), "peak_t", F.round("valley", 6).alias("valley"), "valley_t", F.round("base", 6).alias("base"), F.round("amplitude", 6).alias("amplitude"), F.round("middle", 6).alias("middle"))
 
 
-@query(_S + f""", {_SEASON}, g AS (SELECT id, t, v, peak_t, peak, base, CASE WHEN ta IS NULL AND tb IS NULL THEN NULL WHEN ta IS NULL THEN (vb - v) / (tb - t) WHEN tb IS NULL THEN (v - va) / (t - ta)
+_TARGETS = {"first": "{x}_first", "median": "{x}_mid", "amplitude": "base + (peak - base) * 0.5", "absolute": "60", "relative": "valley + (peak - valley) * 0.5"}
+#: Slopes beside the peak, their samples nearest to each target, and integrals between start and end by amplitude.
+_METRICS = f"""g AS (SELECT id, CAST(t AS DOUBLE) AS t, v, peak_t, peak, valley, valley_t, base, middle, CASE WHEN ta IS NULL AND tb IS NULL THEN NULL WHEN ta IS NULL THEN (vb - v) / (tb - t) WHEN tb IS NULL THEN (v - va) / (t - ta)
       ELSE ((t - ta) * (t - ta) * vb + ((tb - t) * (tb - t) - (t - ta) * (t - ta)) * v - (tb - t) * (tb - t) * va) / ((t - ta) * (tb - t) * (tb - ta)) END AS grad
     FROM (SELECT *, lag(v) OVER o AS va, lead(v) OVER o AS vb, CAST(lag(t) OVER o AS DOUBLE) AS ta, CAST(lead(t) OVER o AS DOUBLE) AS tb FROM t WINDOW o AS (PARTITION BY id ORDER BY t)) JOIN m USING (id) JOIN b USING (id)),
-  u AS (SELECT id, min({{'d': round(abs(v - (base + (peak - base) * 0.5)), 9), 't': t}}) AS s FROM g WHERE t <= peak_t AND grad > 0 GROUP BY id),
-  e AS (SELECT id, min({{'d': round(abs(v - (base + (peak - base) * 0.5)), 9), 't': t}}) AS s FROM g WHERE t >= peak_t AND grad < 0 GROUP BY id)
-  SELECT m.id, CAST(u.s.t AS DOUBLE) AS sos_t, CAST(e.s.t AS DOUBLE) AS eos_t FROM m LEFT JOIN u ON u.id = m.id LEFT JOIN e ON e.id = m.id""")
-def season_ends(spark, d):
-    return _season(spark, d).select("id", F.col("sos_amplitude_t").alias("sos_t"), F.col("eos_amplitude_t").alias("eos_t"))
+  sides AS (SELECT *, t <= peak_t AND grad > 0 AS up, t >= peak_t AND grad < 0 AS down FROM g),
+  marks AS (SELECT id, min(v) FILTER (up) AS up_first, min(v) FILTER (down) AS down_first, quantile_cont(v, 0.5) FILTER (up) AS up_mid, quantile_cont(v, 0.5) FILTER (down) AS down_mid, max(t) AS last_t FROM sides GROUP BY id),
+  ends AS (SELECT id, any_value(peak) AS peak, any_value(peak_t) AS peak_t, any_value(valley) AS valley, any_value(valley_t) AS valley_t, any_value(base) AS base, any_value(middle) AS middle, any_value(last_t) AS last_t, """ + ", ".join(
+    f"min({{{{'d': round(abs(v - ({f.format(x=side)})), 9), 't': t, 'v': v}}}}) FILTER ({side}) AS {name}_{m}" for side, name in (("up", "sos"), ("down", "eos")) for m, f in _TARGETS.items()) + """ FROM sides JOIN marks USING (id) GROUP BY id),
+  inside AS (SELECT g.id, g.t, g.v, CASE WHEN g.t >= sos_amplitude.t AND g.t <= eos_amplitude.t THEN g.v ELSE 0 END AS a, CASE WHEN g.t >= sos_amplitude.t AND g.t <= eos_amplitude.t THEN g.v - g.base ELSE 0 END AS c, g.v - g.valley AS e FROM g JOIN ends USING (id)),
+  sums AS (SELECT id, sum(a) AS lios, sum(c) AS sios, sum(v) AS liot, sum(e) AS siot FROM (SELECT id, """ + ", ".join(f"coalesce(({c} + lag({c}) OVER o) / 2, 0) AS {c}" for c in "avce") + " FROM inside WINDOW o AS (PARTITION BY id ORDER BY t)) GROUP BY id)"
+_METRICS = _METRICS.replace("{{", "{").replace("}}", "}")
+_ROUND = {"rise": 5, "fall": 5, "lios": 1, "sios": 1, "liot": 1, "siot": 1}
 
 
-@query()
+def _rounded(name: str, sql: str) -> str:
+    return f"round({sql}, {_ROUND.get(name, 6)}) AS {name}"
+
+
+_SOS, _EOS = "sos_amplitude", "eos_amplitude"
+_OUT = {"peak": "peak", "peak_t": "CAST(peak_t AS DOUBLE)", "valley": "valley", "valley_t": "CAST(valley_t AS DOUBLE)", "base": "base", "middle": "middle", "amplitude": "peak - base", "peak_valley": "peak - valley", "middle_base": "middle - base", "middle_valley": "middle - valley"}
+_OUT |= {f"{x}_{m}_{p}": f"{x}_{m}.{p}" for x in ("sos", "eos") for m in _TARGETS for p in ("v", "t")}
+_OUT |= {"length": f"CASE WHEN {_EOS}.t - {_SOS}.t < 0 THEN {_EOS}.t - {_SOS}.t + last_t ELSE {_EOS}.t - {_SOS}.t END", "rise": f"(peak - {_SOS}.v) / nullif(peak_t - {_SOS}.t, 0)", "fall": f"abs(({_EOS}.v - peak) / nullif({_EOS}.t - peak_t, 0))"}
+_OUT |= {n: n for n in ("lios", "sios", "liot", "siot")}
+
+
+@query(_S + f", {_SEASON}, {_METRICS} SELECT id, {', '.join(_rounded(n, f'ends.{x}' if x in ('peak',) else x) for n, x in _OUT.items())} FROM ends JOIN sums USING (id)")
 def phenometrics_all(spark, d):
-    return _season(spark, d)
+    return _season(spark, d).select("id", *(F.round(n, _ROUND.get(n, 6)).alias(n) for n in _OUT))
+
+
+@query(_S + f", {_SEASON}, {_METRICS} SELECT id, sos_amplitude.t AS sos_t, eos_amplitude.t AS eos_t FROM ends")
+def season_ends(spark, d):
+    return _season(spark, d).select("id", F.col("sos_amplitude_t").alias("sos_t"), F.col("eos_amplitude_t").alias("eos_t"))
 
 
 _LAGS = "lag(day) OVER o AS d0, day AS d1, lead(day) OVER o AS d2, lead(day, 2) OVER o AS d3, lag(v) OVER o AS p0, v AS p1, lead(v) OVER o AS p2, lead(v, 2) OVER o AS p3"
@@ -105,10 +126,108 @@ def detrend(spark, d):
     return S.detrend(series(spark, d), "id", "day", "v").select("id", "day", F.round("detrended", 4).alias("detrended"))
 
 
+_YEARS = "SELECT user_id, value AS v, epoch_us(ts) / (1e6 * 86400 * 365.25) AS t FROM events"
+_TERMS = ["1.0", "t", "cos(2 * pi() * t)", "sin(2 * pi() * t)", "cos(4 * pi() * t)", "sin(4 * pi() * t)"]
+
+
+def _years(spark, d):
+    return table(spark, d, "SELECT user_id, ts, value FROM events").withColumn("years", D.fractional_years(F.col("ts")))
+
+
 @query()
 def harmonic_fit(spark, d):
-    s = table(spark, d, "SELECT user_id, ts, value FROM events").withColumn("years", D.fractional_years(F.col("ts")))
-    return S.harmonic_fit(s, "user_id", "years", "value")
+    return S.harmonic_fit(_years(spark, d), "user_id", "years", "value")
+
+
+@query(f"WITH y AS ({_YEARS}) SELECT user_id, unnest(range(0, 36)) AS place, round(unnest([{', '.join(f'sum({a} * {b})' for a in _TERMS for b in _TERMS)}]), 3) AS xx FROM y GROUP BY user_id")
+def harmonic_products(spark, d):
+    sums, _ = S.harmonic_sums(_years(spark, d), "user_id", "years", "value")
+    return sums.select("user_id", F.posexplode("xx").alias("place", "xx")).select("user_id", F.col("place").cast("long").alias("place"), F.round("xx", 3).alias("xx"))
+
+
+@query(f"WITH y AS ({_YEARS}), s AS (SELECT user_id, sum({_TERMS[2]} * v) AS c, sum({_TERMS[3]} * v) AS s FROM y GROUP BY 1) SELECT user_id, round(sqrt(c * c + s * s), 4) AS amplitude, round(atan2(c, s), 7) AS phase FROM s")
+def amplitude_phase(spark, d):
+    sums, names = S.harmonic_sums(_years(spark, d), "user_id", "years", "value")
+    a, p = S.amplitude_phase(F.col("xy")[names.index("cos1")], F.col("xy")[names.index("sin1")])
+    return sums.select("user_id", F.round(a, 4).alias("amplitude"), F.round(p, 7).alias("phase"))
+
+
+@query(_S + """SELECT id, day, CASE WHEN coalesce(z > 1.2816 AND (v < (a + b) / 2 - sd OR v > greatest(a, b) + sd), FALSE) THEN NULL ELSE v END AS v FROM (
+  SELECT id, day, v, lag(v) OVER o AS a, lead(v) OVER o AS b, stddev_pop(v) OVER p AS sd, abs(v - avg(v) OVER p) / nullif(stddev_pop(v) OVER p, 0) AS z FROM s WINDOW o AS (PARTITION BY id ORDER BY day), p AS (PARTITION BY id))""")
+def outlier_z(spark, d):
+    return S.drop_outliers_z(series(spark, d), "id", "day", "v", 1.2816).select("id", "day", "v")
+
+
+_SHIPPED = "SELECT l_suppkey AS id, l_shipdate AS ts, l_quantity AS v FROM lineitem"
+
+
+def _climate(number: str, day: str) -> str:
+    return f"""WITH r AS ({_SHIPPED}), y AS (SELECT ys[len(ys) // 2 + 1] AS y FROM (SELECT list_sort(list(DISTINCT year(ts))) AS ys FROM r)), f AS (SELECT y, make_date(CAST(y AS INT), 1, 1) AS d FROM y)
+  SELECT id, {day} AS step, round(mean, 6) AS mean, median, n FROM (SELECT id, {number} AS k, avg(v) AS mean, quantile_cont(v, 0.5) AS median, count(v) AS n FROM r GROUP BY ALL), f"""
+
+
+@query(_climate("month(ts)", "make_date(CAST(y AS INT), CAST(k AS INT), 1)"))
+def climatology_month(spark, d):
+    return S.climatology(table(spark, d, _SHIPPED), "id", "ts", "v").withColumn("mean", F.round("mean", 6))
+
+
+@query(_climate("weekofyear(ts)", "d + CAST((8 - isodow(d)) % 7 + (k - 1) * 7 + 6 AS INT)"))
+def climatology_week(spark, d):
+    return S.climatology(table(spark, d, _SHIPPED), "id", "ts", "v", "week").withColumn("mean", F.round("mean", 6))
+
+
+@query(f"WITH r AS ({_SHIPPED}), s AS (SELECT CAST(date_trunc('week', min(ts)) AS DATE) AS a FROM r) SELECT id, a + CAST(floor(date_diff('day', a, CAST(ts AS DATE)) / 14) * 14 AS INT) AS step, round(avg(v), 6) AS mean, quantile_cont(v, 0.5) AS median, count(v) AS n FROM r, s GROUP BY ALL")
+def resample_two_weeks(spark, d):
+    return S.resample_days(table(spark, d, _SHIPPED), "id", "ts", "v", 14).withColumn("mean", F.round("mean", 6))
+
+
+@query(_S + f", g AS ({_GAPS} s) SELECT id, t, round(coalesce(v, first_value(v) OVER (PARTITION BY id ORDER BY t), avg(v) OVER (PARTITION BY id)), 8) AS filled FROM g")
+def fill_fast(spark, d):
+    return table(spark, d, f"{_GAPS} ({SERIES}) s").select("id", "t", F.round(S.fast_fill("v", "id", "t"), 8).alias("filled"))
+
+
+@query(_S + """, i AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY day) - 1 AS i, count(*) OVER (PARTITION BY id) AS n FROM s), w AS (SELECT o, exp(-0.5 * o * o) AS w FROM (SELECT unnest(range(-4, 5)) AS o)),
+  m AS (SELECT id, i, v FROM i UNION ALL SELECT id, -1 - i, v FROM i UNION ALL SELECT id, 2 * n - 1 - i, v FROM i)
+  SELECT a.id, a.day, round(sum(m.v * w) / (SELECT sum(w) FROM w), 5) AS v FROM i a, w, m WHERE m.id = a.id AND m.i = a.i + o GROUP BY a.id, a.day""")
+def smooth_gaussian(spark, d):
+    return S.smooth_gaussian(series(spark, d), "id", "day", "v").select("id", "day", F.round("smoothed", 5).alias("v"))
+
+
+_YEAR_DAYS = "SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS day FROM orders"
+
+
+@query(f"WITH o AS ({_YEAR_DAYS}), y AS (SELECT *, max(day) OVER (PARTITION BY id) AS last FROM o) SELECT id, CASE WHEN day = last AND month(day) = 12 THEN make_date(CAST(year(day) AS INT), 12, 31) ELSE day END AS day FROM y")
+def last_day_of_year(spark, d):
+    return S.year_end(table(spark, d, _YEAR_DAYS), "id", "day")
+
+
+@query(f"WITH o AS ({_YEAR_DAYS}), n AS (SELECT id, year(day) AS y, count(*) AS n FROM o GROUP BY ALL), c AS (SELECT id, y, row_number() OVER (PARTITION BY id ORDER BY n DESC, y) AS r FROM n) SELECT o.id, day FROM o JOIN c ON c.id = o.id AND c.y = year(day) AND r = 1")
+def dominant_year(spark, d):
+    return S.dominant_year(table(spark, d, _YEAR_DAYS), "id", "day")
+
+
+def _gradient(v: str) -> str:
+    return f"""CASE WHEN lag(t) OVER o IS NULL AND lead(t) OVER o IS NULL THEN NULL WHEN lag(t) OVER o IS NULL THEN (lead({v}) OVER o - {v}) / (lead(t) OVER o - t) WHEN lead(t) OVER o IS NULL THEN ({v} - lag({v}) OVER o) / (t - lag(t) OVER o)
+    ELSE ((t - lag(t) OVER o) ^ 2 * lead({v}) OVER o + ((lead(t) OVER o - t) ^ 2 - (t - lag(t) OVER o) ^ 2) * {v} - (lead(t) OVER o - t) ^ 2 * lag({v}) OVER o) / ((t - lag(t) OVER o) * (lead(t) OVER o - t) * (lead(t) OVER o - lag(t) OVER o)) END"""
+
+
+@query(_S + f""", t AS (SELECT id, CAST(dayofyear(day) AS DOUBLE) AS t, v FROM s), a AS (SELECT *, {_gradient('v')} AS first FROM t WINDOW o AS (PARTITION BY id ORDER BY t)), b AS (SELECT *, {_gradient('first')} AS second FROM a WINDOW o AS (PARTITION BY id ORDER BY t))
+  SELECT id, t, round(first, 5) AS first, round(second, 5) AS second FROM (SELECT *, lag(second) OVER (PARTITION BY id ORDER BY t) AS before FROM b) WHERE before * second < 0""")
+def inflections(spark, d):
+    s = series(spark, d).select("id", F.dayofyear("day").cast("double").alias("t"), "v")
+    return S.inflections(s, "id", "t", "v").select("id", "t", F.round("first", 5).alias("first"), F.round("second", 5).alias("second"))
+
+
+@query(_S + """, x AS (SELECT *, 20 + (max(v) OVER (PARTITION BY id) - 20) * 0.4 AS cut FROM s), g AS (SELECT id, min(day) FILTER (v > cut) AS a, max(day) FILTER (v > cut) AS b FROM x GROUP BY id)
+  SELECT id, a AS "start", b AS "end", dayofyear(a) AS start_doy, dayofyear(b) AS end_doy, b - a AS length FROM g""")
+def threshold_season(spark, d):
+    return S.threshold_season(series(spark, d), "id", "day", "v", 0.4, 20.0)
+
+
+@query("SELECT user_id, " + ", ".join(f"sum(value) FILTER (CAST(ts AS DATE) = DATE '2024-01-{k:02d}') AS \"2024_01_{k:02d}_sum\"" for k in (3, 11, 25)) + " FROM events GROUP BY 1")
+def wide_by_date(spark, d):
+    e = table(spark, d, "SELECT user_id, CAST(ts AS DATE) AS day, value FROM events")
+    return S.wide_by_date(e, "user_id", "day", "value", [f"2024-01-{k:02d}" for k in (3, 11, 25)], "_sum")
 
 
 @query()
@@ -154,6 +273,31 @@ def cumulative_sources(spark, d):
     return M.cumulative_sources(table(spark, d, "SELECT o_orderpriority FROM orders"), order, "o_orderpriority").groupBy("fit").agg(F.count("*").alias("n"))
 
 
+@query()
+def cumulative_fits(spark, d):
+    """Agreement of a forest on each set of sources 1 to i, for all rows and for those within a deviation of the mean."""
+    b = table(spark, d, BANDS).withColumn("source", F.concat(F.lit("s"), F.col("zone") % 3))
+    order = spark.createDataFrame([(f"s{k}", k + 1) for k in range(3)], "source string, place long")
+    mean = b.agg(F.avg("nir").alias("mean"), F.stddev_pop("nir").alias("sd"))
+    refined = b.crossJoin(F.broadcast(mean)).where(F.abs(F.col("nir") - F.col("mean")) < 1.5 * F.col("sd")).drop("mean", "sd")
+    return M.cumulative_fits({"original": b, "refined": refined}, order, "source", FEATURES, "nir", b.where("id % 5 = 0"), trees=5, depth=4, per_split="3")
+
+
+@query()
+def score_types(spark, d):
+    """Every pixel by one model per type, in one pass over the pixels."""
+    px = table(spark, d, PIXELS).select("cell_id", "x", "y", F.col("line").cast("double").alias("line"), "share", "value")
+    models = {t: M.forest(px.withColumn("cover", e), ["line", "share"], "cover", trees=3, depth=3, per_split="2") for t, e in (("shrub", F.col("value")), ("forb", 50 - F.col("value")))}
+    return M.score_types(models, px, ["line", "share"]).groupBy("type", "cell_id").agg(F.count("*").alias("n"), F.avg("prediction").alias("mean"))
+
+
+@query()
+def gbt_importance_categories(spark, d):
+    b = table(spark, d, BANDS).withColumn("kind", F.concat(F.lit("k"), F.col("zone") % 4))
+    got = M.boosted_importance(b, ["blue", "green"], "nir", rounds=3, depth=3, categories=["kind"])
+    return spark.createDataFrame(list(got.items()), "feature string, importance double")
+
+
 @query()
 def grid_leaderboard(spark, d):
     b = table(spark, d, BANDS)
@@ -187,11 +331,12 @@ def map_compare(spark, d):
     return A.agreement(both, "y", "a", "b").select("y", "n", F.round("r2", 5).alias("r2"), F.round("mae", 6).alias("mae"))
 
 
-@query("SELECT l_suppkey, l_returnflag, round(avg(l_quantity) FILTER (month(l_shipdate) BETWEEN 6 AND 8), 6) AS summer, round(avg(l_quantity) FILTER (month(l_shipdate) IN (12, 1, 2)), 6) AS winter FROM lineitem GROUP BY ALL")
+@query("SELECT l_suppkey, l_returnflag, " + ", ".join(f"round(avg(l_quantity) FILTER (month(l_shipdate) IN {m}), 6) AS {n}" for n, m in (("summer", "(6, 7, 8)"), ("winter", "(12, 1, 2)"), ("shoulder", "(3, 4, 5, 9, 10, 11)"))) + " FROM lineitem GROUP BY ALL")
 def season_means(spark, d):
     x = table(spark, d, "SELECT l_suppkey, l_returnflag, l_quantity, l_shipdate FROM lineitem")
     m = F.month("l_shipdate")
-    return x.groupBy("l_suppkey", "l_returnflag").agg(F.round(F.avg(F.when(m.between(6, 8), F.col("l_quantity"))), 6).alias("summer"), F.round(F.avg(F.when(m.isin(12, 1, 2), F.col("l_quantity"))), 6).alias("winter"))
+    seasons = {"summer": m.isin(6, 7, 8), "winter": m.isin(12, 1, 2), "shoulder": m.isin(3, 4, 5, 9, 10, 11)}
+    return x.groupBy("l_suppkey", "l_returnflag").agg(*(F.round(F.avg(F.when(c, F.col("l_quantity"))), 6).alias(n) for n, c in seasons.items()))
 
 
 @query("SELECT site, round(pi() * (max(sqrt((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2)) / 2) ^ 2, 4) AS area FROM (SELECT c_nationkey AS site, c_custkey % 97 AS x, c_custkey % 31 AS y FROM customer) a JOIN (SELECT c_nationkey AS site, c_custkey % 97 AS x, c_custkey % 31 AS y FROM customer) b USING (site) GROUP BY site")

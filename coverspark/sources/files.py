@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coverspark.functions.numbers import null_tokens
+from coverspark.functions.text import replaced
+from coverspark.schemas import conform, violations
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: str | None = None, encoding: str = "UTF-8", separator: str = ",") -> DataFrame:
@@ -18,6 +21,30 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: str | Non
     return df.select("*", F.col("_metadata.file_name").alias("file_name")).withColumns(text)
 
 
+def without_first_rows(df: DataFrame, path: str, rows: int = 1, separator: str = ",") -> DataFrame:
+    """The rows of read_delimited without the first `rows` under the header of each file, such as a row of descriptions.
+
+    The lines are read once more as text: those of a file's first block, in order, begin with the header and these rows.
+    Rows of the file that are equal to one of them are left out.
+    """
+    lines = df.sparkSession.read.text(path).select(F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), "value", F.monotonically_increasing_id().alias("_id")).where("_block = 0")
+    numbered = lines.withColumn("_line", F.row_number().over(Window.partitionBy("_file").orderBy("_id"))).where(F.col("_line").between(2, rows + 1))
+    parts = F.split("value", re.escape(separator))
+    data = [c for c in df.columns if c != "file_name"]
+    dropped = numbered.select("_file", *(null_tokens(F.try_element_at(parts, F.lit(k + 1))).alias(f"_{k}") for k in range(len(data))))
+    same = df["file_name"] == dropped["_file"]
+    for k, c in enumerate(data):
+        same = same & df[c].cast("string").eqNullSafe(dropped[f"_{k}"])
+    return df.join(F.broadcast(dropped), same, "left_anti")
+
+
+def read_named(spark: SparkSession, path: str, names: list[str], renames: dict[str, str], values: dict[str, dict[str, str]] | None = None, header: bool = True) -> DataFrame:
+    """A sheet saved as delimited text: columns named in order where it has no header, renamed, listed values replaced."""
+    df = spark.read.option("header", header).csv(path) if header else spark.read.csv(path).toDF(*names)
+    df = df.withColumnsRenamed(renames)
+    return df.withColumns({c: replaced(F.trim(c), m) for c, m in (values or {}).items()})
+
+
 def read_by_encoding(spark: SparkSession, files: dict[str, list[str]], schema: str | None = None) -> DataFrame:
     """Union of file groups by their encoding."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read_delimited(spark, paths, schema, e) for e, paths in files.items()])
@@ -62,13 +89,19 @@ def write_units(df: DataFrame, path: str, units: list[str]) -> None:
 
 
 def write_valid(df: DataFrame, violations: DataFrame, path: str) -> None:
-    """Write if no rule is violated."""
-    bad = violations.take(5)
+    """Write if no rule is violated; warnings are no obstacle."""
+    bad = violations.where("severity <> 'warning'").take(5)
     if bad:
         raise ValueError(f"not written, violations such as {bad}")
     df.write.mode("overwrite").parquet(path)
 
 
+def export(df: DataFrame, schema: str, path: str) -> None:
+    """Conform a table to its declared schema and write it if no rule of that is violated; only tables with one row per key
+    must have a unique one."""
+    write_valid(conform(df, schema), violations(df, schema).where("rule <> 'schema'"), path)
+
+
 def read_tiles(spark: SparkSession, path: str, bands: list[str] | None = None, cells: list[int] | None = None) -> DataFrame:
     """Pixels from files under band=/date=/cell_id=; only the folders asked for are read."""
     df = spark.read.parquet(path)
