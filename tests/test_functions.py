@@ -34,7 +34,7 @@ def column(spark, values, f, kind="string"):
     (numbers.coordinate, [" 61.5, ", "north", None], [61.5, None, None]),
     (lambda c: text.author_by_rank(c, F.lit("species")), ["Salix alba L. f.", "Salix alba"], ["L. f.", None]),
     (lambda c: dates.mixed_date(c, ["yyyy-MM-dd", "dd.MM.yyyy"]), ["2020-02-30", "2020-02-29", "01.03.2021", None], [None, datetime.date(2020, 2, 29), datetime.date(2021, 3, 1), None]),
-    (dates.range_midpoint_date, ["2000-2003", "3-6.7.1999", "x"], [datetime.date(2001, 7, 1), datetime.date(1999, 7, 4), None]),
+    (dates.range_midpoint_date, ["2000-2003", "1992-1996", "3-6.7.1999", "x"], [datetime.date(2001, 12, 31), datetime.date(1994, 7, 2), datetime.date(1999, 7, 4), None]),
 ])
 def test_text(spark, f, values, want):
     assert column(spark, values, f) == want
@@ -118,7 +118,8 @@ def test_spline_passes_through_its_points(spark):
 def test_season_of_one_peak(spark):
     v = [1, 2, 4, 8, 9, 7, 3, 1]
     df = spark.createDataFrame([(1, 10 * k, float(x)) for k, x in enumerate(v)] + [(2, 0, None)], "id int, t int, v double")
-    (r,) = series.season(df, "id", "t", "v").collect()
+    r, empty = series.season(df, "id", "t", "v").orderBy("id").collect()
+    assert empty.id == 2 and set(empty[1:]) == {None}
     assert (r.peak, r.peak_t, r.valley_t, r.base, r.amplitude) == (9.0, 40.0, 0.0, 1.0, 8.0)
     assert (r.sos_amplitude_t, r.eos_amplitude_t, r.length) == (20.0, 50.0, 30.0)
     assert abs(r.liot - np.trapezoid(v)) < 1e-9 and abs(r.siot - np.trapezoid(np.array(v) - 1)) < 1e-9
