@@ -213,7 +213,7 @@ def majority(df: DataFrame, key: str, kind: str) -> DataFrame:
 
 
 def composite(pixels: DataFrame, keys: list[str], value: str, time: str) -> DataFrame:
-    """Median value and first time per key."""
+    """Median (exact: a key's distinct values meet in one task) and largest value and first time per key."""
     return pixels.groupBy(*keys).agg(F.percentile(value, 0.5).alias("median"), F.min(F.when(F.col(value).isNotNull(), F.col(time))).alias("first_time"), F.max(value).alias("top"))
 
 

@@ -12,7 +12,10 @@ from coverspark.session import ship
 
 
 def box_stats(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Quartiles, mean and whiskers (the extreme values within 1.5 quartile ranges) per group."""
+    """Quartiles, mean and whiskers (the extreme values within 1.5 quartile ranges) per group.
+
+    Quartiles are exact: a group's distinct values meet in one task, so a group of continuous values should be of bounded size.
+    """
     q = df.groupBy(key).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.avg(value).alias("mean"))
     q = q.select(F.col(key).alias("_k"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "mean")
     near = (F.col(value) >= F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) & (F.col(value) <= F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
@@ -21,7 +24,7 @@ def box_stats(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def zonal(df: DataFrame, zone: str, value: str) -> DataFrame:
-    """Count, extremes, mean, population deviation, sum and quantiles per zone."""
+    """Count, extremes, mean, population deviation, sum and quantiles per zone; quantiles are exact, as in box_stats."""
     v = F.col(value)
     q = F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.9))))
     out = df.groupBy(zone).agg(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("sd"), F.sum(v).alias("total"), q.alias("q"))
@@ -32,7 +35,7 @@ def zone_type_grid(df: DataFrame, zone: str, kind: str, value: str) -> DataFrame
     """Mean for every zone and type, null where there is none; zones without any value are left out."""
     stats = df.groupBy(zone, kind).agg(F.avg(value).alias("mean"))
     zones = stats.where("mean is not null").select(zone).distinct()
-    return zones.crossJoin(F.broadcast(stats.select(kind).distinct())).join(stats, [zone, kind], "left")
+    return zones.crossJoin(stats.select(kind).distinct()).join(stats, [zone, kind], "left")
 
 
 def histogram(df: DataFrame, value: str, width: float) -> DataFrame:

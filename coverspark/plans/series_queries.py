@@ -242,6 +242,18 @@ def turning_points(spark, d):
     return series(spark, d).withColumn("turn", up * ahead).where("turn < 0").select("id", "day")
 
 
+_TWO = "SELECT o_orderkey AS k, o_totalprice / 1e5 AS y, CAST(o_custkey % 50 AS DOUBLE) / 10 + 1 AS a, CAST(o_orderkey % 17 AS DOUBLE) / 5 AS b FROM orders"
+
+
+@query(f"""WITH r AS ({_TWO}), s AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ay, sum(b * y) AS byy, sum(y * y) AS yy, count(*) AS n FROM r),
+  f AS (SELECT *, aa * bb - ab * ab AS det, (bb * ay - ab * byy) / (aa * bb - ab * ab) AS p, (aa * byy - ab * ay) / (aa * bb - ab * ab) AS q FROM s),
+  e AS (SELECT k, y - p * a - q * b AS e, (bb * a * a - 2 * ab * a * b + aa * b * b) / det AS h, (yy - p * ay - q * byy) / (n - 2) AS s2 FROM r, f)
+  SELECT k, round(e * e * h / (2 * s2 * (1 - h) ^ 2), 8) AS cooks FROM e""")
+def cooks_two_features(spark, d):
+    r = table(spark, d, _TWO.replace("1e5", "1e5D")).withColumns({c: F.col(c).cast("double") for c in ("y", "a", "b")})
+    return M.cooks_distance(r, ["a", "b"], "y").select("k", F.round("cooks", 8).alias("cooks"))
+
+
 @query("""WITH r AS (SELECT o_orderkey AS k, o_totalprice / 1e5 AS y, (o_custkey % 50) / 10.0 + 1 AS x FROM orders), s AS (SELECT sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy, count(*) AS n FROM r)
   SELECT k, round((y - x * xy / xx) ^ 2 * (x * x / xx) / (((yy - xy * xy / xx) / (n - 1)) * (1 - x * x / xx) ^ 2), 8) AS cooks FROM r, s""")
 def cooks_distance(spark, d):
