@@ -86,11 +86,10 @@ _METRICS = f"""g AS (SELECT id, CAST(t AS DOUBLE) AS t, v, peak_t, peak, valley,
   inside AS (SELECT g.id, g.t, g.v, CASE WHEN g.t >= sos_amplitude.t AND g.t <= eos_amplitude.t THEN g.v ELSE 0 END AS a, CASE WHEN g.t >= sos_amplitude.t AND g.t <= eos_amplitude.t THEN g.v - g.base ELSE 0 END AS c, g.v - g.valley AS e FROM g JOIN ends USING (id)),
   sums AS (SELECT id, sum(a) AS lios, sum(c) AS sios, sum(v) AS liot, sum(e) AS siot FROM (SELECT id, """ + ", ".join(f"coalesce(({c} + lag({c}) OVER o) / 2, 0) AS {c}" for c in "avce") + " FROM inside WINDOW o AS (PARTITION BY id ORDER BY t)) GROUP BY id)"
 _METRICS = _METRICS.replace("{{", "{").replace("}}", "}")
-_ROUND = {"rise": 5, "fall": 5, "lios": 1, "sios": 1, "liot": 1, "siot": 1}
 
 
 def _rounded(name: str, sql: str) -> str:
-    return f"round({sql}, {_ROUND.get(name, 6)}) AS {name}"
+    return f"round({sql}, 8) AS {name}"
 
 
 _SOS, _EOS = "sos_amplitude", "eos_amplitude"
@@ -102,7 +101,7 @@ _OUT |= {n: n for n in ("lios", "sios", "liot", "siot")}
 
 @query(_S + f", {_SEASON}, {_METRICS} SELECT id, {', '.join(_rounded(n, f'ends.{x}' if x in ('peak',) else x) for n, x in _OUT.items())} FROM ends JOIN sums USING (id)")
 def phenometrics_all(spark, d):
-    return _season(spark, d).select("id", *(F.round(n, _ROUND.get(n, 6)).alias(n) for n in _OUT))
+    return _season(spark, d).select("id", *(F.round(n, 8).alias(n) for n in _OUT))
 
 
 @query(_S + f", {_SEASON}, {_METRICS} SELECT id, sos_amplitude.t AS sos_t, eos_amplitude.t AS eos_t FROM ends")
@@ -212,10 +211,10 @@ def _gradient(v: str) -> str:
 
 
 @query(_S + f""", t AS (SELECT id, CAST(dayofyear(day) AS DOUBLE) AS t, v FROM s), a AS (SELECT *, {_gradient('v')} AS first FROM t WINDOW o AS (PARTITION BY id ORDER BY t)), b AS (SELECT *, {_gradient('first')} AS second FROM a WINDOW o AS (PARTITION BY id ORDER BY t))
-  SELECT id, t, round(first, 5) AS first, round(second, 5) AS second FROM (SELECT *, lag(second) OVER (PARTITION BY id ORDER BY t) AS before FROM b) WHERE before * second < 0""")
+  SELECT id, t, round(first, 9) AS first, round(second, 9) AS second FROM (SELECT *, lag(second) OVER (PARTITION BY id ORDER BY t) AS before FROM b) WHERE before * second < 0""")
 def inflections(spark, d):
     s = series(spark, d).select("id", F.dayofyear("day").cast("double").alias("t"), "v")
-    return S.inflections(s, "id", "t", "v").select("id", "t", F.round("first", 5).alias("first"), F.round("second", 5).alias("second"))
+    return S.inflections(s, "id", "t", "v").select("id", "t", F.round("first", 9).alias("first"), F.round("second", 9).alias("second"))
 
 
 @query(_S + """, x AS (SELECT *, 20 + (max(v) OVER (PARTITION BY id) - 20) * 0.4 AS cut FROM s), g AS (SELECT id, min(day) FILTER (v > cut) AS a, max(day) FILTER (v > cut) AS b FROM x GROUP BY id)
