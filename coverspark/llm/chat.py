@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coverspark.llm.texts import give_back
 from coverspark.session import cut, ship
 
 ROLES = ("system", "user", "assistant")
@@ -126,6 +127,8 @@ def _by_group(df: DataFrame, keys: list[str], order: list[str], work, schema: st
                 held = [batch.iloc[n:]]
         if held:
             yield work(*_grouped(pd.concat(held, ignore_index=True), keys))
+        held.clear()
+        give_back()
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverspark.llm.rows import free_name, keyed, without
-from coverspark.llm.texts import map_texts
+from coverspark.llm.texts import give_back, map_texts
 from coverspark.session import cut, ship
 
 _WINDOW = 16
@@ -80,6 +80,7 @@ def _pieces(digest_bytes: int):
                     yield pd.DataFrame(list(seen), columns=["name", "chunk"])
                     seen = set()
             yield pd.DataFrame(list(seen), columns=["name", "chunk"])
+        give_back()
 
     return run
 

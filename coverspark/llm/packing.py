@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverspark.llm.ranks import spread_rank
+from coverspark.llm.texts import give_back
 from coverspark.llm.tokens import Encoder, groups
 from coverspark.session import cut, ship
 
@@ -86,6 +87,8 @@ def _pieces(name: str, capacity: int, end_id: int, keep: list[str]):
                 rows = part.take(pa.array(row, pa.int64()))
                 made = [pa.array(x, pa.int64()) for x in (start, length, crc, tokens)]
                 yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index(c)) for c in keep] + made, names=[*keep, "start", "length", "ids_crc32", "doc_tokens"])
+        del own
+        give_back()
 
     return run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,14 @@ from coverspark.session import ship
 _ROWS = 512
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system, so that a worker that waits for the next task holds little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # the C library of Linux has it
+        trim(0)
+
+
 def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list[str | None]], dict[str, list]]], fields: dict[str, pa.DataType]) -> DataFrame:
     """`df` without `text_col` but with `fields`, which make()(texts) gives for a list of texts.
 
@@ -33,5 +42,7 @@ def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list[st
                 part = batch.slice(a, _ROWS)
                 made = of(part.column(part.schema.get_field_index(text_col)).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in keep] + [pa.array(made[n], k) for n, k in fields.items()], names=[*keep, *fields])
+        del of
+        give_back()
 
     return df.mapInArrow(run, schema)

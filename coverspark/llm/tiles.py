@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coverspark.llm.texts import give_back
+
 BLOCK, WEIGHT = 512, 1 << 20
 TILE = ["bucket", "lo", "hi"]
 
@@ -56,6 +58,8 @@ def by_tile(df: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], schema
             yield judge(whole)
         if held:
             yield judge(pd.concat(held, ignore_index=True))
+        held.clear()
+        give_back()
 
     return df.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(run, schema)
 
