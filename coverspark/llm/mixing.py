@@ -102,8 +102,9 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 def _draws(rows: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(blocks, fills) from (source, block, size, mark): what a row's block and size decide of its copies.
 
-    blocks: (source, block, rounds, shards_of, last_round, up_to, source_size, target): all rows of a block are taken
-    `rounds` times, those with a mark of at most `up_to` once more; shards_of holds the shard of each draw of the block. fills:
+    blocks: (source, block, rounds, shards_of, up_to, fill_most, source_size, target): all rows of a block are taken
+    `rounds` times, those with a mark of at most `up_to` once more; shards_of holds the shard of each draw of the block, and no row
+    of the source with a mark above fill_most is in fills. fills:
     (source, size, fill_up_to, fill_shard): rows of a block that the last round leaves out are taken there if their
     size is listed and their mark is at most fill_up_to.
     """
@@ -131,7 +132,7 @@ def _draws(rows: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFram
     order = cut(_same(order, ends.select("source", "block", F.lit(True).alias("partial"), "up_to", "rest"), ["source", "block"], "left"))
     fills = cut(_fills(rows, order, ends.where("rest > 0").select("source", "rest")))
     # draws are numbered round after round: number = round * (number of blocks) + place; a source's fill is the last one
-    filled = fills.select("source").distinct().withColumn("fill", F.lit(1))
+    filled = cut(fills.groupBy("source").agg(F.max("fill_up_to").alias("fill_most")).withColumn("fill", F.lit(1)))
     quotas = order.groupBy("source").agg((F.max("rounds") * F.count("*")).alias("whole"), F.sum((F.col("wanted") > 0).cast("long")).alias("more"))
     quotas = _same(quotas, filled, ["source"], "left").select("source", (F.col("whole") + F.col("more") + F.coalesce("fill", F.lit(0))).cast("long").alias("quota"), (F.col("whole") + F.col("more")).alias("fill_draw"))
     quotas = cut(quotas)
@@ -145,7 +146,7 @@ def _draws(rows: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFram
     numbered = order.where(rounds >= 0).select("source", "block", F.explode(F.sequence(F.lit(0).cast("long"), rounds)).alias("round"), (F.col("round") * F.col("last_place") + F.col("place")).alias("draw"))
     by_block = dealt(numbered).groupBy("source", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("round", "shard"))), lambda d: d["shard"]).alias("shards_of"))
     everything = F.when(F.col("partial"), F.coalesce("up_to", F.lit(_LEAST_MARK))).when(F.col("wanted") > 0, _MOST_MARK).otherwise(_LEAST_MARK)
-    blocks = _same(order, by_block, ["source", "block"], "left").select("source", "block", "rounds", "shards_of", everything.alias("up_to"), "source_size", "target")
+    blocks = _same(_same(order, by_block, ["source", "block"], "left"), filled, ["source"], "left").select("source", "block", "rounds", "shards_of", everything.alias("up_to"), "fill_most", "source_size", "target")
     fill_shard = dealt(quotas.select("source", F.col("fill_draw").alias("draw"))).select("source", F.col("shard").alias("fill_shard"))
     return cut(blocks), cut(_same(fills, fill_shard, ["source"]))
 
@@ -187,18 +188,21 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, blocks:
     return [F.col(source_col).alias("source"), words_in(text).alias("size"), F.pmod(F.xxhash64(F.lit(seed), key, mark), F.lit(blocks)).cast("int").alias("block"), mark.alias("mark")]
 
 
-def _placed(rows: DataFrame, blocks: DataFrame, fills: DataFrame, seed: int) -> DataFrame:
-    """rows (source, size, block, mark and others) with source_size, target and places; the rows stay where they are.
+def _placed(rows: DataFrame, blocks: DataFrame, fills: DataFrame, seed: int, size: Column) -> DataFrame:
+    """rows (source, block, mark and others) with source_size, target and places; the rows stay where they are.
 
-    Both tables are broadcast: a row per source and block, and one per source and size that fills up a rest.
+    Both tables are broadcast: a row per source and block, and one per source and size that fills up a rest. `size`, an
+    expression over rows, is evaluated only where a row may be in a fill.
     """
-    found = _same(_same(rows, F.broadcast(blocks), ["source", "block"]), F.broadcast(fills), ["source", "size"], "left")
+    found = _same(rows, F.broadcast(blocks), ["source", "block"])
+    found = found.withColumn("_size", F.when((F.col("mark") > F.col("up_to")) & (F.col("mark") <= F.col("fill_most")), size))
+    found = _same(found, F.broadcast(fills.withColumnRenamed("size", "_size")), ["source", "_size"], "left")
     in_last = F.col("mark") <= F.col("up_to")
     whole = F.slice("shards_of", F.lit(1), (F.col("rounds") + in_last.cast("long")).cast("int"))
     filled = F.when(~in_last & (F.col("mark") <= F.col("fill_up_to")), F.array("fill_shard")).otherwise(F.array().cast("array<int>"))
     own = F.concat(F.coalesce(whole, F.array().cast("array<int>")), filled)
     places = F.transform(own, lambda shard, k: F.struct(shard.alias("shard"), F.xxhash64(F.lit(seed + 3), k, F.col("mark")).alias("position")))
-    return found.withColumn("places", places).drop("shards_of", "up_to", "rounds", "fill_up_to", "fill_shard")
+    return found.withColumn("places", places).drop("shards_of", "up_to", "rounds", "fill_most", "fill_up_to", "fill_shard", "_size")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", blocks: int = 256, shards: int = 8, seed: int = 7) -> DataFrame:
@@ -218,7 +222,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     size and a hash alone, through two small tables, so no text moves and a hot source is `blocks` groups.
     """
     rows = cut(docs.select(F.col(id_col).alias("_id"), *_rows(docs, id_col, text_col, source_col, blocks, seed)))
-    out = _placed(rows, *_draws(rows, shards, seed), seed)
+    out = _placed(rows, *_draws(rows, shards, seed), seed, F.col("size"))
     return out.select(F.col("_id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.size("places")).alias("taken"), "places")
 
 
@@ -229,6 +233,10 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     """
     small = cut(docs.select(*_rows(docs, id_col, text_col, source_col, blocks, seed)))
     tables = _draws(small, shards, seed)
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *_rows(docs, id_col, text_col, source_col, blocks, seed))
-    copies = _placed(whole, *tables, seed).select("_doc", F.explode("places").alias("place"))
-    return copies.orderBy("place.shard", "place.position").select("_doc.*")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *(c for c, name in zip(_rows(docs, id_col, text_col, source_col, blocks, seed), ("source", "size", "block", "mark")) if name != "size"))
+    copies = _placed(whole, *tables, seed, words_in(F.col(f"_doc.`{text_col}`"))).select("_doc", F.explode("places").alias("place"))
+    # a position is a hash, so equal ranges of it are equal parts of a shard, and no pass over the texts has to find them
+    parts = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
+    part = F.least(F.floor((F.col("place.position") / F.lit(2.0**64) + 0.5) * parts), F.lit(parts - 1))
+    dealt = copies.repartitionById(parts * shards, (F.col("place.shard") * parts + part).cast("int"))
+    return dealt.sortWithinPartitions("place.shard", "place.position").select("_doc.*")
