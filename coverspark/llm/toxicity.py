@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,7 +17,8 @@ from pyspark.sql import functions as F
 from coverspark.llm.texts import map_texts
 from coverspark.session import cut, ship
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: Bytes of words after lower-casing, a-z and everything beyond ASCII; all others become spaces.
+_LETTERS = bytes(k if 97 <= k <= 122 or k >= 128 else 32 for k in range(256))
 
 
 @dataclass(frozen=True)
@@ -35,11 +35,13 @@ _KNOWN = 500_000
 
 
 def _counts(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
+    """Times of each word (in UTF-8) of the lower-cased text."""
+    return Counter((text or "").lower().encode("utf-8", "replace").translate(_LETTERS).split())
 
 
-def _forms(word: str) -> list[str]:
+def _forms(utf8: bytes) -> list[str]:
     """The features of a word: itself, and its starts with `^` after them."""
+    word = utf8.decode("utf-8", "replace")
     return [word, *(word[:k] + "^" for k in _STARTS if len(word) > k)]
 
 

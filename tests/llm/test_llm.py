@@ -235,6 +235,28 @@ def test_jaccard_join(spark, limit):
     assert [(r.component_id, r.n_links) for r in got if r.doc_id is None] == [(None, 0)] * 2
 
 
+def test_text_ids(spark):
+    """Ids that are texts: links and components as with numbers, under the least text."""
+    from pyspark.sql import functions as F
+
+    texts = near_copies(20, 3) + ["one two", "One, two!", "", None]
+    rows = list(enumerate(texts)) + [(None, texts[0])]
+    name = lambda i: None if i is None else f"d{i:03d}"
+    as_text = lambda df, c: df.withColumn(c, F.format_string("d%03d", F.col(c))).withColumn(c, F.when(F.col(c) != "dnull", F.col(c)))
+    links, root = brute_join(rows)
+    got = jaccard_join(as_text(docs(spark, rows), "doc_id").withColumnRenamed("lang", "component_id")).collect()
+    assert {r.doc_id: (r.n_links, r.component_id, r.kept) for r in got if r.doc_id} == {name(i): (links[i], name(root[i]), root[i] == i) for i in root}
+    assert [(r.component_id, r.n_links) for r in got if r.doc_id is None] == [(None, 0)]
+    v = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0]), (3, None), (None, [1.0, 0.0])]
+    df = spark.createDataFrame(v, "vec_id long, embedding array<double>")
+    got = vector_dedup(as_text(df, "vec_id"), "vec_id").collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {"d000": (1, "d000"), "d001": (1, "d000"), "d002": (0, "d002"), "d003": (0, "d003"), None: (0, None)}
+    labels = spark.createDataFrame([(f"d{k:03d}", k % 2) for k in range(20)], "doc_id string, quality int")
+    assert quality_classifier(as_text(docs(spark, rows), "doc_id"), labels).count() == len(rows)
+    turns = spark.createDataFrame([("x", 0, "user", "hi?"), ("x", 1, "assistant", "User: no\nno"), ("y", 0, "user", "a"), (None, 0, "user", "a")], "conv_id string, turn int, role string, text string")
+    assert sorted((r.conv_id or "", r.turn, r.line) for r in chat_format(turns).collect()) == [("", 0, 0), ("x", 0, 0), ("x", 1, 0), ("x", 1, 1), ("y", 0, 0)]
+
+
 def test_jaccard_join_on_documents(spark):
     df = spark.read.parquet(f"{DIR}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.collect()]
@@ -514,7 +536,7 @@ def test_toxicity_is_the_model_of_the_text(spark):
     want = Counter()
     for r in df.collect():
         times: Counter = Counter()
-        for w in re.findall(r"[^\W\d_]+", (r.text or "").lower()):
+        for w in re.findall(r"[a-z\x80-\U0010ffff]+", (r.text or "").lower()):
             times.update([f for f in (w, *(w[:k] + "^" for k in range(3, 8) if len(w) > k)) if f in model.weights])
         z = sum(model.weights[f] * log1p(n) for f, n in times.items())
         above = [1.0, *(1 / (1 + exp(min(30, max(-30, t - z)))) for t in model.thresholds), 0.0]
@@ -630,6 +652,31 @@ def test_same_as_sql(spark, name):
     assert differences(queries.QUERIES[name](spark, DIR), queries.ORACLE_SQL[name], DIR) == []
 
 
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_take_odd_rows(spark, stage):
+    """Nulls in any column, empty and long texts, ties, repeated rows and ids, names that the stage itself uses, and no rows."""
+    import corpus_pipeline as P
+
+    name, run = P.STAGES[stage]
+    names = [("_row_key", "_d"), ("_d_text", "_first"), ("_id", "component_id"), ("mark", "place"), ("_rank", "length")][stage]
+    rows = ODD + [(7, "seven " * 40), (7, "other " * 50), (None, "seven " * 40), (None, None), (3, "Same Text")]
+    df = docs(spark, rows).withColumnsRenamed(dict(zip(("lang", "n_chars"), names)))
+    out = run(spark, df, DIR)
+    got = out.collect()
+    if name == "packing":
+        assert Counter(r.doc_id for r in got if r.start == 0) == Counter(i for i, _ in rows)
+    else:
+        assert out.columns == df.columns and {(r.doc_id, r.text) for r in got} <= set(rows)
+    if name == "exact dedup":
+        assert Counter(lower(r.text) for r in got) == Counter({lower(t) for _, t in rows})
+    if name == "n-gram Jaccard join":
+        assert {shingle_set(r.text) for r in got} == {shingle_set(t) for _, t in rows}
+    if name == "mixing sources":
+        most = Counter(rows)
+        assert all(n <= 3 * most[k] for k, n in Counter((r.doc_id, r.text) for r in got).items())
+    assert run(spark, df.limit(0), DIR).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
 
