@@ -185,7 +185,7 @@ def parse_chat(lines: DataFrame, model: ChatModel, other: ChatModel | None = Non
 
     lines has conv_id, turn and, where there is one, line (order in the conversation; ties in text order), text and,
     where there is one, gap (a blank line is before it; without the column all have one); a column role is not read, nor are
-    others. conv_id, turn and line are whole numbers (text that is none raises Spark's cast error). With `other`, half of the
+    others. conv_id may be of any type that has an order, turn and line are whole numbers. With `other`, half of the
     conversations, by model_of, are decoded by it. role is the likeliest path's (Viterbi over the whole conversation).
     Lines in a row with one role make a turn; turn_no counts from 0. rendered is the line without its speaker marker, at the
     start of a turn after a tag that opens it (and closes the turn before), so a conversation's rows in order are its
@@ -206,11 +206,12 @@ def parse_chat(lines: DataFrame, model: ChatModel, other: ChatModel | None = Non
     gap = F.coalesce("gap", F.lit(True)) if "gap" in lines.columns else F.lit(True)
     half = model_of(F.col("conv_id")) if other else F.lit(0)
     score = F.when(half == 1, _scores(models[1], seen)).otherwise(_scores(models[0], seen)) if other else _scores(model, seen)
-    scored = lines.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), line.cast("long").alias("line"), (gap | (seen["marker"] > 0)).alias("gap"), half.alias("half"), score.alias("score"), F.xxhash64("text").alias("tie"), bare.alias("bare"))
+    scored = lines.select("conv_id", F.col("turn").cast("long").alias("turn"), line.cast("long").alias("line"), (gap | (seen["marker"] > 0)).alias("gap"), half.alias("half"), score.alias("score"), F.xxhash64("text").alias("tie"), bare.alias("bare"))
     placed = scored.where("conv_id is not null and turn is not null").orderBy("conv_id", "turn", "line", "tie")
     # sorted over all partitions, so a number is a place: partition, then row
     placed = cut(placed.withColumn("at", F.monotonically_increasing_id()).drop("tie"))
-    table = "conv_id long, at long, best array<double>"
+    conv = f"conv_id {lines.schema['conv_id'].dataType.simpleString()}"
+    table = f"{conv}, at long, best array<double>"
     steps = np.array([[m.within, m.following] for m in models])
     starts = np.array([m.first for m in models])
 
@@ -238,10 +239,10 @@ def parse_chat(lines: DataFrame, model: ChatModel, other: ChatModel | None = Non
         ends = _traced(np.stack(g["best"].values).reshape(-1, 4, 3), edges, before, last)
         return pd.DataFrame({"conv_id": g["conv_id"].values, "at": g["at"].values, "before": _before(ends, edges, before), "last": ends})
 
-    path = _by_group(tables[2].select("*", F.lit(3).alias("before"), F.lit(-1).alias("last")), ["conv_id"], ["at"], descend, "conv_id long, at long, before int, last int")
+    path = _by_group(tables[2].select("*", F.lit(3).alias("before"), F.lit(-1).alias("last")), ["conv_id"], ["at"], descend, f"{conv}, at long, before int, last int")
     for level in (2, 1):
         known = cut(path).select("conv_id", group(level).alias("part"), "before", "last")
-        path = _by_group(tables[level - 1].withColumn("part", group(level)).join(known, ["conv_id", "part"]), ["conv_id", "part"], ["at"], descend, "conv_id long, at long, before int, last int")
+        path = _by_group(tables[level - 1].withColumn("part", group(level)).join(known, ["conv_id", "part"]), ["conv_id", "part"], ["at"], descend, f"{conv}, at long, before int, last int")
     known = cut(path).select("conv_id", group(0).alias("part"), "before", "last")
 
     def lines_of(g: pd.DataFrame, edges: np.ndarray) -> pd.DataFrame:
@@ -252,7 +253,7 @@ def parse_chat(lines: DataFrame, model: ChatModel, other: ChatModel | None = Non
         opened -= np.repeat((opened - opens)[edges[:-1]], np.diff(edges))
         return pd.DataFrame({"conv_id": g["conv_id"].values, "at": g["at"].values, "turn": g["turn"].values, "line": g["line"].astype("Int64"), "role_no": ends, "opens": opens, "opened": opened, "bare": g["bare"].values})
 
-    traced = cut(_by_group(placed.withColumn("part", group(0)).join(known, ["conv_id", "part"]), ["conv_id", "part"], ["at"], lines_of, "conv_id long, at long, turn long, line long, role_no int, opens boolean, opened long, bare string"))
+    traced = cut(_by_group(placed.withColumn("part", group(0)).join(known, ["conv_id", "part"]), ["conv_id", "part"], ["at"], lines_of, f"{conv}, at long, turn long, line long, role_no int, opens boolean, opened long, bare string"))
     # turns opened before a group: within its group of groups, and before that
     opened = cut(traced.groupBy("conv_id", group(0).alias("part")).agg(F.max("opened").alias("n"), F.min("at").alias("at")))
     above = opened.groupBy("conv_id", group(1).alias("upper")).agg(F.sum("n").alias("n"))

@@ -11,9 +11,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from coverspark.llm.graph import components
-from coverspark.llm.rows import free_name, keyed, without
+from coverspark.llm.rows import by_own_key, free_name, keyed, without
 from coverspark.llm.shingles import mix, texts_shingles
 from coverspark.llm.texts import map_texts
 from coverspark.llm.tiles import LINKS, TILE, by_tile, links_of, padded, seen_before, shared, tile_pairs, tiled
@@ -163,7 +164,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Two documents are linked when the Jaccard similarity of their sets of `n`-word shingles (64-bit hashes; words
     are runs of letters, digits and non-ASCII characters, lower-cased) is `threshold` or more. A text of fewer than
     `n` words has one shingle of all its words; null, empty and wordless texts link with nothing, nor do rows
-    without an id, whose component is null. Ids are whole numbers (text that is none raises Spark's cast error). Repeated rows count as documents of their own. component_id is the
+    without an id, whose component is null. Ids may be of any type that has an order. Repeated rows count as documents of their own. component_id is the
     smallest id reachable over links; kept marks it. Other columns are ignored; an empty table gives an empty one.
 
     Equal sets are one class first. Each run puts a class into the bucket of one sampled token; buckets over `limit`
@@ -173,6 +174,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     ship(spark)
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        return by_own_key(docs, id_col, text_col, lambda rows, key: jaccard_join(rows, key, text_col, n, threshold, target_recall, limit, splits))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     sketched = cut(map_texts(texts.where("_id is not null"), "_text", _sketches(n), {"digest": pa.binary(), "n": pa.int64(), "sketch": pa.list_(pa.int32())}))
     # classes of equal sets; written, so that a hot class is a plain skewed join at the end

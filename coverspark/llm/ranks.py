@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def spread_rank(df: DataFrame, keys: list[str], order: list[Column], name: str, salts: int = 64) -> DataFrame:
+def spread_rank(df: DataFrame, keys: list[str], order: list[Column], name: str, salts: int | None = None) -> DataFrame:
     """Add `name`: 0-based, gapless within each combination of `keys` (none of them null).
 
-    Rows of a key are dealt over `salts` buckets by a hash of `order`, ranked in their bucket and
-    moved up by the sizes of the buckets before. Only the counts (keys x salts rows) meet per key.
+    Rows of a key are dealt over `salts` buckets (one per 250,000 rows of the table, 64 at least) by a hash of `order`, ranked
+    in their bucket and moved up by the sizes of the buckets before. Only the counts (keys x salts rows) meet per key.
     `df` is read twice, so pass a cut table. Rows alike in `order` get distinct ranks in either order.
     """
+    salts = salts or max(64, df.count() // 250_000)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     by = [*keys, "_salt"]
     before = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,22 @@ def keyed(docs: DataFrame, key: str) -> DataFrame:
     return cut(docs.withColumn(key, F.monotonically_increasing_id()))
 
 
+def by_own_key(df: DataFrame, id_col: str, value_col: str, run: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """run(df, id column) for ids of any type: it runs on a long key of the rows, and its components get their least id.
+
+    run returns id, n_links, component_id and kept, one row per row of its input; rows without an id are given null as a
+    component and no links, as run does itself.
+    """
+    key = free_name(df, "_row_key")
+    rows = keyed(df.select(id_col, value_col), key)
+    ids = rows.select(key, F.col(id_col).alias("_id"))
+    found = ids.join(cut(run(rows.where(F.col(id_col).isNotNull()).select(key, value_col), key)), key, "left")
+    found = cut(found.select("_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id"))
+    least = found.where("component_id is not null").groupBy("component_id").agg(F.min("_id").alias("_least"))
+    named = found.join(least, "component_id", "left")
+    return named.select(F.col("_id").alias(id_col), "n_links", F.col("_least").alias("component_id"), F.col("_id").eqNullSafe(F.col("_least")).alias("kept"))
+
+
 def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """`rows` but those whose key is in `gone` (a written table of keys), in place where `gone` is small enough to broadcast."""
     few = gone.limit(_ROWS + 1).count() <= _ROWS

@@ -174,5 +174,5 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranked = spread_rank(groups, ["class"], [F.col("digest")], "_rank")
     placed = cut(ranked.join(F.broadcast(places), "class").where("_rank >= rank_from and _rank < rank_to").select("digest", "shard"))
     own = cut(rows.join(placed, "digest").select("_id", "size", "text_crc32", "shard"))
-    slots = spread_rank(own, ["shard"], [F.col("_id"), F.col("text_crc32"), F.col("size")], "slot", 256)
+    slots = spread_rank(own, ["shard"], [F.col("_id"), F.col("text_crc32"), F.col("size")], "slot")
     return slots.select(F.col("_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
