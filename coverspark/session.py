@@ -64,6 +64,8 @@ def written() -> int:
 def release(since: int, keep: DataFrame | None = None) -> None:
     """Remove the tables that cut() has written since then but the one that `keep` reads; nothing may read them any more."""
     kept = {f.rsplit("/", 1)[0] for f in keep.inputFiles()} if keep is not None else set()
+    if keep is not None and not kept:
+        return  # a table without files can't be told from the others
     stay = []
     for spark, path in _written[since:]:
         if any(k.rstrip("/").endswith(path.rsplit("/", 1)[1]) for k in kept):
