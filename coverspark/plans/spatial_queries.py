@@ -173,7 +173,7 @@ def focal_min(spark, d):
 
 @query(f"""WITH g AS (SELECT x, y, CASE WHEN value > 500 THEN 1 ELSE 0 END AS value FROM ({_GRID})), e AS (SELECT a.x, a.y, min(b.value) AS low FROM g a JOIN g b ON b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 GROUP BY a.x, a.y)
   SELECT a.x, a.y, any_value(a.value) AS value, max(b.low) AS opened FROM g a JOIN e b ON b.x BETWEEN a.x - 2 AND a.x + 2 AND b.y BETWEEN a.y - 2 AND a.y + 2 GROUP BY a.x, a.y""")
-def opened_mask(spark, d):
+def eroded_then_grown(spark, d):
     g = table(spark, d, _SPARK_GRID).withColumn("value", F.when(F.col("value") > 500, 1).otherwise(0))
     return P.opened(g, 1, 2)
 

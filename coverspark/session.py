@@ -30,6 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed when the process ends."""
+    path = f"{shared_dir(spark)}/coverspark-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it back.
 
@@ -37,9 +44,8 @@ def cut(df: DataFrame) -> DataFrame:
     it is used, and its size is known to the planner.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/coverspark-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
