@@ -107,17 +107,20 @@ def clamped(c: Column, low: float, high: float) -> Column:
     return F.greatest(F.least(c, F.lit(high)), F.lit(low))
 
 
-def nearest(points: DataFrame, features: DataFrame, cell: float, max_rounds: int = 40) -> DataFrame:
+def nearest(points: DataFrame, features: DataFrame, cell: float | None = None, max_rounds: int = 40) -> DataFrame:
     """Points (id, x, y) with the code of the nearest feature (code, fx, fy); ties go to the smallest code.
 
     A point meets the features of its grid cell and the eight around it, and is done if the best of them is no
-    farther than a cell's edge, since all nearer ones are in these cells. The others go on with cells of twice the size.
+    farther than a cell's edge, since all nearer ones are in these cells. The others go on with cells of twice the size. The
+    first cells hold about two features each, if these are spread evenly.
     """
     spot = lambda x, y, size: [F.floor(F.col(x) / size).alias("_cx"), F.floor(F.col(y) / size).alias("_cy")]
     around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     left, done = cut(points.select("id", "x", "y")), []
-    if features.isEmpty():
+    n, width, height = features.agg(F.count("*"), F.max("fx") - F.min("fx"), F.max("fy") - F.min("fy")).first()
+    if not n:
         return points.withColumn("nearest", F.lit(None).cast(features.schema["code"].dataType))
+    cell = cell or max((2 * width * height / n) ** 0.5, max(width, height) / n, 1e-6)
     for _ in range(max_rounds):
         listed = features.select("code", "fx", "fy", *spot("fx", "fy", cell), F.explode(around).alias("s")).select("code", "fx", "fy", (F.col("_cx") + F.col("s.i")).alias("_cx"), (F.col("_cy") + F.col("s.j")).alias("_cy"))
         d = F.pow(F.col("fx") - F.col("x"), 2) + F.pow(F.col("fy") - F.col("y"), 2)

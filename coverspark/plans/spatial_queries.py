@@ -58,7 +58,7 @@ def raster_sample(spark, d):
 @query(_P + "SELECT id, (SELECT code FROM (SELECT n_nationkey AS code, -170.0 + n_nationkey * 1.2 AS fx, 60.0 + n_nationkey % 5 AS fy FROM nation) ORDER BY (fx - x) * (fx - x) + (fy - y) * (fy - y), code LIMIT 1) AS nearest FROM p")
 def nearest_fallback(spark, d):
     f = table(spark, d, "SELECT n_nationkey AS code, CAST(-170.0 + n_nationkey * 1.2 AS DOUBLE) AS fx, CAST(60.0 + n_nationkey % 5 AS DOUBLE) AS fy FROM nation")
-    return P.nearest(table(spark, d, POINTS), f, 0.5).select("id", "nearest")
+    return P.nearest(table(spark, d, POINTS), f).select("id", "nearest")
 
 
 METRES = "SELECT c_custkey AS id, c_custkey AS ord, CAST(c_custkey * 37 % 3000 AS DOUBLE) AS x, CAST(c_custkey * 53 % 1000 AS DOUBLE) AS y FROM customer"
@@ -306,7 +306,7 @@ def resample_nearest(spark, d):
 def nearest_clamped(spark, d):
     f = table(spark, d, "SELECT n_nationkey AS code, CAST(-170.0 + n_nationkey * 1.2 AS DOUBLE) AS fx, CAST(60.0 + n_nationkey % 5 AS DOUBLE) AS fy FROM nation WHERE n_nationkey % 7 <> 6")
     p = table(spark, d, POINTS).select("id", P.clamped(F.col("x"), -165.0, -150.0).alias("x"), P.clamped(F.col("y"), 61.0, 64.0).alias("y"))
-    return P.nearest(p, f, 0.25).select("id", "nearest")
+    return P.nearest(p, f).select("id", "nearest")
 
 
 @query(f"WITH g AS ({_GRID}) SELECT x, y, CASE WHEN value < 600 THEN 255 ELSE CAST(floor(value / 2000 * 100) AS INT) END AS value, DATE '2019-06-01' AS time_begin, DATE '2019-08-31' AS time_end FROM g")
