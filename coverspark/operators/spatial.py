@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -14,6 +15,11 @@ from coverspark.operators.lists import renumbered
 from coverspark.session import cut, ship
 
 
+def finite(*names: str) -> Column:
+    """Whether all of these columns hold a number: no null, NaN or infinity."""
+    return reduce(lambda a, b: a & b, (F.coalesce(~F.isnan(n) & (F.abs(F.col(n)) < float("inf")), F.lit(False)) for n in names))
+
+
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
     """Whether a point is inside a closed ring (array of structs x, y): odd number of edges to its right."""
     edges = F.arrays_zip(F.slice(ring, F.lit(1), F.size(ring) - 1).alias("a"), F.slice(ring, F.lit(2), F.size(ring) - 1).alias("b"))
@@ -112,11 +118,13 @@ def nearest(points: DataFrame, features: DataFrame, cell: float | None = None, m
 
     A point meets the features of its grid cell and the eight around it, and is done if the best of them is no
     farther than a cell's edge, since all nearer ones are in these cells. The others go on with cells of twice the size. The
-    first cells hold about two features each, if these are spread evenly.
+    first cells hold about two features each, if these are spread evenly. Features without a finite place are left out;
+    points without one have null, and so have all points if there is no feature.
     """
     spot = lambda x, y, size: [F.floor(F.col(x) / size).alias("_cx"), F.floor(F.col(y) / size).alias("_cy")]
     around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    left, done = cut(points.select("id", "x", "y")), []
+    features = features.where(finite("fx", "fy"))
+    left, done = cut(points.select("id", "x", "y").where(finite("x", "y"))), []
     n, width, height = features.agg(F.count("*"), F.max("fx") - F.min("fx"), F.max("fy") - F.min("fy")).first()
     if not n:
         return points.withColumn("nearest", F.lit(None).cast(features.schema["code"].dataType))
@@ -132,6 +140,8 @@ def nearest(points: DataFrame, features: DataFrame, cell: float | None = None, m
         if left.isEmpty():
             break
         cell *= 2
+    else:
+        raise RuntimeError(f"some points are farther than {cell} from every feature; raise max_rounds or cell")
     return points.join(reduce(DataFrame.unionByName, done), "id", "left")
 
 
@@ -152,6 +162,42 @@ def resample_nearest(pixels: DataFrame, factor: int) -> DataFrame:
     return pixels.where(middle).select(F.floor(F.col("x") / factor).alias("x"), F.floor(F.col("y") / factor).alias("y"), "value")
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Cells of width x height, counted from 0, the first with its low corner at (x0, y0)."""
+
+    x0: float
+    y0: float
+    size: float
+    width: int
+    height: int
+
+
+def resample_to(pixels: DataFrame, source: Grid, target: Grid, how: str = "mean") -> DataFrame:
+    """Pixels (x, y, value) of one grid brought onto another of any origin and size: (x, y, value) of the cells that a pixel reaches.
+
+    `mean` weighs the pixels that a cell overlaps by the shared area, without nulls (null where all are): each pixel goes to the
+    cells that it overlaps, one shuffle of sums. `nearest` is the pixel under a cell's centre, on its low edges included: each pixel gives
+    its value to the cells whose centres it holds, and nothing moves. Cells beyond the target's edges are left out. Edges that
+    are a billionth of a cell apart are the same.
+    """
+    if how not in ("mean", "nearest"):
+        raise ValueError(how)
+    # in units of target cells, from the target's origin
+    ends = {f"_{c}{k}": ((F.col(c) + k) * source.size + (o - t)) / target.size for c, o, t in (("x", source.x0, target.x0), ("y", source.y0, target.y0)) for k in (0, 1)}
+    p = pixels.select("x", "y", F.col("value").cast("double").alias("value")).withColumns(ends)
+    shift, tiny = 0.5 if how == "nearest" else 0.0, 1e-9
+    for c, n in (("x", target.width), ("y", target.height)):
+        first = F.ceil(F.col(f"_{c}0") - shift - tiny) if how == "nearest" else F.floor(F.col(f"_{c}0") + tiny)
+        first, last = F.greatest(first, F.lit(0)), F.least(F.ceil(F.col(f"_{c}1") - shift - tiny) - 1, F.lit(n - 1))
+        p = p.where(first <= last).withColumn(c, F.explode(F.sequence(first, last)))
+    if how == "nearest":
+        return p.select("x", "y", "value")
+    shared = [F.least(f"_{c}1", F.col(c) + 1.0) - F.greatest(f"_{c}0", F.col(c).cast("double")) for c in "xy"]
+    w = F.when(F.col("value").isNotNull(), shared[0] * shared[1])
+    return p.withColumn("_w", w).groupBy("x", "y").agg(F.try_divide(F.sum(F.col("value") * F.col("_w")), F.sum("_w")).alias("value"))
+
+
 def pyramid(pixels: DataFrame, levels: int) -> DataFrame:
     """Means at 2, 4, ... 2^levels pixels. Each level comes from the sums and counts of the one before, so pixels weigh alike."""
     half = lambda c: F.floor(F.col(c) / 2).alias(c)
