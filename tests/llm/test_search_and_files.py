@@ -16,7 +16,7 @@ from coverspark.llm import queries
 from coverspark.llm.hard_negatives import first_in_windows, hard_negatives, hilbert_keys
 from coverspark.llm.ranks import global_rank
 from coverspark.llm.resample import feature_counts, importance_resample, words_of
-from coverspark.llm.token_files import EliasFano, TokenFile, file_bytes, read_boundaries, read_documents, token_files, write_token_files
+from coverspark.llm.token_files import EliasFano, TokenFile, WordEncoder, file_bytes, read_boundaries, read_documents, token_files, write_token_files
 from coverspark.llm.tokens import _library
 from coverspark.session import scratch_path
 from tests.llm.test_llm import DIR, LONG, ODD, docs, lower
@@ -142,6 +142,18 @@ def test_token_files(spark, file_ids):
     assert Counter((r.doc_id, tuple(r.ids)) for r in read_documents(spark, folder, 2, 9).collect()) == Counter((i, tuple(ids[t])) for i, t in rows if i is not None and 2 <= i <= 9)
 
 
+def test_word_encoder():
+    rng = np.random.default_rng(13)
+    marks = [" ", "\n", "  ", "A", "b", "É", "ß", "İ", "H\u0331", "e\u0301", "'s", "'LL", "don't", "12", "½", "\u00a0", "\u3000", "<|endoftext|>", "<|ENDOFTEXT|>", "\x01", "\x02", "ſ", "Σ", "中文", ",", "...", "word", "Žluť", "=\u0338", "\u2019", "\x85", "ŉ", "|", "€"]
+    texts = ["".join(rng.choice(marks, rng.integers(0, 30))) for _ in range(3000)] + [None, ""]
+    own, library = WordEncoder("word_bpe_49k.json"), _library("word_bpe_49k.json")
+    assert own.words is not None
+    for a in range(0, len(texts), 500):
+        part = texts[a : a + 500]
+        assert [x.tolist() for x in own.encode(part)] == [library.encode(t or "", add_special_tokens=False).ids for t in part]
+    assert WordEncoder("byte_bpe_50k.json").words is None
+
+
 def test_token_files_of_no_rows(spark):
     assert token_files(docs(spark, [])).count() == 0
     with pytest.raises(TypeError):
