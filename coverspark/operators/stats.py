@@ -8,26 +8,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverspark.session import ship
+from coverspark.operators.order_stats import quantiles, value_ranks
+from coverspark.session import cut, ship
 
 
 def box_stats(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Quartiles, mean and whiskers (the extreme values within 1.5 quartile ranges) per group.
-
-    Quartiles are exact: a group's distinct values meet in one task, so a group of continuous values should be of bounded size.
-    """
-    q = df.groupBy(key).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.avg(value).alias("mean"))
-    q = q.select(F.col(key).alias("_k"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "mean")
+    """Quartiles, mean and whiskers (the extreme values within 1.5 quartile ranges) per group; quartiles are exact, see quantiles."""
+    q = quantiles(df, [key], value, [0.25, 0.5, 0.75]).select(F.col(key).alias("_k"), *(F.col("q")[k].alias(n) for k, n in enumerate(("q1", "median", "q3"))))
     near = (F.col(value) >= F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) & (F.col(value) <= F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    joined = df.join(q, F.col(key) == F.col("_k"))
-    return joined.groupBy(key, "q1", "median", "q3", "mean").agg(F.min(F.when(near, F.col(value))).alias("low"), F.max(F.when(near, F.col(value))).alias("high"))
+    joined = df.join(cut(q), F.col(key) == F.col("_k"))
+    return joined.groupBy(key, "q1", "median", "q3").agg(F.avg(value).alias("mean"), F.min(F.when(near, F.col(value))).alias("low"), F.max(F.when(near, F.col(value))).alias("high"))
 
 
 def zonal(df: DataFrame, zone: str, value: str) -> DataFrame:
-    """Count, extremes, mean, population deviation, sum and quantiles per zone; quantiles are exact, as in box_stats."""
+    """Count, extremes, mean, population deviation, sum and quantiles per zone; quantiles are exact, see quantiles."""
     v = F.col(value)
-    q = F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.9))))
-    out = df.groupBy(zone).agg(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("sd"), F.sum(v).alias("total"), q.alias("q"))
+    own = df.groupBy(zone).agg(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("sd"), F.sum(v).alias("total"))
+    q = quantiles(df, [zone], value, [0.25, 0.5, 0.75, 0.9]).withColumnRenamed(zone, "_k")
+    out = own.join(q, F.col(zone).eqNullSafe(F.col("_k")))
     return out.select(zone, "n", "low", "high", "mean", "sd", "total", *(F.col("q")[k].alias(n) for k, n in enumerate(("q1", "median", "q3", "p90"))))
 
 
@@ -46,12 +44,6 @@ def histogram(df: DataFrame, value: str, width: float) -> DataFrame:
     return v.crossJoin(F.broadcast(ends)).select(F.least(F.floor((F.col("v") - F.col("a")) / width), last).alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
 
 
-def average_rank(value: str, by: str) -> Column:
-    """Rank in the group with ties averaged."""
-    w = Window.partitionBy(by)
-    return F.rank().over(w.orderBy(value)) + (F.count("*").over(Window.partitionBy(by, value)) - 1) / 2.0
-
-
 def pearson(df: DataFrame, by: str, x: str, y: str) -> DataFrame:
     """n, r and t of the pairs without nulls, per group."""
     ok = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -86,8 +78,21 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
 
 
 def spearman(df: DataFrame, by: str, x: str, y: str) -> DataFrame:
+    """n and the rank correlation of the pairs without nulls, per group; ties have average ranks.
+
+    Equal pairs are counted first and weigh by their number; ranks come from value_ranks, so no group is sorted in one task.
+    Ranks have a mean of (n + 1) / 2, which makes the sums of one pass exact enough at any size.
+    """
     ok = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    return ok.select(by, average_rank(x, by).alias("rx"), average_rank(y, by).alias("ry")).groupBy(by).agg(F.count("*").alias("n"), F.corr("rx", "ry").alias("rho"))
+    pairs = ok.groupBy(by, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count("*").alias("_m"))
+    n = ok.groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("n"))
+    for c, r in ((x, "_rx"), (y, "_ry")):
+        own = value_ranks(ok, [by], c, r).select(F.col(by).alias(f"_k{r}"), F.col(c).alias(f"_v{r}"), r)
+        pairs = pairs.join(own, F.col(by).eqNullSafe(F.col(f"_k{r}")) & (F.col("_x" if c == x and r == "_rx" else "_y") == F.col(f"_v{r}"))).drop(f"_k{r}", f"_v{r}")
+    both = pairs.join(n, F.col(by).eqNullSafe(F.col("_by")))
+    dx, dy = (F.col(r) - (F.col("n") + 1) / 2 for r in ("_rx", "_ry"))
+    total = lambda c: F.sum(F.col("_m") * c)
+    return both.groupBy(by, "n").agg(F.try_divide(total(dx * dy), F.sqrt(total(dx * dx) * total(dy * dy))).alias("rho"))
 
 
 def agreement(df: DataFrame, by: str, predicted: str, observed: str) -> DataFrame:
@@ -105,7 +110,9 @@ def nearest_quantiles(values: Column, shares: list[float]) -> list[Column]:
 def moments(df: DataFrame, by: str, value: str) -> DataFrame:
     """Extremes, median, mean, sample deviation and bias-corrected skewness and excess kurtosis, per group."""
     v = F.col(value)
-    a = df.groupBy(by).agg(F.count(v).cast("double").alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.percentile(value, 0.5).alias("median"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.skewness(v).alias("g1"), F.kurtosis(v).alias("g2"))
+    a = df.groupBy(by).agg(F.count(v).cast("double").alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.skewness(v).alias("g1"), F.kurtosis(v).alias("g2"))
+    q = quantiles(df, [by], value, [0.5]).select(F.col(by).alias("_k"), F.col("q")[0].alias("median"))
+    a = a.join(q, F.col(by).eqNullSafe(F.col("_k")))
     n = F.col("n")
     skew = F.when(n > 2, F.try_divide(F.col("g1") * F.sqrt(n * (n - 1)), n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))
@@ -113,11 +120,10 @@ def moments(df: DataFrame, by: str, value: str) -> DataFrame:
 
 
 def quartile_flags(df: DataFrame, value: str, factor: float) -> DataFrame:
-    """Add `below` (under the first quartile) and `refined` (under the third plus factor ranges), over the whole table."""
-    q = df.agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    j = df.crossJoin(F.broadcast(q))
-    v, q1, q3 = F.col(value), F.col("q")[0], F.col("q")[1]
-    return j.withColumns({"below": v < q1, "refined": v < q3 + factor * (q3 - q1)}).drop("q")
+    """Add `below` (under the first quartile) and `refined` (under the third plus factor ranges), over the whole table; see quantiles."""
+    j = df.crossJoin(F.broadcast(quantiles(df, [], value, [0.25, 0.75], "_q")))  # one row
+    v, q1, q3 = F.col(value), F.col("_q")[0], F.col("_q")[1]
+    return j.withColumns({"below": v < q1, "refined": v < q3 + factor * (q3 - q1)}).drop("_q")
 
 
 def rank_max(value: str, by: list[str]) -> Column:
