@@ -119,3 +119,18 @@ def value_ranks(df: DataFrame, by: list[str], value: str, rank: str = "rank", n:
     keys = [*by, "_part"]
     joined = own.alias("a").join(before.alias("b"), _same(keys))
     return joined.select(*_own([*by, value, n]), (F.col("_before") + F.col("_own") + (F.col(n) + 1) / 2).alias(rank))
+
+
+def previous_in_group(df: DataFrame, by: list[str], order: str, previous: str = "previous", first: str = "first") -> DataFrame:
+    """Add the `order` of the row before in its group, and the least in the group. `order` has no ties or nulls.
+
+    Rows are dealt over ranges of (group, order); a range's first row of a group looks up the largest order of the ranges before,
+    in a table of a row per group and range. So a group of any size is spread over tasks.
+    """
+    placed = cut(df.repartitionByRange(*by, order).withColumn("_part", F.spark_partition_id()))
+    ends = placed.groupBy(*by, "_part").agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
+    along = Window.partitionBy(*by).orderBy("_part")
+    ends = ends.select(*by, "_part", F.lag("_high").over(along).alias("_before"), F.min("_low").over(Window.partitionBy(*by)).alias(first))
+    own = placed.withColumn("_own", F.lag(order).over(Window.partitionBy(*by, "_part").orderBy(order)))
+    joined = own.alias("a").join(ends.alias("b"), _same([*by, "_part"]))
+    return joined.select(*(F.col(f"a.{c}").alias(c) for c in df.columns), F.coalesce("_own", "_before").alias(previous), first)

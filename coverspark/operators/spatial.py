@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverspark.operators.lists import renumbered
-from coverspark.operators.order_stats import quantiles
+from coverspark.operators.order_stats import previous_in_group, quantiles
 from coverspark.session import cut, ship
 
 
@@ -77,17 +77,39 @@ def pairs_within(points: DataFrame, distance: float, id_col: str = "id") -> Data
     return own.join(other, ["cx", "cy"]).where("a < b").withColumn("distance", d).where(F.col("distance") <= distance).select("a", "b", "distance")
 
 
+def earlier_neighbours(points: DataFrame, distance: float) -> DataFrame:
+    """(ord, earlier): of each point (ord, x, y) at most 25 points before it within `distance`, by which its cluster is known.
+
+    Cells have a diagonal of the distance, so all points of a cell are neighbours, and clusters can only fall from one point of a
+    cell to the next. So of its own cell and of each of the 24 around it a point needs one point: the last before it
+    that is within the distance. In its own cell that is the one before; in others it is found by a join that keeps the
+    largest order number per cell, so pairs are compared there but not kept.
+    """
+    size = distance / 2**0.5 * (1 - 1e-9)
+    cells = points.where(finite("x", "y")).select("ord", "x", "y", F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy"))
+    own = cut(previous_in_group(cells, ["cx", "cy"], "ord", "earlier", "first"))
+    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3) if (i, j) != (0, 0)))
+    # a cell whose first point comes later has nothing for this one
+    heads = own.groupBy("cx", "cy").agg(F.min("ord").alias("_head"))
+    asked = own.select("ord", F.col("x").alias("px"), F.col("y").alias("py"), "cx", "cy", F.explode(steps).alias("s"))
+    asked = asked.select("ord", "px", "py", (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy")).join(heads, ["cx", "cy"]).where("_head < ord")
+    other = own.select("cx", "cy", F.col("ord").alias("before"), "x", "y")
+    near = asked.join(other, ["cx", "cy"]).where((F.col("before") < F.col("ord")) & (F.hypot(F.col("x") - F.col("px"), F.col("y") - F.col("py")) <= distance))
+    last = near.groupBy("ord", "cx", "cy").agg(F.max("before").alias("earlier")).select("ord", "earlier")
+    return last.unionByName(own.where("earlier is not null").select("ord", "earlier"))
+
+
 def distance_clusters(points: DataFrame, distance: float, id_col: str = "id", order: str = "ord", max_rounds: int = 60) -> DataFrame:
     """(id, cluster): in input order a point joins the first cluster with a member within `distance`, or opens one.
 
     Clusters never merge, so the result hangs on the order (whole numbers, no ties). cluster is the least order number of
     its members: the least that a point reaches over steps within the distance to ever earlier points. Labels start at the
-    point's own number and fall to the least of the earlier neighbours' and to their label's label, until none changes; each
-    round ends as a shared table, so no task holds a cluster.
+    least of the earlier neighbours (see earlier_neighbours: at most 25 a point, however dense a site is) and fall to the least
+    of theirs and to their label's label, until none changes; each round ends as a shared table, so no task holds a cluster. Points
+    without a finite place are clusters of their own.
     """
-    own = cut(points.select(F.col(id_col).alias("id"), F.col(order).cast("long").alias("ord"), "x", "y"))
-    near = pairs_within(own.drop("id"), distance, "ord")  # a before b
-    edges = cut(near.select(F.col("b").alias("ord"), F.col("a").alias("earlier")))
+    own = cut(points.select(F.col(id_col).alias("id"), F.col(order).cast("long").alias("ord"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
+    edges = cut(earlier_neighbours(own.drop("id"), distance))
     labels = cut(edges.groupBy("ord").agg(F.min("earlier").alias("label")))
     for _ in range(max_rounds):
         known = labels.select(F.col("ord").alias("at"), F.col("label").alias("next"))

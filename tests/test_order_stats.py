@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coverspark.operators import stats
-from coverspark.operators.order_stats import quantiles, value_ranks
+from coverspark.operators.order_stats import previous_in_group, quantiles, value_ranks
 
 SHARES = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
 
@@ -84,3 +84,13 @@ def test_spearman(spark):
     assert " rank(" not in stats.spearman(df, "k", "x", "y")._jdf.queryExecution().optimizedPlan().toString()
     same = stats.spearman(df.where("k < 3"), "k", "x", "x").collect()
     assert [r.rho for r in same] == pytest.approx([1.0] * 3)
+
+
+def test_previous_in_group(spark):
+    rows = [(k % 3 if k % 10 else None, k * 7919 % 5000) for k in range(5000)] + [(9, k) for k in range(6000, 8000)]
+    df = spark.createDataFrame(rows, "k int, ord int").repartition(7)
+    got = {(r.k, r.ord): (r.previous, r.first) for r in previous_in_group(df, ["k"], "ord").collect()}
+    for k in {k for k, _ in rows}:
+        own = sorted(o for j, o in rows if j == k)
+        assert [got.pop((k, o)) for o in own] == [(p, own[0]) for p in [None, *own[:-1]]]
+    assert not got

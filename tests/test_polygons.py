@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Row
 
 from coverspark.operators import polygons as G
+from coverspark.operators import spatial
 from coverspark.operators.spatial import Grid, nearest, resample_to
 
 #: A square with a square hole, and in the hole a part; a triangle that shares an edge with the square; a lone far segment-like sliver.
@@ -176,3 +177,30 @@ def test_nearest_without_places(spark, monkeypatch):
     assert with_nulls == len(rounds) - with_nulls
     with pytest.raises(RuntimeError):
         nearest(frame(spark, [(1e6, 0.0)]), features, cell=1e-3, max_rounds=3)
+
+
+def brute_clusters(rows, distance):
+    out = []
+    for k, (x, y) in enumerate(rows):
+        out.append(min((out[j] for j in range(k) if math.hypot(x - rows[j][0], y - rows[j][1]) <= distance), default=k))
+    return out
+
+
+@pytest.mark.parametrize("spread", [0.3, 3.0, 25.0])
+def test_distance_clusters(spark, spread):
+    rng = random.Random(6)
+    rows = [(rng.uniform(0, spread), rng.uniform(0, spread)) for _ in range(300)] + [(float(k % 20), float(k // 20)) for k in range(100)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(k, k, x, y) for k, (x, y) in enumerate(rows)] + [(1000, 1000, None, 1.0)], "id long, ord long, x double, y double").repartition(5)
+    got = {r.id: r.cluster for r in spatial.distance_clusters(df, 1.0).collect()}
+    assert got == dict(enumerate(brute_clusters(rows, 1.0))) | {1000: 1000}
+
+
+def test_neighbours_of_a_dense_site(spark):
+    """All points in one cell, one after another: one edge a point instead of all pairs."""
+    df = spark.range(20_000).selectExpr("id AS ord", "(hash(id) % 1000) / 1e5 + 0.2 AS x", "(hash(id, 1) % 1000) / 1e5 + 0.2 AS y")
+    n = spatial.earlier_neighbours(df, 1.0).groupBy("ord").count()
+    assert n.count() == 19_999 and n.agg({"count": "max"}).first()[0] == 1
+    assert spatial.distance_clusters(df.withColumn("id", df.ord), 1.0).where("cluster <> 0").isEmpty()
+    spread = spark.range(3000).selectExpr("id AS ord", "hash(id) % 1000 / 400.0D AS x", "hash(id, 1) % 1000 / 400.0D AS y")
+    assert spatial.earlier_neighbours(spread, 1.0).groupBy("ord").count().agg({"count": "max"}).first()[0] <= 25
