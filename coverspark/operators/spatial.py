@@ -8,7 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from coverspark.operators.lists import renumbered
@@ -78,12 +78,13 @@ def pairs_within(points: DataFrame, distance: float, id_col: str = "id") -> Data
 
 
 def earlier_neighbours(points: DataFrame, distance: float) -> DataFrame:
-    """(ord, earlier): of each point (ord, x, y) at most 25 points before it within `distance`, by which its cluster is known.
+    """(ord, earlier, least): of each point (ord, x, y) at most 25 points before it within `distance`, by which its cluster is known.
 
     Cells have a diagonal of the distance, so all points of a cell are neighbours, and clusters can only fall from one point of a
     cell to the next. So of its own cell and of each of the 24 around it a point needs one point: the last before it
     that is within the distance. In its own cell that is the one before; in others it is found by a join that keeps the
-    largest order number per cell, so pairs are compared there but not kept.
+    largest order number per cell, so pairs are compared there but not kept. `least` is the first such point of the cell, where
+    the search for the cluster may start.
     """
     size = distance / 2**0.5 * (1 - 1e-9)
     cells = points.where(finite("x", "y")).select("ord", "x", "y", F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy"))
@@ -95,8 +96,8 @@ def earlier_neighbours(points: DataFrame, distance: float) -> DataFrame:
     asked = asked.select("ord", "px", "py", (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy")).join(heads, ["cx", "cy"]).where("_head < ord")
     other = own.select("cx", "cy", F.col("ord").alias("before"), "x", "y")
     near = asked.join(other, ["cx", "cy"]).where((F.col("before") < F.col("ord")) & (F.hypot(F.col("x") - F.col("px"), F.col("y") - F.col("py")) <= distance))
-    last = near.groupBy("ord", "cx", "cy").agg(F.max("before").alias("earlier")).select("ord", "earlier")
-    return last.unionByName(own.where("earlier is not null").select("ord", "earlier"))
+    last = near.groupBy("ord", "cx", "cy").agg(F.max("before").alias("earlier"), F.min("before").alias("least")).drop("cx", "cy")
+    return last.unionByName(own.where("earlier is not null").select("ord", "earlier", F.col("first").alias("least")))
 
 
 def distance_clusters(points: DataFrame, distance: float, id_col: str = "id", order: str = "ord", max_rounds: int = 60) -> DataFrame:
@@ -110,15 +111,16 @@ def distance_clusters(points: DataFrame, distance: float, id_col: str = "id", or
     """
     own = cut(points.select(F.col(id_col).alias("id"), F.col(order).cast("long").alias("ord"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
     edges = cut(earlier_neighbours(own.drop("id"), distance))
-    labels = cut(edges.groupBy("ord").agg(F.min("earlier").alias("label")))
+    labels = cut(edges.groupBy("ord").agg(F.min("least").alias("label")))
     for _ in range(max_rounds):
         known = labels.select(F.col("ord").alias("at"), F.col("label").alias("next"))
         by_edge = edges.join(known, F.col("earlier") == F.col("at")).groupBy("ord").agg(F.min("next").alias("near"))
         jump = labels.join(known, F.col("label") == F.col("at"), "left").select("ord", "label", F.coalesce("next", "label").alias("next"))
         low = F.least("label", "next", F.coalesce("near", "label"))
-        new = cut(jump.join(by_edge, "ord", "left").select("ord", low.alias("label"), (low != F.col("label")).alias("moved")))
-        labels = new.select("ord", "label")
-        if new.where("moved").isEmpty():
+        seen = Observation()
+        fallen = jump.join(by_edge, "ord", "left").select("ord", low.alias("label"), (low != F.col("label")).alias("moved"))
+        labels = cut(fallen.observe(seen, F.count_if("moved").alias("moved")).select("ord", "label"))
+        if not seen.get["moved"]:
             break
     else:
         raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
