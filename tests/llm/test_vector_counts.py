@@ -1,0 +1,51 @@
+"""Shared pivots of vectors, and links of a large table with a large cluster."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from coverspark.llm.vector_dedup import permutations, plan_index, shared_counts, unit_rows, vector_dedup
+from tests.llm.test_llm import by_id
+
+
+@pytest.mark.parametrize("shift", [0, 1, 3, 8])
+def test_shared_counts(shift):
+    rng = np.random.default_rng(1)
+    x, y = (np.array([rng.permutation(20)[:8] for _ in range(n)]) for n in (40, 70))
+    want = [[sum(p == q and abs(i - j) <= shift for i, p in enumerate(a) for j, q in enumerate(b)) for b in y] for a in x]
+    assert shared_counts(x, y, shift).tolist() == want
+    assert shared_counts(x + 100, y, shift).sum() == 0 and shared_counts(x, y[:0], shift).shape == (40, 0) and shared_counts(x[:0], y, shift).shape == (0, 70)
+
+
+def test_plan_keeps_its_target():
+    rng = np.random.default_rng(2)
+    x = unit_rows(list(rng.normal(size=(4000, 32))))
+    own = plan_index(x, 500, 0.9, 0.998)
+    a = x[:1000]
+    away = rng.normal(size=a.shape)
+    away -= (away * a).sum(1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    near = [permutations(v, own.pivots, own.nearest) for v in (a, b)]
+    assert np.mean([shared_counts(p[None], q[None], own.shift)[0, 0] >= own.common for p, q in zip(*near)]) > 0.98
+
+
+def test_links_of_20000_vectors_with_a_third_in_one_cluster(spark):
+    rng = np.random.default_rng(3)
+    n, hot, d = 20_000, 6_667, 64
+    x = rng.normal(size=(n, d))
+    x[:hot] = rng.normal(size=d) + 0.31 * rng.normal(size=(hot, d))  # cosines of about 0.91 within
+    pairs = np.arange(hot, hot + 6000, 2)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=(len(pairs), d))
+    away -= (away * x[pairs]).sum(1, keepdims=True) * x[pairs]
+    x[pairs + 1] = 0.905 * x[pairs] + np.sqrt(1 - 0.905**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    x = np.float32(x)
+    got = by_id(vector_dedup(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")), "vec_id")
+    u = unit_rows(list(x))
+    true = np.zeros(n, np.int64)
+    for a in range(0, n, 2000):
+        true[a : a + 2000] = (u[a : a + 2000] @ u.T >= 0.9).sum(1) - 1
+    found = np.array([got[k]["n_links"] for k in range(n)])
+    assert (found <= true).all() and found.sum() >= 0.98 * true.sum()
+    assert found[hot:].sum() >= 0.98 * true[hot:].sum() > 5000 and true[:hot].sum() > 1_000_000
