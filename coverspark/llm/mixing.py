@@ -104,7 +104,8 @@ def _draws(rows: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFram
 
     blocks: (source, block, rounds, shards_of, up_to, fill_most, source_size, target): all rows of a block are taken
     `rounds` times, those with a mark of at most `up_to` once more; shards_of holds the shard of each draw of the block, and no row
-    of the source with a mark above fill_most is in fills. fills:
+    of the source with a mark above fill_most is in fills; in the last round the row with the mark mark_out, if there is one, is
+    left out, and that with mark_in taken instead, in swap_shard. fills:
     (source, size, fill_up_to, fill_shard): rows of a block that the last round leaves out are taken there if their
     size is listed and their mark is at most fill_up_to.
     """
@@ -131,8 +132,10 @@ def _draws(rows: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFram
     ends = cut(_same(ends, fit, ["source", "block"], "left").withColumn("rest", F.floor(F.col("wanted") - F.coalesce("fitted", F.lit(0)) + 1e-6)))
     order = cut(_same(order, ends.select("source", "block", F.lit(True).alias("partial"), "up_to", "rest"), ["source", "block"], "left"))
     fills = cut(_fills(rows, order, ends.where("rest > 0").select("source", "rest")))
+    swaps = cut(_swaps(rows, order, fills, ends.where("rest > 0").select("source", "rest")))
     # draws are numbered round after round: number = round * (number of blocks) + place; a source's fill is the last one
-    filled = cut(fills.groupBy("source").agg(F.max("fill_up_to").alias("fill_most")).withColumn("fill", F.lit(1)))
+    used = fills.select("source", "fill_up_to").unionByName(swaps.select("source", F.lit(None).cast("long").alias("fill_up_to")))
+    filled = cut(used.groupBy("source").agg(F.max("fill_up_to").alias("fill_most")).withColumn("fill", F.lit(1)))
     quotas = order.groupBy("source").agg((F.max("rounds") * F.count("*")).alias("whole"), F.sum((F.col("wanted") > 0).cast("long")).alias("more"))
     quotas = _same(quotas, filled, ["source"], "left").select("source", (F.col("whole") + F.col("more") + F.coalesce("fill", F.lit(0))).cast("long").alias("quota"), (F.col("whole") + F.col("more")).alias("fill_draw"))
     quotas = cut(quotas)
@@ -146,9 +149,11 @@ def _draws(rows: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFram
     numbered = order.where(rounds >= 0).select("source", "block", F.explode(F.sequence(F.lit(0).cast("long"), rounds)).alias("round"), (F.col("round") * F.col("last_place") + F.col("place")).alias("draw"))
     by_block = dealt(numbered).groupBy("source", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("round", "shard"))), lambda d: d["shard"]).alias("shards_of"))
     everything = F.when(F.col("partial"), F.coalesce("up_to", F.lit(_LEAST_MARK))).when(F.col("wanted") > 0, _MOST_MARK).otherwise(_LEAST_MARK)
-    blocks = _same(_same(order, by_block, ["source", "block"], "left"), filled, ["source"], "left").select("source", "block", "rounds", "shards_of", everything.alias("up_to"), "fill_most", "source_size", "target")
+    blocks = _same(_same(order, by_block, ["source", "block"], "left"), filled, ["source"], "left")
     fill_shard = dealt(quotas.select("source", F.col("fill_draw").alias("draw"))).select("source", F.col("shard").alias("fill_shard"))
-    return cut(blocks), cut(_same(fills, fill_shard, ["source"]))
+    blocks = _same(_same(blocks, swaps, ["source"], "left"), fill_shard.withColumnRenamed("fill_shard", "swap_shard"), ["source"], "left")
+    blocks = blocks.select("source", "block", "rounds", "shards_of", everything.alias("up_to"), "fill_most", "source_size", "target", "mark_out", "mark_in", "swap_shard")
+    return cut(blocks), cut(_same(fills.drop("words"), fill_shard, ["source"]))
 
 
 _LEAST_MARK, _MOST_MARK = -(1 << 63), (1 << 63) - 1
@@ -178,7 +183,29 @@ def _fills(rows: DataFrame, order: DataFrame, rests: DataFrame) -> DataFrame:
 
     chosen = counts.select("source", F.explode(F.aggregate("sizes", state, step, lambda s: s["taken"])).alias("t")).select("source", "t.size", F.col("t.n").alias("n"))
     ranked = _same(left, chosen, ["source", "size"]).withColumn("upto", F.count("*").over(Window.partitionBy("source", "size").orderBy("mark").rangeBetween(Window.unboundedPreceding, 0)))
-    return ranked.where("upto <= n").groupBy("source", "size").agg(F.max("mark").alias("fill_up_to"))
+    return ranked.where("upto <= n").groupBy("source", "size").agg(F.max("mark").alias("fill_up_to"), (F.max("upto") * F.col("size")).alias("words"))
+
+
+def _swaps(rows: DataFrame, order: DataFrame, fills: DataFrame, rests: DataFrame) -> DataFrame:
+    """(source, mark_out, mark_in): the row of the last round and the row left out whose exchange brings a source nearest to its
+    target, where it is still short of words after the fills.
+
+    Sizes are looked for first, one row per different size of a source: for each size taken, the largest one left out that
+    is larger by no more than what is missing. Then a row of each is picked, the first by mark that is not repeated.
+    """
+    short = _same(rests, fills.groupBy("source").agg(F.sum("words").alias("words")), ["source"], "left").select("source", (F.col("rest") - F.coalesce("words", F.lit(0))).alias("missing")).where("missing > 0")
+    own = _same(_same(rows, short, ["source"]), order.select("source", "block", "wanted", "block_size", "partial", "up_to"), ["source", "block"])
+    own = _same(own, fills.select("source", "size", "fill_up_to"), ["source", "size"], "left")
+    taken = F.coalesce(F.when(F.col("partial"), F.coalesce(F.col("mark") <= F.col("up_to"), F.lit(False))).otherwise(F.col("wanted") > 0), F.lit(False))
+    own = own.withColumn("taken", taken).where("taken or (size > 0 and (fill_up_to is null or mark > fill_up_to))").select("source", "size", "mark", "missing", "taken")
+    sizes = own.groupBy("source", "missing", "taken", "size").agg(F.count("*").alias("n"))
+    reach = sizes.select("source", "missing", "taken", "size", F.when(F.col("taken"), F.col("size") + F.col("missing")).otherwise(F.col("size")).alias("key"))
+    upto = Window.partitionBy("source").orderBy("key", "taken")
+    met = reach.withColumn("other", F.last(F.when(~F.col("taken"), F.col("size")), ignorenulls=True).over(upto)).where("taken and other > size")
+    best = met.groupBy("source").agg(F.max_by(F.struct("size", "other"), F.struct(F.col("other") - F.col("size"), -F.col("size"))).alias("b")).select("source", F.col("b.size").alias("size_out"), F.col("b.other").alias("size_in"))
+    asked = _same(own, best, ["source"]).where("(taken and size = size_out) or (not taken and size = size_in)")
+    once = asked.groupBy("source", "taken", "mark").agg(F.count("*").alias("n")).where("n = 1")
+    return once.groupBy("source").agg(F.min(F.when(F.col("taken"), F.col("mark"))).alias("mark_out"), F.min(F.when(~F.col("taken"), F.col("mark"))).alias("mark_in")).dropna(subset=["mark_out", "mark_in"])
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, blocks: int, seed: int) -> list[Column]:
@@ -188,21 +215,28 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, blocks:
     return [F.col(source_col).alias("source"), words_in(text).alias("size"), F.pmod(F.xxhash64(F.lit(seed), key, mark), F.lit(blocks)).cast("int").alias("block"), mark.alias("mark")]
 
 
+def _small(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """A written table, marked for broadcast if it has at most so many rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def _placed(rows: DataFrame, blocks: DataFrame, fills: DataFrame, seed: int, size: Column) -> DataFrame:
     """rows (source, block, mark and others) with source_size, target and places; the rows stay where they are.
 
-    Both tables are broadcast: a row per source and block, and one per source and size that fills up a rest. `size`, an
-    expression over rows, is evaluated only where a row may be in a fill.
+    Both tables, a row per source and block, and one per source and size that fills up a rest, are broadcast while they have at most
+    200,000 rows each; beyond that the rows meet them in joins. `size`, an expression over rows, is evaluated only where
+    a row may be in a fill.
     """
-    found = _same(rows, F.broadcast(blocks), ["source", "block"])
+    found = _same(rows, _small(blocks), ["source", "block"])
     found = found.withColumn("_size", F.when((F.col("mark") > F.col("up_to")) & (F.col("mark") <= F.col("fill_most")), size))
-    found = _same(found, F.broadcast(fills.withColumnRenamed("size", "_size")), ["source", "_size"], "left")
-    in_last = F.col("mark") <= F.col("up_to")
+    found = _same(found, _small(fills.withColumnRenamed("size", "_size")), ["source", "_size"], "left")
+    up_to = F.col("mark") <= F.col("up_to")
+    in_last = up_to & ~F.col("mark").eqNullSafe(F.col("mark_out"))
     whole = F.slice("shards_of", F.lit(1), (F.col("rounds") + in_last.cast("long")).cast("int"))
-    filled = F.when(~in_last & (F.col("mark") <= F.col("fill_up_to")), F.array("fill_shard")).otherwise(F.array().cast("array<int>"))
+    filled = F.when(~up_to & (F.col("mark") <= F.col("fill_up_to")), F.array("fill_shard")).when(~up_to & (F.col("mark") == F.col("mark_in")), F.array("swap_shard")).otherwise(F.array().cast("array<int>"))
     own = F.concat(F.coalesce(whole, F.array().cast("array<int>")), filled)
     places = F.transform(own, lambda shard, k: F.struct(shard.alias("shard"), F.xxhash64(F.lit(seed + 3), k, F.col("mark")).alias("position")))
-    return found.withColumn("places", places).drop("shards_of", "up_to", "rounds", "fill_most", "fill_up_to", "fill_shard", "_size")
+    return found.withColumn("places", places).drop("shards_of", "up_to", "rounds", "fill_most", "fill_up_to", "fill_shard", "_size", "mark_out", "mark_in", "swap_shard")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", blocks: int = 256, shards: int = 8, seed: int = 7) -> DataFrame:
@@ -218,7 +252,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     A source's rows are dealt over `blocks` by a hash and the blocks permuted; k rounds over all blocks and then blocks in
     permuted order up to the share f are its draws, an exact quota of blocks that the splitting tree deals to the
     shards. The block that the share ends in is taken in part, rows in permuted order as long as they fit; what is still
-    missing is filled up by rows that fit from the blocks left out, as one more draw. A row's copies follow from its block, its
+    missing is filled up by rows that fit from the blocks left out, as one more draw, and at last a row of the share is exchanged
+    for a larger one that was left out, if that brings the source nearer to its target. A row's copies follow from its block, its
     size and a hash alone, through two small tables, so no text moves and a hot source is `blocks` groups.
     """
     rows = cut(docs.select(F.col(id_col).alias("_id"), *_rows(docs, id_col, text_col, source_col, blocks, seed)))
