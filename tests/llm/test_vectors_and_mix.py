@@ -1,10 +1,11 @@
-"""Shared pivots of vectors, and links of a large table with a large cluster."""
+"""Shared pivots of vectors, links of a large table with a large cluster, and mixes of the given documents."""
 
 from __future__ import annotations
 
 import numpy as np
 import pytest
 
+from coverspark.llm.queries import QUERIES
 from coverspark.llm.vector_dedup import permutations, plan_index, shared_counts, unit_rows, vector_dedup
 from tests.llm.test_llm import by_id
 
@@ -49,3 +50,14 @@ def test_links_of_20000_vectors_with_a_third_in_one_cluster(spark):
     found = np.array([got[k]["n_links"] for k in range(n)])
     assert (found <= true).all() and found.sum() >= 0.98 * true.sum()
     assert found[hot:].sum() >= 0.98 * true[hot:].sum() > 5000 and true[:hot].sum() > 1_000_000
+
+
+@pytest.mark.parametrize("sf,most", [("sf0.1", 5), ("sf0.01", 40)])
+def test_mix_of_documents_comes_near_its_targets(spark, sf, most):
+    """Words taken of each source of the given documents, against its target: the rows that fill up, and one exchange."""
+    rows = QUERIES["op7_mixing"](spark, f"/root/testdata/{sf}").select("size", "source_size", "target", "taken").collect()
+    words = {}
+    for r in rows:
+        words[(r.source_size, r.target)] = words.get((r.source_size, r.target), 0) + r.taken
+        assert r.taken % r.size == 0 and r.taken <= 3 * r.size if r.size else r.taken == 0
+    assert len(words) == 20 and max(abs(n - target) for (_, target), n in words.items()) < most
