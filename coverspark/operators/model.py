@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import hashlib
+import json
+from collections.abc import Callable
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coverspark.operators.stats import agreement, rank_max
+from coverspark.session import cut, scratch_path
+from coverspark.sources.files import pending, write_units, written_units
 
 
 def cooks_distance(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -43,7 +49,11 @@ def assembled(df: DataFrame, features: list[str]) -> DataFrame:
 
 def forest(df: DataFrame, features: list[str], target: str, trees: int = 100, depth: int = 10, per_split: str = "10", seed: int = 0):
     """Fitted random forest; per_split is the number of features tried at a split."""
-    return RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, maxDepth=min(depth, 30), featureSubsetStrategy=per_split, seed=seed).fit(assembled(df, features))
+    return _forest(assembled(df, features), target, trees, depth, per_split, seed)
+
+
+def _forest(df: DataFrame, target: str, trees: int = 100, depth: int = 10, per_split: str = "10", seed: int = 0):
+    return RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, maxDepth=min(depth, 30), featureSubsetStrategy=per_split, seed=seed).fit(df)
 
 
 def score(model, df: DataFrame, features: list[str], name: str = "prediction") -> DataFrame:
@@ -57,33 +67,101 @@ def cumulative_sources(df: DataFrame, order: DataFrame, source: str) -> DataFram
     return df.join(F.broadcast(order), source).crossJoin(F.broadcast(last)).withColumn("fit", F.explode(F.sequence("place", "_last"))).drop("_last")
 
 
-def leaderboard(train: DataFrame, test: DataFrame, features: list[str], target: str, grid: list[dict]) -> DataFrame:
-    """Agreement of a forest for each setting on the test rows, best first by r2; ties share the larger rank."""
-    out = None
-    for k, setting in enumerate(grid):
-        scored = score(forest(train, features, target, **setting), test, features).select(F.lit(k).alias("setting"), "prediction", F.col(target).alias("observed"))
-        out = scored if out is None else out.unionByName(scored)
-    table = agreement(out, "setting", "prediction", "observed")
+def run_units(spark: SparkSession, units: dict[str, Callable[[], DataFrame]], path: str | None = None, workers: int = 4) -> DataFrame:
+    """The rows of every unit's table, with its `unit`; up to `workers` units run side by side, each in a scheduler pool of its own.
+
+    Each unit's rows are a folder below `path` that counts once its writing has ended, so a run that was stopped goes on with
+    the units that are missing. The first error ends the run after the units that are under way.
+    """
+    path = path or scratch_path(spark)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folders = {unit: f"{path}/of={hashlib.md5(unit.encode()).hexdigest()}" for unit in units}
+
+    def finished(unit: str) -> bool:
+        p = jvm.org.apache.hadoop.fs.Path(f"{folders[unit]}/_SUCCESS")
+        return p.getFileSystem(conf).exists(p)
+
+    def run(unit: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", folders[unit].rsplit("=", 1)[1])
+        units[unit]().withColumn("unit", F.lit(unit)).write.mode("overwrite").parquet(folders[unit])
+
+    todo = [u for u in units if not finished(u)]
+    with ThreadPoolExecutor(workers) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(run), u) for u in todo]
+        wait(jobs, return_when=FIRST_EXCEPTION)
+        for j in jobs:
+            j.cancel()
+    for j in jobs:
+        if not j.cancelled():
+            j.result()
+    return spark.read.parquet(*(folders[u] for u in units))
+
+
+def leaderboard(train: DataFrame, test: DataFrame, features: list[str], target: str, grid: list[dict], path: str | None = None, workers: int = 4) -> DataFrame:
+    """Agreement of a forest for each setting on the test rows, best first by r2; ties share the larger rank.
+
+    Features are assembled and written once; settings are fitted side by side and each leaves its row below `path`, so a search that
+    was stopped goes on from there (see run_units). `setting` is the place in the grid.
+    """
+    known, held = (cut(assembled(df, features).select("features", F.col(target).cast("double").alias("_y"))) for df in (train, test))
+
+    def fitted(setting: dict) -> Callable[[], DataFrame]:
+        return lambda: agreement(_forest(known, "_y", **setting).transform(held).withColumn("_of", F.lit(0)), "_of", "prediction", "_y").drop("_of")
+
+    names = [json.dumps(setting, sort_keys=True) for setting in grid]
+    found = run_units(train.sparkSession, {n: fitted(setting) for n, setting in zip(names, grid)}, path, workers)
+    places = train.sparkSession.createDataFrame([(k, n) for k, n in enumerate(names)], "setting int, unit string")
+    table = places.join(found, "unit").drop("unit")
     return table.withColumn("_all", F.lit(1)).withColumn("rank", rank_max("r2", ["_all"])).drop("_all")
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Rows, written once, with a gapless number from 0 in no order; only the sizes of the partitions meet."""
+    placed = cut(df.withColumn(name, F.monotonically_increasing_id()))
+    part = F.shiftright(name, 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return placed.withColumn("_part", part).join(before, "_part").withColumn(name, F.col("_before") + F.col(name).bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_before")
+
+
+def permuted(number: Column, n: int, *key: Column) -> Column:
+    """The place of `number` in a permutation of 0 .. n - 1 that depends on the key.
+
+    Four rounds that mix one half of the bits into the other permute all numbers of as many bits; those beyond n are sent on
+    until they are below it (each time at least every second one is).
+    """
+    bits = max(2, (n - 1).bit_length())
+    low = bits // 2
+    masks = F.lit((1 << (bits - low)) - 1).cast("long"), F.lit((1 << low) - 1).cast("long")
+
+    def once(x: Column) -> Column:
+        halves = [F.shiftright(x, low), x.bitwiseAND(masks[1])]
+        for k in range(4):
+            into, of = k % 2, 1 - k % 2
+            halves[into] = halves[into].bitwiseXOR(F.xxhash64(*key, F.lit(k), halves[of]).bitwiseAND(masks[into]))
+        return F.shiftleft(halves[0], low).bitwiseOR(halves[1])
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(80)), once(number.cast("long")), lambda x, _: F.when(x >= n, once(x)).otherwise(x))
+
+
 def permutation_importance(model, df: DataFrame, features: list[str], target: str, repeats: int = 5) -> DataFrame:
     """(feature, mean, sd) of the loss in r2 when a feature's values are dealt anew.
 
-    A permuted value is the row's neighbour's in a hash order within 64 hash groups, so no task sorts the whole table.
+    Rows are numbered and written once. Each goes once for every feature and repeat, and once as it is, to one join, where it
+    gets the feature's value of the row that a permutation of the numbers names; one pass scores them all. Rows with null
+    features or target are left out.
     """
-    base = agreement(score(model, df, features).withColumn("_g", F.lit(0)), "_g", "prediction", target).select(F.col("r2").alias("_base"))
-    rows = df.select(*features, target).withColumn("_id", F.xxhash64(*features, target))
-    out = None
-    for f in features:
-        for r in range(repeats):
-            w = Window.partitionBy(F.pmod(F.xxhash64(F.lit(r), "_id"), F.lit(64))).orderBy(F.xxhash64(F.lit(r + 100), "_id"))
-            moved = rows.withColumn(f, F.coalesce(F.lag(f).over(w), F.col(f)))
-            s = score(model, moved, features).select(F.lit(f).alias("feature"), F.lit(r).alias("repeat"), "prediction", F.col(target).alias("observed"))
-            out = s if out is None else out.unionByName(s)
-    each = out.withColumn("_k", F.struct("feature", "repeat"))
-    r2 = agreement(each, "_k", "prediction", "observed").select("_k.feature", "r2").crossJoin(F.broadcast(base))
-    return r2.groupBy("feature").agg(F.avg(F.col("_base") - F.col("r2")).alias("mean"), F.stddev_pop(F.col("_base") - F.col("r2")).alias("sd"))
+    rows = numbered(df.select(*(F.col(f).cast("double").alias(f) for f in features), F.col(target).cast("double").alias("_y")).dropna(), "_i")
+    n = rows.count()
+    asked = F.array(F.struct(F.lit(-1).alias("f"), F.lit(0).alias("r")), *(F.struct(F.lit(k).alias("f"), F.lit(r).alias("r")) for k in range(len(features)) for r in range(repeats)))
+    each = rows.withColumn("_a", F.explode(asked)).withColumn("_of", F.when(F.col("_a.f") < 0, F.col("_i")).otherwise(permuted(F.col("_i"), max(n, 1), F.col("_a.f"), F.col("_a.r"))))
+    values = rows.select(F.col("_i").alias("_of"), F.array(*features).alias("_v"))
+    moved = each.join(values, "_of").withColumns({f: F.when(F.col("_a.f") == k, F.col("_v")[k]).otherwise(F.col(f)) for k, f in enumerate(features)})
+    r2 = agreement(score(model, moved.select(*features, "_y", "_a"), features), "_a", "prediction", "_y").select("_a.f", "r2")
+    base = r2.where("f < 0").select(F.col("r2").alias("_base"))  # one row
+    names = F.element_at(F.array(*map(F.lit, features)), F.col("f") + 1)
+    loss = F.col("_base") - F.col("r2")
+    return r2.where("f >= 0").crossJoin(F.broadcast(base)).groupBy(names.alias("feature")).agg(F.avg(loss).alias("mean"), F.stddev_pop(loss).alias("sd"))
 
 
 def boosted_importance(df: DataFrame, features: list[str], target: str, rounds: int = 20, depth: int = 6, step: float = 0.1, categories: list[str] = ()) -> dict[str, float]:
@@ -96,19 +174,22 @@ def boosted_importance(df: DataFrame, features: list[str], target: str, rounds:
     return dict(zip([*features, *categories], model.featureImportances.toArray().tolist()))
 
 
-def cumulative_fits(tables: dict[str, DataFrame], order: DataFrame, source: str, features: list[str], target: str, test: DataFrame, **setting) -> DataFrame:
+def cumulative_fits(tables: dict[str, DataFrame], order: DataFrame, source: str, features: list[str], target: str, test: DataFrame, path: str | None = None, workers: int = 4, **setting) -> DataFrame:
     """(name, fit, n, r2, rmse, mae) of a forest on the sources 1 to i of each table, for every i, on the test rows.
 
-    order: source, place; its few rows are read on the driver, since each place is a model to fit.
+    order: source, place; its few rows are read on the driver, since each place is a model to fit. Tables are assembled and written
+    once; fits run side by side and a stopped run goes on where it was (see run_units).
     """
-    out = []
+    held = cut(assembled(test, features).select("features", F.col(target).cast("double").alias("_y")))
     places = [r["place"] for r in order.select("place").distinct().orderBy("place").collect()]
-    for name, df in tables.items():
-        placed = df.join(F.broadcast(order), source)
-        for k in places:
-            model = forest(placed.where(F.col("place") <= k), features, target, **setting)
-            out.append(score(model, test, features).select(F.struct(F.lit(name).alias("name"), F.lit(k).alias("fit")).alias("_of"), "prediction", F.col(target).alias("observed")))
-    return agreement(reduce(DataFrame.unionByName, out), "_of", "prediction", "observed").select("_of.*", "n", "r2", "rmse", "mae")
+    known = {n: cut(assembled(df.join(F.broadcast(order), source), features).select("features", F.col(target).cast("double").alias("_y"), "place")) for n, df in tables.items()}
+
+    def fitted(name: str, k: int) -> Callable[[], DataFrame]:
+        own = lambda: _forest(known[name].where(F.col("place") <= k), "_y", **setting)
+        return lambda: agreement(own().transform(held).select(F.struct(F.lit(name).alias("name"), F.lit(k).alias("fit")).alias("_of"), "prediction", "_y"), "_of", "prediction", "_y").select("_of.*", "n", "r2", "rmse", "mae")
+
+    units = {json.dumps([n, k, setting], sort_keys=True): fitted(n, k) for n in tables for k in places}
+    return run_units(test.sparkSession, units, path, workers).drop("unit")
 
 
 def score_types(models: dict, df: DataFrame, features: list[str]) -> DataFrame:
@@ -120,6 +201,24 @@ def score_types(models: dict, df: DataFrame, features: list[str]) -> DataFrame:
     return wide.select(*df.columns, F.explode(each).alias("_t")).select(*df.columns, "_t.*")
 
 
-def write_types(scored: DataFrame, path: str) -> None:
+def score_units(models: dict, df: DataFrame, features: list[str], path: str, cell: str = "cell_id") -> DataFrame:
+    """Score every type and cell that has no folder below `path` yet, and read all of them: (x, y, ..., prediction, type, cell).
+
+    What is to do is the cells of df for each type without those written; only pixels of such cells are read on and scored, by the models
+    of all types at once. The rows are dealt so that a folder has few files and a large cell several; whole folders are swapped in when
+    the job ends, so a run that was stopped leaves finished folders or none.
+    """
+    spark = df.sparkSession
+    types = F.explode(F.array(*map(F.lit, models)))
+    todo = df.select(cell).distinct().select(types.alias("type"), cell)
+    done = written_units(spark, path, ["type", cell])
+    todo = cut(todo if done is None else pending(todo, done, ["type", cell]))
+    if not todo.isEmpty():
+        own = df.join(todo.select(cell).distinct(), cell, "left_semi")
+        write_types(score_types(models, own, features).join(todo, ["type", cell]), path, cell)
+    return spark.read.parquet(path)
+
+
+def write_types(scored: DataFrame, path: str, cell: str = "cell_id") -> None:
     """Scored pixels in folders by type and cell, whole folders at a time."""
-    scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("type", "cell_id").parquet(path)
+    write_units(scored.hint("rebalance", "type", cell), path, ["type", cell])

@@ -68,3 +68,29 @@ def units_overwritten(spark, d):
     files.write_units(o, path, ["unit"])
     files.write_units(o.where("unit = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2), path, ["unit"])
     return spark.read.parquet(path).groupBy("unit").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
+
+
+_DESCRIBED = "SELECT p_size % 4 AS grp, p_partkey + 2 AS ord, CAST(p_partkey AS VARCHAR(20)) || ',' || '\"' || p_name || ', ' || p_type || '\",' || CASE p_size % 5 WHEN 0 THEN '-9' ELSE p_brand END AS line FROM part"
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS code, p_name || ', ' || p_type AS name, CASE WHEN p_size % 5 > 0 THEN p_brand END AS kind FROM part
+  UNION ALL SELECT 'a number', 'text', 'letters' FROM (SELECT DISTINCT p_size % 4 FROM part)""")
+def described_scan(spark, d):
+    """Files with a row of descriptions under the header, left out by its place: the data row that reads like it, last in each file, stays."""
+    path, lines = scratch_path(spark), table(spark, d, _DESCRIBED)
+    fixed = F.explode(F.array(*(F.struct(F.lit(o).cast("long").alias("ord"), F.lit(t).alias("line")) for o, t in ((0, "code,name,kind"), (1, "a number,text,letters"), (1 << 40, "a number,text,letters")))))
+    all_ = lines.unionByName(lines.select("grp").distinct().select("grp", fixed.alias("l")).select("grp", "l.ord", "l.line"))
+    all_.repartition("grp").sortWithinPartitions("grp", "ord").select("grp", "line").write.partitionBy("grp").text(path)
+    return files.read_described(spark, f"{path}/*/*.txt", "code string, name string, kind string").drop("file_name")
+
+
+@query("SELECT p_size % 7 AS grp, p_size % 7 IN (2, 5) AS broken, count(*) > 0 AS has_rows FROM part GROUP BY ALL")
+def unreadable_files(spark, d):
+    """Parquet files, and among them others, told by their first four bytes."""
+    path, p = scratch_path(spark), table(spark, d, "SELECT p_size % 7 AS grp, p_name FROM part")
+    p.where("grp not in (2, 5)").write.partitionBy("grp").parquet(path)
+    p.where("grp in (2, 5)").write.mode("append").partitionBy("grp").text(path)
+    grp = F.regexp_extract("path", "grp=([0-9]+)", 1).cast("long")
+    bad = files.unreadable(spark, f"{path}/*/part-*", b"PAR1").select(grp.alias("grp"), F.lit(True).alias("broken"))
+    every = files.heads(spark, f"{path}/*/part-*", 4).select(grp.alias("grp"), (F.col("length") > 4).alias("has_rows"))
+    return every.groupBy("grp").agg(F.max("has_rows").alias("has_rows")).join(bad.distinct(), "grp", "left").select("grp", F.coalesce("broken", F.lit(False)).alias("broken"), "has_rows")

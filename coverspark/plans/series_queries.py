@@ -10,6 +10,8 @@ from coverspark.operators import series as S
 from coverspark.operators import spatial as P
 from coverspark.operators import stats as A
 from coverspark.plans.registry import BANDS, PIXELS, SERIES, ctes, query, table
+from coverspark.session import scratch_path
+from coverspark.sources.files import drop_unit
 
 _S = ctes(s=SERIES)
 _DOY = "SELECT id, dayofyear(day) AS t, v FROM s"
@@ -309,10 +311,14 @@ def gbt_importance_categories(spark, d):
     return spark.createDataFrame(list(got.items()), "feature string, importance double")
 
 
+#: All 48 settings of the search, with fewer trees than a survey would grow.
+SETTINGS = [{"trees": t, "depth": h, "per_split": s} for t in (2, 3, 4, 5) for h in (2, 3, 4, 5) for s in ("2", "3", "6")]
+
+
 @query()
 def grid_leaderboard(spark, d):
     b = table(spark, d, BANDS)
-    return M.leaderboard(b.where("id % 5 > 0"), b.where("id % 5 = 0"), FEATURES, "nir", [{"trees": t, "depth": h, "per_split": "3"} for t in (5, 10) for h in (3, 5)])
+    return M.leaderboard(b.where("id % 5 > 0"), b.where("id % 5 = 0"), FEATURES, "nir", SETTINGS)
 
 
 @query()
@@ -327,6 +333,17 @@ def gbt_importance(spark, d):
     return spark.createDataFrame(list(got.items()), "feature string, importance double")
 
 
+@query(ctes(p=PIXELS) + "SELECT type, cell_id, count(*) AS n, count(DISTINCT (x, y)) AS places FROM p, (VALUES ('shrub'), ('forb')) t(type) GROUP BY ALL")
+def scored_units(spark, d):
+    """Every type and cell scored and written, one unit removed, the search for missing units scored again, and all read."""
+    px = table(spark, d, PIXELS).select(F.col("cell_id").cast("int").alias("cell_id"), "x", "y", F.col("line").cast("double").alias("line"), "share", "value")
+    models = {t: M.forest(px.withColumn("cover", e), ["line", "share"], "cover", trees=2, depth=2, per_split="2") for t, e in (("shrub", F.col("value")), ("forb", 50 - F.col("value")))}
+    path = scratch_path(spark)
+    M.score_units(models, px, ["line", "share"], path)
+    drop_unit(spark, path, type="shrub", cell_id=3)
+    return M.score_units(models, px, ["line", "share"], path).groupBy("type", "cell_id").agg(F.count("*").alias("n"), F.countDistinct("x", "y").alias("places"))
+
+
 @query()
 def score_cells(spark, d):
     px = table(spark, d, PIXELS).select("cell_id", "x", "y", F.col("line").cast("double").alias("line"), "share", "value")

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverspark.functions.numbers import null_tokens
 from coverspark.functions.text import replaced
 from coverspark.schemas import conform, violations
+from coverspark.session import ship
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: str | None = None, encoding: str = "UTF-8", separator: str = ",") -> DataFrame:
@@ -21,21 +27,36 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: str | Non
     return df.select("*", F.col("_metadata.file_name").alias("file_name")).withColumns(text)
 
 
-def without_first_rows(df: DataFrame, path: str, rows: int = 1, separator: str = ",") -> DataFrame:
-    """The rows of read_delimited without the first `rows` under the header of each file, such as a row of descriptions.
+def read_described(spark: SparkSession, path: str | list[str], schema: str, rows: int = 1, encoding: str = "UTF-8", separator: str = ",") -> DataFrame:
+    """Delimited text whose header is followed by `rows` rows of descriptions in each file, without these. Adds file_name.
 
-    The lines are read once more as text: those of a file's first block, in order, begin with the header and these rows.
-    Rows of the file that are equal to one of them are left out.
+    Lines are left out by their place: those of a file's first block are counted as they are read, so nothing is shuffled or
+    sorted and a data row that reads like a description stays. Quotes are honoured by from_csv; fields do not span
+    lines. Null tokens in text columns become null. `encoding` is one in which a line feed is one byte.
     """
-    lines = df.sparkSession.read.text(path).select(F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), "value", F.monotonically_increasing_id().alias("_id")).where("_block = 0")
-    numbered = lines.withColumn("_line", F.row_number().over(Window.partitionBy("_file").orderBy("_id"))).where(F.col("_line").between(2, rows + 1))
-    parts = F.split("value", re.escape(separator))
-    data = [c for c in df.columns if c != "file_name"]
-    dropped = numbered.select("_file", *(null_tokens(F.try_element_at(parts, F.lit(k + 1))).alias(f"_{k}") for k in range(len(data))))
-    same = df["file_name"] == dropped["_file"]
-    for k, c in enumerate(data):
-        same = same & df[c].cast("string").eqNullSafe(dropped[f"_{k}"])
-    return df.join(F.broadcast(dropped), same, "left_anti")
+    ship(spark)
+    lines = spark.read.text(path).select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, seen = None, 0
+        for batch in batches:
+            paths, blocks, keep = batch.column(2).to_pylist(), batch.column(3).to_pylist(), []
+            for here in zip(paths, blocks):
+                seen = seen + 1 if here == at else 1
+                at = here
+                keep.append(here[1] > 0 or seen > rows + 1)
+            yield batch.filter(pa.array(keep)).select([0, 1])
+
+    data = lines.mapInArrow(below, "value binary, file_name string")
+    text = F.decode("value", encoding) if encoding.upper() not in ("UTF-8", "UTF8") else F.col("value").cast("string")
+    parsed = data.select(F.from_csv(text, schema, {"sep": separator}).alias("_r"), "file_name").select("_r.*", "file_name")
+    return parsed.withColumns({c: null_tokens(F.col(c)) for c, t in parsed.dtypes if t == "string" and c != "file_name"})
+
+
+def without_first_rows(df: DataFrame, path: str | list[str], rows: int = 1, separator: str = ",") -> DataFrame:
+    """What read_delimited gave as df, read again without the first `rows` under the header of each file; see read_described."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "file_name")
+    return read_described(df.sparkSession, path, schema, rows, separator=separator)
 
 
 def read_named(spark: SparkSession, path: str, names: list[str], renames: dict[str, str], values: dict[str, dict[str, str]] | None = None, header: bool = True) -> DataFrame:
@@ -64,9 +85,33 @@ def output_label(df: DataFrame, site: str, year: str) -> DataFrame:
     return df.agg(F.concat_ws("_", F.array_join(F.array_sort(F.collect_set(site)), "-"), F.format_string("%d-%d", F.min(year), F.max(year))).alias("label"))
 
 
-def unreadable(spark: SparkSession, path: str, magic: bytes) -> DataFrame:
-    """Files that do not begin with the given bytes."""
-    return spark.read.format("binaryFile").load(path).where(F.substring("content", 1, len(magic)) != F.lit(magic)).select("path", "length")
+def heads(spark: SparkSession, path: str | list[str], size: int) -> DataFrame:
+    """(path, length, head) with the first `size` bytes of each file, empty ones included; the rest is not read, however large a file is.
+
+    Spark lists the files, as for any scan; the tasks open them by their URI, so the storage must be one that Arrow knows (mounted
+    folders, HDFS, S3, GCS).
+    """
+    ship(spark)
+    names = [(unquote(u),) for u in spark.read.format("binaryFile").load(path).inputFiles()]
+    files = spark.createDataFrame(names, "path string").repartition(max(1, min(len(names) // 64, 10_000)))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, got = [], []
+            for name in batch.column(0).to_pylist():
+                scheme, host, place = re.fullmatch(r"([^:/]+):(?://([^/]*))?(/.*)", name).groups()
+                system, root = FileSystem.from_uri(f"{scheme}://{host or ''}/")
+                with system.open_input_file(root.rstrip("/") + place) as f:
+                    length.append(f.size())
+                    got.append(f.read(size))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(length, pa.int64()), pa.array(got, pa.binary())], names=["path", "length", "head"])
+
+    return files.mapInArrow(first, "path string, length long, head binary")
+
+
+def unreadable(spark: SparkSession, path: str | list[str], magic: bytes) -> DataFrame:
+    """(path, length) of the files that do not begin with the given bytes, which are all that is read of them."""
+    return heads(spark, path, len(magic)).where(F.col("head") != F.lit(magic)).select("path", "length")
 
 
 def lists_to_text(df: DataFrame, separator: str = "; ") -> DataFrame:
@@ -88,6 +133,25 @@ def write_units(df: DataFrame, path: str, units: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*units).parquet(path)
 
 
+def written_units(spark: SparkSession, path: str, units: list[str]) -> DataFrame | None:
+    """The units that have files below `path`, from the names of their folders; None if there are none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None
+    try:
+        return spark.read.parquet(path).select(*units).distinct()
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return None  # a folder without files
+
+
+def drop_unit(spark: SparkSession, path: str, **unit) -> None:
+    """Remove the folder of one unit, such as type="shrub", cell_id=3."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{k}={v}" for k, v in unit.items())]))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_valid(df: DataFrame, violations: DataFrame, path: str) -> None:
     """Write if no rule is violated; warnings are no obstacle."""
     bad = (violations.where("severity <> 'warning'") if "severity" in violations.columns else violations).take(5)
