@@ -46,6 +46,15 @@ def same_key_rows(df: DataFrame, keys: list[str], value: str, name: str = "same"
     return df.withColumn(name, F.when(known & (F.count("*").over(w) > 1), listed).otherwise(""))
 
 
+def same_key_groups(df: DataFrame, keys: list[str], value: str, group: str = "group", size: str = "size") -> DataFrame:
+    """Add the least `value` among the rows with the same keys and their number; nulls where a key is null or the row is alone.
+
+    Rows of a group refer to it by its first value, so a key that very many rows share makes no list; same_key_rows spells lists out.
+    """
+    groups = df.dropna(subset=keys).groupBy(*keys).agg(F.min(value).alias(group), F.count("*").alias(size)).where(F.col(size) > 1)
+    return df.join(groups, keys, "left")
+
+
 def missing_numbers(df: DataFrame, c: str) -> DataFrame:
     """Whole numbers between the least and the largest that do not occur."""
     all_ = df.agg(F.min(c).alias("a"), F.max(c).alias("b")).select(F.explode(F.sequence("a", "b")).alias(c))

@@ -77,13 +77,15 @@ def ranked_names(df: DataFrame, name: str) -> DataFrame:
     return out.withColumns({"key": normalize_by_rank(F.col("taxon"), F.col("rank")), "genus": F.try_element_at(words(clean_name(F.col("taxon"))), F.lit(1))})
 
 
-def fuzzy_cascade(names: DataFrame, checklist: DataFrame, name: str = "name", least: float = 85.0, score: Column | None = None) -> DataFrame:
-    """(name, accepted_name, checklist_name, score, rank): the match of each name, nulls where there is none.
+def fuzzy_cascade(names: DataFrame, checklist: DataFrame, name: str = "name", least: float = 85.0, score: Column | None = None, top: int = 5) -> DataFrame:
+    """(name, accepted_name, checklist_name, score, rank, rank_match, audit): the match of each name, nulls where there is none.
 
     checklist: checklist_name, accepted_name. Ranks are tried in the order of RANK_CASCADE for the name's rank; in a rank, names
     of the same genus are candidates. One with the same key counts 100, else the best of at least `least` does. Among equals
     a subspecies or variety prefers the candidate with its last word, then the first in text order. The first rank with a
-    match wins. Only names that share genus and rank are paired.
+    match wins. rank_match tells whether that is the name's own rank. audit has, for each rank that was tried, up to
+    and with that of the match, the `top` best candidates (accepted_name, score, rank), whatever they score; it is empty for a match
+    of the same key. `score` is an expression of key and candidate. Only names that share genus and rank are paired.
     """
     own = ranked_names(names.select(name).distinct(), name).withColumn("key", clean_name(F.col("taxon")))
     tried = F.lit(None).cast("array<string>")
@@ -91,12 +93,21 @@ def fuzzy_cascade(names: DataFrame, checklist: DataFrame, name: str = "name", le
         tried = F.when(F.col("rank") == rank, F.array(*map(F.lit, order))).otherwise(tried)
     asked = own.select(name, "taxon", "key", "genus", F.col("rank").alias("own_rank"), F.posexplode(tried).alias("step", "rank"))
     listed = ranked_names(checklist, "checklist_name").groupBy("genus", "rank", F.col("key").alias("candidate")).agg(F.min_by("accepted_name", "checklist_name").alias("accepted_name"), F.min("checklist_name").alias("checklist_name"))
-    pairs = asked.join(listed, ["genus", "rank"])
-    pairs = pairs.withColumn("score", F.when(F.col("key") == F.col("candidate"), 100.0).otherwise(edit_score(F.col("key"), F.col("candidate")) if score is None else score)).where(F.col("score") >= least)
+    same = F.col("key") == F.col("candidate")
+    pairs = asked.join(listed, ["genus", "rank"]).withColumn("score", edit_score(F.col("key"), F.col("candidate")) if score is None else score)
+    pairs = pairs.withColumn("score", F.when(same, 100.0).otherwise(F.col("score")))
     last = F.try_element_at(words(F.col("taxon")), F.lit(-1)) == F.try_element_at(words(F.col("candidate")), F.lit(-1))
-    first = F.struct("step", (F.col("key") != F.col("candidate")).alias("other"), -F.col("score"), F.when(F.col("own_rank").isin("subspecies", "variety") & last, 0).otherwise(1), "candidate")
-    best = pairs.groupBy(name).agg(F.min_by(F.struct("accepted_name", "checklist_name", "score", "rank"), first).alias("_b")).select(name, "_b.*")
-    return own.select(name).join(best, name, "left")
+    first = F.struct("step", (~same).alias("other"), -F.col("score"), F.when(F.col("own_rank").isin("subspecies", "variety") & last, 0).otherwise(1), "candidate")
+    good = F.col("score") >= least
+    placed = pairs.withColumn("_place", F.row_number().over(Window.partitionBy(name, "step").orderBy(F.desc("score"), "candidate")))
+    seen = F.collect_list(F.when(F.col("_place") <= top, F.struct("step", "_place", "accepted_name", "score", "rank")))
+    match = F.min_by(F.when(good, F.struct("accepted_name", "checklist_name", "score", "rank", "step", same.alias("exact"), (F.col("rank") == F.col("own_rank")).alias("rank_match"))), F.when(good, first))
+    best = placed.groupBy(name).agg(match.alias("_b"), F.array_sort(seen).alias("_seen"))
+    told = F.filter("_seen", lambda s: (s["step"] <= F.coalesce("_b.step", s["step"])) & ~F.coalesce("_b.exact", F.lit(False)))
+    audit = F.transform(told, lambda s: F.struct(s["accepted_name"].alias("accepted_name"), s["score"].alias("score"), s["rank"].alias("rank")))
+    best = best.select(name, "_b.accepted_name", "_b.checklist_name", "_b.score", "_b.rank", "_b.rank_match", audit.alias("audit"))
+    kind = "array<struct<accepted_name:string,score:double,rank:string>>"
+    return own.select(name).join(best, name, "left").withColumns({"rank_match": F.coalesce("rank_match", F.lit(False)), "audit": F.coalesce(F.col("audit").cast(kind), F.array().cast(kind))})
 
 
 def least_edits(a: str, b: str) -> int:
@@ -111,22 +122,45 @@ def least_edits(a: str, b: str) -> int:
     return int(2 * (len(x) - before[:, -1].max()))
 
 
-def partial_ratio(pairs: DataFrame) -> DataFrame:
-    """Add `score` to (name, candidate): best similarity of the shorter text with a window of the longer, 0 to 100, as the
-    share of characters that a longest common subsequence keeps."""
-    ship(pairs.sparkSession)
+def _shared_with_starts(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of x with y[:1], y[:2], ..."""
+    out, before = np.zeros(len(y), np.int32), np.zeros(len(x) + 1, np.int32)
+    for k, c in enumerate(y):
+        before[1:] = np.maximum.accumulate(np.maximum(before[1:], before[:-1] + (x == c)))
+        out[k] = before[-1]
+    return out
+
+
+def best_window(a: str, b: str) -> float:
+    """0 to 100: the best similarity of the shorter text with a window of the longer, of its length or cut off at either end.
+
+    Similarity is twice the longest common subsequence over both lengths. Texts of one length are tried both ways.
+    """
+    a, b = sorted((a, b), key=len)
+    if not a:
+        return 100.0 if not b else 0.0
+    x, y = (np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in (a, b))
+    best = 1 - least_edits(a, b) / (2 * len(a))
+    width = np.arange(1, len(x))
+    for p, q in ((x, y), (y, x))[: 2 if len(x) == len(y) else 1]:
+        for r, t in ((p, q[: len(x) - 1]), (p[::-1], q[::-1][: len(x) - 1])):
+            if len(t):
+                best = max(best, float((2 * _shared_with_starts(r, t) / (len(x) + width)).max()))
+    return 100.0 * best
+
+
+def partial_score(a: Column, b: Column) -> Column:
+    """best_window of two text columns, null if one is; an Arrow batch at a time. For candidates that share a block, not for all pairs."""
 
     @F.pandas_udf("double")
     def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        def one(a, b):
-            if a is None or b is None:
-                return None
-            a, b = sorted((a, b), key=len)
-            if not a:
-                return 100.0 if not b else 0.0
-            return 100.0 * (1 - least_edits(a, b) / (2 * len(a)))
-
         for left, right in batches:
-            yield pd.Series([one(a, b) for a, b in zip(left, right)], dtype="float64")
+            yield pd.Series([None if p is None or q is None else best_window(p, q) for p, q in zip(left, right)], dtype="float64")
+
+    return ratio(a, b)
+
 
-    return pairs.withColumn("score", ratio("name", "candidate"))
+def partial_ratio(pairs: DataFrame) -> DataFrame:
+    """Add `score` to (name, candidate): see partial_score."""
+    ship(pairs.sparkSession)
+    return pairs.withColumn("score", partial_score(F.col("name"), F.col("candidate")))

@@ -9,6 +9,7 @@ from coverspark.functions import text as T
 from coverspark.operators import cover as C
 from coverspark.operators import match as M
 from coverspark.plans.registry import COVER, VISITS, ctes, query, table
+from coverspark.session import ship
 
 _CODE = "CASE line WHEN 1 THEN '-9' WHEN 2 THEN ' ' WHEN 3 THEN '*' WHEN 4 THEN 'None' ELSE CAST(CAST(cover AS INT) AS VARCHAR({0})) END"
 _SPARK_CODE, _DUCK_CODE = (_CODE.replace("VARCHAR({0})", t) for t in ("STRING", "VARCHAR"))
@@ -232,10 +233,21 @@ def _ranked(name: str, source: str) -> str:
   steps AS (SELECT * FROM (VALUES ('subspecies', ['subspecies', 'variety', 'species', 'genus', 'family']), ('variety', ['variety', 'subspecies', 'species', 'genus', 'family']), ('species', ['species', 'subspecies', 'variety', 'genus', 'family']), ('genus', ['genus', 'family'])) t(own_rank, ranks)),
   asked AS (SELECT name, w, genus, a.rank AS own_rank, array_to_string(w, ' ') AS key, unnest(ranks) AS rank, unnest(range(0, len(ranks))) AS step FROM a JOIN steps ON own_rank = a.rank),
   pairs AS (SELECT asked.*, candidate, checklist_name, accepted_name, CASE WHEN key = candidate THEN 100.0 ELSE round(100.0 * (1 - levenshtein(key, candidate) / CAST(greatest(length(key), length(candidate), 1) AS DOUBLE)), 6) END AS score FROM asked JOIN k USING (genus, rank)),
-  best AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY step, key <> candidate, score DESC, CASE WHEN own_rank IN ('subspecies', 'variety') AND string_split(name, ' ')[-1] = string_split(candidate, ' ')[-1] THEN 0 ELSE 1 END, candidate) AS r FROM pairs WHERE score >= 85)
-  SELECT a.name, accepted_name, checklist_name, score, best.rank AS rank FROM a LEFT JOIN best ON best.name = a.name AND r = 1""")
+  best AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY step, key <> candidate, score DESC, CASE WHEN own_rank IN ('subspecies', 'variety') AND string_split(name, ' ')[-1] = string_split(candidate, ' ')[-1] THEN 0 ELSE 1 END, candidate) AS r FROM pairs WHERE score >= 85),
+  seen AS (SELECT *, row_number() OVER (PARTITION BY name, step ORDER BY score DESC, candidate) AS place FROM pairs),
+  told AS (SELECT s.name, array_to_string(list(s.accepted_name || '=' || printf('%.3f', s.score) || '=' || s.rank ORDER BY s.step, s.place), '|') AS audit
+    FROM seen s LEFT JOIN best b ON b.name = s.name AND b.r = 1 WHERE place <= 5 AND s.step <= coalesce(b.step, s.step) AND (b.name IS NULL OR b.key <> b.candidate) GROUP BY s.name)
+  SELECT a.name, accepted_name, checklist_name, score, best.rank AS rank, coalesce(best.rank = best.own_rank, false) AS rank_match, coalesce(audit, '') AS audit FROM a LEFT JOIN best ON best.name = a.name AND r = 1 LEFT JOIN told ON told.name = a.name""")
 def fuzzy_cascade(spark, d):
-    return M.fuzzy_cascade(table(spark, d, _ASKED), table(spark, d, _LISTED))
+    told = F.transform("audit", lambda a: F.concat_ws("=", a["accepted_name"], F.format_string("%.3f", a["score"]), a["rank"]))
+    return M.fuzzy_cascade(table(spark, d, _ASKED), table(spark, d, _LISTED)).withColumn("audit", F.array_join(told, "|"))
+
+
+@query()
+def fuzzy_cascade_partial(spark, d):
+    """The cascade as surveys run it, by the best window of the longer name."""
+    ship(spark)
+    return M.fuzzy_cascade(table(spark, d, _ASKED), table(spark, d, _LISTED), score=M.partial_score(F.col("key"), F.col("candidate")))
 
 
 @query()

@@ -80,13 +80,13 @@ def list_texts(spark, d):
 
 # Dates.
 _FORMATS = [("1-URGENT", 1, "yyyy-MM-dd"), ("1-URGENT", 2, "dd.MM.yyyy"), ("2-HIGH", 1, "dd.MM.yyyy"), ("2-HIGH", 2, "yyyy-MM-dd"), ("3-MEDIUM", 1, "MM/dd/yyyy")]
-_DATE_TEXT = "SELECT o_orderkey, o_orderpriority AS dataset, CASE o_orderkey % 6 WHEN 0 THEN {ymd} WHEN 1 THEN {dmy} WHEN 2 THEN {mdy} WHEN 3 THEN '05.08.218' WHEN 4 THEN year(o_orderdate) || '-' || (year(o_orderdate) + 1) ELSE '27-30.' || month(o_orderdate) || '.' || year(o_orderdate) END AS s FROM orders WHERE month(o_orderdate) <> 2"
+_DATE_TEXT = "SELECT o_orderkey, o_orderpriority AS dataset, CASE o_orderkey % 6 WHEN 0 THEN {ymd} WHEN 1 THEN {dmy} WHEN 2 THEN {mdy} WHEN 3 THEN '05.08.218' WHEN 4 THEN year(o_orderdate) || '-' || (year(o_orderdate) + 1) ELSE '27-30.' || month(o_orderdate) || '.' || year(o_orderdate) END AS s FROM orders"
 _SPARK_TEXT = _DATE_TEXT.format(ymd="date_format(o_orderdate, 'yyyy-MM-dd')", dmy="' ' || date_format(o_orderdate, 'dd.MM.yyyy')", mdy="date_format(o_orderdate, 'MM/dd/yyyy')")
 
 
-@query("""WITH o AS (SELECT o_orderkey, o_orderpriority AS dataset, CAST(o_orderdate AS DATE) AS day, make_date(CAST(year(o_orderdate) AS INT), 1, 1) AS first, make_date(CAST(year(o_orderdate) + 1 AS INT), 12, 31) AS last FROM orders WHERE month(o_orderdate) <> 2)
+@query("""WITH o AS (SELECT o_orderkey, o_orderpriority AS dataset, CAST(o_orderdate AS DATE) AS day, make_date(CAST(year(o_orderdate) AS INT), 1, 1) AS first, make_date(CAST(year(o_orderdate) + 1 AS INT), 12, 31) AS last FROM orders)
   SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN CASE WHEN dataset IN ('1-URGENT', '2-HIGH') THEN day END WHEN 1 THEN CASE WHEN dataset IN ('1-URGENT', '2-HIGH') THEN day END WHEN 2 THEN CASE WHEN dataset = '3-MEDIUM' THEN day END
-    WHEN 3 THEN CASE WHEN dataset IN ('1-URGENT', '2-HIGH') THEN DATE '2018-08-05' END WHEN 4 THEN first + CAST(floor((last - first) / 2) AS INT) ELSE make_date(CAST(year(day) AS INT), CAST(month(day) AS INT), 28) END AS day FROM o""")
+    WHEN 3 THEN CASE WHEN dataset IN ('1-URGENT', '2-HIGH') THEN DATE '2018-08-05' END WHEN 4 THEN first + CAST(floor((last - first) / 2) AS INT) WHEN 5 THEN CASE WHEN month(day) <> 2 THEN make_date(CAST(year(day) AS INT), CAST(month(day) AS INT), 28) END END AS day FROM o""")
 def dataset_dates(spark, d):
     formats = spark.createDataFrame(_FORMATS, "dataset string, pos int, format string")
     return D.dataset_dates(table(spark, d, _SPARK_TEXT), formats, "dataset", "s").select("o_orderkey", "day")
@@ -159,11 +159,11 @@ def height_model(spark, d):
     return b.select("id", F.round(N.height(F.least(w, F.lit(0.1))), 6).alias("height"))
 
 
-@query("""WITH b AS (SELECT CAST(-170.0 + n_nationkey * 1.2 AS DOUBLE) AS x0, CAST(-167.5 + n_nationkey * 1.2 AS DOUBLE) AS x1, CAST(60.0 + n_nationkey % 5 AS DOUBLE) AS y0, CAST(65.0 + n_nationkey % 5 AS DOUBLE) AS y1 FROM nation WHERE n_nationkey % 4 = 1),
+@query("""WITH b AS (SELECT CAST(-170.0 + n_nationkey * 1.2 AS DOUBLE) AS x0, CAST(-167.5 + n_nationkey * 1.2 AS DOUBLE) AS x1, CAST(60.0 + n_nationkey % 5 AS DOUBLE) AS y0, CAST(65.0 + n_nationkey % 5 AS DOUBLE) AS y1 FROM nation),
   g AS (SELECT DISTINCT gx, unnest(range(CAST(floor((y0 - 60) / 0.7) AS BIGINT), CAST(floor((y1 - 60) / 0.7) AS BIGINT) + 1)) AS gy FROM (SELECT *, unnest(range(CAST(floor((x0 + 170) / 0.7) AS BIGINT), CAST(floor((x1 + 170) / 0.7) AS BIGINT) + 1)) AS gx FROM b))
   SELECT gx || '_' || gy AS cell, gx, gy FROM g""")
 def covering_grid(spark, d):
-    b = table(spark, d, "SELECT CAST(-170.0 + n_nationkey * 1.2 AS DOUBLE) AS min_x, CAST(-167.5 + n_nationkey * 1.2 AS DOUBLE) AS max_x, CAST(60.0 + n_nationkey % 5 AS DOUBLE) AS min_y, CAST(65.0 + n_nationkey % 5 AS DOUBLE) AS max_y FROM nation WHERE n_nationkey % 4 = 1")
+    b = table(spark, d, "SELECT CAST(-170.0 + n_nationkey * 1.2 AS DOUBLE) AS min_x, CAST(-167.5 + n_nationkey * 1.2 AS DOUBLE) AS max_x, CAST(60.0 + n_nationkey % 5 AS DOUBLE) AS min_y, CAST(65.0 + n_nationkey % 5 AS DOUBLE) AS max_y FROM nation")
     return N.covering_grid(b, -170.0, 60.0, 0.7)
 
 

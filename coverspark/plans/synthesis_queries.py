@@ -50,6 +50,13 @@ def dup_groups(spark, d):
     return L.same_key_rows(p, ["p_brand", "s"], "p_partkey").select("p_partkey", "same")
 
 
+@query("""SELECT p_partkey, CASE WHEN n > 1 THEN first END AS "group", CASE WHEN n > 1 THEN n END AS size
+  FROM (SELECT p_partkey, CASE WHEN p_size % 7 > 0 THEN min(p_partkey) OVER w END AS first, CASE WHEN p_size % 7 > 0 THEN count(*) OVER w END AS n FROM part WINDOW w AS (PARTITION BY p_brand, p_size))""")
+def duplicate_groups(spark, d):
+    p = table(spark, d, "SELECT p_partkey, p_brand, CASE WHEN p_size % 7 > 0 THEN p_size END AS s FROM part")
+    return L.same_key_groups(p, ["p_brand", "s"], "p_partkey").select("p_partkey", "group", "size")
+
+
 @query("""WITH sets AS (SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT CAST(l_suppkey AS VARCHAR))), '|') AS s FROM lineitem GROUP BY 1)
   SELECT a.l_orderkey AS parent, b.l_orderkey AS other FROM sets a LEFT JOIN (SELECT * FROM sets WHERE l_orderkey % 2 = 1) b ON a.s = b.s WHERE a.l_orderkey % 2 = 0""")
 def set_equality_join(spark, d):

@@ -83,6 +83,42 @@ def test_partial_ratio_is_the_best_window():
         assert match.least_edits(a, b) == want
 
 
+def test_best_window_with_cut_ends():
+    rng = np.random.default_rng(4)
+
+    def common(a, b):
+        t = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                t[i + 1, j + 1] = t[i, j] + 1 if x == y else max(t[i, j + 1], t[i + 1, j])
+        return t[-1, -1]
+
+    def windows(a, b):
+        full = [b[k : k + len(a)] for k in range(len(b) - len(a) + 1)]
+        return full + [b[:k] for k in range(1, len(a))] + [b[-k:] for k in range(1, len(a))]
+
+    cut_off = 0
+    for _ in range(300):
+        a, b = sorted(("".join(rng.choice(list("abcé "), rng.integers(1, n))) for n in (8, 12)), key=len)
+        tried = [(a, w) for w in windows(a, b)] + ([(b, w) for w in windows(b, a)] if len(a) == len(b) else [])
+        want = max(200 * common(x, w) / (len(x) + len(w)) for x, w in tried)
+        assert match.best_window(a, b) == pytest.approx(want) == match.best_window(b, a)
+        cut_off += want > 100 * (1 - match.least_edits(a, b) / (2 * len(a)))
+    assert cut_off > 10 and match.best_window("", "") == 100 and match.best_window("", "a") == 0
+
+
+def test_match_audit(spark):
+    checklist = spark.createDataFrame([(f"Salix alb{c}", f"acc {c}") for c in "abcdefg"] + [("Salix alba var. nova", "acc v"), ("Salix", "acc genus")], "checklist_name string, accepted_name string")
+    names = spark.createDataFrame([("Salix alba",), ("Salix albz",), ("Salix quite different",), ("Poa annua",)], "name string")
+    for score in (None, match.partial_score(F.col("key"), F.col("candidate"))):
+        got = {r.name: r for r in match.fuzzy_cascade(names, checklist, score=score).collect()}
+        assert (got["Salix alba"].accepted_name, got["Salix alba"].rank_match, got["Salix alba"].audit) == ("acc a", True, [])
+        audit = got["Salix albz"].audit
+        assert got["Salix albz"].accepted_name == "acc a" and [a.accepted_name for a in audit] == [f"acc {c}" for c in "abcde"] and {a.score for a in audit} == {got["Salix albz"].score}
+        assert (got["Poa annua"].accepted_name, got["Poa annua"].rank_match, got["Poa annua"].audit) == (None, False, [])
+        assert {a["rank"] for a in got["Salix quite different"].audit} >= {"variety", "species"}
+
+
 def test_rank_cascade(spark):
     checklist = spark.createDataFrame([("Salix alba L.", "Salix alba"), ("Salix alba var. nova", "Salix alba var. nova"), ("Salix alba ssp. nova", "Salix alba ssp. nova"), ("Carex", "Carex")], "checklist_name string, accepted_name string")
     names = spark.createDataFrame([("Salix alba var. nova",), ("Salix albb",), ("Carex sp.",), ("Carex bigelowii",), ("Poa annua",), ("Salix alba ssp. novo",)], "name string")
