@@ -101,8 +101,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     labels hold 0 and 1 only. Grade 0 is label 0; rows of label 1 are graded 1 to grades - 1 by equal shares of how dense
     their words are in features that the other half of the sample ties to label 1, so no text is graded by its own label.
     Features are the `vocabulary` words and starts of words whose shares of texts differ most between the classes (at least 5
-    texts), as log(1 + times). Other labels are ignored, of several labels of an id the largest counts. Rows weigh as their
-    class does among all labels. Without texts of both classes nothing is toxic.
+    texts), as log(1 + times). Other labels are ignored, of several labels of an id the largest counts, of several texts
+    the first in text order. Rows weigh as their class does among all labels. Severity above 1 has no label to be held against: it orders
+    texts by how densely they use such features. Without texts of both classes nothing is toxic.
     """
     ship(docs.sparkSession)
     own = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
@@ -111,7 +112,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     picked = own.where("_label = 1").orderBy(first, "_id").limit(per_class).unionByName(own.where("_label = 0").orderBy(first, "_id").limit(per_class))
     picked = picked.withColumn("_half", F.pmod(F.xxhash64(F.lit(4), "_id"), F.lit(2)).cast("int"))
     found = docs.where(F.length(text_col) > 0).select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
-    texts = cut(found.select("_id", "_label", "_half", "_text"))
+    texts = cut(found.groupBy("_id", "_label", "_half").agg(F.min("_text").alias("_text")))
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

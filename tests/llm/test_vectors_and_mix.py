@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 
 from coverspark.llm.queries import QUERIES
+from coverspark.llm.sharding import best_fit_decreasing
+from coverspark.llm.toxicity import fit_toxicity
 from coverspark.llm.vector_dedup import permutations, plan_index, shared_counts, unit_rows, vector_dedup
 from tests.llm.test_llm import by_id
 
@@ -61,3 +63,30 @@ def test_mix_of_documents_comes_near_its_targets(spark, sf, most):
         words[(r.source_size, r.target)] = words.get((r.source_size, r.target), 0) + r.taken
         assert r.taken % r.size == 0 and r.taken <= 3 * r.size if r.size else r.taken == 0
     assert len(words) == 20 and max(abs(n - target) for (_, target), n in words.items()) < most
+
+
+def test_best_fit_decreasing_against_a_list():
+    """Random instances against a search of all bins, item by item, the largest first; of equally tight bins the first."""
+    rng = np.random.default_rng(21)
+    for _ in range(300):
+        sizes = rng.integers(1, 40, rng.integers(0, 60)).tolist()
+        capacity = int(rng.integers(40, 90))
+        rooms, want = [], [0] * len(sizes)
+        for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+            fits = [(room, b) for b, room in enumerate(rooms) if room >= sizes[k]]
+            if fits:
+                want[k] = min(fits)[1]
+            else:
+                want[k] = len(rooms)
+                rooms.append(capacity)
+            rooms[want[k]] -= sizes[k]
+        got = best_fit_decreasing(sizes, capacity)
+        fill = lambda bins: sorted(sum(s for s, x in zip(sizes, bins) if x == b) for b in set(bins))
+        assert fill(got) == fill(want) and len(set(got)) == len(rooms)
+
+
+def test_repeated_ids_are_learned_from_once(spark):
+    rows = [(k, f"plain word{k} text" if k % 2 else f"vile nasty word{k} text") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(60)], "doc_id long, toxic int")
+    assert fit_toxicity(docs.unionByName(docs.where("doc_id < 20")).unionByName(docs.where("doc_id = 2")), labels) == fit_toxicity(docs, labels)
