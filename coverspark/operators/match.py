@@ -23,16 +23,19 @@ def habit_cascade(species: DataFrame, checklist: DataFrame, name: str = "species
     """Add `habit` to each species row: the first of four lookups that has one.
 
     By genus and species among accepted names, then among synonyms, then by genus among accepted names, then synonyms.
-    checklist: name, accepted_name, habit. Lookups are aggregated to one row per key, so no row is lost or
-    doubled; blank habits are null. Spark broadcasts the lookups if they are small.
+    checklist: name, accepted_name, habit. The checklist is read once and aggregated to one row per key, with the
+    habit of its first pass, so no row is lost or doubled; blank habits are null. Two joins; Spark broadcasts the lookups if they are small.
     """
     accepted, synonym = F.col("accepted_name"), F.col("name")
-    out = species.withColumns({"_key": genus_species(F.col(name)), "_genus": first_word(F.col(name))})
-    passes = [("_key", genus_species, accepted), ("_key", genus_species, synonym), ("_genus", first_word, accepted), ("_genus", first_word, synonym)]
-    for k, (key, of, source) in enumerate(passes):
-        lookup = checklist.select(of(source).alias(f"_k{k}"), "habit").where(f"_k{k} is not null").groupBy(f"_k{k}").agg(comma_set(F.col("habit")).alias(f"_h{k}"))
-        out = out.join(lookup, F.col(key) == F.col(f"_k{k}"), "left").drop(f"_k{k}")
-    return out.withColumn("habit", F.coalesce("_h0", "_h1", "_h2", "_h3")).drop("_key", "_genus", "_h0", "_h1", "_h2", "_h3")
+    passes = [("species", genus_species, accepted), ("species", genus_species, synonym), ("genus", first_word, accepted), ("genus", first_word, synonym)]
+    keys = F.array(*(F.struct(F.lit(of).alias("of"), F.lit(k).alias("pass"), key(source).alias("key")) for k, (of, key, source) in enumerate(passes)))
+    each = checklist.select(F.explode(keys).alias("_p"), "habit").select("_p.*", "habit").where("key is not null").groupBy("of", "key", "pass").agg(comma_set(F.col("habit")).alias("h"))
+    lookup = each.groupBy("of", "key").agg(F.min_by("h", F.when(F.col("h").isNotNull(), F.col("pass"))).alias("h"))
+    own = lambda of: lookup.where(F.col("of") == of).select(F.col("key").alias(f"_k_{of}"), F.col("h").alias(f"_h_{of}"))
+    out = species.withColumns({"_species": genus_species(F.col(name)), "_genus": first_word(F.col(name))})
+    for of in ("species", "genus"):
+        out = out.join(own(of), F.col(f"_{of}") == F.col(f"_k_{of}"), "left")
+    return out.withColumn("habit", F.coalesce("_h_species", "_h_genus")).drop("_species", "_genus", "_k_species", "_k_genus", "_h_species", "_h_genus")
 
 
 def leaf_retention(species: DataFrame, retention: DataFrame, name: str = "species") -> DataFrame:

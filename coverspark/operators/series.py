@@ -252,24 +252,14 @@ def harmonic_fit(df: DataFrame, key: str, years: str, v: str, frequencies: int =
 def num_seasons(df: DataFrame, key: str, time: str, v: str) -> DataFrame:
     """Number of peaks per series: local maxima of at least the 75th percentile, the highest first, at least a quarter of the
     series apart."""
-    ship(df.sparkSession)
     w, all_ = over(key, time), Window.partitionBy(key)
     d = df.where(F.col(v).isNotNull()).select(key, F.col(v).alias("v"), (F.row_number().over(w) - 1).alias("i"), F.count("*").over(all_).alias("n"), F.lag(v).over(w).alias("a"), F.lead(v).over(w).alias("b"), F.percentile(v, 0.75).over(all_).alias("q"))
     peak = (F.col("v") >= F.col("q")) & (F.col("v") > F.col("a")) & (F.col("v") > F.col("b"))
-    peaks = d.groupBy(key).agg(F.max("n").alias("n"), F.collect_list(F.when(peak, F.struct("v", "i"))).alias("p"))
-
-    @F.pandas_udf("int")
-    def count(n: pd.Series, p: pd.Series) -> pd.Series:
-        out = []
-        for size, rows in zip(n, p):
-            gap, kept = -(-size // 4), []
-            for r in sorted(rows, key=lambda r: (-r["v"], r["i"])):
-                if all(abs(r["i"] - k) >= gap for k in kept):
-                    kept.append(r["i"])
-            out.append(len(kept))
-        return pd.Series(out)
-
-    return peaks.select(key, count("n", "p").alias("seasons"))
+    peaks = d.groupBy(key).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.when(peak, F.struct((-F.col("v")).alias("low"), "i")))).alias("p"))
+    gap = F.ceil(F.col("n") / 4)
+    apart = lambda kept, p: F.forall(kept, lambda k: F.abs(p["i"] - k) >= gap)
+    kept = F.aggregate("p", F.array().cast("array<int>"), lambda kept, p: F.when(apart(kept, p), F.array_append(kept, p["i"])).otherwise(kept), F.size)
+    return peaks.select(key, kept.alias("seasons"))
 
 
 def resample_days(df: DataFrame, key: str, ts: str, v: str, days: int = 14) -> DataFrame:
