@@ -93,6 +93,11 @@ def shared_counts(x: np.ndarray, y: np.ndarray, shift: int) -> np.ndarray:
     found = np.searchsorted(pivots, x)
     found = np.where((found < len(pivots)) & (pivots[np.minimum(found, len(pivots) - 1)] == x), found, len(pivots)) if len(pivots) else np.zeros_like(x)
     out = np.zeros((len(x), len(y)), np.int8)
+    if shift >= max(x.shape[1], y.shape[1]) - 1:  # any places will do
+        listed = (places != 127).view(np.int8)
+        for place in range(x.shape[1]):
+            out += listed[found[:, place]]
+        return out
     for place in range(x.shape[1]):
         lists = places[found[:, place]]
         out += (lists >= place - shift) & (lists <= min(place + shift, 126))
