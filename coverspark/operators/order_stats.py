@@ -1,4 +1,4 @@
-"""Exact quantiles and ranks of groups of any size: no task, buffer or window holds a group's values."""
+"""Exact quantiles and ranks of groups of any size: no task, buffer or window holds more than a fixed number of a group's values."""
 
 from __future__ import annotations
 
@@ -33,7 +33,8 @@ def quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], nam
     Nulls and NaN are left out; a group without values has nulls. `by` may be empty: the whole table is a group,
     if it has rows. A null key is a key.
 
-    Selection in rounds. The value of each wanted rank lies between two ends. A scan counts, per group, what is below, at and
+    Groups are counted first. One of at most `few` values is sorted as a list, which is bounded by that count. A larger
+    one is searched in rounds. The value of each wanted rank lies between two ends. A scan counts, per group, what is below, at and
     between them, with rough quantiles of what is between (a sketch of fixed size); so the value is one of the ends, or
     the ends move in to about a twentieth of the values, or, if a sketch misled, out to those proved before. Once at most `few`
     values are between, these alone are sorted. A scan sends one row of counts per group and task; the ends are a row per group.
@@ -43,16 +44,42 @@ def quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], nam
     whole = not by
     if whole:
         rows, by = rows.withColumn("_all", F.lit(0)), ["_all"]
+    sizes = cut(rows.groupBy(*by).agg(F.count("_v").alias("_n")))
+    large, smaller = sizes.agg(F.count_if(F.col("_n") > few), F.count_if(F.col("_n") <= few)).first()
+    of = lambda cond: rows.alias("a").join(sizes.where(cond).alias("b"), _same(by), "left_semi")
+    if not large:
+        out = _listed(rows, by, shares)
+    elif not smaller:
+        out = _searched(rows, by, shares, few)
+    else:
+        out = _listed(of(F.col("_n") <= few), by, shares).unionByName(_searched(of(F.col("_n") > few), by, shares, few))
+    return out.select(*([] if whole else by), F.col("_q").alias(name))
+
+
+def _between(n: Column, p: float, a: Column, b: Column) -> Column:
+    """The quantile at p of n values, between those of the two nearest ranks."""
+    part = (n - 1) * F.lit(p) - F.floor((n - 1) * F.lit(p))
+    return F.when(a == b, a).otherwise(a + part * (b - a))
+
+
+def _listed(rows: DataFrame, by: list[str], shares: list[float]) -> DataFrame:
+    """by and _q of groups of few values, each sorted as a list; nulls are not listed."""
+    lists = rows.groupBy(*by).agg(F.sort_array(F.collect_list("_v")).alias("_l")).withColumn("_n", F.size("_l"))
+    at = lambda p, up: F.get("_l", F.least(F.floor((F.col("_n") - 1) * F.lit(p)) + up, F.col("_n") - 1).cast("int"))
+    return lists.select(*by, F.array(*(_between(F.col("_n"), p, at(p, 0), at(p, 1)) for p in shares)).alias("_q"))
+
+
+def _searched(rows: DataFrame, by: list[str], shares: list[float], few: int) -> DataFrame:
+    """by and _q of groups of any size, see quantiles."""
     known = rows.where(F.col("_v").isNotNull())
     margin = 4 / _ACCURACY
     ends = [min(1.0, max(0.0, p + m)) for p in shares for m in (-margin, margin)]
-    first = rows.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), F.percentile_approx("_v", ends, _ACCURACY).alias("_e"))
-    small = F.col("_n") <= few
+    first = known.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), F.percentile_approx("_v", ends, _ACCURACY).alias("_e"))
     rank = [F.least(F.floor((F.col("_n") - 1) * F.lit(p)) + up, F.col("_n") - 1) for p in shares for up in (0, 1)]
     search = [
         F.struct(
-            r.cast("long").alias("rank"), F.when(~small, F.col("_e")[k // 2 * 2]).alias("lo"), F.when(~small, F.col("_e")[k // 2 * 2 + 1]).alias("hi"),
-            F.col("_least").alias("least"), F.col("_most").alias("most"), F.lit(0).cast("long").alias("before"), F.lit(None).cast("double").alias("value"), small.alias("done"),
+            r.cast("long").alias("rank"), F.col("_e")[k // 2 * 2].alias("lo"), F.col("_e")[k // 2 * 2 + 1].alias("hi"),
+            F.col("_least").alias("least"), F.col("_most").alias("most"), F.lit(0).cast("long").alias("before"), F.lit(None).cast("double").alias("value"), F.lit(False).alias("done"),
         )
         for k, r in enumerate(rank)
     ]
@@ -72,7 +99,7 @@ def quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], nam
         moved = F.when(F.col("_c").isNull(), F.col("_s")).otherwise(F.zip_with("_s", "_c", lambda s, c: F.when(s["done"], s).otherwise(_moved(s, c, few))))
         groups = cut(both.select(*_own(by, "_n"), moved.alias("_s")))
     left = lambda s: s["value"].isNull()
-    asked = groups.where(F.exists("_s", left) & (F.col("_n") > 0)).withColumn("_s", F.filter("_s", left))
+    asked = groups.where(F.exists("_s", left)).withColumn("_s", F.filter("_s", left))
     asked = asked.select(*by, F.array_distinct(F.transform("_s", lambda s: F.struct(s["lo"].alias("lo"), s["hi"].alias("hi"), s["before"].alias("before")))).alias("_in"), F.array_distinct(F.transform("_s", lambda s: s["rank"])).alias("_ranks"))
     met = known.alias("a").join(asked.alias("b"), _same(by)).select(*_own(by), "_v", F.explode(F.filter("_in", lambda i: _open(i["lo"], i["hi"]))).alias("_in"), "_ranks")
     runs = met.groupBy(*by, "_in", "_v").agg(F.count("*").alias("_k"), F.first("_ranks").alias("_ranks"))
@@ -81,9 +108,7 @@ def quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], nam
     found = ranked.groupBy(*by).agg(F.map_from_entries(F.collect_set(F.struct("_r", "_v"))).alias("_at"))
     out = groups.alias("a").join(found.alias("b"), _same(by), "left").select(*_own(by, "_n", "_s", "_at"))
     values = [F.coalesce(F.col("_s")[k]["value"], F.try_element_at("_at", F.col("_s")[k]["rank"])) for k in range(len(rank))]
-    over = [(F.col("_n") - 1) * F.lit(p) - F.floor((F.col("_n") - 1) * F.lit(p)) for p in shares]
-    q = [F.when(a == b, a).otherwise(a + part * (b - a)) for a, b, part in zip(values[::2], values[1::2], over)]
-    return out.select(*([] if whole else by), F.array(*q).alias(name))
+    return out.select(*by, F.array(*(_between(F.col("_n"), p, a, b) for p, a, b in zip(shares, values[::2], values[1::2]))).alias("_q"))
 
 
 def _moved(s: Column, c: Column, few: int) -> Column:
@@ -103,14 +128,16 @@ def _moved(s: Column, c: Column, few: int) -> Column:
     return F.struct(rank.alias("rank"), lo.alias("lo"), hi.alias("hi"), least.alias("least"), most.alias("most"), low.alias("before"), value.alias("value"), (at_low | at_high | sorted_).alias("done"))
 
 
-def value_ranks(df: DataFrame, by: list[str], value: str, rank: str = "rank", n: str = "n") -> DataFrame:
+def value_ranks(df: DataFrame, by: list[str], value: str, rank: str = "rank", n: str = "n", times: str | None = None) -> DataFrame:
     """One row per group and different value: `by`, value, `n` rows that have it, and their average `rank` from 1.
 
+    With `times`, a column of whole numbers, a row counts so many times.
+
     Equal values are counted first, so a value that every row has is one row. The runs are dealt over ranges of (group,
     value); sums of each group in each range, a small table, give the rows before a range, and a window within range and group the rest. Null
     keys and values are ranked like others, nulls first.
     """
-    runs = df.groupBy(*by, value).agg(F.count("*").alias(n))
+    runs = df.groupBy(*by, value).agg((F.sum(times) if times else F.count("*")).alias(n))
     placed = cut(runs.repartitionByRange(*by, value).withColumn("_part", F.spark_partition_id()))
     sizes = placed.groupBy(*by, "_part").agg(F.sum(n).alias("_rows"))
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -84,12 +84,13 @@ def spearman(df: DataFrame, by: str, x: str, y: str) -> DataFrame:
     Ranks have a mean of (n + 1) / 2, which makes the sums of one pass exact enough at any size.
     """
     ok = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    pairs = ok.groupBy(by, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count("*").alias("_m"))
-    n = ok.groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("n"))
-    for c, r in ((x, "_rx"), (y, "_ry")):
-        own = value_ranks(ok, [by], c, r).select(F.col(by).alias(f"_k{r}"), F.col(c).alias(f"_v{r}"), r)
-        pairs = pairs.join(own, F.col(by).eqNullSafe(F.col(f"_k{r}")) & (F.col("_x" if c == x and r == "_rx" else "_y") == F.col(f"_v{r}"))).drop(f"_k{r}", f"_v{r}")
-    both = pairs.join(n, F.col(by).eqNullSafe(F.col("_by")))
+    pairs = cut(ok.groupBy(F.col(by).alias("_k"), F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count("*").alias("_m")))
+    n = pairs.groupBy(F.col("_k").alias("_by")).agg(F.sum("_m").alias("n"))
+    joined = pairs
+    for c, r in (("_x", "_rx"), ("_y", "_ry")):
+        own = value_ranks(pairs, ["_k"], c, r, "_n", "_m").select(F.col("_k").alias(f"_k{r}"), F.col(c).alias(f"_v{r}"), r)
+        joined = joined.join(own, F.col("_k").eqNullSafe(F.col(f"_k{r}")) & (F.col(c) == F.col(f"_v{r}"))).drop(f"_k{r}", f"_v{r}")
+    both = joined.join(n, F.col("_k").eqNullSafe(F.col("_by"))).withColumn(by, F.col("_k"))
     dx, dy = (F.col(r) - (F.col("n") + 1) / 2 for r in ("_rx", "_ry"))
     total = lambda c: F.sum(F.col("_m") * c)
     return both.groupBy(by, "n").agg(F.try_divide(total(dx * dy), F.sqrt(total(dx * dx) * total(dy * dy))).alias("rho"))
