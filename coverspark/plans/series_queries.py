@@ -231,7 +231,12 @@ def wide_by_date(spark, d):
     return S.wide_by_date(e, "user_id", "day", "value", [f"2024-01-{k:02d}" for k in (3, 11, 25)], "_sum")
 
 
-@query()
+@query(_S.replace("WITH ", "WITH RECURSIVE ", 1) + """, d AS (SELECT id, v, row_number() OVER o - 1 AS i, count(*) OVER e AS n, lag(v) OVER o AS a, lead(v) OVER o AS b, quantile_cont(v, 0.75) OVER e AS q
+    FROM s WHERE v IS NOT NULL WINDOW o AS (PARTITION BY id ORDER BY day), e AS (PARTITION BY id)),
+  p AS (SELECT id, i, n, row_number() OVER (PARTITION BY id ORDER BY v DESC, i) AS r FROM d WHERE v >= q AND v > a AND v > b),
+  w AS (SELECT DISTINCT id, CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS kept FROM d
+    UNION ALL SELECT w.id, p.r, CASE WHEN len(list_filter(kept, lambda k: abs(k - i) < ceil(n / 4.0))) = 0 THEN list_append(kept, i) ELSE kept END FROM w JOIN p ON p.id = w.id AND p.r = w.r + 1)
+  SELECT id, max(len(kept)) AS seasons FROM w GROUP BY id""")
 def num_seasons(spark, d):
     return S.num_seasons(series(spark, d), "id", "day", "v")
 
