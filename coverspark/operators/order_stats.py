@@ -128,24 +128,52 @@ def _moved(s: Column, c: Column, few: int) -> Column:
     return F.struct(rank.alias("rank"), lo.alias("lo"), hi.alias("hi"), least.alias("least"), most.alias("most"), low.alias("before"), value.alias("value"), (at_low | at_high | sorted_).alias("done"))
 
 
-def value_ranks(df: DataFrame, by: list[str], value: str, rank: str = "rank", n: str = "n", times: str | None = None) -> DataFrame:
-    """One row per group and different value: `by`, value, `n` rows that have it, and their average `rank` from 1.
+def with_quantiles(own: DataFrame, df: DataFrame, by: list[str], value: str, shares: list[float], name: str = "q") -> DataFrame:
+    """own, a table of a row per group, with the exact quantiles of df's groups as the array `name`."""
+    q = quantiles(df, by, value, shares, name).withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(by)})
+    cond = F.lit(True)
+    for i, k in enumerate(by):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return own.join(q, cond, "left").drop(*(f"_k{i}" for i in range(len(by))))
+
 
-    With `times`, a column of whole numbers, a row counts so many times.
+def _runs(df: DataFrame, by: list[str], order: list[str], n: str, times: str | None = None) -> DataFrame:
+    """One row per group and different values of `order`: these, `n` rows that have them, and `_first`, how many of the group come before.
 
     Equal values are counted first, so a value that every row has is one row. The runs are dealt over ranges of (group,
-    value); sums of each group in each range, a small table, give the rows before a range, and a window within range and group the rest. Null
-    keys and values are ranked like others, nulls first.
+    order); sums of each group in each range, a small table, give the rows before a range, and a window within range and group the rest.
     """
-    runs = df.groupBy(*by, value).agg((F.sum(times) if times else F.count("*")).alias(n))
-    placed = cut(runs.repartitionByRange(*by, value).withColumn("_part", F.spark_partition_id()))
+    runs = df.groupBy(*by, *order).agg((F.sum(times) if times else F.count("*")).alias(n))
+    placed = cut(runs.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
     sizes = placed.groupBy(*by, "_part").agg(F.sum(n).alias("_rows"))
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(*by, "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    own = placed.withColumn("_own", F.sum(n).over(Window.partitionBy(*by, "_part").orderBy(value)) - F.col(n))
-    keys = [*by, "_part"]
-    joined = own.alias("a").join(before.alias("b"), _same(keys))
-    return joined.select(*_own([*by, value, n]), (F.col("_before") + F.col("_own") + (F.col(n) + 1) / 2).alias(rank))
+    own = placed.withColumn("_own", F.sum(n).over(Window.partitionBy(*by, "_part").orderBy(*order)) - F.col(n))
+    joined = own.alias("a").join(before.alias("b"), _same([*by, "_part"]))
+    return joined.select(*_own([*by, *order, n]), (F.col("_before") + F.col("_own")).alias("_first"))
+
+
+def value_ranks(df: DataFrame, by: list[str], value: str, rank: str = "rank", n: str = "n", times: str | None = None) -> DataFrame:
+    """One row per group and different value: `by`, value, `n` rows that have it, and their average `rank` from 1; see _runs.
+
+    With `times`, a column of whole numbers, a row counts so many times. Null keys and values are ranked like others, nulls first.
+    """
+    return _runs(df, by, [value], n, times).select(*by, value, n, (F.col("_first") + (F.col(n) + 1) / 2).alias(rank))
+
+
+def nearest_rows(df: DataFrame, by: list[str], order: list[str], shares: list[float], name: str = "q") -> DataFrame:
+    """One row per group: `by` and `name`, an array with the values of `order` (a struct) at the places nearest to the shares.
+
+    The place of p among n rows in order is (n - 1) p, rounded half to even. Rows with a null first value are left out, later nulls come
+    first; a group without rows is left out. Ranks come from counts over ranges, so no task holds a group; see _runs.
+    """
+    known = df.where(F.col(order[0]).isNotNull())
+    runs = _runs(known, by, order, "_n")
+    sizes = known.groupBy(*by).agg(F.count("*").alias("_all"))
+    both = runs.alias("a").join(sizes.alias("b"), _same(by)).select(*_own(by, *order, "_n", "_first", "_all"))
+    place = [F.bround((F.col("_all") - 1) * F.lit(p), 0) for p in shares]
+    held = [(r >= F.col("_first")) & (r < F.col("_first") + F.col("_n")) for r in place]
+    return both.groupBy(*by).agg(F.array(*(F.max(F.when(h, F.struct(*order))) for h in held)).alias(name))
 
 
 def previous_in_group(df: DataFrame, by: list[str], order: str, previous: str = "previous", first: str = "first") -> DataFrame:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from coverspark.operators.order_stats import with_quantiles
 from coverspark.session import ship
 
 
@@ -90,6 +91,12 @@ def drop_outliers_z(df: DataFrame, key: str, time: str, v: str, critical: float
     return d.withColumn(v, F.when(~F.coalesce((F.col("_z") > critical) & off, F.lit(False)), F.col(v))).drop("_a", "_b", "_cut", "_z")
 
 
+def _mean_median(df: DataFrame, by: list[str], v: str) -> DataFrame:
+    """Mean, median (exact, see quantiles) and number of the values per group."""
+    own = df.groupBy(*by).agg(F.avg(v).alias("mean"), F.count(v).alias("n"))
+    return with_quantiles(own, df, by, v, [0.5]).select(*by, "mean", F.col("q")[0].alias("median"), "n")
+
+
 def climatology(df: DataFrame, key: str, ts: str, v: str, unit: str = "month") -> DataFrame:
     """Mean and median per calendar month (week of the year) over all years, dated in the middle year of the table.
 
@@ -97,7 +104,7 @@ def climatology(df: DataFrame, key: str, ts: str, v: str, unit: str = "month") -
     """
     years = df.select(F.year(ts).alias("y")).where("y is not null").distinct().agg(F.array_sort(F.collect_list("y")).alias("ys")).select(F.element_at("ys", F.floor(F.size("ys") / 2).cast("int") + 1).alias("_year"))
     number = F.month(ts) if unit == "month" else F.weekofyear(ts)
-    out = df.groupBy(key, number.alias("number")).agg(F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"), F.count(v).alias("n")).crossJoin(F.broadcast(years))
+    out = _mean_median(df.withColumn("number", number), [key, "number"], v).crossJoin(F.broadcast(years))
     first = F.make_date("_year", F.lit(1), F.lit(1))
     monday = F.date_add(first, F.pmod(F.lit(7) - F.weekday(first), F.lit(7)))
     day = F.make_date("_year", "number", F.lit(1)) if unit == "month" else F.date_add(monday, (F.col("number") - 1) * 7 + 6)
@@ -266,9 +273,9 @@ def resample_days(df: DataFrame, key: str, ts: str, v: str, days: int = 14) -> D
     """Mean and median per step of so many days, counted from the Monday of the table's first week."""
     start = df.agg(F.date_trunc("week", F.min(ts)).cast("date").alias("_start"))
     d = df.crossJoin(F.broadcast(start)).withColumn("step", F.expr(f"date_add(_start, cast(floor(datediff(`{ts}`, _start) / {days}) as int) * {days})"))
-    return d.groupBy(key, "step").agg(F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"), F.count(v).alias("n"))
+    return _mean_median(d, [key, "step"], v)
 
 
 def resample(df: DataFrame, key: str, ts: str, v: str, unit: str) -> DataFrame:
     """Mean and median per calendar unit."""
-    return df.groupBy(key, F.date_trunc(unit, ts).alias("step")).agg(F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"), F.count(v).alias("n"))
+    return _mean_median(df.withColumn("step", F.date_trunc(unit, ts)), [key, "step"], v)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from coverspark.operators.lists import renumbered
-from coverspark.operators.order_stats import previous_in_group, quantiles
+from coverspark.operators.order_stats import previous_in_group, with_quantiles
 from coverspark.session import cut, ship
 
 
@@ -289,9 +289,7 @@ def majority(df: DataFrame, key: str, kind: str) -> DataFrame:
 def composite(pixels: DataFrame, keys: list[str], value: str, time: str) -> DataFrame:
     """Median (exact, see quantiles) and largest value and first time per key."""
     own = pixels.groupBy(*keys).agg(F.min(F.when(F.col(value).isNotNull(), F.col(time))).alias("first_time"), F.max(value).alias("top"))
-    q = quantiles(pixels, keys, value, [0.5]).withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
-    return own.join(q, same).select(*keys, F.col("q")[0].alias("median"), "first_time", "top")
+    return with_quantiles(own, pixels, keys, value, [0.5]).select(*keys, F.col("q")[0].alias("median"), "first_time", "top")
 
 
 def _hull(xy: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverspark.operators.order_stats import quantiles, value_ranks
+from coverspark.operators.order_stats import quantiles, value_ranks, with_quantiles
 from coverspark.session import cut, ship
 
 
@@ -24,9 +24,7 @@ def zonal(df: DataFrame, zone: str, value: str) -> DataFrame:
     """Count, extremes, mean, population deviation, sum and quantiles per zone; quantiles are exact, see quantiles."""
     v = F.col(value)
     own = df.groupBy(zone).agg(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("sd"), F.sum(v).alias("total"))
-    q = quantiles(df, [zone], value, [0.25, 0.5, 0.75, 0.9]).withColumnRenamed(zone, "_k")
-    out = own.join(q, F.col(zone).eqNullSafe(F.col("_k")))
-    return out.select(zone, "n", "low", "high", "mean", "sd", "total", *(F.col("q")[k].alias(n) for k, n in enumerate(("q1", "median", "q3", "p90"))))
+    return with_quantiles(own, df, [zone], value, [0.25, 0.5, 0.75, 0.9]).select(zone, "n", "low", "high", "mean", "sd", "total", *(F.col("q")[k].alias(n) for k, n in enumerate(("q1", "median", "q3", "p90"))))
 
 
 def zone_type_grid(df: DataFrame, zone: str, kind: str, value: str) -> DataFrame:
@@ -102,18 +100,11 @@ def agreement(df: DataFrame, by: str, predicted: str, observed: str) -> DataFram
     return df.where(p.isNotNull() & o.isNotNull()).groupBy(by).agg(F.count("*").alias("n"), F.pow(F.corr(p, o), 2).alias("r2"), F.sqrt(F.avg((p - o) * (p - o))).alias("rmse"), F.avg(F.abs(p - o)).alias("mae"))
 
 
-def nearest_quantiles(values: Column, shares: list[float]) -> list[Column]:
-    """Elements of a sorted array at the places nearest to the shares (half to even)."""
-    n = F.size(values)
-    return [F.try_element_at(values, (F.bround((n - 1) * F.lit(q), 0) + 1).cast("int")) for q in shares]
-
-
 def moments(df: DataFrame, by: str, value: str) -> DataFrame:
     """Extremes, median, mean, sample deviation and bias-corrected skewness and excess kurtosis, per group."""
     v = F.col(value)
     a = df.groupBy(by).agg(F.count(v).cast("double").alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.skewness(v).alias("g1"), F.kurtosis(v).alias("g2"))
-    q = quantiles(df, [by], value, [0.5]).select(F.col(by).alias("_k"), F.col("q")[0].alias("median"))
-    a = a.join(q, F.col(by).eqNullSafe(F.col("_k")))
+    a = with_quantiles(a, df, [by], value, [0.5]).withColumn("median", F.col("q")[0])
     n = F.col("n")
     skew = F.when(n > 2, F.try_divide(F.col("g1") * F.sqrt(n * (n - 1)), n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from coverspark.functions import bands as B
 from coverspark.functions import numbers as N
 from coverspark.operators import spatial as P
+from coverspark.operators.order_stats import with_quantiles
 from coverspark.plans.registry import BANDS, PIXELS, POINTS, ctes, query, table
 
 _P = ctes(p=POINTS)
@@ -117,7 +118,8 @@ def buffer_median(spark, d):
     s = table(spark, d, "SELECT s_suppkey, CAST(s_suppkey * 15 AS DOUBLE) AS cx, CAST(s_suppkey AS DOUBLE) AS cy FROM supplier")
     s = s.select("s_suppkey", "cx", "cy", (F.col("cx") - 30).alias("min_x"), (F.col("cx") + 30.001).alias("max_x"), (F.col("cy") - 30).alias("min_y"), (F.col("cy") + 30.001).alias("max_y"))
     near = P.box_join(px.withColumnsRenamed({"px": "x", "py": "y"}), s, 30.0).where(F.hypot(F.col("x") - F.col("cx"), F.col("y") - F.col("cy")) <= 30)
-    return near.groupBy("s_suppkey").agg(F.percentile("value", 0.5).alias("median"), F.count("*").alias("n"))
+    found = with_quantiles(near.groupBy("s_suppkey").agg(F.count("*").alias("n")), near, ["s_suppkey"], "value", [0.5])
+    return found.select("s_suppkey", F.col("q")[0].alias("median"), "n")
 
 
 @query("SELECT l_suppkey, l_linenumber, quantile_cont(l_quantity, 0.5) AS median, min(l_shipdate) AS first_time, max(l_quantity) AS top FROM lineitem GROUP BY ALL")

@@ -11,6 +11,7 @@ from coverspark.functions import text as T
 from coverspark.operators import lists as L
 from coverspark.operators import stats as S
 from coverspark.operators import validate as V
+from coverspark.operators.order_stats import nearest_rows, with_quantiles
 from coverspark.plans.registry import COVER, VISITS, ctes, query, table
 from coverspark.sources import files
 
@@ -202,7 +203,8 @@ def value_counts_long(spark, d):
 @query(_C + "SELECT dataset, round(count(*) FILTER (cover - line * 5 > 0) / CAST(count(cover) AS DOUBLE), 6) AS share, quantile_cont(cover - line * 5, 0.5) FILTER (cover - line * 5 > 0) AS median FROM cover GROUP BY dataset")
 def nonzero_share(spark, d):
     c = table(spark, d, COVER).withColumn("v", F.col("cover") - F.col("line") * 5)
-    return c.groupBy("dataset").agg(F.round(F.count_if(F.col("v") > 0) / F.count("v"), 6).alias("share"), F.percentile(F.when(F.col("v") > 0, F.col("v")), 0.5).alias("median"))
+    own = c.groupBy("dataset").agg(F.round(F.count_if(F.col("v") > 0) / F.count("v"), 6).alias("share"))
+    return with_quantiles(own, c.withColumn("v", F.when(F.col("v") > 0, F.col("v"))), ["dataset"], "v", [0.5]).select("dataset", "share", F.col("q")[0].alias("median"))
 
 
 @query("SELECT CAST(least(floor((v - a) / 7), greatest(ceil((b - a) / 7) - 1, 0)) AS BIGINT) AS bin, count(*) AS n FROM (SELECT l_quantity AS v FROM lineitem WHERE l_quantity <> 0), (SELECT min(l_quantity) AS a, max(l_quantity) AS b FROM lineitem WHERE l_quantity <> 0) GROUP BY 1")
@@ -250,14 +252,14 @@ def agreement_metrics(spark, d):
 
 @query("SELECT user_id, " + ", ".join(f"v[CAST(round_even((len(v) - 1) * CAST({k / 10} AS DOUBLE), 0) AS INT) + 1] AS d{k}" for k in range(1, 11)) + " FROM (SELECT user_id, list_sort(list(value)) AS v FROM events GROUP BY 1)")
 def deciles_nearest(spark, d):
-    g = table(spark, d, "SELECT user_id, value FROM events").groupBy("user_id").agg(F.array_sort(F.collect_list("value")).alias("v"))
-    return g.select("user_id", *(c.alias(n) for c, n in zip(S.nearest_quantiles(F.col("v"), [k / 10 for k in range(1, 11)]), [f"d{k}" for k in range(1, 11)])))
+    q = nearest_rows(table(spark, d, "SELECT user_id, value FROM events"), ["user_id"], ["value"], [k / 10 for k in range(1, 11)])
+    return q.select("user_id", *(F.col("q")[k]["value"].alias(f"d{k + 1}") for k in range(10)))
 
 
 @query("SELECT user_id, " + ", ".join(f"v[CAST(round_even((len(v) - 1) * CAST({k / 10} AS DOUBLE), 0) AS INT) + 1].ts AS at{k}" for k in range(1, 11)) + " FROM (SELECT user_id, list_sort(list({'v': value, 'ts': ts})) AS v FROM events GROUP BY 1)")
 def decile_dates(spark, d):
-    g = table(spark, d, "SELECT user_id, value, ts FROM events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("value", "ts"))).alias("v"))
-    return g.select("user_id", *(c["ts"].alias(f"at{k}") for k, c in enumerate(S.nearest_quantiles(F.col("v"), [k / 10 for k in range(1, 11)]), 1)))
+    q = nearest_rows(table(spark, d, "SELECT user_id, value, ts FROM events"), ["user_id"], ["value", "ts"], [k / 10 for k in range(1, 11)])
+    return q.select("user_id", *(F.col("q")[k]["ts"].alias(f"at{k + 1}") for k in range(10)))
 
 
 @query("SELECT user_id, min(value) AS low, max(value) AS high, round(quantile_cont(value, 0.5), 6) AS median, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, round(skewness(value), 4) AS skew, round(kurtosis(value), 4) AS kurtosis FROM events GROUP BY 1")

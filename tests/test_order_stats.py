@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coverspark.operators import stats
-from coverspark.operators.order_stats import previous_in_group, quantiles, value_ranks
+from coverspark.operators.order_stats import nearest_rows, previous_in_group, quantiles, value_ranks
 
 SHARES = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
 
@@ -94,3 +94,27 @@ def test_previous_in_group(spark):
         own = sorted(o for j, o in rows if j == k)
         assert [got.pop((k, o)) for o in own] == [(p, own[0]) for p in [None, *own[:-1]]]
     assert not got
+
+
+def test_nearest_rows(spark):
+    """Places rounded half to even, over ties, nulls and a group that holds nearly all rows."""
+    rng = np.random.default_rng(4)
+    rows = [("hot", float(x), int(t)) for x, t in zip(rng.integers(0, 40, 5000), rng.integers(0, 9, 5000))] + [(None, 2.0, None), (None, 2.0, 1), ("one", 3.0, 4), ("null", None, 1), ("hot", None, 0)]
+    df = spark.createDataFrame(rows, "k string, v double, t int").repartition(6)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    found = nearest_rows(df, ["k"], ["v", "t"], shares)
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.k: [(x.v, x.t) for x in r.q] for r in found.collect()}
+    for k in ("hot", None, "one"):
+        own = sorted(((v, t) for j, v, t in rows if j == k and v is not None), key=lambda x: (x[0], x[1] is not None, x[1] or 0))
+        assert got.pop(k) == [own[round((len(own) - 1) * p)] for p in shares]
+    assert not got
+    assert nearest_rows(df.limit(0), ["k"], ["v"], [0.5]).count() == 0
+
+
+def test_small_and_large_groups_together(spark):
+    """Groups of few values are sorted as lists, larger ones searched; without values a group has nulls in either case."""
+    rows = [("large", float(x * 37 % 501)) for x in range(501)] + [("small", float(x)) for x in range(20)] + [("none", None), (None, 1.0), ("nan", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    got = {r.k: r.q for r in quantiles(df, ["k"], "v", [0.25, 0.5], few=20).collect()}
+    assert got == {"large": [125.0, 250.0], "small": [4.75, 9.5], "none": [None, None], "nan": [None, None], None: [1.0, 1.0]}
