@@ -219,6 +219,18 @@ def pearson_p(spark, d):
     return S.with_p_value(S.pearson(table(spark, d, "SELECT * FROM lineitem"), "l_suppkey", "l_quantity", "l_extendedprice"))
 
 
+@query("""WITH RECURSIVE g AS (SELECT l_suppkey, count(*) AS n, corr(l_quantity, l_discount) AS r FROM lineitem WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL GROUP BY 1),
+  a AS (SELECT l_suppkey, n, r, n - 2 AS v, atan(abs(r) / sqrt(1 - r * r)) AS angle FROM g WHERE n > 3),
+  w AS (SELECT l_suppkey, v, cos(angle) AS c, 1 AS k, CASE v % 2 WHEN 1 THEN cos(angle) ELSE 1 END AS term, CASE v % 2 WHEN 1 THEN cos(angle) ELSE 1 END AS total FROM a
+    UNION ALL SELECT l_suppkey, v, c, k + 1, term * c * c * f, total + term * c * c * f FROM (SELECT *, CASE v % 2 WHEN 1 THEN 2.0 * k / (2 * k + 1) ELSE (2.0 * k - 1) / (2 * k) END AS f FROM w WHERE k < v // 2)),
+  s AS (SELECT l_suppkey, arg_max(total, k) AS total FROM w GROUP BY 1)
+  SELECT l_suppkey, n, round(r, 6) AS r, round(1 - CASE v % 2 WHEN 1 THEN 2 / pi() * (angle + sin(angle) * total) ELSE sin(angle) * total END, 6) AS p FROM a JOIN s USING (l_suppkey)""")
+def correlation_test(spark, d):
+    """Correlations near 0 with their two-sided p-values; the SQL sums the finite series of whole degrees of freedom instead."""
+    found = S.with_p_value(S.pearson(table(spark, d, "SELECT l_suppkey, l_quantity, l_discount FROM lineitem"), "l_suppkey", "l_quantity", "l_discount"))
+    return found.where("n > 3").select("l_suppkey", "n", F.round("r", 6).alias("r"), F.round("p", 6).alias("p"))
+
+
 # Schemas.
 
 _SPECIES = "SELECT {key} AS visit_id, p_name AS dataset_species_name, CASE WHEN p_size % 9 > 0 THEN lower(p_type) END AS standard_habit, CAST(l_quantity AS {text}) AS fcover, l_linenumber AS line FROM lineitem JOIN part ON p_partkey = l_partkey"
