@@ -16,6 +16,10 @@ from coverspark.operators.order_stats import previous_in_group, with_quantiles
 from coverspark.session import cut, ship
 
 
+#: Rows of two numbers, counted before, that may be broadcast.
+_BROADCAST_ROWS = 1_000_000
+
+
 def finite(*names: str) -> Column:
     """Whether all of these columns hold a number: no null, NaN or infinity."""
     return reduce(lambda a, b: a & b, (F.coalesce(~F.isnan(n) & (F.abs(F.col(n)) < float("inf")), F.lit(False)) for n in names))
@@ -106,21 +110,24 @@ def distance_clusters(points: DataFrame, distance: float, id_col: str = "id", or
     Clusters never merge, so the result hangs on the order (whole numbers, no ties). cluster is the least order number of
     its members: the least that a point reaches over steps within the distance to ever earlier points. Labels start at the
     least of the earlier neighbours (see earlier_neighbours: at most 25 a point, however dense a site is) and fall to the least
-    of theirs and to their label's label, until none changes; each round ends as a shared table, so no task holds a cluster. Points
-    without a finite place are clusters of their own.
+    of theirs and to their label's label, until none changes. A round asks only for neighbours and labels that fell in the one
+    before; once these are few they are broadcast, so edges stay where they are. It ends as a shared table, so no task holds a
+    cluster. Points without a finite place are clusters of their own.
     """
     own = cut(points.select(F.col(id_col).alias("id"), F.col(order).cast("long").alias("ord"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
     edges = cut(earlier_neighbours(own.drop("id"), distance))
-    labels = cut(edges.groupBy("ord").agg(F.min("least").alias("label")))
+    labels, moved = cut(edges.groupBy("ord").agg(F.min("least").alias("label"), F.lit(True).alias("moved"))), None
     for _ in range(max_rounds):
-        known = labels.select(F.col("ord").alias("at"), F.col("label").alias("next"))
-        by_edge = edges.join(known, F.col("earlier") == F.col("at")).groupBy("ord").agg(F.min("next").alias("near"))
-        jump = labels.join(known, F.col("label") == F.col("at"), "left").select("ord", "label", F.coalesce("next", "label").alias("next"))
-        low = F.least("label", "next", F.coalesce("near", "label"))
-        seen = Observation()
-        fallen = jump.join(by_edge, "ord", "left").select("ord", low.alias("label"), (low != F.col("label")).alias("moved"))
-        labels = cut(fallen.observe(seen, F.count_if("moved").alias("moved")).select("ord", "label"))
-        if not seen.get["moved"]:
+        fallen = labels.where("moved").select(F.col("ord").alias("at"), F.col("label").alias("next"))
+        if moved is not None and moved <= _BROADCAST_ROWS:
+            fallen = F.broadcast(fallen)
+        steps = edges.select("ord", "earlier").unionByName(labels.select("ord", F.col("label").alias("earlier")))
+        near = steps.join(fallen, F.col("earlier") == F.col("at")).groupBy("ord").agg(F.min("next").alias("next"))
+        low, seen = F.least("label", "next"), Observation()
+        told = labels.join(near, "ord", "left").select("ord", low.alias("label"), (low < F.col("label")).alias("moved"))
+        labels = cut(told.observe(seen, F.count_if("moved").alias("moved")))
+        moved = seen.get["moved"]
+        if not moved:
             break
     else:
         raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
