@@ -53,7 +53,7 @@ TWIN_COLUMNS = {
     "SITE MOISTURE": "SITEMOISTURE",
     "RELEVE NUMBER": "RELEVE_NUMBER",
 }
-#: Starts of an author, in the order in which they are looked for.
+#: Starts of an author, in the order in which they are looked for.
 AUTHOR_STARTS = [r"\(", r"s\.l\.?\b", r"[A-Z]{2,}\.", r"[A-Z][a-z]+\.", r"[A-Z]\."]
 
 
