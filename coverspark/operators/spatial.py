@@ -18,6 +18,8 @@ from coverspark.session import cut, ship
 
 #: Rows of two numbers, counted before, that may be broadcast.
 _BROADCAST_ROWS = 1_000_000
+#: Ids of one place in a list, about.
+_BLOCK = 128
 
 
 def finite(*names: str) -> Column:
@@ -71,14 +73,31 @@ def rasterize(boxes: DataFrame, code: str, x0: float, y0: float, size: float, wi
     return rows.select("x", "y", F.col(code).cast("long").alias("value")).unionByName(grid).groupBy("x", "y").agg(F.max("value").alias("value"))
 
 
-def pairs_within(points: DataFrame, distance: float, id_col: str = "id") -> DataFrame:
-    """(a, b, distance) of different points at most `distance` apart, a < b; cells of that size and their neighbours meet."""
-    own = points.select(F.col(id_col).alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.floor(F.col("x") / distance).alias("cx"), F.floor(F.col("y") / distance).alias("cy"))
-    near = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
-    other = points.select(F.col(id_col).alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), F.explode(F.array(*(F.struct((F.floor(F.col("x") / distance) + i).alias("cx"), (F.floor(F.col("y") / distance) + j).alias("cy")) for i, j in near))).alias("c"))
-    other = other.select("b", "bx", "by", "c.cx", "c.cy")
-    d = F.hypot(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by"))
-    return own.join(other, ["cx", "cy"]).where("a < b").withColumn("distance", d).where(F.col("distance") <= distance).select("a", "b", "distance")
+def pairs_within(points: DataFrame, distance: float, id_col: str = "id", digits: int | None = None) -> DataFrame:
+    """(a, b, distance) of different points at most `distance` apart, a < b; cells of that size and their neighbours meet.
+
+    Points of one place are lists of at most about _BLOCK ids. Only lists meet, each two once, so the distance (to `digits`, if given) is
+    that of two places, however many points they have. Where a place has several lists, those that are near each other are dealt over
+    all tasks before their pairs are spelt out. Points without an id or a finite place have no pairs.
+    """
+    parts = 4 * points.sparkSession.sparkContext.defaultParallelism
+    known = points.where(F.col(id_col).isNotNull() & finite("x", "y")).select(F.col(id_col).alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    sizes = cut(known.groupBy("x", "y").agg(F.ceil(F.count("*") / _BLOCK).alias("lists")))
+    several = (sizes.agg(F.max("lists")).first()[0] or 0) > 1
+    blocks = known.join(sizes, ["x", "y"]).groupBy("x", "y", F.pmod(F.xxhash64("id"), "lists").alias("k")).agg(F.collect_list("id").alias("ids"))
+    blocks = cut(blocks.withColumns({"cx": F.floor(F.col("x") / distance), "cy": F.floor(F.col("y") / distance)}))
+    ahead = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))))
+    own = blocks.select(F.struct("x", "y", "k").alias("p"), F.col("ids").alias("ids_p"), "cx", "cy").repartition(parts, "cx", "cy")
+    other = blocks.select(F.struct("x", "y", "k").alias("q"), F.col("ids").alias("ids_q"), "cx", "cy", F.explode(ahead).alias("s"))
+    other = other.select("q", "ids_q", (F.col("cx") - F.col("s.i")).alias("cx"), (F.col("cy") - F.col("s.j")).alias("cy"), ((F.col("s.i") == 0) & (F.col("s.j") == 0)).alias("same_cell"))
+    d = F.hypot(F.col("p.x") - F.col("q.x"), F.col("p.y") - F.col("q.y"))
+    near = own.join(other, ["cx", "cy"]).where((~F.col("same_cell") | (F.col("p") <= F.col("q"))) & (d <= distance))
+    near = near.select("ids_p", "ids_q", (F.col("p") == F.col("q")).alias("same"), (d if digits is None else F.round(d, digits)).alias("distance"))
+    if several:
+        near = near.repartition(parts)
+    pairs = near.select(F.explode("ids_p").alias("_p"), "ids_q", "same", "distance").select("_p", F.explode("ids_q").alias("_q"), "same", "distance")
+    pairs = pairs.where((F.col("_p") < F.col("_q")) | (~F.col("same") & (F.col("_p") > F.col("_q"))))
+    return pairs.select(F.least("_p", "_q").alias("a"), F.greatest("_p", "_q").alias("b"), "distance")
 
 
 def earlier_neighbours(points: DataFrame, distance: float) -> DataFrame:

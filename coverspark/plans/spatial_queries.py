@@ -67,7 +67,7 @@ METRES = "SELECT c_custkey AS id, c_custkey AS ord, CAST(c_custkey * 37 % 3000 A
 
 @query(ctes(m=METRES) + "SELECT a.id AS a, b.id AS b, round(sqrt((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2), 6) AS distance FROM m a JOIN m b ON a.id < b.id AND (a.x - b.x) ^ 2 + (a.y - b.y) ^ 2 <= 55.0 * 55")
 def pairs_within(spark, d):
-    return P.pairs_within(table(spark, d, METRES), 55.0).withColumn("distance", F.round("distance", 6))
+    return P.pairs_within(table(spark, d, METRES), 55.0, digits=6)
 
 
 _REACH = """ e AS (SELECT b.ord AS ord, a.ord AS earlier FROM {m} a JOIN {m} b ON a.ord < b.ord AND (a.x - b.x) ^ 2 + (a.y - b.y) ^ 2 <= 900),

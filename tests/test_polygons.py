@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Row
@@ -204,3 +205,34 @@ def test_neighbours_of_a_dense_site(spark):
     assert spatial.distance_clusters(df.withColumn("id", df.ord), 1.0).where("cluster <> 0").isEmpty()
     spread = spark.range(3000).selectExpr("id AS ord", "hash(id) % 1000 / 400.0D AS x", "hash(id, 1) % 1000 / 400.0D AS y")
     assert spatial.earlier_neighbours(spread, 1.0).groupBy("ord").count().agg({"count": "max"}).first()[0] <= 25
+
+
+def test_pairs_of_many_points_in_few_places(spark):
+    places = [(0.0, 0.0), (3.0, 4.0), (-0.5, 2.0), (40.0, 0.0)]
+    rows = [(k, *places[k % 4 if k < 900 else 0]) for k in range(1200)] + [(7, 3.0, 4.0), (None, 0.0, 0.0), (1300, float("nan"), 0.0), (1301, None, 0.0), (1302, float("inf"), 0.0)]
+    got = spatial.pairs_within(spark.createDataFrame(rows, "id long, x double, y double"), 5.0, digits=3)
+    # the distance of two places is found once: near lists, not candidate points, come out of the join
+    joined = _made(got, "Join")
+    assert joined and max(joined) < 2000
+    want = Counter()
+    for a, ax, ay in rows:
+        for b, bx, by in rows:
+            if a is not None and b is not None and a < b and ax is not None and bx is not None and math.hypot(ax - bx, ay - by) <= 5:
+                want[a, b, round(math.hypot(ax - bx, ay - by), 3)] += 1
+    assert Counter((r.a, r.b, r.distance) for r in got.collect()) == want
+
+
+def _made(df, operator):
+    """Rows that operators of that name made when df is computed."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    todo[0].executeCollect()
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+        if p.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(p.plan())
+        if operator in p.nodeName() and p.metrics().contains("numOutputRows"):
+            out.append(p.metrics().apply("numOutputRows").value())
+        todo += [p.children().apply(k) for k in range(p.children().size())]
+    return out
