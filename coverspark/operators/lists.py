@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverspark.session import cut
+from coverspark.session import cut, dealt
 
 
 def first_nonnull(c: str, order: str) -> Column:
@@ -162,7 +162,8 @@ def images_of(surveys: DataFrame, images: DataFrame, site: str, day: str, host:
     return joined.withColumn("urls", F.coalesce("urls", F.lit(""))).drop("_site", "_day")
 
 
-def aligned(layers: dict[str, DataFrame], keys: list[str]) -> DataFrame:
-    """Layers (keys, value) side by side where any has the pixel, from one union and one aggregation."""
+def aligned(layers: dict[str, DataFrame], keys: list[str], rows: int = 0) -> DataFrame:
+    """Layers (keys, value) side by side where any has the pixel, from one union and one aggregation; of a layer's values for one
+    pixel the largest. `rows`, if known, is the number of rows of all layers: large ones are dealt over tasks by it, see dealt()."""
     wide = [df.select(*keys, *((F.col(n) if n == m else F.lit(None).cast(layers[m].schema[m].dataType)).alias(m) for m in layers)) for n, df in layers.items()]
-    return reduce(DataFrame.unionByName, wide).groupBy(*keys).agg(*(F.max(n).alias(n) for n in layers))
+    return dealt(reduce(DataFrame.unionByName, wide), keys, rows).groupBy(*keys).agg(*(F.max(n).alias(n) for n in layers))

@@ -10,6 +10,7 @@ from coverspark.operators import cover as C
 from coverspark.operators import lists as L
 from coverspark.operators import stats as S
 from coverspark.plans.registry import COVER, PIXELS, VISITS, ctes, query, table
+from coverspark.session import read
 
 _C = ctes(cover=COVER)
 _V = ctes(v=VISITS)
@@ -140,8 +141,9 @@ def replace_unique_ids(spark, d):
 
 @query("SELECT l_suppkey, x, y, max(value) AS s2, max(share) AS s1, max(dem) AS dem FROM (SELECT l_orderkey % 16 AS l_suppkey, l_partkey AS x, l_suppkey AS y, l_quantity AS value, l_discount AS share, l_tax AS dem FROM lineitem) GROUP BY ALL")
 def aligned_rasters(spark, d):
-    layer = lambda c, n: table(spark, d, f"SELECT l_orderkey % 16 AS l_suppkey, l_partkey AS x, l_suppkey AS y, max({c}) AS {n} FROM lineitem GROUP BY ALL")
-    return L.aligned({"s2": layer("l_quantity", "s2"), "s1": layer("l_discount", "s1"), "dem": layer("l_tax", "dem")}, ["l_suppkey", "x", "y"])
+    layer = lambda c, n: table(spark, d, f"SELECT l_orderkey % 16 AS l_suppkey, l_partkey AS x, l_suppkey AS y, {c} AS {n} FROM lineitem")
+    layers = {"s2": layer("l_quantity", "s2"), "s1": layer("l_discount", "s1"), "dem": layer("l_tax", "dem")}
+    return L.aligned(layers, ["l_suppkey", "x", "y"], rows=len(layers) * read(spark, d, "lineitem").count())
 
 
 # Order, duplicates and sets.

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 _PACKAGE = Path(__file__).resolve().parent
 _written: list[tuple[SparkSession, str]] = []
 
+#: Rows that a task should hold of a table whose size is known.
+TASK_ROWS = 500_000
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the input tables."""
@@ -49,6 +52,16 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """df with the rows of a key together, over as many tasks as leave each about TASK_ROWS of `rows` rows.
+
+    So a task's maps and sorts do not grow with the table, whatever number of shuffle partitions is set or left after
+    small ones were joined. Where the session's own tasks suffice, df is left as it is.
+    """
+    parts = -(-rows // TASK_ROWS)
+    return df if parts <= df.sparkSession.sparkContext.defaultParallelism else df.repartition(parts, *keys)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per context, so Python workers can import it anywhere."""
     sc = spark.sparkContext

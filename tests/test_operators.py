@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from coverspark import schemas
+from coverspark import schemas, session
 from coverspark.functions import bands, dates, numbers, text
 from coverspark.operators import cover, lists, match, model, series, spatial, stats
 from coverspark.sources import files
@@ -218,3 +218,17 @@ def test_rows_in_order(spark):
     df = spark.createDataFrame([(k * 37 % 101,) for k in range(101)], "k int").repartition(6)
     assert sorted((r.place, r.k) for r in lists.ordered_rows(df, "k").collect()) == [(k, k) for k in range(101)]
     assert sorted(r.k for r in lists.ordered_rows(df, "k", skip=2, most=3).collect()) == [2, 3, 4]
+
+
+def _dealt_rows(df):
+    """Rows of each task after the last shuffle of df's plan."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_tables_of_known_size_are_dealt_by_it(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    layers = {n: spark.range(3000).selectExpr("id % 1500 AS x", "id % 1500 % 7 AS y", f"id * {k} AS {n}") for k, n in enumerate(("a", "b"), 1)}
+    got = lists.aligned(layers, ["x", "y"], rows=6000)
+    assert len(_dealt_rows(got)) > 40 and max(_dealt_rows(got)) < 100
+    assert {r.x: (r.y, r.a, r.b) for r in got.collect()} == {x: (x % 7, x + 1500, 2 * x + 3000) for x in range(1500)}
+    assert session.dealt(layers["a"], ["x"], 400) is layers["a"]
