@@ -2,6 +2,8 @@
 
 import datetime
 import math
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,8 +12,11 @@ from pyspark.sql import functions as F
 from coverspark import schemas, session
 from coverspark.functions import bands, dates, numbers, text
 from coverspark.operators import cover, lists, match, model, series, spatial, stats
+from coverspark.plans.queries import QUERIES
 from coverspark.sources import files
 
+DIR = "/root/testdata/sf0.001"
+
 
 def test_descriptor_rows_and_sheets(spark, tmp_path):
     (tmp_path / "a.csv").write_text("site,cover\ntext,percent\nx,1\ny,2\n")
@@ -232,3 +237,24 @@ def test_tables_of_known_size_are_dealt_by_it(spark, monkeypatch):
     assert len(_dealt_rows(got)) > 40 and max(_dealt_rows(got)) < 100
     assert {r.x: (r.y, r.a, r.b) for r in got.collect()} == {x: (x % 7, x + 1500, 2 * x + 3000) for x in range(1500)}
     assert session.dealt(layers["a"], ["x"], 400) is layers["a"]
+
+
+def _shuffles(df):
+    """Numbers of tasks that rows of df's plan are dealt over by a key."""
+    return [int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())]
+
+
+@pytest.mark.parametrize("name", ["pft_pivot", "first_nonnull", "nonvascular_sum", "same_name_sum", "pft_sum", "pft_sum_zero_filled"])
+def test_covers_are_dealt_by_their_number(spark, monkeypatch, name):
+    small = QUERIES[name](spark, DIR)
+    want = Counter(tuple(r) for r in small.collect())
+    assert max(_shuffles(small), default=0) <= 4
+    monkeypatch.setattr(session, "TASK_ROWS", 200)  # of some 6,000 covers
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = QUERIES[name](spark, DIR)
+        # both joins and the sums by visit after them; what is left by part is dealt as the session has it
+        assert [n for n in _shuffles(got) if n > 4] == [30] * 4 and len(_shuffles(got)) == (5 if name == "first_nonnull" else 4)
+        assert Counter(tuple(r) for r in got.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
