@@ -10,7 +10,7 @@ from coverspark.operators import series as S
 from coverspark.operators import spatial as P
 from coverspark.operators import stats as A
 from coverspark.plans.registry import BANDS, PIXELS, SERIES, ctes, query, table
-from coverspark.session import scratch_path
+from coverspark.session import dealt, scratch_path
 from coverspark.sources.files import drop_unit
 
 _S = ctes(s=SERIES)
@@ -346,7 +346,9 @@ def scored_units(spark, d):
     path = scratch_path(spark)
     M.score_units(models, px, ["line", "share"], path)
     drop_unit(spark, path, type="shrub", cell_id=3)
-    return M.score_units(models, px, ["line", "share"], path).groupBy("type", "cell_id").agg(F.count("*").alias("n"), F.countDistinct("x", "y").alias("places"))
+    scored, place = M.score_units(models, px, ["line", "share"], path), ["type", "cell_id", "x", "y"]
+    places = dealt(scored.select(*place), place, scored.count()).groupBy(*place).agg(F.count("*").alias("n"))
+    return places.groupBy("type", "cell_id").agg(F.sum("n").alias("n"), F.count("*").alias("places"))
 
 
 @query()

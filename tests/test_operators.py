@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from coverspark import schemas, session
 from coverspark.functions import bands, dates, numbers, text
 from coverspark.operators import cover, lists, match, model, series, spatial, stats
-from coverspark.plans.queries import QUERIES
+from coverspark.plans.queries import QUERIES, SQL
 from coverspark.sources import files
+from tests.oracle import differences
 
 DIR = "/root/testdata/sf0.001"
 
@@ -258,3 +259,9 @@ def test_covers_are_dealt_by_their_number(spark, monkeypatch, name):
         assert Counter(tuple(r) for r in got.collect()) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_places_of_scored_units_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 200)  # of two types of 6,000 pixels
+    got = QUERIES["scored_units"](spark, DIR)
+    assert 60 in _shuffles(got) and differences(got, SQL["scored_units"], DIR) == []
