@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coverspark.operators.stats import agreement, rank_max
-from coverspark.session import cut, scratch_path
+from coverspark.session import cut, dealt_by_place, scratch_path
 from coverspark.sources.files import pending, write_units, written_units
 
 
@@ -205,20 +205,28 @@ def score_units(models: dict, df: DataFrame, features: list[str], path: str, cel
     """Score every type and cell that has no folder below `path` yet, and read all of them: (x, y, ..., prediction, type, cell).
 
     What is to do is the cells of df for each type without those written; only pixels of such cells are read on and scored, by the models
-    of all types at once. The rows are dealt so that a folder has few files and a large cell several; whole folders are swapped in when
-    the job ends, so a run that was stopped leaves finished folders or none.
+    of all types at once. Whole folders are swapped in when the job ends, so a run that was stopped leaves finished folders or none.
     """
     spark = df.sparkSession
     types = F.explode(F.array(*map(F.lit, models)))
-    todo = df.select(cell).distinct().select(types.alias("type"), cell)
+    todo = df.groupBy(cell).agg(F.count("*").alias("_rows")).select(types.alias("type"), cell, "_rows")
     done = written_units(spark, path, ["type", cell])
     todo = cut(todo if done is None else pending(todo, done, ["type", cell]))
     if not todo.isEmpty():
         own = df.join(todo.select(cell).distinct(), cell, "left_semi")
-        write_types(score_types(models, own, features).join(todo, ["type", cell]), path, cell)
+        write_types(score_types(models, own, features), todo, path, cell)
     return spark.read.parquet(path)
 
 
-def write_types(scored: DataFrame, path: str, cell: str = "cell_id") -> None:
-    """Scored pixels in folders by type and cell, whole folders at a time."""
-    write_units(scored.hint("rebalance", "type", cell), path, ["type", cell])
+def write_types(scored: DataFrame, units: DataFrame, path: str, cell: str = "cell_id") -> None:
+    """Scored pixels of the units (type, cell, _rows) in folders by type and cell, whole folders at a time.
+
+    Units stand one after another, each as long as its rows, and a task takes the next rows of them (see dealt_by_place): what it sorts does
+    not grow with the table, a folder has few files, and a large cell several. Only the sizes of the units meet.
+    """
+    rows = units.agg(F.sum("_rows")).first()[0] or 0
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("type", cell).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = scored.join(units.withColumn("_before", before), ["type", cell])
+    # the same row of the same part has the same place whenever it is computed, and equal rows have several
+    place = F.col("_before") + F.pmod(F.xxhash64(*scored.columns, F.spark_partition_id()), "_rows")
+    write_units(dealt_by_place(own, place, rows).drop("_before", "_rows"), path, ["type", cell])

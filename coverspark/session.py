@@ -8,7 +8,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PACKAGE = Path(__file__).resolve().parent
 _written: list[tuple[SparkSession, str]] = []
@@ -62,6 +63,12 @@ def dealt(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     return df if parts <= df.sparkSession.sparkContext.defaultParallelism else df.repartition(parts, *keys)
 
 
+def dealt_by_place(df: DataFrame, place: Column, rows: int) -> DataFrame:
+    """df in tasks of at most about TASK_ROWS of `rows` rows, by each row's place (0 to rows - 1) in an order: a task is a run of places."""
+    size = min(TASK_ROWS, max(TASK_ROWS // 50, -(-rows // df.sparkSession.sparkContext.defaultParallelism)))
+    return df.repartitionById(max(1, -(-rows // size)), F.floor(place / size).cast("int"))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per context, so Python workers can import it anywhere."""
     sc = spark.sparkContext

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from coverspark import session
 from coverspark.operators import model as M
 from coverspark.plans.series_queries import SETTINGS
 from coverspark.sources import files
@@ -94,6 +95,18 @@ def test_score_units_resumes(spark, tmp_path):
     assert all(r.prediction == want[r.x] for r in again.where("type = 'q'").collect())
 
 
+def test_scored_units_are_written_by_tasks_of_few_rows(spark, tmp_path, monkeypatch):
+    """A large cell is spread over tasks, small ones share one; all rows are there, equal ones too."""
+    monkeypatch.setattr(session, "TASK_ROWS", 1000)
+    px = spark.range(9000).select(F.when(F.col("id") < 8000, 0).otherwise(F.col("id") % 100).cast("int").alias("cell_id"), (F.col("id") % 4000).alias("x"), (F.col("id") % 7 / 7.0).alias("a"))
+    models = {t: M.forest(px.withColumn("y", e), ["a"], "y", trees=2, depth=2, per_split="1") for t, e in (("p", F.col("a")), ("q", -F.col("a")))}
+    got = M.score_units(models, px, ["a"], str(tmp_path / "scored"))
+    per_file = [(r.type, r.cell_id, r["count"]) for r in got.groupBy("type", "cell_id", F.input_file_name()).count().collect()]
+    assert max(n for *_, n in per_file) < 1150 and 16 <= len([c for _, c, _ in per_file if c == 0]) <= 20 and len(per_file) < 200 + 2 * 18
+    want = {(t, r.cell_id, r.x): r["count"] for t in "pq" for r in px.groupBy("cell_id", "x").count().collect()}
+    assert {(r.type, r.cell_id, r.x): r["count"] for r in got.groupBy("type", "cell_id", "x").count().collect()} == want
+
+
 def test_heads_of_files(spark, tmp_path):
     (tmp_path / "good file.bin").write_bytes(b"MAGIC" + os.urandom(1000))
     (tmp_path / "bad.bin").write_bytes(b"MAGI")
