@@ -20,6 +20,8 @@ from coverspark.session import cut, ship
 _BROADCAST_ROWS = 1_000_000
 #: Ids of one place in a list, about.
 _BLOCK = 128
+#: Points per place, on average, that are clustered at once.
+_VISITS = 8
 
 
 def finite(*names: str) -> Column:
@@ -123,36 +125,94 @@ def earlier_neighbours(points: DataFrame, distance: float) -> DataFrame:
     return last.unionByName(own.where("earlier is not null").select("ord", "earlier", F.col("first").alias("least")))
 
 
-def distance_clusters(points: DataFrame, distance: float, id_col: str = "id", order: str = "ord", max_rounds: int = 60) -> DataFrame:
-    """(id, cluster): in input order a point joins the first cluster with a member within `distance`, or opens one.
+def _lowest(edges: DataFrame, labels: DataFrame, max_rounds: int, both: bool = False) -> DataFrame:
+    """Labels (ord, label, moved) fallen to the least of the labels of their neighbours (edges: ord, earlier) and of their label's label, until
+    none changes.
 
-    Clusters never merge, so the result hangs on the order (whole numbers, no ties). cluster is the least order number of
-    its members: the least that a point reaches over steps within the distance to ever earlier points. Labels start at the
-    least of the earlier neighbours (see earlier_neighbours: at most 25 a point, however dense a site is) and fall to the least
-    of theirs and to their label's label, until none changes. A round asks only for neighbours and labels that fell in the one
-    before; once these are few they are broadcast, so edges stay where they are. It ends as a shared table, so no task holds a
-    cluster. Points without a finite place are clusters of their own.
+    A round asks only for neighbours and labels that fell in the one before; once these are few they are broadcast, so edges stay
+    where they are. `both`: edges go both ways, every end has a label, and what a point had as a label (`was`) falls with it, so rounds
+    grow with the logarithm of the points.
     """
-    own = cut(points.select(F.col(id_col).alias("id"), F.col(order).cast("long").alias("ord"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
-    edges = cut(earlier_neighbours(own.drop("id"), distance))
-    labels, moved = cut(edges.groupBy("ord").agg(F.min("least").alias("label"), F.lit(True).alias("moved"))), None
+    moved, last = None, [F.col("label").alias("was")] if both else []
     for _ in range(max_rounds):
-        fallen = labels.where("moved").select(F.col("ord").alias("at"), F.col("label").alias("next"))
+        fallen = labels.where("moved").select(F.col("ord").alias("at"), F.col("label").alias("next"), *(["was"] if both else []))
         if moved is not None and moved <= _BROADCAST_ROWS:
             fallen = F.broadcast(fallen)
         steps = edges.select("ord", "earlier").unionByName(labels.select("ord", F.col("label").alias("earlier")))
-        near = steps.join(fallen, F.col("earlier") == F.col("at")).groupBy("ord").agg(F.min("next").alias("next"))
+        near = steps.join(fallen, F.col("earlier") == F.col("at")).select("ord", "next")
+        if both:
+            near = near.unionByName(fallen.select(F.col("was").alias("ord"), "next"))
         low, seen = F.least("label", "next"), Observation()
-        told = labels.join(near, "ord", "left").select("ord", low.alias("label"), (low < F.col("label")).alias("moved"))
+        told = labels.join(near.groupBy("ord").agg(F.min("next").alias("next")), "ord", "left").select("ord", low.alias("label"), *last, (low < F.col("label")).alias("moved"))
         labels = cut(told.observe(seen, F.count_if("moved").alias("moved")))
         moved = seen.get["moved"]
         if not moved:
-            break
-    else:
-        raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
+            return labels
+    raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
+
+
+def distance_clusters(points: DataFrame, distance: float, id_col: str = "id", order: str = "ord", max_rounds: int = 60) -> DataFrame:
+    """(id, cluster): in input order a point joins the first cluster with a member within `distance`, or opens one.
+
+    Clusters never merge, so the result hangs on the order (whole numbers, no ties). cluster is the least order number of
+    its members: the least that a point reaches over steps within the distance to ever earlier points. Labels start at the
+    least of the earlier neighbours (see earlier_neighbours: at most 25 a point, however dense a site is) and fall to the least
+    of theirs and to their label's label, until none changes (see _lowest). It ends as a shared table, so no task holds a
+    cluster. Points without a finite place are clusters of their own.
+
+    Labels of one place only fall with the order, and never below the least order number of all places that are connected by steps of the
+    distance. Where places have many points, these are taken in order, in parts of growing size, and a place that has come down to
+    that number is settled: its later points have it too and are compared with no other, and of its earlier ones only the last is.
+    """
+    own = cut(points.select(F.col(id_col).alias("id"), F.col(order).cast("long").alias("ord"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
+    placed = own.where(finite("x", "y")).select("ord", "x", "y")
+    places = cut(placed.groupBy("x", "y").agg(F.min("ord").alias("ord"), F.max("ord").alias("final"), F.count("*").alias("n")))
+    number, n = places.agg(F.count("*"), F.sum("n")).first()
+    if number and n > _VISITS * number:
+        return _clusters_of_visits(own, placed, places, distance, n, number, max_rounds)
+    edges = cut(earlier_neighbours(placed, distance))
+    labels = _lowest(edges, cut(edges.groupBy("ord").agg(F.min("least").alias("label"), F.lit(True).alias("moved"))), max_rounds)
     return own.join(labels, "ord", "left").select("id", F.coalesce("label", "ord").alias("cluster"))
 
 
+def _clusters_of_visits(own: DataFrame, placed: DataFrame, places: DataFrame, distance: float, n: int, number: int, max_rounds: int) -> DataFrame:
+    """distance_clusters of n points at far fewer places (x, y, ord of the first, final)."""
+    few = F.broadcast if number <= _BROADCAST_ROWS else lambda df: df
+    edges = cut(earlier_neighbours(places.select("ord", "x", "y"), distance).select("ord", "earlier"))
+    edges = edges.unionByName(edges.select(F.col("earlier").alias("ord"), F.col("ord").alias("earlier")))
+    start = edges.groupBy("ord").agg(F.least("ord", F.min("earlier")).alias("label")).select("ord", "label", F.col("ord").alias("was"), F.lit(True).alias("moved"))
+    least = _lowest(edges, cut(start), max_rounds, both=True).select("ord", "label")
+    none = F.lit(None).cast("long")
+    # of each place: the last point so far and its label, and the order number after which all its points have `least`
+    state = cut(places.join(least, "ord", "left").select("x", "y", "final", F.coalesce("label", "ord").alias("least"), none.alias("ord"), none.alias("label"), none.alias("settled")))
+
+    shares = [_VISITS * number / n]
+    while shares[-1] < 1:
+        shares.append(min(1.0, 2 * shares[-1]))
+    found = placed.agg(F.percentile_approx("ord", shares).alias("ends"), F.max("ord").alias("top")).first()
+    named, begin = [], None
+    for end in sorted({*found.ends, found.top}):
+        fresh = placed.where(F.col("ord") <= end if begin is None else (F.col("ord") > begin) & (F.col("ord") <= end))
+        fresh = cut(fresh.join(few(state.where("settled is null").select("x", "y")), ["x", "y"]).select("ord", "x", "y"))
+        before = state.where("ord is not null")
+        edges = earlier_neighbours(fresh.unionByName(before.select("ord", "x", "y")), distance)
+        edges = cut(edges if begin is None else edges.where(F.col("ord") > begin))
+        labels = edges.groupBy("ord").agg(F.min("least").alias("label")).unionByName(before.where("label < ord").select("ord", "label"))
+        labels = _lowest(edges, cut(labels.withColumn("moved", F.lit(True))), max_rounds)
+        part = cut(fresh.join(labels, "ord", "left").select("ord", "x", "y", F.coalesce("label", "ord").alias("label")))
+        named.append(part.select("ord", "label"))
+        last = part.groupBy("x", "y").agg(F.max("ord").alias("_ord"), F.max_by("label", "ord").alias("_label"))
+        now = F.coalesce("_label", "label")
+        settled = F.when(F.col("settled").isNull() & (now == F.col("least")), F.lit(end).cast("long")).otherwise(F.col("settled"))
+        state = cut(state.join(last, ["x", "y"], "left").select("x", "y", "final", "least", F.coalesce("_ord", "ord").alias("ord"), now.alias("label"), settled.alias("settled")))
+        if state.where((F.col("final") > end) & F.col("settled").isNull()).isEmpty():
+            break
+        begin = end
+    at = own.join(few(state.select("x", "y", "least", "settled")), ["x", "y"], "left")
+    later = F.when(F.col("ord") > F.col("settled"), F.col("least"))
+    return at.join(reduce(DataFrame.unionByName, named), "ord", "left").select("id", F.coalesce("label", later, "ord").alias("cluster"))
+
+
 def parent_sites(plots: DataFrame, distance: float, area: str = "area", most: float = 314.0, prefix: str = "site_") -> DataFrame:
     """(id, parent): clusters of the plots smaller than `most`, numbered by their first plot, as a label; null for others."""
     small = plots.where(F.col(area) < most)

@@ -197,6 +197,21 @@ def test_distance_clusters(spark, spread):
     assert got == dict(enumerate(brute_clusters(rows, 1.0))) | {1000: 1000}
 
 
+def test_distance_clusters_of_places_with_many_points(spark, monkeypatch):
+    """Once a place has come down to the least number it can have, its later points are compared with none; late places still are."""
+    rng = random.Random(3)
+    places = [(rng.uniform(0, 6), rng.uniform(0, 6)) for _ in range(40)]
+    rows = [(k, *places[rng.randrange(min(40, 2 + k // 20))]) for k in range(3000)] + [(3000, 50.0, 50.0), (3001, *places[0])]
+    now, want = {}, {1_000_000: 1_000_000}
+    for k, x, y in rows:
+        want[k] = now[x, y] = min((c for (a, b), c in now.items() if math.hypot(a - x, b - y) <= 1.0), default=k)
+    compared, plain = [], spatial.earlier_neighbours
+    monkeypatch.setattr(spatial, "earlier_neighbours", lambda df, distance: compared.append(df.count()) or plain(df, distance))
+    df = spark.createDataFrame([*rows, (1_000_000, None, 1.0)], "ord long, x double, y double").selectExpr("ord AS id", "*").repartition(5)
+    assert {r.id: r.cluster for r in spatial.distance_clusters(df, 1.0).collect()} == want
+    assert len(compared) > 2 and sum(compared) < 2000
+
+
 def test_neighbours_of_a_dense_site(spark):
     """All points in one cell, one after another: one edge a point instead of all pairs."""
     df = spark.range(20_000).selectExpr("id AS ord", "(hash(id) % 1000) / 1e5 + 0.2 AS x", "(hash(id, 1) % 1000) / 1e5 + 0.2 AS y")
