@@ -14,10 +14,14 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from coverspark import session
 from coverspark.operators.stats import agreement, rank_max
-from coverspark.session import cut, dealt_by_place, scratch_path
+from coverspark.session import cut, dealt, dealt_by_place, scratch_path
 from coverspark.sources.files import pending, write_units, written_units
 
+#: Cells that are broadcast when they are scored.
+_BROADCAST_CELLS = 100_000
+
 
 def cooks_distance(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Add `cooks` of a linear fit without intercept: e^2 h / (p s^2 (1 - h)^2), s^2 = SSE / (n - p).
@@ -209,24 +213,42 @@ def score_units(models: dict, df: DataFrame, features: list[str], path: str, cel
     """
     spark = df.sparkSession
     types = F.explode(F.array(*map(F.lit, models)))
-    todo = df.groupBy(cell).agg(F.count("*").alias("_rows")).select(types.alias("type"), cell, "_rows")
+    cells = df.groupBy(cell).agg(F.count("*").alias("_rows"))
+    todo = cells.select(types.alias("type"), cell, "_rows")
     done = written_units(spark, path, ["type", cell])
     todo = cut(todo if done is None else pending(todo, done, ["type", cell]))
     if not todo.isEmpty():
-        own = df.join(todo.select(cell).distinct(), cell, "left_semi")
-        write_types(score_types(models, own, features), todo, path, cell)
+        before = F.coalesce(F.sum("_rows").over(Window.orderBy("type", cell).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        starts = todo.withColumn("_before", before).groupBy(cell, "_rows").agg(F.map_from_entries(F.collect_list(F.struct("type", "_before"))).alias("_starts"))
+        scored = score_types(models, of_cells(df, starts, cells, cell), features).withColumn("_before", F.col("_starts")[F.col("type")]).drop("_starts")
+        write_types(scored.where(F.col("_before").isNotNull()), todo.agg(F.sum("_rows")).first()[0], path, cell)
     return spark.read.parquet(path)
 
 
-def write_types(scored: DataFrame, units: DataFrame, path: str, cell: str = "cell_id") -> None:
-    """Scored pixels of the units (type, cell, _rows) in folders by type and cell, whole folders at a time.
+def of_cells(df: DataFrame, asked: DataFrame, cells: DataFrame, cell: str) -> DataFrame:
+    """Pixels of the cells asked for, with the other columns of `asked`; cells: (cell, _rows) of all cells of df.
+
+    A join by cell would give a task all pixels of one, and a cell grows with the table. So up to _BROADCAST_CELLS cells asked for are broadcast and
+    pixels stay where they are. With more, a large cell is joined in pieces of a tenth of TASK_ROWS pixels; only the numbers of pieces of
+    large cells are broadcast, at most ten per TASK_ROWS pixels.
+    """
+    if asked.count() <= _BROADCAST_CELLS:
+        return df.join(F.broadcast(asked), cell)
+    rows = cells.agg(F.sum("_rows")).first()[0]
+    large = F.broadcast(cells.select(cell, F.ceil(F.col("_rows") / (session.TASK_ROWS // 10)).alias("_pieces")).where("_pieces > 1"))
+    pieces = F.coalesce("_pieces", F.lit(1).cast("long"))
+    own = df.join(large, cell, "left").withColumn("_piece", F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), pieces)).drop("_pieces")
+    each = asked.join(large, cell, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))).drop("_pieces")
+    return dealt(own, [cell, "_piece"], rows).join(each, [cell, "_piece"]).drop("_piece")
+
+
+def write_types(scored: DataFrame, rows: int, path: str, cell: str = "cell_id") -> None:
+    """Scored pixels, `rows` in all, in folders by type and cell, whole folders at a time. Each has the size of its unit (_rows) and of those before it (_before).
 
     Units stand one after another, each as long as its rows, and a task takes the next rows of them (see dealt_by_place): what it sorts does
     not grow with the table, a folder has few files, and a large cell several. Only the sizes of the units meet.
     """
-    rows = units.agg(F.sum("_rows")).first()[0] or 0
-    before = F.coalesce(F.sum("_rows").over(Window.orderBy("type", cell).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    own = scored.join(units.withColumn("_before", before), ["type", cell])
     # the same row of the same part has the same place whenever it is computed, and equal rows have several
-    place = F.col("_before") + F.pmod(F.xxhash64(*scored.columns, F.spark_partition_id()), "_rows")
-    write_units(dealt_by_place(own, place, rows).drop("_before", "_rows"), path, ["type", cell])
+    own = [c for c in scored.columns if c not in ("_before", "_rows")]
+    place = F.col("_before") + F.pmod(F.xxhash64(*own, F.spark_partition_id()), "_rows")
+    write_units(dealt_by_place(scored, place, rows).drop("_before", "_rows"), path, ["type", cell])

@@ -107,6 +107,44 @@ def test_scored_units_are_written_by_tasks_of_few_rows(spark, tmp_path, monkeypa
     assert {(r.type, r.cell_id, r.x): r["count"] for r in got.groupBy("type", "cell_id", "x").count().collect()} == want
 
 
+@pytest.mark.parametrize("most", [1000, 10])
+def test_cells_to_score_are_found_without_a_task_per_cell(spark, tmp_path, monkeypatch, most):
+    """Neither with few nor with many cells does a task take a large one whole, also where Spark broadcasts nothing by itself."""
+    monkeypatch.setattr(session, "TASK_ROWS", 1000)
+    monkeypatch.setattr(M, "_BROADCAST_CELLS", most, raising=False)
+    per_task, score_types = [], M.score_types
+
+    def counted(models, own, features):
+        per_task.append([r["count"] for r in own.groupBy(F.spark_partition_id()).count().collect()])
+        return score_types(models, own, features)
+
+    monkeypatch.setattr(M, "score_types", counted)
+    px = spark.range(9000).select(F.when(F.col("id") < 8000, 0).otherwise(F.col("id") % 100).cast("int").alias("cell_id"), (F.col("id") % 4000).alias("x"), (F.col("id") % 7 / 7.0).alias("a"))
+    models = {t: M.forest(px.withColumn("y", e), ["a"], "y", trees=2, depth=2, per_split="1") for t, e in (("p", F.col("a")), ("q", -F.col("a")))}
+    want = {(t, r.cell_id, r.x): r["count"] for t in "pq" for r in px.groupBy("cell_id", "x").count().collect()}
+    path = str(tmp_path / "scored")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        M.score_units(models, px.where("cell_id > 0"), ["a"], path)
+        M.score_units(models, px, ["a"], path)  # the large cell, which is left
+        files.drop_unit(spark, path, type="q", cell_id=0)
+        for c in range(1, 30):
+            files.drop_unit(spark, path, type="p", cell_id=c)
+        got = M.score_units(models, px, ["a"], path)  # one type of it and many small ones
+        assert {(r.type, r.cell_id, r.x): r["count"] for r in got.groupBy("type", "cell_id", "x").count().collect()} == want
+        for c in range(30):
+            files.drop_unit(spark, path, type="p", cell_id=c)
+        for c in range(1, 30):
+            files.drop_unit(spark, path, type="q", cell_id=c)
+        files.drop_unit(spark, path, type="q", cell_id=0)
+        M.score_units(models, px.where("cell_id = 0"), ["a"], path)
+        got = M.score_units(models, px, ["a"], path)  # many small ones, the large one is done
+        assert {(r.type, r.cell_id, r.x): r["count"] for r in got.groupBy("type", "cell_id", "x").count().collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [sum(n) for n in per_task] == [990, 8010, 8300, 8010, 290] and max(max(n) for n in per_task) < 3000
+
+
 def test_heads_of_files(spark, tmp_path):
     (tmp_path / "good file.bin").write_bytes(b"MAGIC" + os.urandom(1000))
     (tmp_path / "bad.bin").write_bytes(b"MAGI")
