@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from coverspark import session
 from coverspark.operators.stats import agreement, rank_max
-from coverspark.session import cut, dealt, dealt_by_place, scratch_path
+from coverspark.session import cut, dealt, dealt_by_place, scratch_path, small_splits
 from coverspark.sources.files import pending, write_units, written_units
 
 #: Cells that are broadcast when they are scored.
@@ -221,7 +221,8 @@ def score_units(models: dict, df: DataFrame, features: list[str], path: str, cel
         before = F.coalesce(F.sum("_rows").over(Window.orderBy("type", cell).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         starts = todo.withColumn("_before", before).groupBy(cell, "_rows").agg(F.map_from_entries(F.collect_list(F.struct("type", "_before"))).alias("_starts"))
         scored = score_types(models, of_cells(df, starts, cells, cell), features).withColumn("_before", F.col("_starts")[F.col("type")]).drop("_starts")
-        write_types(scored.where(F.col("_before").isNotNull()), todo.agg(F.sum("_rows")).first()[0], path, cell)
+        with small_splits(spark):
+            write_types(scored.where(F.col("_before").isNotNull()), todo.agg(F.sum("_rows")).first()[0], path, cell)
     return spark.read.parquet(path)
 
 

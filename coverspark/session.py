@@ -6,6 +6,8 @@ import atexit
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +71,19 @@ def dealt_by_place(df: DataFrame, place: Column, rows: int) -> DataFrame:
     return df.repartitionById(max(1, -(-rows // size)), F.floor(place / size).cast("int"))
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: int = 16 << 20) -> Iterator[None]:
+    """What runs inside reads splits of at most `size` bytes of files. A shuffle to many tasks sorts all that a task has read, and scored rows are
+    larger than those read."""
+    name = "spark.sql.files.maxPartitionBytes"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(min(size, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per context, so Python workers can import it anywhere."""
     sc = spark.sparkContext

@@ -145,6 +145,22 @@ def test_cells_to_score_are_found_without_a_task_per_cell(spark, tmp_path, monke
     assert [sum(n) for n in per_task] == [990, 8010, 8300, 8010, 290] and max(max(n) for n in per_task) < 3000
 
 
+def test_pixels_to_score_are_read_in_small_splits(spark, tmp_path, monkeypatch):
+    """What a shuffle to many tasks sorts does not follow the session's splits, which are as before afterwards."""
+    seen, write, name = [], M.write_units, "spark.sql.files.maxPartitionBytes"
+    monkeypatch.setattr(M, "write_units", lambda *a: (seen.append(spark.conf.get(name)), write(*a)))
+    px = spark.range(60).selectExpr("cast(id % 3 as int) AS cell_id", "id AS x", "id / 60 AS a")
+    models = {"p": M.forest(px.withColumn("y", F.col("a")), ["a"], "y", trees=2, depth=2, per_split="1")}
+    own = spark.conf.get(name)
+    try:
+        for k, size in enumerate(("1g", "1m")):
+            spark.conf.set(name, size)
+            assert M.score_units(models, px, ["a"], str(tmp_path / str(k))).count() == 60 and spark.conf.get(name) == size
+    finally:
+        spark.conf.set(name, own)
+    assert seen == [str(16 << 20), str(1 << 20)]
+
+
 def test_heads_of_files(spark, tmp_path):
     (tmp_path / "good file.bin").write_bytes(b"MAGIC" + os.urandom(1000))
     (tmp_path / "bad.bin").write_bytes(b"MAGI")
